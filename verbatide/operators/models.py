@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Estimator, Model, Pipeline
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
@@ -21,11 +21,12 @@ from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbatide.operators.frequency import class_distribution, term_counts
 from verbatide.operators.sizing import small_mapping, small_rows
+from verbatide.operators.skew import lookup_join
 
 MAX_DEPTH = 30  # Spark's own limit
 MAX_CLASSES = 1000
@@ -95,32 +96,86 @@ def class_log_priors(df: DataFrame, label: str, smoothing: float = 0.1) -> DataF
     everything = Window.partitionBy()  # over one row per class
     counts = class_distribution(df, label)
     total = F.sum("n").over(everything) + smoothing * F.count("*").over(everything)
-    return counts.select(label, F.log((F.col("n") + smoothing) / total).alias("log_prior"))
+    return counts.select(label, F.log((F.col("n") + smoothing) / total).alias("log_prior"), "n")
+
+
+@dataclass(frozen=True)
+class TermModel:
+    """A linear text model: a class's score is its base plus, for each term of the text, the term's
+    value times ``weights[class]``. ``terms(term, weights)`` stays a table however many terms there are."""
+
+    classes: list[str]
+    base: list[float]
+    terms: DataFrame
+
+    def log_weights(self, label: str) -> DataFrame:
+        """(term, class, weight), one row for every term and class."""
+        cells = [
+            F.struct(F.lit(c).alias(label), F.col("weights")[i].alias("log_p"))
+            for i, c in enumerate(self.classes)
+        ]
+        return self.terms.select("term", F.inline(F.array(*cells)))
+
+    def predict(self, keys: DataFrame, key: str, values: DataFrame) -> DataFrame:
+        """The best class of every row of ``keys``, from ``values(key, term, value)``. Terms the model
+        has not seen count nothing; ties go to the first class."""
+        joined = lookup_join(values, self.terms, "term")
+        sums = [F.sum(F.col("value") * F.col("weights")[i]).alias(f"_{i}") for i in range(len(self.classes))]
+        scored = keys.select(key).join(joined.groupBy(key).agg(*sums), key, "left")
+        options = [
+            F.struct((F.coalesce(f"_{i}", F.lit(0.0)) + base).alias("score"), F.lit(-i), F.lit(c).alias("class"))
+            for i, (c, base) in enumerate(zip(self.classes, self.base))
+        ]
+        return scored.select(key, F.array_max(F.array(*options))["class"].alias("prediction"))
+
+
+def _class_rows(df: DataFrame, label: str, smoothing: float) -> list[Row]:
+    rows = small_rows(class_log_priors(df, label, smoothing), MAX_CLASSES)
+    if rows is None:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    return sorted(rows, key=lambda row: row[label])
 
 
-def term_log_probabilities(df: DataFrame, label: str, words: Column, smoothing: float = 0.1) -> DataFrame:
-    """ln((n_term,class + s) / (n_class + s · terms)) for every term and class, zero counts included.
+def _counts_by_class(counts: DataFrame, label: str, classes: list, n: Column) -> DataFrame:
+    """One row per term, one count column ``_0, _1, …`` per class. Classes as columns give the zero
+    counts without joining terms with classes."""
+    cells = [F.sum(F.when(F.col(label) == c, n).otherwise(0)).alias(f"_{i}") for i, c in enumerate(classes)]
+    return counts.groupBy("term").agg(*cells)
 
-    Classes are columns of one row per term, so absent pairs need no join of terms with classes.
-    """
-    rows = small_rows(class_distribution(df, label), MAX_CLASSES)
-    if rows is None:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    classes = sorted(row[label] for row in rows)
+
+def fit_multinomial(df: DataFrame, label: str, words: Column, smoothing: float = 0.1) -> TermModel:
+    """Multinomial naive Bayes over all terms: weights ln((n_term,class + s) / (n_class + s · terms))."""
+    rows = _class_rows(df, label, smoothing)
+    classes = [row[label] for row in rows]
     counts = term_counts(df.where(F.col(label).isNotNull()), words, "term", [label])
-    sums = [F.sum(F.when(F.col(label) == c, F.col("n")).otherwise(0)).alias(f"_{i}") for i, c in enumerate(classes)]
-    wide = counts.groupBy("term").agg(*sums)
-    size = [F.sum(f"_{i}").alias(f"_{i}") for i in range(len(classes))]
-    totals = wide.agg(*size, F.count("*").alias("_terms"))
-    terms = totals.select("_terms").scalar()
-    cells = [
-        F.struct(
-            F.lit(c).alias(label),
-            F.log((F.col(f"_{i}") + smoothing) / (totals.select(f"_{i}").scalar() + smoothing * terms)).alias("log_p"),
-        )
-        for i, c in enumerate(classes)
+    wide = _counts_by_class(counts, label, classes, F.col("n"))
+    totals = wide.agg(F.count("*").alias("terms"), *[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(classes))])
+    terms = totals.select("terms").scalar()
+    weights = [
+        F.log((F.col(f"_{i}") + smoothing) / (totals.select(f"_{i}").scalar() + smoothing * terms))
+        for i in range(len(classes))
     ]
-    return wide.select("term", F.inline(F.array(*cells)))
+    return TermModel(classes, [row["log_prior"] for row in rows], wide.select("term", F.array(*weights).alias("weights")))
+
+
+def fit_bernoulli(
+    keys: DataFrame, key: str, label: str, values: DataFrame, threshold: float = 0.1, smoothing: float = 1.0
+) -> TermModel:
+    """Bernoulli naive Bayes on ``values(key, term, value)``, a term being present above ``threshold``.
+
+    Absent terms count too: every term's ln(1 - p) is part of the base and a present term's weight
+    is ln p - ln(1 - p), so a text needs only its own terms. Priors are plain class shares.
+    """
+    rows = _class_rows(keys, label, 0.0)
+    classes, sizes = [row[label] for row in rows], [row["n"] for row in rows]
+    present = F.when(F.col("value") > threshold, 1).otherwise(0)
+    joined = values.join(keys.select(key, label), key)
+    wide = _counts_by_class(joined, label, classes, present)
+    share = [(F.col(f"_{i}") + smoothing) / (F.lit(n) + 2 * smoothing) for i, n in enumerate(sizes)]
+    absent = wide.agg(*[F.sum(F.log(1 - p)).alias(f"_{i}") for i, p in enumerate(share)]).first()
+    base = [row["log_prior"] + (absent[i] or 0.0) for i, row in enumerate(rows)]
+    weights = F.array(*[F.log(p) - F.log(1 - p) for p in share]).alias("weights")
+    return TermModel(classes, base, wide.select("term", weights))
 
 
 # Clusters ----------------------------------------------------------------------------------------------
@@ -159,7 +214,7 @@ def cross_validate(
     folds: int = 3,
     evaluator: Evaluator | None = None,
     seed: int = 5043,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> CrossValidatorModel:
     validator = CrossValidator(
         estimator=estimator, estimatorParamMaps=param_maps, evaluator=evaluator or accuracy_evaluator(),
@@ -229,13 +284,15 @@ def fourier_features(
     return df.withColumn(to, array_to_vector(project(source)))
 
 
-def rbf_svm(cost: float = 10.0, rows: int = 1000, iterations: int = 50, features: str = FEATURES) -> OneVsRest:
+def rbf_svm(
+    cost: float = 10.0, rows: int = 1000, iterations: int = 50, features: str = FEATURES, parallelism: int = 8
+) -> OneVsRest:
     """Linear one-against-rest machine on Fourier features: an approximate kernel machine.
 
     The cost C of the usual formulation becomes a regularisation of 1 / (C · rows).
     """
     svm = LinearSVC(labelCol=LABEL, featuresCol=features, regParam=1.0 / (cost * rows), maxIter=iterations)
-    return OneVsRest(classifier=svm, labelCol=LABEL, featuresCol=features)
+    return OneVsRest(classifier=svm, labelCol=LABEL, featuresCol=features, parallelism=parallelism)
 
 
 # Feature elimination -------------------------------------------------------------------------------------------
@@ -270,5 +327,7 @@ def describe_tree(model: Model) -> str:
 
 
 def best_params(model: CrossValidatorModel) -> str:
-    """All parameters of the refitted winner, documentation included."""
-    return model.bestModel.explainParams()
+    """All parameters of the refitted winner, stage by stage, with their documentation."""
+    best = model.bestModel
+    stages = best.stages if isinstance(best, PipelineModel) else [best]
+    return "\n".join(stage.explainParams() for stage in stages)
