@@ -60,7 +60,9 @@ def term_frequencies(df: DataFrame, key: str, words: Column) -> DataFrame:
 
 
 def document_frequencies(tf: DataFrame) -> DataFrame:
-    return tf.groupBy("term").agg(F.count("*").alias("df"))
+    """Texts per term. The count reads ``tf`` so that column pruning leaves the same shuffle as for
+    ``tf`` itself, and Spark reuses it instead of splitting the texts again."""
+    return tf.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def idf_table(tf: DataFrame, documents: Column) -> DataFrame:
@@ -72,8 +74,8 @@ def idf_table(tf: DataFrame, documents: Column) -> DataFrame:
 def tfidf(tf: DataFrame, key: str, documents: Column) -> DataFrame:
     """tf · (ln((1 + n) / (1 + df)) + 1), each text's row scaled to length one."""
     frequencies = document_frequencies(tf)
-    # df is each term's row count in tf: the hot terms of the join are known beforehand.
-    joined = lookup_join(tf, frequencies, "term", weight="df")
+    # df is each term's number of rows in tf, so the hot terms of the join are known beforehand.
+    joined = lookup_join(tf, frequencies, "term", frequencies.select("term", F.col("df").alias("n")))
     raw = F.col("tf") * (F.log((documents + 1) / (F.col("df") + 1)) + 1)
     weighted = joined.select(key, "term", "tf", raw.alias("_raw"))
     norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
@@ -90,9 +92,9 @@ def word_index(counts: DataFrame, word: str = "word") -> DataFrame:
 
 
 def word_sequences(df: DataFrame, key: str, words: Column, index: DataFrame) -> DataFrame:
-    """(key, sequence): each text's words as ids of ``index(word, id, n)``; unknown words drop out."""
+    """(key, sequence): each text's words as ids of ``index(word, id)``; unknown words drop out."""
     placed = df.select(key, F.posexplode_outer(words).alias("_at", "word"))
-    found = lookup_join(placed.where(F.col("word").isNotNull()), index, "word", weight="n")
+    found = lookup_join(placed.where(F.col("word").isNotNull()), index.select("word", "id"), "word")
     ordered = F.array_sort(F.collect_list(F.struct("_at", "id")))
     lists = found.groupBy(key).agg(F.transform(ordered, lambda e: e["id"]).alias("sequence"))
     empty = F.array().cast("array<bigint>")

@@ -98,9 +98,10 @@ def histogram(df: DataFrame, label: str, measure: Column, bins: int = 10) -> Dat
     """Equal-width bins of an integer measure per class, empty bins included.
 
     Rows are first counted per distinct value, so the range window sees each value once. The last
-    bin is closed; a class with a single value gets a range of one around it.
+    bin is closed; a class with a single value gets a range of one around it. Missing values fall
+    into no bin: filtering them out would make Spark evaluate the measure twice.
     """
-    values = df.select(label, measure.alias("_x")).where(F.col("_x").isNotNull() & F.col(label).isNotNull())
+    values = df.where(F.col(label).isNotNull()).select(label, measure.alias("_x"))
     counts = values.groupBy(label, "_x").agg(F.count("*").alias("_n"))
     whole = Window.partitionBy(label)
     low, high = F.min("_x").over(whole), F.max("_x").over(whole)
@@ -115,7 +116,7 @@ def histogram(df: DataFrame, label: str, measure: Column, bins: int = 10) -> Dat
     )
     rows = F.array(*[F.struct(F.lit(i).cast("long").alias("bin"), F.col(f"_b{i}").alias("n")) for i in range(1, bins + 1)])
     width = (F.col("hi") - F.col("lo")) / bins
-    return wide.select(label, "lo", "hi", F.inline(rows)).select(
+    return wide.where(F.col("lo").isNotNull()).select(label, "lo", "hi", F.inline(rows)).select(
         label,
         "bin",
         (F.col("lo") + (F.col("bin") - 1) * width).alias("bin_from"),

@@ -16,6 +16,7 @@ from verbatide.functions import text as T
 from verbatide.operators.frequency import explode_words
 from verbatide.operators.sizing import SMALL_ROWS, small_mapping
 from verbatide.operators.skew import lookup_join
+from verbatide.session import materialise
 
 
 def map_words(
@@ -25,17 +26,19 @@ def map_words(
     mapping: DataFrame,
     default: str | None = None,
     small: int = SMALL_ROWS,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Replace the words of the list column ``words`` by ``mapping(word, replacement)``.
 
     Words outside the mapping stay, or become ``default``. ``key`` identifies a row of ``df``;
-    ``small`` is the largest mapping that is put into the expression.
+    ``small`` is the largest mapping that is put into the expression; ``counts(word, n)``, when at
+    hand, gives the number of rows each word occurs in.
     """
     direct = small_mapping(mapping, "word", "replacement", small)
     if direct is not None:
         return df.withColumn(words, T.replace_words(F.col(words), direct, default))
     pairs = explode_words(df, F.array_distinct(words), "word", key)
-    found = lookup_join(pairs, mapping.select("word", "replacement"), "word")
+    found = lookup_join(pairs, mapping.select("word", "replacement"), "word", counts)
     hits = found.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("word", "replacement"))).alias("_hits")
     )
@@ -105,11 +108,13 @@ def lemmatise(
     exceptions: DataFrame | None = None,
     small: int = SMALL_ROWS,
 ) -> DataFrame:
-    """Replace the words of a list column by their lemmas."""
-    vocabulary = explode_words(df, F.array_distinct(words), "token")
-    lemmas = lemma_map(vocabulary, lexicon, pos, exceptions)
+    """Replace the words of a list column by their lemmas, found once per distinct word."""
+    seen = explode_words(df, F.array_distinct(words), "token")
+    vocabulary = materialise(seen.groupBy("token").agg(F.count("*").alias("n")))
+    lemmas = materialise(lemma_map(vocabulary, lexicon, pos, exceptions))
     pairs = lemmas.select(F.col("token").alias("word"), F.col("lemma").alias("replacement"))
-    return map_words(df, key, words, pairs, small=small)
+    counts = vocabulary.withColumnRenamed("token", "word")
+    return map_words(df, key, words, pairs, small=small, counts=counts)
 
 
 def lemma_counts(

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from verbatide.operators.frequency import class_distribution, term_counts
 from verbatide.operators.sizing import small_mapping, small_rows
 from verbatide.operators.skew import lookup_join
+from verbatide.session import materialise
 
 MAX_DEPTH = 30  # Spark's own limit
 MAX_CLASSES = 1000
@@ -117,9 +118,11 @@ class TermModel:
         return self.terms.select("term", F.inline(F.array(*cells)))
 
     def predict(self, keys: DataFrame, key: str, values: DataFrame) -> DataFrame:
-        """The best class of every row of ``keys``, from ``values(key, term, value)``. Terms the model
-        has not seen count nothing; ties go to the first class."""
-        joined = lookup_join(values, self.terms, "term")
+        """The best class of every row of ``keys``, from ``values(key, term, value)`` with no value below
+        zero. Terms the model has not seen count nothing; ties go to the first class."""
+        # Counting through the value keeps the shuffle of ``values`` reusable.
+        counts = values.groupBy("term").agg(F.count_if(F.col("value") >= 0).alias("n"))
+        joined = lookup_join(values, self.terms, "term", counts)
         sums = [F.sum(F.col("value") * F.col("weights")[i]).alias(f"_{i}") for i in range(len(self.classes))]
         scored = keys.select(key).join(joined.groupBy(key).agg(*sums), key, "left")
         options = [
@@ -144,17 +147,17 @@ def _counts_by_class(counts: DataFrame, label: str, classes: list, n: Column) ->
 
 
 def fit_multinomial(df: DataFrame, label: str, words: Column, smoothing: float = 0.1) -> TermModel:
-    """Multinomial naive Bayes over all terms: weights ln((n_term,class + s) / (n_class + s · terms))."""
+    """Multinomial naive Bayes over all terms: weights ln((n_term,class + s) / (n_class + s · terms)).
+
+    Fitting is one pass over the texts; the counted terms are materialised, for scoring rereads them.
+    """
     rows = _class_rows(df, label, smoothing)
     classes = [row[label] for row in rows]
     counts = term_counts(df.where(F.col(label).isNotNull()), words, "term", [label])
-    wide = _counts_by_class(counts, label, classes, F.col("n"))
-    totals = wide.agg(F.count("*").alias("terms"), *[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(classes))])
-    terms = totals.select("terms").scalar()
-    weights = [
-        F.log((F.col(f"_{i}") + smoothing) / (totals.select(f"_{i}").scalar() + smoothing * terms))
-        for i in range(len(classes))
-    ]
+    wide = materialise(_counts_by_class(counts, label, classes, F.col("n")))
+    totals = wide.agg(F.count("*"), *[F.sum(f"_{i}") for i in range(len(classes))]).first()
+    terms, sizes = totals[0], [n or 0 for n in totals[1:]]
+    weights = [F.log((F.col(f"_{i}") + smoothing) / (n + smoothing * terms)) for i, n in enumerate(sizes)]
     return TermModel(classes, [row["log_prior"] for row in rows], wide.select("term", F.array(*weights).alias("weights")))
 
 
@@ -170,9 +173,9 @@ def fit_bernoulli(
     classes, sizes = [row[label] for row in rows], [row["n"] for row in rows]
     present = F.when(F.col("value") > threshold, 1).otherwise(0)
     joined = values.join(keys.select(key, label), key)
-    wide = _counts_by_class(joined, label, classes, present)
+    wide = materialise(_counts_by_class(joined, label, classes, present))
     share = [(F.col(f"_{i}") + smoothing) / (F.lit(n) + 2 * smoothing) for i, n in enumerate(sizes)]
-    absent = wide.agg(*[F.sum(F.log(1 - p)).alias(f"_{i}") for i, p in enumerate(share)]).first()
+    absent = wide.agg(*[F.sum(F.log(1 - p)) for p in share]).first()
     base = [row["log_prior"] + (absent[i] or 0.0) for i, row in enumerate(rows)]
     weights = F.array(*[F.log(p) - F.log(1 - p) for p in share]).alias("weights")
     return TermModel(classes, base, wide.select("term", weights))

@@ -1,9 +1,10 @@
 """Joining many rows to a lookup table when some keys are very common.
 
 Words follow a steep law: one word may be a third of all rows. A key holding more than one in
-``share`` of the rows is *hot*; by counting there are fewer than ``share`` hot keys, so their
-lookup rows are broadcast under a proven bound. All other keys go through an ordinary join in
-which no key can fill more than one in ``share`` of the rows. Every row takes exactly one way.
+``HOT_SHARE`` of the rows is *hot*; by counting there are fewer than ``HOT_SHARE`` hot keys, so the
+list of them is broadcast under a proven bound. Their rows are dealt over ``SALTS`` salts and their
+lookup rows repeated once per salt; every other key keeps salt zero. One pass over the facts, every
+row kept, and no task gets more than a hot key's share divided by the salts.
 """
 
 from __future__ import annotations
@@ -12,30 +13,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 2000
+SALTS = 128
 
 
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
     key: str,
-    weight: str | None = None,
+    counts: DataFrame | None = None,
     how: str = "inner",
     share: int = HOT_SHARE,
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` (unique on ``key``), ``how`` being inner or left.
 
-    ``weight`` names a lookup column that already holds each key's row count in ``facts``;
-    without it the counts are taken with one partially aggregated pass.
+    ``counts(key, n)`` gives each key's number of rows in ``facts``, keys without a lookup row
+    included; without it the rows are counted in one partially aggregated pass.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
-    if weight:
-        counts = lookup.select(key, F.col(weight).alias("_rows"))
-    else:
-        counts = facts.groupBy(key).agg(F.count("*").alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
-    hot_keys = counts.where(F.col("_rows") * share > total).select(key)
-    hot_lookup = lookup.join(F.broadcast(hot_keys), key, "left_semi")
-    hot = facts.join(F.broadcast(hot_keys), key, "left_semi").join(F.broadcast(hot_lookup), key, how)
-    cold = facts.join(F.broadcast(hot_keys), key, "left_anti").join(lookup, key, how)
-    return hot.unionByName(cold)
+    if counts is None:
+        counts = facts.groupBy(key).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    hot = counts.where(F.col("n") * share > total).select(key, F.lit(True).alias("_hot"))
+    # The salt is a hash of the row, so a rerun task deals its rows the same way.
+    dealt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    salted = facts.join(F.broadcast(hot), key, "left")
+    salted = salted.withColumn("_salt", F.when(F.col("_hot"), dealt).otherwise(0)).drop("_hot")
+    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = lookup.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

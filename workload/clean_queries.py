@@ -8,6 +8,7 @@ from verbatide.functions import fixed_values as V
 from verbatide.functions import text as T
 from verbatide.operators import lexicon as L
 from verbatide.operators import frequency
+from verbatide.session import materialise
 from workload import sql as S
 from workload.tables import (
     Query,
@@ -185,7 +186,7 @@ def pos_join(small):
 
     def run(spark, d):
         seen = frequency.explode_words(documents(spark, d, "lang"), _plain_words(), "token", "lang")
-        tags = L.most_frequent_tags(L.tag_table(seen.withColumnRenamed("lang", "tag")))
+        tags = materialise(L.most_frequent_tags(L.tag_table(seen.withColumnRenamed("lang", "tag"))))
         rows = conversations(spark, d).select("turn_id", _plain_words().alias("words"))
         tagged = L.tag_words(rows, "turn_id", "words", tags, "NN", "pos", small)
         return tagged.select("turn_id", T.join_words(F.col("pos")).alias("pos"))

@@ -14,6 +14,7 @@ from verbatide.operators.rowsets import keyed_split
 from verbatide.plans import cluster
 from verbatide.plans.classify import add_words, fit_and_score, text_pipeline
 from verbatide.plans.explore import content_words
+from verbatide.session import materialise
 from workload import sql as S
 from workload.tables import Query, classed, documents, labelled, table
 
@@ -80,6 +81,7 @@ def bernoulli_predict(spark, d):
     count = table(spark, d, "labels", "doc_id").agg(F.count("*")).scalar()
     weights = X.tfidf(tf, "doc_id", count)
     values = weights.select("doc_id", "term", F.when(F.round("tfidf", 9) > 0.1, 1.0).otherwise(0.0).alias("value"))
+    values = materialise(values)  # read by the fit and by the prediction
     model = M.fit_bernoulli(rows, "doc_id", "Sentiments", values)
     return model.predict(rows, "doc_id", values)
 
@@ -246,7 +248,7 @@ def rf_balanced_cv(spark, d):
 def rf_cv(spark, d):
     with X.cached(_embeddings(spark, d)) as (rows,):
         forest = M.random_forest(seed=42)
-        grid = M.grid(trees=(forest.numTrees, [200, 500]), depth=(forest.maxDepth, [10, 20, 30]))
+        grid = M.grid(trees=(forest.numTrees, [20, 50]), depth=(forest.maxDepth, [10, 20, 30]))
         return M.cv_table(M.cross_validate(forest, grid, rows, 3))
 
 
