@@ -110,7 +110,7 @@ def histogram(df: DataFrame, label: str, measure: Column, bins: int = 10) -> Dat
         label, "_x", "_n", (F.col("_lo") - half).alias("lo"), (F.col("_hi") + half).alias("hi")
     )
     step = F.floor((F.col("_x") - F.col("lo")) * bins / (F.col("hi") - F.col("lo")))
-    placed = ranged.withColumn("_bin", F.least(step + 1, F.lit(bins)))
+    placed = ranged.withColumn("_bin", F.when(step < bins, step + 1).when(step >= bins, F.lit(bins)))
     wide = placed.groupBy(label, "lo", "hi").agg(
         *[F.sum(F.when(F.col("_bin") == i, F.col("_n")).otherwise(0)).alias(f"_b{i}") for i in range(1, bins + 1)]
     )

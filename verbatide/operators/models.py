@@ -120,7 +120,9 @@ class TermModel:
     def predict(self, keys: DataFrame, key: str, values: DataFrame) -> DataFrame:
         """The best class of every row of ``keys``, from ``values(key, term, value)`` with no value below
         zero. Terms the model has not seen count nothing; ties go to the first class."""
-        # Counting through the value keeps the shuffle of ``values`` reusable.
+        # The filter, which the join on the key would add to one use only, and the count through the
+        # value keep both uses of ``values`` alike, so its shuffle runs once.
+        values = values.where(F.col(key).isNotNull())
         counts = values.groupBy("term").agg(F.count_if(F.col("value") >= 0).alias("n"))
         joined = lookup_join(values, self.terms, "term", counts)
         sums = [F.sum(F.col("value") * F.col("weights")[i]).alias(f"_{i}") for i in range(len(self.classes))]

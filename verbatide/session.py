@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",  # malformed casts raise instead of giving null
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
