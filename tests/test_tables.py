@@ -78,6 +78,18 @@ def test_dense_index_is_global(spark):
     assert [(r["k"], r["id"]) for r in got] == want
 
 
+def test_dense_index_splits_a_common_key(spark):
+    """Half of the rows share a key; the sort still deals them to several ranges."""
+    df = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    ranges = ordering._ranged(df, [F.asc("k"), F.xxhash64("k", "id")])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert ranges.where("k = 7").select("_range").distinct().count() > 1
+    got = ordering.dense_index(df, [F.asc("k")], "at").collect()
+    assert sorted(r["at"] for r in got) == list(range(20_000))
+    assert [r["k"] for r in sorted(got, key=lambda r: r["at"])] == sorted(r["k"] for r in got)
+
+
 def test_running_totals(spark):
     df = spark.range(1, 5001).select("id", F.col("id").alias("v"))
     rows = ordering.running_totals(df.repartition(9), [F.asc("id")], {"v": "upto"}).collect()

@@ -5,12 +5,13 @@ ASCII-only in Java; the classes below are what a Unicode regular expression engi
 """
 
 # --- fixed values: character classes -------------------------------------------------------
-SPACE = r"\t-\r\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+SPACE = r"\t-\r\x1C-\x20\x85\p{Z}"
 WORD = r"\p{L}\p{N}_"
 
 # --- fixed values: patterns ----------------------------------------------------------------
 SPACES = rf"[{SPACE}]+"
 WORDS = rf"[{WORD}]+"
+LONG_WORDS = rf"[{WORD}]{{2,}}"
 WORDS_OR_MARKS = rf"[{WORD}]+|[^{WORD}{SPACE}]"
 URL = rf"https?://[^{SPACE}]+|www\.[^{SPACE}]+"
 HTTP_RUN = rf"http[^{SPACE}]+"

@@ -87,6 +87,11 @@ def word_tokens(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(V.WORDS), F.lit(0))
 
 
+def count_tokens(c: Column) -> Column:
+    """Lower-cased runs of two or more word characters: the words that count vectors are made of."""
+    return F.regexp_extract_all(F.lower(c), F.lit(V.LONG_WORDS), F.lit(0))
+
+
 def raw_tokens(c: Column) -> Column:
     """Words and single marks, in order: the tokeniser for uncleaned text."""
     return F.regexp_extract_all(c, F.lit(V.WORDS_OR_MARKS), F.lit(0))

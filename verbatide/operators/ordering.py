@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, UserDefinedType
 
 from verbatide.session import materialise
 
@@ -25,8 +26,13 @@ def _ranged(df: DataFrame, order_by: Sequence[Column]) -> DataFrame:
 
 
 def dense_index(df: DataFrame, order_by: Sequence[Column], name: str = "index", start: int = 0) -> DataFrame:
-    """Number the rows ``start, start + 1, …`` in the given order."""
-    ranged = _ranged(df, order_by)
+    """Number the rows ``start, start + 1, …`` in the given order.
+
+    Ties are ordered by a hash of the row. Without it all rows of one common key would be one range
+    of the sort, and so one task.
+    """
+    hashed = [f.name for f in df.schema if not isinstance(f.dataType, (MapType, UserDefinedType))]
+    ranged = _ranged(df, [*order_by, F.xxhash64(*hashed)])
     before = Window.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranged.groupBy(_RANGE).agg(F.count("*").alias("_rows"))
     offsets = offsets.select(_RANGE, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))

@@ -34,6 +34,11 @@ raw AS (SELECT doc_id, term, tf, tf * (ln(({N} + 1) / (df + 1)) + 1) AS w FROM t
 tfidf AS (SELECT doc_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS tfidf FROM raw)"""
 
 
+def count_vectors(spark, d):
+    """Count vectors as triples, over all words of two or more letters."""
+    return X.term_frequencies(documents(spark, d), "doc_id", T.count_tokens(F.col("text")))
+
+
 def tfidf(spark, d):
     weights = X.tfidf(_tf(spark, d), "doc_id", _documents_count(spark, d))
     return weights.withColumn("tfidf", F.round("tfidf", 6))
@@ -187,6 +192,12 @@ def idf_stage(spark, d):
 
 QUERIES = {
     "tf_triples": Query(_tf, f"WITH {TF} SELECT doc_id, term, tf FROM tf"),
+    "count_vectors": Query(
+        count_vectors,
+        f"""SELECT doc_id, term, count(*) AS tf FROM (
+              SELECT doc_id, unnest(regexp_extract_all(lower(text), '{S.V.LONG_WORDS}')) AS term FROM documents)
+            GROUP BY doc_id, term""",
+    ),
     "document_frequencies": Query(
         lambda spark, d: X.document_frequencies(_tf(spark, d)), f"WITH {TF} SELECT term, df FROM df"
     ),

@@ -50,14 +50,14 @@ QUERIES = {
         "SELECT count(*) AS rows, 11::BIGINT AS columns FROM lineitem",
     ),
     "first_rows": Query(
-        lambda spark, d: profile.first_rows(_orders(spark, d), "o_orderkey", 5),
-        "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
+        lambda spark, d: profile.first_rows(table(spark, d, "customer"), "c_custkey", 5),
+        "SELECT * FROM customer ORDER BY c_custkey LIMIT 5",
     ),
     "last_rows": Query(
-        lambda spark, d: profile.last_rows(_orders(spark, d), "o_orderkey", 3),
-        "SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 3",
+        lambda spark, d: profile.last_rows(table(spark, d, "customer"), "c_custkey", 3),
+        "SELECT * FROM customer ORDER BY c_custkey DESC LIMIT 3",
     ),
-    "random_rows": Query(lambda spark, d: profile.random_rows(_orders(spark, d), 10, 5043)),
+    "random_rows": Query(lambda spark, d: profile.random_rows(table(spark, d, "customer"), 10, 5043)),
     "has_duplicates": Query(
         lambda spark, d: profile.has_duplicates(_texts(spark, d), ignore=["doc_id"]),
         "SELECT max(n) > 1 AS any_duplicate FROM (SELECT count(*) AS n FROM documents GROUP BY lang, text)",

@@ -57,7 +57,7 @@ def dates(spark, d):
     rows = table(spark, d, "orders", "o_orderkey", "o_orderdate")
     rows = rows.select("o_orderkey", *[c.alias(n) for n, c in parts.items()])
     day = R.date_from_parts(F.col("year"), F.col("month"), F.col("day"))
-    return rows.select("o_orderkey", "year", "month", "day", day.alias("date"), R.day_text(day).alias("TweetAt"))
+    return rows.select("o_orderkey", "year", "month", "day", day.cast("string").alias("date"), R.day_text(day).alias("TweetAt"))
 
 
 def event_dates(spark, d):
@@ -80,11 +80,9 @@ def collapse_levels(spark, d):
 def numeric_codes(spark, d):
     rows = table(spark, d, "events", "event_id", "event_type")
     name = R.collapse_levels(_levels())
-    return rows.select(
-        "event_id",
-        R.map_codes(name).alias("code"),
-        R.map_codes(_levels(), {"Extremely Negative": 0, "Negative": 0, "Neutral": 1, "Positive": 2, "Extremely Positive": 2}).alias("level_code"),
-    )
+    by_level = {"Extremely Negative": 0, "Negative": 0, "Neutral": 1, "Positive": 2, "Extremely Positive": 2}
+    level_code = F.coalesce(R.map_codes(_levels(), by_level), F.lit(-1))
+    return rows.select("event_id", R.map_codes(name).alias("code"), level_code.alias("level_code"))
 
 
 def union_by_name(spark, d):
@@ -207,7 +205,7 @@ QUERIES = {
     "dates": Query(
         dates,
         """SELECT o_orderkey, year(o_orderdate)::INTEGER AS year, month(o_orderdate)::INTEGER AS month,
-                  day(o_orderdate)::INTEGER AS day, o_orderdate::DATE AS date,
+                  day(o_orderdate)::INTEGER AS day, strftime(o_orderdate, '%Y-%m-%d') AS date,
                   strftime(o_orderdate, '%d-%m-%Y') AS "TweetAt" FROM orders""",
     ),
     "event_dates": Query(
@@ -230,7 +228,7 @@ QUERIES = {
                   (CASE WHEN event_type IN ('error', 'view') THEN 2 WHEN event_type IN ('click', 'purchase') THEN 1
                         ELSE 0 END)::INTEGER AS code,
                   (CASE WHEN event_type IN ('error', 'view') THEN 0 WHEN event_type IN ('click', 'purchase') THEN 2
-                        END)::INTEGER AS level_code
+                        ELSE -1 END)::INTEGER AS level_code
            FROM events""",
     ),
     "union_by_name": Query(
