@@ -1,4 +1,7 @@
-"""Run queries against their SQL: ``python tests/oracle.py [sf_dir] [name ...]``."""
+"""Run queries against their SQL: ``python tests/oracle.py [sf_dir] [key=value ...] [name ...]``.
+
+Settings such as ``spark.sql.autoBroadcastJoinThreshold=-1`` show the plans that large tables get.
+"""
 
 from __future__ import annotations
 
@@ -67,10 +70,15 @@ def main():
 
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
-    spark = build_session(
-        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                 "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"}
-    )
+    settings = {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": "8g",
+        **dict(arg.split("=", 1) for arg in args if "=" in arg),
+    }
+    args = [arg for arg in args if "=" not in arg]
+    spark = build_session("oracle", "local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     connection = database(sf_dir)
     bad = []

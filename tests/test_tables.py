@@ -128,6 +128,20 @@ def test_salts_spread_the_hot_key(spark):
     assert sum(sizes) == 20_000 and len(sizes) == 8 and max(sizes) < 6000
 
 
+def test_rows_without_a_key_are_dealt_too(spark):
+    facts = spark.range(20_000).select(F.lit(None).cast("string").alias("k"), "id")
+    lookup = spark.createDataFrame([("a", 1)], "k string, v int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = lookup_join(facts, lookup, "k", how="left").withColumn("p", F.spark_partition_id())
+        sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(sizes) == 20_000 and len(sizes) == 8 and max(sizes) < 6000
+
+
 def test_small_rows(spark):
     assert len(sizing.small_rows(spark.range(5), 5)) == 5
     assert sizing.small_rows(spark.range(6), 5) is None

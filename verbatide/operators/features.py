@@ -95,8 +95,8 @@ def word_sequences(df: DataFrame, key: str, words: Column, index: DataFrame) ->
     """(key, sequence): each text's words as ids of ``index(word, id)``; unknown words drop out."""
     placed = df.select(key, F.posexplode_outer(words).alias("_at", "word"))
     found = lookup_join(placed.where(F.col("word").isNotNull()), index.select("word", F.col("id").alias("_id")), "word")
-    ordered = F.array_sort(F.collect_list(F.struct("_at", "_id")))
-    lists = found.groupBy(key).agg(F.transform(ordered, lambda e: e["_id"]).alias("sequence"))
+    ordered = F.sort_array(F.collect_list(F.struct("_at", "_id"))).getField("_id")
+    lists = found.groupBy(key).agg(ordered.alias("sequence"))
     empty = F.array().cast("array<bigint>")
     return df.select(key).join(lists, key, "left").select(key, F.coalesce("sequence", empty).alias("sequence"))
 

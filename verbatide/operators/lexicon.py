@@ -1,7 +1,8 @@
 """Dictionary work: abbreviations, lemmas and tags by joins with word tables.
 
 Dictionaries are input tables. A small one becomes part of the row expression; a larger one is
-joined to the distinct words of each text, so only words that are found travel back to it.
+joined to the words, which are then put back in order, in time that grows with a text's length and
+not with its square.
 """
 
 from __future__ import annotations
@@ -30,25 +31,22 @@ def map_words(
 ) -> DataFrame:
     """Replace the words of the list column ``words`` by ``mapping(word, replacement)``.
 
-    Words outside the mapping stay, or become ``default``. ``key`` identifies a row of ``df``;
-    ``small`` is the largest mapping that is put into the expression; ``counts(word, n)``, when at
-    hand, gives the number of rows each word occurs in.
+    Words outside the mapping stay, or become ``default``; a missing list becomes an empty one.
+    ``key`` identifies a row of ``df``; ``small`` is the largest mapping that is put into the
+    expression; ``counts(word, n)``, when at hand, gives each word's occurrences.
     """
     direct = small_mapping(mapping, "word", "replacement", small)
     if direct is not None:
-        return df.withColumn(words, T.replace_words(F.col(words), direct, default))
-    pairs = explode_words(df, F.array_distinct(words), "word", key)
-    found = lookup_join(pairs, mapping.select("word", "replacement"), "word", counts)
-    hits = found.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", "replacement"))).alias("_hits")
-    )
-    other = F.lit(default) if default is not None else None
-
-    def replaced(w: Column) -> Column:
-        return F.coalesce(F.try_element_at("_hits", w), w if other is None else other)
-
-    joined = df.join(hits, key, "left")
-    return joined.withColumn(words, F.transform(words, replaced)).select(*df.columns)
+        present = F.coalesce(words, F.array().cast("array<string>"))
+        return df.withColumn(words, T.replace_words(present, direct, default))
+    placed = df.select(key, F.posexplode_outer(words).alias("_at", "word"))
+    joined = lookup_join(placed, mapping.select("word", "replacement"), "word", counts, "left")
+    word = F.coalesce("replacement", "word" if default is None else F.lit(default)).alias("word")
+    element = F.when(F.col("_at").isNotNull(), F.struct("_at", word))
+    lists = joined.groupBy(key).agg(F.sort_array(F.collect_list(element)).getField("word").alias(words))
+    if set(df.columns) == {key, words}:
+        return lists.select(*df.columns)
+    return df.drop(words).join(lists, key).select(*df.columns)
 
 
 def expand_abbreviations(
@@ -109,7 +107,7 @@ def lemmatise(
     small: int = SMALL_ROWS,
 ) -> DataFrame:
     """Replace the words of a list column by their lemmas, found once per distinct word."""
-    seen = explode_words(df, F.array_distinct(words), "token")
+    seen = explode_words(df, F.col(words), "token")
     vocabulary = materialise(seen.groupBy("token").agg(F.count("*").alias("n")))
     lemmas = materialise(lemma_map(vocabulary, lexicon, pos, exceptions))
     pairs = lemmas.select(F.col("token").alias("word"), F.col("lemma").alias("replacement"))

@@ -36,10 +36,12 @@ def lookup_join(
         counts = facts.groupBy(key).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).scalar()
     hot = counts.where(F.col("n") * share > total).select(key, F.lit(True).alias("_hot"))
-    # The salt is a hash of the row, so a rerun task deals its rows the same way.
+    # The salt is a hash of the row, so a rerun task deals its rows the same way. Rows without a key
+    # match nothing, but an outer join would bring them all together, so they are dealt too.
     dealt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     salted = facts.join(F.broadcast(hot), key, "left")
-    salted = salted.withColumn("_salt", F.when(F.col("_hot"), dealt).otherwise(0)).drop("_hot")
+    salted = salted.withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), dealt).otherwise(0))
+    salted = salted.drop("_hot")
     every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     repeated = lookup.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every)).drop("_hot")
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
