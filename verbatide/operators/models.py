@@ -290,7 +290,7 @@ def fourier_features(
 
 
 def rbf_svm(
-    cost: float = 10.0, rows: int = 1000, iterations: int = 50, features: str = FEATURES, parallelism: int = 8
+    cost: float = 10.0, rows: int = 1000, iterations: int = 20, features: str = FEATURES, parallelism: int = 8
 ) -> OneVsRest:
     """Linear one-against-rest machine on Fourier features: an approximate kernel machine.
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
 
 SMALL_ROWS = 2000
 
@@ -30,7 +29,3 @@ def spread(df: DataFrame) -> DataFrame:
     if df.isStreaming or df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)
-
-
-def row_count_at_most(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).agg(F.count("*")).first()[0] <= limit

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from verbatide.operators import profile
 from workload.sql import GAPS
-from workload.tables import Query, documents, events_with_gaps, table
+from workload.tables import Query, events_with_gaps, table
 
 
 def _orders(spark, sf_dir):
