@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from verbatide.llm.bpe_codec import encode_texts
+from verbatide.llm.line_dedup import dedup_lines
+from verbatide.llm.ngram_jaccard import link_classes
 from verbatide.llm.token_counts import count_tokens
 from verbatide.llm.url_filter import filter_urls
 from workload.tables import Query, table
@@ -23,6 +27,33 @@ def _vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_ngram_jaccard(spark, d):
+    return link_classes(table(spark, d, "documents", "doc_id", "text"), 3, Fraction(9, 10))
+
+
+WORDS_SQL = """list_filter(regexp_split_to_array(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"""
+
+OP1_SQL = f"""
+WITH RECURSIVE cut AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+                          ELSE list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2]) END) AS s
+    FROM cut)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY x, y),
+links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 90 * (p.n + q.n - k)),
+reach(x, y) AS (SELECT doc_id, doc_id FROM cut UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT c.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(y) FROM reach r WHERE r.x = c.doc_id) AS component_id
+FROM cut c LEFT JOIN sizes USING (doc_id)"""
+
+
 def op4_url_filter(spark, d):
     judged = filter_urls(table(spark, d, "pages", "page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -56,6 +87,30 @@ def op5_token_counts(spark, d):
     return count_tokens(table(spark, d, "documents", "doc_id", "text"), _vocabulary(), 2048)
 
 
+def op9_line_dedup(spark, d):
+    cut = dedup_lines(table(spark, d, "documents", "doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS place
+  FROM documents),
+keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines),
+shared AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+judged AS (
+  SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.last AS gone FROM keyed k LEFT JOIN shared s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id"""
+
+
 def op10_bpe_codec(spark, d):
     docs = table(spark, d, "documents", "doc_id", "text")
     coded = encode_texts(docs, _vocabulary(), digests=True)
@@ -63,7 +118,9 @@ def op10_bpe_codec(spark, d):
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": Query(op1_ngram_jaccard, OP1_SQL),
     "op4_url_filter": Query(op4_url_filter, OP4_SQL),
     "op5_token_counts": Query(op5_token_counts),
+    "op9_line_dedup": Query(op9_line_dedup, OP9_SQL),
     "op10_bpe_codec": Query(op10_bpe_codec),
 }
