@@ -7,7 +7,10 @@ from fractions import Fraction
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from verbatide.llm import language_id
 from verbatide.llm.bpe_codec import encode_texts
+from verbatide.llm.common import crc_mod
+from verbatide.llm.decontaminate import find_leaks
 from verbatide.llm.line_dedup import dedup_lines
 from verbatide.llm.ngram_jaccard import link_classes
 from verbatide.llm.token_counts import count_tokens
@@ -54,6 +57,13 @@ SELECT c.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(y) FROM reach r WHERE
 FROM cut c LEFT JOIN sizes USING (doc_id)"""
 
 
+def op3_language_id(spark, d):
+    docs = table(spark, d, "documents", "doc_id", "text", "lang")
+    model = language_id.fit(docs.where(crc_mod(F.col("doc_id"), 5) != 0))
+    named = language_id.identify(docs, model)
+    return named.select("doc_id", (crc_mod(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 def op4_url_filter(spark, d):
     judged = filter_urls(table(spark, d, "pages", "page_id", "url"), URL_RULES)
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -87,6 +97,32 @@ def op5_token_counts(spark, d):
     return count_tokens(table(spark, d, "documents", "doc_id", "text"), _vocabulary(), 2048)
 
 
+def op8_decontaminate(spark, d):
+    docs, items = table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text")
+    return find_leaks(docs, items)
+
+
+OP8_SQL = f"""
+WITH docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
+items AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM docs),
+iw AS (SELECT item_id, len(w) AS m, unnest(w) AS word, unnest(range(len(w))) AS j FROM items WHERE len(w) >= 8),
+equal AS (SELECT doc_id, item_id, m, p - j AS start, j FROM dw JOIN iw USING (word)),
+many AS (
+  SELECT doc_id, item_id, m, start, list(j) AS js FROM equal GROUP BY ALL HAVING count(*) * 5 >= least(13, m) * 4),
+begins AS (
+  SELECT k.doc_id, item_id, m, start, js, unnest(range(greatest(0, -start), least(m, len(d.w) - start) - least(13, m) + 1)) AS b
+  FROM many k JOIN docs d ON d.doc_id = k.doc_id),
+counted AS (
+  SELECT doc_id, item_id, least(13, m)::INT AS n_window, (start + b)::INT AS first_word,
+         len(list_filter(js, lambda x: x >= b AND x < b + least(13, m)))::INT AS n_equal
+  FROM begins),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, n_window DESC, first_word) AS r
+  FROM counted WHERE n_equal * 5 >= n_window * 4)
+SELECT doc_id, item_id, n_equal, n_window, first_word FROM ranked WHERE r = 1"""
+
+
 def op9_line_dedup(spark, d):
     cut = dedup_lines(table(spark, d, "documents", "doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -119,8 +155,10 @@ def op10_bpe_codec(spark, d):
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": Query(op1_ngram_jaccard, OP1_SQL),
+    "op3_language_id": Query(op3_language_id),
     "op4_url_filter": Query(op4_url_filter, OP4_SQL),
     "op5_token_counts": Query(op5_token_counts),
+    "op8_decontaminate": Query(op8_decontaminate, OP8_SQL),
     "op9_line_dedup": Query(op9_line_dedup, OP9_SQL),
     "op10_bpe_codec": Query(op10_bpe_codec),
 }
