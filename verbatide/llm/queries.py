@@ -11,6 +11,7 @@ from verbatide.llm import language_id
 from verbatide.llm.bpe_codec import encode_texts
 from verbatide.llm.common import crc_mod
 from verbatide.llm.decontaminate import find_leaks
+from verbatide.llm.fingerprint import fingerprints_with_edits
 from verbatide.llm.line_dedup import dedup_lines
 from verbatide.llm.ngram_jaccard import link_classes
 from verbatide.llm.token_counts import count_tokens
@@ -97,6 +98,10 @@ def op5_token_counts(spark, d):
     return count_tokens(table(spark, d, "documents", "doc_id", "text"), _vocabulary(), 2048)
 
 
+def op6_fingerprint(spark, d):
+    return fingerprints_with_edits(table(spark, d, "documents", "doc_id", "text"))
+
+
 def op8_decontaminate(spark, d):
     docs, items = table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text")
     return find_leaks(docs, items)
@@ -158,6 +163,7 @@ QUERIES: dict[str, Query] = {
     "op3_language_id": Query(op3_language_id),
     "op4_url_filter": Query(op4_url_filter, OP4_SQL),
     "op5_token_counts": Query(op5_token_counts),
+    "op6_fingerprint": Query(op6_fingerprint),
     "op8_decontaminate": Query(op8_decontaminate, OP8_SQL),
     "op9_line_dedup": Query(op9_line_dedup, OP9_SQL),
     "op10_bpe_codec": Query(op10_bpe_codec),
