@@ -13,6 +13,7 @@ from verbatide.llm.common import crc_mod
 from verbatide.llm.decontaminate import find_leaks
 from verbatide.llm.fingerprint import fingerprints_with_edits
 from verbatide.llm.line_dedup import dedup_lines
+from verbatide.llm.lm_score import score_texts
 from verbatide.llm.ngram_jaccard import link_classes
 from verbatide.llm.token_counts import count_tokens
 from verbatide.llm.url_filter import filter_urls
@@ -102,6 +103,13 @@ def op6_fingerprint(spark, d):
     return fingerprints_with_edits(table(spark, d, "documents", "doc_id", "text"))
 
 
+def op7_lm_score(spark, d):
+    docs = table(spark, d, "documents", "doc_id", "text")
+    scored = score_texts(docs, crc_mod(F.col("doc_id"), 7) != 2)
+    held = (crc_mod(F.col("doc_id"), 7) == 2).alias("held_out")
+    return scored.select("doc_id", held, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op8_decontaminate(spark, d):
     docs, items = table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text")
     return find_leaks(docs, items)
@@ -164,6 +172,7 @@ QUERIES: dict[str, Query] = {
     "op4_url_filter": Query(op4_url_filter, OP4_SQL),
     "op5_token_counts": Query(op5_token_counts),
     "op6_fingerprint": Query(op6_fingerprint),
+    "op7_lm_score": Query(op7_lm_score),
     "op8_decontaminate": Query(op8_decontaminate, OP8_SQL),
     "op9_line_dedup": Query(op9_line_dedup, OP9_SQL),
     "op10_bpe_codec": Query(op10_bpe_codec),
