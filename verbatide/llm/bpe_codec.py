@@ -23,7 +23,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbatide.llm.common import Scratch, write_bytes
+from verbatide.llm.common import Scratch, commonest, write_bytes
 from verbatide.llm.token_counts import BLOCK, CACHED_WORDS, WordBpe
 
 LEXICON_WORDS = 65_536  # most words compiled; bounds the driver's work and the mapped file
@@ -130,7 +130,7 @@ class Transducer:
 
 
 def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
-    """(word, n) of the commonest pre-tokens of all texts, ties by the word."""
+    """(word, n) of the commonest pre-tokens of all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, held = WordBpe(vocabulary), Counter()
@@ -144,7 +144,8 @@ def frequent_words(docs: DataFrame, vocabulary: str, text: str = "text", most: i
         yield _counts(held)
 
     counts = docs.select(text).mapInArrow(count, "word string, n long")
-    return counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
+    counts = Scratch(docs.sparkSession, "words").store(counts.groupBy("word").agg(F.sum("n").alias("n")), "counts")
+    return commonest(counts, most)
 
 
 def _counts(held: Counter) -> pa.RecordBatch:

@@ -2,7 +2,7 @@
 
 * Words of all texts are counted in Spark. The commonest ``LISTED`` words, with their training
   counts, are broadcast; the counts of all others stay a table and are joined to the texts' rare words.
-  No rare word is common, so that join has no hot key.
+  No word left to that join is common, so it has no hot key.
 * Frequent words are entries of the model. All other words fall into ``OTHERS`` classes by their
   last two bytes; within a class a word has probability (c + 1) / (N + V + 1), c being its training count and N and V
   the class's tokens and distinct words, so that unseen words have a share too.
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbatide.llm.common import Scratch, words_of
+from verbatide.llm.common import Scratch, commonest, words_of
 from verbatide.llm.gru import Adam, Gru
 
 ENTRIES = 1024  # the end of a text and the commonest training words
@@ -99,7 +99,7 @@ class Vocabulary:
 
 
 def build_vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
-    listed = counts.orderBy(F.desc("n"), "word").limit(LISTED).collect()
+    listed = sorted(commonest(counts, LISTED).collect(), key=lambda r: bytes(r["word"]))
     rank = sorted(range(len(listed)), key=lambda i: (-listed[i]["n_train"], listed[i]["word"]))
     chosen = [i for i in rank[: ENTRIES - 1] if listed[i]["n_train"] > 0]
     entry = np.array([ENTRIES + r["kind"] for r in listed] or [ENTRIES], np.int64)

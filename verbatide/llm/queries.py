@@ -15,6 +15,7 @@ from verbatide.llm.fingerprint import fingerprints_with_edits
 from verbatide.llm.line_dedup import dedup_lines
 from verbatide.llm.lm_score import score_texts
 from verbatide.llm.ngram_jaccard import link_classes
+from verbatide.llm.suffix_dedup import remove_repeats
 from verbatide.llm.token_counts import count_tokens
 from verbatide.llm.url_filter import filter_urls
 from workload.tables import Query, table
@@ -59,6 +60,10 @@ SELECT c.doc_id, coalesce(n, 0) AS n_shingles, (SELECT min(y) FROM reach r WHERE
 FROM cut c LEFT JOIN sizes USING (doc_id)"""
 
 
+def op2_suffix_dedup(spark, d):
+    return remove_repeats(table(spark, d, "documents", "doc_id", "text"), 400, keep_bytes=False)
+
+
 def op3_language_id(spark, d):
     docs = table(spark, d, "documents", "doc_id", "text", "lang")
     model = language_id.fit(docs.where(crc_mod(F.col("doc_id"), 5) != 0))
@@ -168,6 +173,7 @@ def op10_bpe_codec(spark, d):
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": Query(op1_ngram_jaccard, OP1_SQL),
+    "op2_suffix_dedup": Query(op2_suffix_dedup),
     "op3_language_id": Query(op3_language_id),
     "op4_url_filter": Query(op4_url_filter, OP4_SQL),
     "op5_token_counts": Query(op5_token_counts),
