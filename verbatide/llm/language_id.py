@@ -169,39 +169,49 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text") -> LanguageMode
     return LanguageModel.compile(sorted(totals), followers)
 
 
-def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """(doc_id, lang_pred, score) and the columns ``keep`` for every row.
+def _judge(model: LanguageModel, texts: list[str]) -> tuple[list[str], list[float]]:
+    """Language and score of each text."""
+    names, scores = [UNDEFINED] * len(texts), [0.0] * len(texts)
+    rows = [i for i, t in enumerate(texts) if model.languages and _LETTER.search(t)]
+    if rows:
+        bits = model.code_lengths([texts[i].encode().lower() for i in rows])
+        best = bits.argmin(axis=1)
+        apart = bits - bits.min(axis=1, keepdims=True)
+        share = 1.0 / np.exp2(-np.minimum(apart, 1000)).sum(axis=1)
+        for i, b, p in zip(rows, best.tolist(), share.tolist()):
+            names[i], scores[i] = model.languages[b], p
+    return names, scores
+
+
+def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, lang_pred, score) of every row of ``docs``.
 
     ``score`` is the language's share of the probability that all learned languages give the text,
     between 0 and 1. Null texts and texts without a letter are ``und`` with score 0, as is everything
     under a model that has learned nothing. Equal code lengths go to the first language by name.
-    Null ids and repeated rows stay. Whole texts are read, in pieces.
+    Null ids and repeated rows stay. Whole texts are read, in pieces; other columns are not.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [c for c in keep if c not in ("doc_id", "lang_pred", "score", doc_id, text)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
         for batch in batches:
-            texts = [v.as_py() or "" for v in batch.column(1)]
-            lettered = [bool(known.languages and _LETTER.search(t)) for t in texts]
-            names, scores = [UNDEFINED] * len(texts), [0.0] * len(texts)
-            rows = [i for i, ok in enumerate(lettered) if ok]
-            bits = known.code_lengths([texts[i].encode().lower() for i in rows])
-            if rows:
-                best = bits.argmin(axis=1)
-                apart = bits - bits.min(axis=1, keepdims=True)
-                share = 1.0 / np.exp2(-np.minimum(apart, 1000)).sum(axis=1)
-                for i, b, p in zip(rows, best.tolist(), share.tolist()):
-                    names[i], scores[i] = known.languages[b], p
-            made = [pa.array(names), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *made, *batch.columns[2:]], ["doc_id", "lang_pred", "score", *columns]
-            )
-
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), *columns)
-    schema = rows.select("doc_id").schema.add("lang_pred", "string").add("score", "double")
-    for name in columns:
-        schema = schema.add(rows.schema[name])
-    return rows.mapInArrow(run, schema)
+            names, scores = _judge(sent.value, [v.as_py() or "" for v in batch.column(1)])
+            made = [pa.array(names, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *made], ["doc_id", "lang_pred", "score"])
 
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, rows.select("doc_id").schema.add("lang_pred", "string").add("score", "double"))
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` whose language is found with a score of at least ``least``; ``und`` goes."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = _judge(sent.value, [v.as_py() or "" for v in batch.column(at)])
+            kept = [name != UNDEFINED and score >= least for name, score in zip(names, scores)]
+            yield batch.filter(pa.array(kept, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
