@@ -25,7 +25,7 @@ def texts(spark):
 
 def test_multinomial_is_sparks_model(spark, texts):
     """The aggregates give the ML stage's priors, weights and predictions."""
-    stages = [X.label_indexer(), X.count_vectorizer(100), M.naive_bayes(0.1)]
+    stages = [X.label_indexer(), X.count_vectorizer(X.vocabulary(texts, F.col("words"))), M.naive_bayes(0.1)]
     pipeline = Pipeline(stages=stages).fit(texts)
     labels, terms, nb = pipeline.stages[0].labels, pipeline.stages[1].vocabulary, pipeline.stages[2]
     ours = M.fit_multinomial(texts, "Feelings", F.col("words"))
@@ -68,7 +68,7 @@ def test_bernoulli_by_brute_force(spark, texts):
 
 
 def test_idf_stage_has_the_tables_closed_form(spark, texts):
-    fitted = Pipeline(stages=[X.count_vectorizer(100), X.idf()]).fit(texts)
+    fitted = Pipeline(stages=[X.count_vectorizer(X.vocabulary(texts, F.col("words"))), X.idf()]).fit(texts)
     terms, weights = fitted.stages[0].vocabulary, fitted.stages[1].idf.toArray()
     tf = X.term_frequencies(texts, "id", F.col("words"))
     table = {r["term"]: r["idf"] for r in X.idf_table(tf, F.lit(len(TEXTS))).collect()}
@@ -85,11 +85,30 @@ def test_labels_are_indexed_once(spark):
     """Train and test share one code per class, although their commonest classes differ."""
     train = spark.createDataFrame([(["a"], "x")] * 5 + [(["b"], "y")] * 3 + [(["c"], "z")] * 2, "words array<string>, Feelings string")
     test = spark.createDataFrame([(["b"], "y")] * 5 + [(["a"], "x")] * 2, "words array<string>, Feelings string")
-    model = classify.text_pipeline(M.naive_bayes(), 64).fit(train)
-    codes = {r["Feelings"]: r["indexedLabel"] for r in model.transform(test).collect()}
+    index = classify.index_labels(train)
+    codes = {r["Feelings"]: r["indexedLabel"] for r in classify.with_labels(test, index).collect()}
     assert codes == {"x": 0.0, "y": 1.0}
 
 
+def test_every_row_is_scored(spark):
+    """With classes that training never saw, with missing classes, and without a label column."""
+    kind = "words array<string>, Feelings string"
+    train = spark.createDataFrame([(["a"], "1")] * 5 + [(["b"], "2")] * 3, kind)
+    index = classify.index_labels(train)
+    model = classify.text_pipeline(M.naive_bayes(), 64).fit(classify.with_labels(train, index))
+    rows = spark.createDataFrame([(["a"], "1"), (["b"], "0"), (["c"], None), ([], "9")], kind)
+    assert model.transform(rows).count() == 4 and model.transform(rows.drop("Feelings")).count() == 4
+    codes = classify.with_labels(rows, index)
+    assert [r["indexedLabel"] for r in codes.collect()] == [0.0, 2.0, 2.0, 2.0]
+    hits = model.transform(codes).where("prediction = indexedLabel").count()
+    assert hits == 1
+
+
+def test_deep_forests_raise():
+    with pytest.raises(ValueError, match="30"):
+        M.random_forest(depth=160)
+
+
 def test_sequences_and_padding(spark):
     train = spark.createDataFrame([("b a a",), ("c b a",)], "t string").select(F.split("t", " ").alias("w"))
     counts = train.select(F.explode("w").alias("word")).groupBy("word").agg(F.count("*").alias("n"))
@@ -119,22 +138,25 @@ def test_lemmas(spark):
     }
 
 
-@pytest.mark.parametrize("small", [0, 100])
-def test_mapping_by_expression_and_by_join(spark, small):
-    rows = [(1, ["idk", "why", "idk"]), (2, []), (3, None), (4, ["u", "you"])]
+@pytest.mark.parametrize("more", [0, 3000])
+def test_mapping_is_one_way_for_all_sizes(spark, more):
+    rows = [(1, ["idk", "why", "idk"]), (2, []), (3, None), (4, ["u", "you", "amp"]), (None, ["u"]), (1, ["idk"])]
     df = spark.createDataFrame(rows, "id int, w array<string>")
-    mapping = spark.createDataFrame([("idk", "i do not know"), ("u", "you"), ("you", "WRONG")], "word string, replacement string")
-    got = {r["id"]: r["w"] for r in L.map_words(df, "id", "w", mapping, small=small).collect()}
-    assert got == {1: ["i do not know", "why", "i do not know"], 2: [], 3: [], 4: ["you", "WRONG"]}
-    got = {r["id"]: r["w"] for r in L.map_words(df, "id", "w", mapping, "NN", small).collect()}
-    assert got[1] == ["i do not know", "NN", "i do not know"]
+    entries = [("idk", "i do not know"), ("idk", "z"), ("u", "you"), ("you", "WRONG"), ("amp", None), (None, "x")]
+    entries += [(f"word{i}", f"other{i}") for i in range(more)]
+    mapping = spark.createDataFrame(entries, "word string, replacement string")
+    got = sorted(map(tuple, L.map_words(df, "w", mapping).collect()), key=repr)
+    know = "i do not know"
+    want = [(1, [know, "why", know]), (1, [know]), (2, []), (3, []), (4, ["you", "WRONG", "amp"]), (None, ["you"])]
+    assert got == sorted(want, key=repr)
+    got = sorted(map(tuple, L.map_words(df.where("id = 4"), "w", mapping, "NN").collect()))
+    assert got == [(4, ["you", "WRONG", "NN"])]
 
 
 def test_abbreviation_table(spark):
     dictionary = spark.createDataFrame([("amp", ""), ("€", " euro ")], "abbrev string, expansion string")
     df = spark.createDataFrame([(1, "Prices up &amp; 5 €")], "id int, text string")
-    for small in (0, 100):
-        assert L.expand_abbreviations(df, "id", "text", dictionary, small).first()["ctext"] == "prices up  5  euro"
+    assert L.expand_abbreviations(df, "text", dictionary).first()["ctext"] == "prices up  5  euro"
 
 
 def test_tagger(spark):
@@ -142,9 +164,8 @@ def test_tagger(spark):
     tags = L.most_frequent_tags(L.tag_table(tagged))
     assert dict(map(tuple, tags.collect())) == {"a": "DT", "b": "NN"}
     df = spark.createDataFrame([(1, ["a", "x", "b"])], "id int, w array<string>")
-    for small in (0, 100):
-        row = L.tag_words(df, "id", "w", tags, small=small).first()
-        assert row["pos"] == ["DT", "NN", "NN"] and row["w"] == ["a", "x", "b"]
+    row = L.tag_words(df, "w", tags).first()
+    assert row["pos"] == ["DT", "NN", "NN"] and row["w"] == ["a", "x", "b"]
 
 
 def test_class_weights(spark):
@@ -187,8 +208,9 @@ def test_trees_and_tuning_table(spark):
     table = {r["params"]: r for r in M.cv_table(fitted).collect()}
     assert table["maxDepth=8"]["is_best"] and not table["maxDepth=1"]["is_best"]
     assert table["maxDepth=8"]["avg_metric"] > 0.9
-    assert "If (feature" in M.describe_tree(fitted.bestModel)
-    assert "maxDepth" in M.best_params(fitted)
+    nodes = M.tree_nodes(fitted.bestModel).collect()
+    assert {r["feature"] for r in nodes} == {-1, 0, 1} and sum(r["left"] == -1 for r in nodes) == (len(nodes) + 1) // 2
+    assert {r["value"] for r in M.best_params(fitted).collect() if r["param"] == "maxDepth"} == {"8"}
 
 
 def test_feature_elimination_keeps_the_useful_columns(spark):
@@ -196,8 +218,8 @@ def test_feature_elimination_keeps_the_useful_columns(spark):
         (F.col("id") % 2).cast("double").alias(M.LABEL),
         array_to_vector(F.array((F.col("id") % 2).cast("double"), F.rand(1), F.rand(2), F.rand(3))).alias(M.FEATURES),
     )
-    rounds = M.eliminate_features(rows, 4, keep=1, folds=2, trees=5).orderBy("round").collect()
-    assert [r["features"] for r in rounds] == [4, 2, 1] and rounds[-1]["columns"] == [0]
+    rounds = M.eliminate_features(rows, 4, folds=2, trees=5).orderBy("round").collect()
+    assert [r["features"] for r in rounds] == [4, 3, 2, 1] and rounds[-1]["columns"] == [0]
 
 
 def test_forest_draws_are_repeatable_and_valid():

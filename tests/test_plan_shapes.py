@@ -34,7 +34,7 @@ def test_texts_are_split_once_per_use(spark, sf_dir):
 
 
 @pytest.mark.parametrize(
-    "name", ["tfidf_l2", "text_to_seq", "nb_predict", "areas", "charlen_hist", "lemma_join", "expand_abbrev_join"]
+    "name", ["tfidf_l2", "text_to_seq", "nb_predict", "areas", "charlen_hist", "lemma_join", "expand_abbrev"]
 )
 def test_no_cross_joins(spark, sf_dir, name):
     text = plan(ALL[name].run(spark, sf_dir))

@@ -2,12 +2,13 @@ import os
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from verbatide import schemas
 from verbatide.plans import prepare
 from verbatide.session import scratch_path, shared_folder
 from verbatide.sources import append_rows, drop_table, read_source, save_csv
-from verbatide.sources.readers import URI_VARIABLE, collection_options
+from verbatide.sources.readers import LATIN_1, URI_VARIABLE, collection_options
 from verbatide.streaming import append_stream, clean_stream
 
 TWEETS = [
@@ -27,6 +28,40 @@ def test_latin1_csv_with_quotes_and_line_breaks(spark):
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(TWEETS, key=repr)
 
 
+def test_utf8_is_the_default_both_ways(spark):
+    path = scratch_path(spark, "csv")
+    df = spark.createDataFrame([("한 ✂ café", 1)], "t string, n int")
+    save_csv(df, df.columns, path)
+    assert [tuple(r) for r in read_source(spark, "csv", path, df.schema).collect()] == [("한 ✂ café", 1)]
+    with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
+        save_csv(df, df.columns, scratch_path(spark, "csv"), LATIN_1)
+
+
+@pytest.mark.parametrize("row_end", ["\n", "\r\n"])
+@pytest.mark.parametrize("inside", ["\n", "\r\n"])
+def test_line_ends_between_rows_and_inside_fields(spark, tmp_path, row_end, inside):
+    lines = ["OriginalTweet,Sentiment", f'"one{inside}two",Positive', "three,Negative", ""]
+    (tmp_path / "x.csv").write_bytes(row_end.join(lines).encode())
+    rows = read_source(spark, "csv", str(tmp_path), StructType.fromDDL("OriginalTweet string, Sentiment string")).collect()
+    assert [r["Sentiment"] for r in rows] == ["Positive", "Negative"]
+    assert rows[0]["OriginalTweet"].replace("\r\n", "\n") == "one\ntwo"
+
+
+@pytest.mark.parametrize("row", ["3", "4,5,6", "x,5"])
+def test_malformed_rows_raise(spark, tmp_path, row):
+    (tmp_path / "x.csv").write_text(f"a,b\n1,2\n{row}\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_source(spark, "csv", str(tmp_path), StructType.fromDDL("a int, b int")).collect()
+
+
+def test_dropping_a_table_removes_its_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    append_rows(spark.range(3), "table", "verbatide_dropped", options={"path": path})
+    assert os.path.exists(path)
+    drop_table(spark, "verbatide_dropped")
+    assert not os.path.exists(path) and not spark.catalog.tableExists("verbatide_dropped")
+
+
 def test_schema_is_required_for_text_formats(spark):
     with pytest.raises(ValueError, match="schema"):
         read_source(spark, "csv", "/nowhere")
@@ -85,6 +120,8 @@ def test_stream_gives_the_batch_rows(spark):
     df = spark.createDataFrame(TWEETS, schemas.TEXTS_FIVE_LEVEL)
     df.write.parquet(source)
     stream = spark.readStream.schema(schemas.TEXTS_FIVE_LEVEL).parquet(source)
-    append_stream(clean_stream(stream), sink, until_done=True).awaitTermination(120)
+    marks = scratch_path(spark, "marks")
+    for _ in range(2):  # the second start finds nothing new
+        append_stream(clean_stream(stream), sink, marks, until_done=True).awaitTermination(120)
     want = prepare.clean_table(prepare.from_five_levels(df))
     assert sorted(map(tuple, spark.read.parquet(sink).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)

@@ -109,7 +109,7 @@ def test_lookup_join_with_a_hot_key(spark, how):
     want = sorted(map(tuple, facts.join(lookup, "k", how).select("k", "id", "v").collect()), key=repr)
     counted = facts.groupBy("k").agg(F.count("*").alias("n"))
     for counts in (None, counted):
-        joined = lookup_join(facts, lookup, "k", counts, how, share=10, salts=7)
+        joined = lookup_join(facts, lookup, "k", counts, how, share=10, least=5)
         assert sorted(map(tuple, joined.select("k", "id", "v").collect()), key=repr) == want
 
 
@@ -147,13 +147,6 @@ def test_small_rows(spark):
     assert sizing.small_rows(spark.range(6), 5) is None
 
 
-def test_spread_leaves_split_tables_alone(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert sizing.spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == cores
-    wide = spark.range(100, numPartitions=cores + 3)
-    assert sizing.spread(wide) is wide
-
-
 def test_histogram_against_numpy(spark):
     import numpy as np
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import (
     IDF,
     Binarizer,
-    CountVectorizer,
+    CountVectorizerModel,
     HashingTF,
     IndexToString,
     NGram,
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from verbatide.functions import fixed_values as V
 from verbatide.operators.frequency import explode_words
 from verbatide.operators.ordering import dense_index
+from verbatide.operators.sizing import small_rows
 from verbatide.operators.skew import lookup_join
+from verbatide.session import materialise
 
 
 def stop_list() -> list[str]:
@@ -82,6 +85,26 @@ def tfidf(tf: DataFrame, key: str, documents: Column) -> DataFrame:
     return weighted.select(key, "term", "tf", (F.col("_raw") / norm).alias("tfidf"))
 
 
+@dataclass(frozen=True)
+class TfIdf:
+    """Weights fitted on one table, to be applied to any: ``terms(term, idf)``."""
+
+    terms: DataFrame
+
+    @classmethod
+    def fit(cls, tf: DataFrame, documents: Column | int) -> TfIdf:
+        """idf = ln((1 + n) / (1 + df)) + 1 from ``tf(key, term, tf)`` of n texts."""
+        n = F.lit(documents) if isinstance(documents, int) else documents
+        idf = F.log((n + 1) / (F.col("df") + 1)) + 1
+        return cls(materialise(document_frequencies(tf).select("term", idf.alias("idf"))))
+
+    def apply(self, tf: DataFrame, key: str) -> DataFrame:
+        """(key, term, tf, tfidf): each text's row scaled to length one; terms not fitted drop out."""
+        raw = lookup_join(tf, self.terms, "term").withColumn("_raw", F.col("tf") * F.col("idf"))
+        norm = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(key)))
+        return raw.select(key, "term", "tf", (F.col("_raw") / norm).alias("tfidf"))
+
+
 def binarise(weights: DataFrame, weight: str, threshold: float = 0.1) -> DataFrame:
     return weights.withColumn(weight, F.when(F.col(weight) > threshold, 1.0).otherwise(0.0))
 
@@ -135,9 +158,23 @@ def idf(source: str = "rawFeatures", to: str = "features") -> IDF:
     return IDF(inputCol=source, outputCol=to)
 
 
-def count_vectorizer(size: int, source: str = "words", to: str = "rawFeatures") -> CountVectorizer:
-    """The vocabulary lives on the driver, hence the explicit size."""
-    return CountVectorizer(vocabSize=size, inputCol=source, outputCol=to)
+MAX_VOCABULARY = 2_000_000  # terms that the ML stage may hold on the driver
+
+
+def vocabulary(df: DataFrame, words: Column) -> list[str]:
+    """All terms by falling count, ties by term. More than fit on the driver raise: the term tables
+    above have no such limit."""
+    counts = explode_words(df, words, "term").groupBy("term").agg(F.count("*").alias("n"))
+    rows = small_rows(counts.orderBy(F.desc("n"), "term"), MAX_VOCABULARY)
+    if rows is None:
+        raise ValueError(f"more than {MAX_VOCABULARY} terms: use the term tables")
+    return [row["term"] for row in rows]
+
+
+def count_vectorizer(terms: Sequence[str], source: str = "words", to: str = "rawFeatures") -> CountVectorizerModel:
+    """Counts of the given terms; none is dropped by a size."""
+    model = CountVectorizerModel.from_vocabulary(list(terms), inputCol=source, outputCol=to)
+    return model
 
 
 def label_indexer(source: str = "Feelings", to: str = "indexedLabel") -> StringIndexer:

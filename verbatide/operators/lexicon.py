@@ -1,8 +1,8 @@
 """Dictionary work: abbreviations, lemmas and tags by joins with word tables.
 
-Dictionaries are input tables. A small one becomes part of the row expression; a larger one is
-joined to the words, which are then put back in order, in time that grows with a text's length and
-not with its square.
+Dictionaries are input tables of any size and there is one way for all of them: the word lists are written
+once, their words are joined to the dictionary, and the words that have an entry are put back in place, in time
+that grows with a text's length and not with its square.
 """
 
 from __future__ import annotations
@@ -14,44 +14,49 @@ from pyspark.sql import functions as F
 
 from verbatide.functions import fixed_values as V
 from verbatide.functions import text as T
-from verbatide.operators.frequency import explode_words
-from verbatide.operators.sizing import SMALL_ROWS, small_mapping
 from verbatide.operators.skew import lookup_join
 from verbatide.session import materialise
 
 
-def map_words(
-    df: DataFrame,
-    key: str,
-    words: str,
-    mapping: DataFrame,
-    default: str | None = None,
-    small: int = SMALL_ROWS,
-    counts: DataFrame | None = None,
-) -> DataFrame:
+def _held(df: DataFrame, words: str) -> DataFrame:
+    """``df`` written once, with a row number; a missing word list becomes an empty one."""
+    present = F.coalesce(F.col(words), F.array().cast("array<string>"))
+    return materialise(df.withColumns({words: present, "_row": F.monotonically_increasing_id()}))
+
+
+def _replace(held: DataFrame, words: str, mapping: DataFrame, default: str | None) -> DataFrame:
+    entries = mapping.where(F.col("word").isNotNull() & F.col("replacement").isNotNull())
+    entries = entries.groupBy("word").agg(F.min("replacement").alias("replacement"))
+    placed = held.select("_row", F.posexplode(words).alias("_at", "word"))
+    found = lookup_join(placed, entries, "word").groupBy("_row")
+    new = F.struct("_at", F.lit(0).alias("_old"), F.col("replacement").alias("word"))
+    joined = held.join(found.agg(F.collect_list(new).alias("_new")), "_row", "left")
+
+    def old(word: Column, at: Column) -> Column:
+        kept = word if default is None else F.lit(default)
+        return F.struct(at.alias("_at"), F.lit(1).alias("_old"), kept.alias("word"))
+
+    # Each place once or twice in order, the new word before the old one: the first of a place stays.
+    before = F.transform(words, old)
+    joined = joined.withColumn("_both", F.sort_array(F.concat(F.coalesce("_new", F.array().cast(_PLACES)), before)))
+    first = F.filter("_both", lambda x, i: (i == 0) | (F.get("_both", i - 1)["_at"] != x["_at"]))
+    return joined.withColumn(words, F.transform(first, lambda x: x["word"])).drop("_row", "_new", "_both")
+
+
+_PLACES = "array<struct<_at:int,_old:int,word:string>>"
+
+
+def map_words(df: DataFrame, words: str, mapping: DataFrame, default: str | None = None) -> DataFrame:
     """Replace the words of the list column ``words`` by ``mapping(word, replacement)``.
 
-    Words outside the mapping stay, or become ``default``; a missing list becomes an empty one.
-    ``key`` identifies a row of ``df``; ``small`` is the largest mapping that is put into the
-    expression; ``counts(word, n)``, when at hand, gives each word's occurrences.
+    Words outside the mapping stay, or become ``default``, and so do words whose replacement is
+    missing; entries without a word are ignored; of several replacements of a word the smallest counts. All rows
+    stay, repeated ones too; a missing list becomes an empty one.
     """
-    direct = small_mapping(mapping, "word", "replacement", small)
-    if direct is not None:
-        present = F.coalesce(words, F.array().cast("array<string>"))
-        return df.withColumn(words, T.replace_words(present, direct, default))
-    placed = df.select(key, F.posexplode_outer(words).alias("_at", "word"))
-    joined = lookup_join(placed, mapping.select("word", "replacement"), "word", counts, "left")
-    word = F.coalesce("replacement", "word" if default is None else F.lit(default)).alias("word")
-    element = F.when(F.col("_at").isNotNull(), F.struct("_at", word))
-    lists = joined.groupBy(key).agg(F.sort_array(F.collect_list(element)).getField("word").alias(words))
-    if set(df.columns) == {key, words}:
-        return lists.select(*df.columns)
-    return df.drop(words).join(lists, key).select(*df.columns)
-
-
-def expand_abbreviations(
-    df: DataFrame, key: str, text: str, dictionary: DataFrame, small: int = SMALL_ROWS
-) -> DataFrame:
+    return _replace(_held(df, words), words, mapping, default).select(*df.columns)
+
+
+def expand_abbreviations(df: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
     """Add ``ctext``: cleaner A's text, with ``dictionary(abbrev, expansion)`` expanded.
 
     Lookup comes after lower-casing and punctuation removal, is by whole word, and expansions are
@@ -59,7 +64,7 @@ def expand_abbreviations(
     """
     words = df.withColumn("_words", T.split_words(T.strip_noise(F.col(text))))
     pairs = dictionary.select(F.col("abbrev").alias("word"), F.col("expansion").alias("replacement"))
-    mapped = map_words(words, key, "_words", pairs, small=small)
+    mapped = map_words(words, "_words", pairs)
     return mapped.withColumn("ctext", F.trim(T.join_words(F.col("_words")))).drop("_words")
 
 
@@ -98,21 +103,14 @@ def lemma_map(
 
 
 def lemmatise(
-    df: DataFrame,
-    key: str,
-    words: str,
-    lexicon: DataFrame,
-    pos: str = "v",
-    exceptions: DataFrame | None = None,
-    small: int = SMALL_ROWS,
+    df: DataFrame, words: str, lexicon: DataFrame, pos: str = "v", exceptions: DataFrame | None = None
 ) -> DataFrame:
     """Replace the words of a list column by their lemmas, found once per distinct word."""
-    seen = explode_words(df, F.col(words), "token")
-    vocabulary = materialise(seen.groupBy("token").agg(F.count("*").alias("n")))
+    held = _held(df, words)
+    vocabulary = held.select(F.explode(words).alias("token")).distinct()
     lemmas = materialise(lemma_map(vocabulary, lexicon, pos, exceptions))
     pairs = lemmas.select(F.col("token").alias("word"), F.col("lemma").alias("replacement"))
-    counts = vocabulary.withColumnRenamed("token", "word")
-    return map_words(df, key, words, pairs, small=small, counts=counts)
+    return _replace(held, words, pairs, None).select(*df.columns)
 
 
 def lemma_counts(
@@ -137,23 +135,14 @@ def most_frequent_tags(tag_counts: DataFrame) -> DataFrame:
     return ranked.where(F.col("_rank") == 1).select("token", "tag")
 
 
-def tag_words(
-    df: DataFrame,
-    key: str,
-    words: str,
-    tags: DataFrame,
-    default: str = "NN",
-    name: str = "pos",
-    small: int = SMALL_ROWS,
-) -> DataFrame:
+def tag_words(df: DataFrame, words: str, tags: DataFrame, default: str = "NN", name: str = "pos") -> DataFrame:
     """Add a list column with one tag per word; unknown words get ``default``."""
     pairs = tags.select(F.col("token").alias("word"), F.col("tag").alias("replacement"))
-    return map_words(df.withColumn(name, F.col(words)), key, name, pairs, default, small)
+    return map_words(df.withColumn(name, F.col(words)), name, pairs, default)
 
 
 def clean_b_table(
     df: DataFrame,
-    key: str,
     text: str,
     lexicon: DataFrame,
     exceptions: DataFrame | None = None,
@@ -161,13 +150,12 @@ def clean_b_table(
 ) -> DataFrame:
     """Cleaner B with verb lemmas from a lexicon table; adds the list column ``words``."""
     cut = df.withColumn("words", T.clean_b_words(F.col(text), stop))
-    lemmas = lemmatise(cut, key, "words", lexicon, "v", exceptions)
+    lemmas = lemmatise(cut, "words", lexicon, "v", exceptions)
     return lemmas.withColumn("words", T.keep_longer_than(F.col("words"), 2))
 
 
 def clean_c_table(
     df: DataFrame,
-    key: str,
     text: str,
     lexicon: DataFrame,
     dictionary: DataFrame | None = None,
@@ -178,8 +166,8 @@ def clean_c_table(
     cut = df.withColumn("_words", T.split_words(T.strip_noise(F.col(text))))
     if dictionary is not None:
         pairs = dictionary.select(F.col("abbrev").alias("word"), F.col("expansion").alias("replacement"))
-        cut = map_words(cut, key, "_words", pairs)
+        cut = map_words(cut, "_words", pairs)
     cut = cut.withColumn("_words", T.remove_words(F.col("_words"), stop))
-    cut = lemmatise(cut, key, "_words", lexicon, "n", exceptions)
+    cut = lemmatise(cut, "_words", lexicon, "n", exceptions)
     long = T.keep_longer_than(F.col("_words"), 1)
     return cut.withColumn("ctext", F.trim(T.join_words(long))).drop("_words")

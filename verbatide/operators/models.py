@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -25,9 +27,11 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbatide.operators.frequency import class_distribution, term_counts
-from verbatide.operators.sizing import small_mapping, small_rows
+from verbatide.operators.features import term_frequencies
+from verbatide.operators.rowsets import key_number
+from verbatide.operators.sizing import small_rows
 from verbatide.operators.skew import lookup_join
-from verbatide.session import materialise
+from verbatide.session import materialise, scratch_path
 
 MAX_DEPTH = 30  # Spark's own limit
 MAX_CLASSES = 1000
@@ -53,8 +57,10 @@ def decision_tree(
 def random_forest(
     trees: int = 150, depth: int = 30, subset: str = "auto", weight: str | None = None, seed: int = 5043
 ) -> RandomForestClassifier:
+    if depth > MAX_DEPTH:
+        raise ValueError(f"Spark's trees have a depth of at most {MAX_DEPTH}")
     forest = RandomForestClassifier(
-        labelCol=LABEL, featuresCol=FEATURES, numTrees=trees, maxDepth=min(depth, MAX_DEPTH),
+        labelCol=LABEL, featuresCol=FEATURES, numTrees=trees, maxDepth=depth,
         impurity="gini", featureSubsetStrategy=subset, seed=seed,
     )
     return forest.setWeightCol(weight) if weight else forest
@@ -80,13 +86,11 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def with_class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Add each row's class weight as an expression; joining on a class would put every class in
-    one task."""
-    weights = small_mapping(class_weights(df, label), label, "weight", MAX_CLASSES)
-    if weights is None:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    pairs = [F.lit(x) for pair in weights.items() for x in pair]
-    return df.withColumn(name, F.try_element_at(F.create_map(*pairs), F.col(label)))
+    """Add each row's class weight, null for rows without a class. Rows of common classes are dealt
+    over several tasks."""
+    weights = class_weights(df, label)
+    one = weights.select(label, F.col("weight").alias(name))
+    return lookup_join(df.drop(name), one, label, weights.select(label, "n"), "left").select(*df.drop(name).columns, name)
 
 
 # Naive Bayes as aggregates ---------------------------------------------------------------------------
@@ -156,7 +160,21 @@ def fit_multinomial(df: DataFrame, label: str, words: Column, smoothing: float =
     rows = _class_rows(df, label, smoothing)
     classes = [row[label] for row in rows]
     counts = term_counts(df.where(F.col(label).isNotNull()), words, "term", [label])
-    wide = materialise(_counts_by_class(counts, label, classes, F.col("n")))
+    return _multinomial(rows, _counts_by_class(counts, label, classes, F.col("n")), smoothing, classes)
+
+
+def fit_multinomial_values(
+    keys: DataFrame, key: str, label: str, values: DataFrame, smoothing: float = 1.0
+) -> TermModel:
+    """The same model on weights instead of counts, from ``values(key, term, value)``."""
+    rows = _class_rows(keys, label, 0.0)
+    classes = [row[label] for row in rows]
+    joined = values.join(keys.select(key, label), key)
+    return _multinomial(rows, _counts_by_class(joined, label, classes, F.col("value")), smoothing, classes)
+
+
+def _multinomial(rows: list[Row], wide: DataFrame, smoothing: float, classes: list) -> TermModel:
+    wide = materialise(wide)
     totals = wide.agg(F.count("*"), *[F.sum(f"_{i}") for i in range(len(classes))]).first()
     terms, sizes = totals[0], [n or 0 for n in totals[1:]]
     weights = [F.log((F.col(f"_{i}") + smoothing) / (n + smoothing * terms)) for i, n in enumerate(sizes)]
@@ -220,14 +238,41 @@ def cross_validate(
     evaluator: Evaluator | None = None,
     seed: int = 5043,
     parallelism: int = 8,
+    key: str | None = None,
 ) -> CrossValidatorModel:
+    """With ``key`` a row's fold is a hash of that column: the same under any partitioning."""
     validator = CrossValidator(
         estimator=estimator, estimatorParamMaps=param_maps, evaluator=evaluator or accuracy_evaluator(),
         numFolds=folds, seed=seed, parallelism=parallelism,
     )
+    if key:
+        train = train.withColumn("fold", fold_of(key, folds, seed))
+        validator = validator.setFoldCol("fold")
     return validator.fit(train)
 
 
+def fold_of(key: str, folds: int, seed: int = 5043) -> Column:
+    """The fold of a key."""
+    return (key_number([key], seed) % folds).cast("int")
+
+
+def term_model_cv(
+    df: DataFrame, key: str, label: str, words: Column, smoothings: list[float], folds: int = 3, seed: int = 5043
+) -> DataFrame:
+    """(smoothing, fold, hits, rows) of the exact multinomial model, each fold scored by the others' fit."""
+    parts = []
+    held = df.where(F.col(label).isNotNull()).withColumn("_fold", fold_of(key, folds, seed))
+    for fold in range(folds):
+        train, test = held.where(F.col("_fold") != fold), held.where(F.col("_fold") == fold)
+        values = term_frequencies(test, key, words).withColumnRenamed("tf", "value")
+        for smoothing in smoothings:
+            predicted = fit_multinomial(train, label, words, smoothing).predict(test, key, values)
+            hits = predicted.join(test.select(key, label), key)
+            hits = hits.agg(F.count_if(F.col("prediction") == F.col(label)).alias("hits"), F.count("*").alias("rows"))
+            parts.append(hits.select(F.lit(smoothing).alias("smoothing"), F.lit(fold).alias("fold"), "hits", "rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def cv_table(model: CrossValidatorModel) -> DataFrame:
     """One row per grid point: its parameters, mean metric, and whether it won."""
     better = max if model.getEvaluator().isLargerBetter() else min
@@ -268,21 +313,20 @@ def fourier_features(
 ) -> DataFrame:
     """Random Fourier features whose inner products approximate exp(-gamma |x - y|²).
 
-    Each task redraws the projection from the seed, so nothing is sent around; its size is set by
-    the arguments and checked.
+    Each task redraws the projection from the seed, once, so nothing is sent around; its size is
+    set by the arguments and checked.
     """
     if size * outputs > MAX_PROJECTION:
         raise ValueError("projection too large: lower the vector size or the outputs")
 
     @F.pandas_udf("array<double>")
-    def project(rows: pd.Series) -> pd.Series:
+    def project(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         rng = np.random.default_rng(seed)
         directions = rng.normal(0.0, math.sqrt(2.0 * gamma), (size, outputs))
         phases = rng.uniform(0.0, 2.0 * math.pi, outputs)
-        if rows.empty:
-            return pd.Series([], dtype=object)
-        x = np.stack(rows.to_numpy())
-        return pd.Series(list(math.sqrt(2.0 / outputs) * np.cos(x @ directions + phases)))
+        for rows in batches:
+            x = np.stack(rows.to_numpy()) if len(rows) else np.zeros((0, size))
+            yield pd.Series(list(math.sqrt(2.0 / outputs) * np.cos(x @ directions + phases)), dtype=object)
 
     is_vector = isinstance(df.schema[vector].dataType, VectorUDT)
     source = vector_to_array(F.col(vector)) if is_vector else F.col(vector).cast("array<double>")
@@ -290,7 +334,7 @@ def fourier_features(
 
 
 def rbf_svm(
-    cost: float = 10.0, rows: int = 1000, iterations: int = 20, features: str = FEATURES, parallelism: int = 8
+    cost: float = 10.0, rows: int = 1000, iterations: int = 100, features: str = FEATURES, parallelism: int = 8
 ) -> OneVsRest:
     """Linear one-against-rest machine on Fourier features: an approximate kernel machine.
 
@@ -304,20 +348,22 @@ def rbf_svm(
 
 
 def eliminate_features(
-    train: DataFrame, size: int, keep: int = 1, step: float = 0.5, folds: int = 5, trees: int = 30, seed: int = 42
+    train: DataFrame, size: int, keep: int = 1, step: float = 1, folds: int = 5, trees: int = 30, seed: int = 42,
+    key: str | None = None,
 ) -> DataFrame:
-    """Recursive elimination: cross-validate a forest, drop the least important share ``step`` of
-    the columns, repeat down to ``keep``. One row per round with its columns and accuracy."""
+    """Recursive elimination: cross-validate a forest, drop the ``step`` least important columns (a
+    share of them, below one), repeat down to ``keep``. One row per round with its columns and accuracy."""
     columns, rows = list(range(size)), []
     while True:
         slicer = VectorSlicer(inputCol=FEATURES, outputCol="_kept", indices=columns)
         forest = random_forest(trees, 10, seed=seed).setFeaturesCol("_kept")
-        fitted = cross_validate(Pipeline(stages=[slicer, forest]), [{}], train, folds, seed=seed)
+        fitted = cross_validate(Pipeline(stages=[slicer, forest]), [{}], train, folds, seed=seed, key=key)
         rows.append((len(rows), len(columns), float(fitted.avgMetrics[0]), columns))
         if len(columns) <= keep:
             break
         importance = fitted.bestModel.stages[-1].featureImportances.toArray()
-        left = max(keep, min(len(columns) - 1, math.floor(len(columns) * (1 - step))))
+        drop = step if step >= 1 else max(1, math.ceil(len(columns) * step))
+        left = max(keep, len(columns) - int(drop))
         order = sorted(range(len(columns)), key=lambda i: (-importance[i], columns[i]))
         columns = sorted(columns[i] for i in order[:left])
     schema = "round long, features long, accuracy double, columns array<int>"
@@ -327,12 +373,33 @@ def eliminate_features(
 # Fitted models -----------------------------------------------------------------------------------------------
 
 
-def describe_tree(model: Model) -> str:
-    return model.toDebugString
+def tree_nodes(model: Model) -> DataFrame:
+    """(node, prediction, impurity, rows, gain, left, right, feature, threshold) of a fitted tree.
+
+    Read from the saved model, whose nodes the executors write and read; leaves have feature and
+    children -1.
+    """
+    spark = SparkSession.active()
+    path = scratch_path(spark, "tree")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data")
+    cut = F.col("split.leftCategoriesOrThreshold")
+    return nodes.select(
+        F.col("id").alias("node"), "prediction", F.round("impurity", 6).alias("impurity"),
+        F.col("rawCount").cast("long").alias("rows"), F.col("gain"), F.col("leftChild").alias("left"),
+        F.col("rightChild").alias("right"), F.col("split.featureIndex").alias("feature"),
+        F.when(F.size(cut) > 0, F.get(cut, F.lit(0))).alias("threshold"),
+    )
 
 
-def best_params(model: CrossValidatorModel) -> str:
-    """All parameters of the refitted winner, stage by stage, with their documentation."""
+def best_params(model: CrossValidatorModel) -> DataFrame:
+    """(stage, param, value) of the refitted winner: a row per parameter."""
     best = model.bestModel
     stages = best.stages if isinstance(best, PipelineModel) else [best]
-    return "\n".join(stage.explainParams() for stage in stages)
+    rows = [
+        (type(stage).__name__, param.name, str(stage.getOrDefault(param)))
+        for stage in stages
+        for param in stage.params
+        if stage.isDefined(param)
+    ]
+    return SparkSession.active().createDataFrame(rows, "stage string, param string, value string")

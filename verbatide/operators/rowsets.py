@@ -45,13 +45,18 @@ def split_part(step: Column, weights: Sequence[float]) -> Column:
     return sum((F.when(step >= cut, 1).otherwise(0) for cut in cuts), F.lit(0))
 
 
+def key_number(keys: Sequence[str], seed: int) -> Column:
+    """32 bits of the MD5 of seed and keys, joined by colons: a number any other engine can take too."""
+    joined = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(joined), 1, 8), 16, 10).cast("long")
+
+
 def keyed_split(
     df: DataFrame, key: str | Sequence[str], weights: Sequence[float], seed: int
 ) -> list[DataFrame]:
     """A split decided by the key alone: no sort, and the same under any partitioning or rerun."""
     keys = [key] if isinstance(key, str) else list(key)
-    step = F.pmod(F.xxhash64(*keys, F.lit(seed)), F.lit(SPLIT_STEPS))
-    part = split_part(step, weights)
+    part = split_part(key_number(keys, seed) % SPLIT_STEPS, weights)
     return [df.where(part == i) for i in range(len(weights))]
 
 

@@ -1,31 +1,11 @@
-"""Checks that a table is small before it is read whole or sent to every executor."""
+"""Checks that a table is small before it is read whole."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Row
 
-SMALL_ROWS = 2000
 
-
-def small_rows(df: DataFrame, limit: int = SMALL_ROWS) -> list[Row] | None:
+def small_rows(df: DataFrame, limit: int) -> list[Row] | None:
     """All rows when there are at most ``limit``, else ``None``. Never reads more than one above."""
     rows = df.limit(limit + 1).collect()
     return rows if len(rows) <= limit else None
-
-
-def small_mapping(df: DataFrame, key: str, value: str, limit: int = SMALL_ROWS) -> dict | None:
-    """A two-column table as a dict when it is small, else ``None``."""
-    rows = small_rows(df.select(key, value), limit)
-    return None if rows is None else {row[0]: row[1] for row in rows}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows to all cores when the files offer fewer splits than there are cores.
-
-    One unsplittable file (a single row group, gzip, multi-line CSV) would otherwise keep the
-    whole text work in one task. A table with enough splits passes unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores)

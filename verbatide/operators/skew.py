@@ -1,10 +1,10 @@
 """Joining many rows to a lookup table when some keys are very common.
 
-Words follow a steep law: one word may be a third of all rows. A key holding more than one in
-``HOT_SHARE`` of the rows is *hot*; by counting there are fewer than ``HOT_SHARE`` hot keys, so the
-list of them is broadcast under a proven bound. Their rows are dealt over ``SALTS`` salts and their
-lookup rows repeated once per salt; every other key keeps salt zero. One pass over the facts, every
-row kept, and no task gets more than a hot key's share divided by the salts.
+Words follow a steep law: one word may be a third of all rows. A key is *hot* when it holds more
+rows than one in ``HOT_SHARE`` of all, and more than ``MIN_ROWS``; by counting there are fewer than ``HOT_SHARE``
+hot keys, so the list of them is broadcast under a proven bound. A hot key's rows are dealt over as many
+salts as bring each down to that number of rows, and its lookup row is repeated once per salt;
+every other key keeps salt zero. One pass over the facts, every row kept.
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 2000
-SALTS = 128
+HOT_SHARE = 20_000
+MIN_ROWS = 1000
 
 
 def lookup_join(
@@ -23,7 +23,7 @@ def lookup_join(
     counts: DataFrame | None = None,
     how: str = "inner",
     share: int = HOT_SHARE,
-    salts: int = SALTS,
+    least: int = MIN_ROWS,
 ) -> DataFrame:
     """Join ``facts`` to ``lookup`` (unique on ``key``), ``how`` being inner or left.
 
@@ -35,13 +35,13 @@ def lookup_join(
     if counts is None:
         counts = facts.groupBy(key).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).scalar()
-    hot = counts.where(F.col("n") * share > total).select(key, F.lit(True).alias("_hot"))
+    rows = F.greatest(F.lit(least), total / share)  # a task's share of a hot key
+    hot = counts.where(F.col("n") > rows).select(key, F.ceil(F.col("n") / rows).cast("int").alias("_salts"))
     # The salt is a hash of the row, so a rerun task deals its rows the same way. Rows without a key
     # match nothing, but an outer join would bring them all together, so they are dealt too.
-    dealt = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
+    salts = F.when(F.col(key).isNull(), F.lit(share)).otherwise(F.coalesce("_salts", F.lit(1)))
     salted = facts.join(F.broadcast(hot), key, "left")
-    salted = salted.withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), dealt).otherwise(0))
-    salted = salted.drop("_hot")
-    every = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    repeated = lookup.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every)).drop("_hot")
+    salted = salted.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), salts).cast("int")).drop("_salts")
+    every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = lookup.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every)).drop("_salts")
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -32,15 +34,16 @@ def build_session(app: str = "verbatide", master: str | None = None, **settings:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster such a folder would
-    exist on one machine and be lost with it.
+    Only where driver and tasks are one process may it fall back to a temporary folder, which is
+    removed at exit: on a cluster such a folder would exist on one machine and be lost with it.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if spark.sparkContext.master.partition("[")[0] != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="verbatide-")
+    folder = tempfile.mkdtemp(prefix="verbatide-")  # one process holds all tasks; gone when it ends
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 

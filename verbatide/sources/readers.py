@@ -11,17 +11,19 @@ from pyspark.sql.types import StructType
 FILE_FORMATS = ("csv", "parquet", "json", "orc")
 URI_VARIABLE = "MONGODB_URI"
 
-# Latin-1 text with header; fields may hold quotes and line breaks. Such files cannot be split, so
-# big inputs should come as many files, or with multiLine off where no field spans lines.
+# UTF-8 text with header, for reading and writing alike; Latin-1 files are asked for by name. Fields
+# may hold quotes and line breaks, rows may end in LF or CRLF, rows with too few or too many fields raise. Such
+# files cannot be split, so big inputs should come as many files, or with multiLine off where no field spans lines.
 CSV_OPTIONS = {
     "header": "true",
-    "encoding": "ISO-8859-1",
+    "encoding": "UTF-8",
     "multiLine": "true",
     "quote": '"',
     "escape": '"',
-    "lineSep": "\n",
     "enforceSchema": "false",
+    "mode": "FAILFAST",
 }
+LATIN_1 = {"encoding": "ISO-8859-1"}
 
 
 def collection_options(database: str, collection: str, uri: str | None = None) -> dict[str, str]:

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from verbatide.operators.rowsets import with_row_index
 from verbatide.sources.readers import CSV_OPTIONS, FILE_FORMATS, collection_options
@@ -39,15 +40,33 @@ def append_rows(
 
 
 def save_csv(df: DataFrame, columns: Sequence[str], path: str, options: Mapping[str, str] | None = None) -> None:
-    """Write chosen columns as CSV with header."""
-    chosen = {**CSV_OPTIONS, "quoteAll": "true", "encoding": "UTF-8", **dict(options or {})}
-    df.select(*columns).write.options(**chosen).mode("overwrite").csv(path)
+    """Write chosen columns as CSV with header, in UTF-8 or the encoding named in ``options``.
+    Characters that the encoding does not have raise."""
+    chosen = {**CSV_OPTIONS, "quoteAll": "true", **dict(options or {})}
+    rows = df.select(*columns)
+    encoding = chosen["encoding"]
+    if encoding.upper() != "UTF-8":
+        texts = [f.name for f in rows.schema if f.dataType.simpleString() == "string"]
+        rows = rows.withColumns({t: F.decode(F.encode(t, encoding), encoding) for t in texts})
+    rows.write.options(**chosen).mode("overwrite").csv(path)
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
+    """Drop a table and its data, whether the catalog or the caller chose their place. A view's
+    sources stay."""
     # Column names and identifiers are quoted, so a name is never read as SQL.
     parts = ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+    place = None
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType == "EXTERNAL":
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {parts}").where("col_name = 'Location'")
+        place = next((row["data_type"] for row in rows.collect()), None)
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).isTemporary:
+        spark.catalog.dropTempView(name)
+        return
     spark.sql(f"DROP TABLE IF EXISTS {parts}")
+    if place:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def save_model(model: Model, path: str) -> None:

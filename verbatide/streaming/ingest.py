@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from verbatide.plans.prepare import clean_table, from_five_levels
-from verbatide.session import scratch_path
 
 
 def clean_stream(rows: DataFrame, abbreviations: Mapping[str, str] | None = None) -> DataFrame:
@@ -19,15 +18,17 @@ def clean_stream(rows: DataFrame, abbreviations: Mapping[str, str] | None = None
 
 
 def score_stream(rows: DataFrame, model: PipelineModel) -> DataFrame:
+    """Rows with a prediction; no label is needed."""
     return model.transform(rows)
 
 
 def append_stream(
-    rows: DataFrame, path: str, kind: str = "parquet", checkpoint: str | None = None, until_done: bool = False
+    rows: DataFrame, path: str, checkpoint: str, kind: str = "parquet", until_done: bool = False
 ) -> StreamingQuery:
-    """Append to files. ``until_done`` takes what is there and stops."""
+    """Append to files; a restart with the same ``checkpoint`` goes on where the last one stopped.
+    ``until_done`` takes what is there and stops."""
     writer = rows.writeStream.format(kind).outputMode("append")
-    writer = writer.option("checkpointLocation", checkpoint or scratch_path(rows.sparkSession, "stream"))
+    writer = writer.option("checkpointLocation", checkpoint)
     if until_done:
         writer = writer.trigger(availableNow=True)
     return writer.start(path)

@@ -8,7 +8,6 @@ from verbatide.functions import fixed_values as V
 from verbatide.functions import text as T
 from verbatide.operators import lexicon as L
 from verbatide.operators import frequency
-from verbatide.session import materialise
 from workload import sql as S
 from workload.tables import (
     Query,
@@ -86,7 +85,7 @@ def clean_c(spark, d):
 
 
 def clean_b_lemmas(spark, d):
-    rows = L.clean_b_table(documents(spark, d), "doc_id", "text", lexicon(spark, d), exceptions(spark, d))
+    rows = L.clean_b_table(documents(spark, d), "text", lexicon(spark, d), exceptions(spark, d))
     return rows.select("doc_id", T.join_words(F.col("words")).alias("ctext"))
 
 
@@ -104,7 +103,7 @@ SELECT doc_id, coalesce(ctext, '') AS ctext FROM documents LEFT JOIN joined USIN
 
 
 def clean_c_tables(spark, d):
-    rows = L.clean_c_table(documents(spark, d), "doc_id", "text", lexicon(spark, d), abbreviations(spark, d))
+    rows = L.clean_c_table(documents(spark, d), "text", lexicon(spark, d), abbreviations(spark, d))
     return rows.select("doc_id", "ctext")
 
 
@@ -124,14 +123,58 @@ joined AS (
 SELECT doc_id, coalesce(ctext, '') AS ctext FROM documents LEFT JOIN joined USING (doc_id)"""
 
 
-def expand_abbrev(small):
+def expand_abbrev(spark, d):
+    rows = L.expand_abbreviations(documents(spark, d), "text", abbreviations(spark, d))
+    return rows.select("doc_id", "ctext")
+
+
+def _rough_entries(spark, d, words):
+    """Entries with all that a dictionary may hold: no word, no replacement, several replacements."""
+    first = F.substring("word", 1, 2)
+    null = F.lit(None).cast("string")
+    whole = words.select("word", F.when(F.length("word") % 5 != 0, F.concat(first, F.lit("-"))).alias("replacement"))
+    twice = words.select("word", F.when(F.length("word") % 3 == 0, F.concat(F.lit("+"), "word")).alias("replacement"))
+    return whole.unionByName(twice).unionByName(words.select(null.alias("word"), F.col("word").alias("replacement")))
+
+
+def _rough_mapping(words_of):
+    """Texts with null and repeated keys, through a dictionary of any size."""
+
     def run(spark, d):
-        rows = L.expand_abbreviations(documents(spark, d), "doc_id", "text", abbreviations(spark, d), small)
-        return rows.select("doc_id", "ctext")
+        words = words_of(spark, d)
+        rows = documents(spark, d)
+        rows = rows.select(F.when(F.col("doc_id") % 3 != 0, F.floor(F.col("doc_id") / 2)).alias("key"), _plain_words().alias("words"))
+        mapped = L.map_words(rows, "words", _rough_entries(spark, d, words))
+        return mapped.select("key", T.join_words(F.col("words")).alias("ctext"))
 
     return run
 
 
+def _words_of_items(spark, d):
+    return frequency.explode_words(table(spark, d, "benchmark", "text"), _plain_words(), "word").distinct()
+
+
+def _words_of_documents(spark, d):
+    return frequency.explode_words(documents(spark, d), _plain_words(), "word").distinct()
+
+
+def _rough_sql(source):
+    return f"""
+WITH words AS (SELECT DISTINCT unnest({S.plain('text')}) AS word FROM {source}),
+entries AS (
+  SELECT word, CASE WHEN length(word) % 5 <> 0 THEN substr(word, 1, 2) || '-' END AS replacement FROM words
+  UNION ALL SELECT word, CASE WHEN length(word) % 3 = 0 THEN '+' || word END FROM words
+  UNION ALL SELECT NULL, word FROM words),
+best AS (SELECT word, min(replacement) AS replacement FROM entries WHERE word IS NOT NULL GROUP BY word),
+lists AS (SELECT doc_id, {S.plain('text')} AS w FROM documents),
+placed AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS place FROM lists),
+joined AS (
+  SELECT doc_id, string_agg(coalesce(replacement, word), ' ' ORDER BY place) AS ctext
+  FROM placed LEFT JOIN best USING (word) GROUP BY doc_id)
+SELECT CASE WHEN doc_id % 3 <> 0 THEN doc_id // 2 END AS key, coalesce(ctext, '') AS ctext
+FROM documents LEFT JOIN joined USING (doc_id)"""
+
+
 EXPAND_SQL = f"""
 WITH {S.ABBREVIATIONS},
 lists AS (SELECT doc_id, {S.split(S.noise('text'))} AS w FROM documents),
@@ -146,13 +189,10 @@ def _plain_words():
     return T.split_words(T.strip_punctuation(F.lower(F.col("text"))))
 
 
-def lemma_join(small):
-    def run(spark, d):
-        rows = documents(spark, d).select("doc_id", _plain_words().alias("words"))
-        lemmas = L.lemmatise(rows, "doc_id", "words", lexicon(spark, d), "v", exceptions(spark, d), small)
-        return lemmas.select("doc_id", T.join_words(F.col("words")).alias("lemmas"))
-
-    return run
+def lemma_join(spark, d):
+    rows = documents(spark, d).select("doc_id", _plain_words().alias("words"))
+    lemmas = L.lemmatise(rows, "words", lexicon(spark, d), "v", exceptions(spark, d))
+    return lemmas.select("doc_id", T.join_words(F.col("words")).alias("lemmas"))
 
 
 LEMMA_JOIN_SQL = f"""
@@ -181,17 +221,13 @@ SELECT coalesce(lemma, token) AS lemma, count(*) AS n FROM words LEFT JOIN lemma
 GROUP BY coalesce(lemma, token)"""
 
 
-def pos_join(small):
+def pos_join(spark, d):
     """The commonest language of each document word as its tag, applied to the conversations."""
-
-    def run(spark, d):
-        seen = frequency.explode_words(documents(spark, d, "lang"), _plain_words(), "token", "lang")
-        tags = materialise(L.most_frequent_tags(L.tag_table(seen.withColumnRenamed("lang", "tag"))))
-        rows = conversations(spark, d).select("turn_id", _plain_words().alias("words"))
-        tagged = L.tag_words(rows, "turn_id", "words", tags, "NN", "pos", small)
-        return tagged.select("turn_id", T.join_words(F.col("pos")).alias("pos"))
-
-    return run
+    seen = frequency.explode_words(documents(spark, d, "lang"), _plain_words(), "token", "lang")
+    tags = L.most_frequent_tags(L.tag_table(seen.withColumnRenamed("lang", "tag")))
+    rows = conversations(spark, d).select("turn_id", _plain_words().alias("words"))
+    tagged = L.tag_words(rows, "words", tags)
+    return tagged.select("turn_id", T.join_words(F.col("pos")).alias("pos"))
 
 
 TAGS_SQL = f"""
@@ -290,9 +326,10 @@ QUERIES = {
               lambda w: w NOT IN {S.CLEANER_STOP} AND length(w) > 1), ' ') AS ctext FROM pages""",
     ),
     "clean_c_tables": Query(clean_c_tables, CLEAN_C_TABLES_SQL),
-    "expand_abbrev": Query(expand_abbrev(2000), EXPAND_SQL),
-    "expand_abbrev_join": Query(expand_abbrev(0), EXPAND_SQL),
-    "lemma_join": Query(lemma_join(2000), LEMMA_JOIN_SQL),
+    "expand_abbrev": Query(expand_abbrev, EXPAND_SQL),
+    "rough_dictionary_short": Query(_rough_mapping(_words_of_items), _rough_sql("benchmark")),
+    "rough_dictionary_long": Query(_rough_mapping(_words_of_documents), _rough_sql("documents")),
+    "lemma_join": Query(lemma_join, LEMMA_JOIN_SQL),
     "lemma_counts": Query(lemma_counts, LEMMA_COUNTS_SQL),
     "tag_table": Query(
         tag_table,
@@ -300,5 +337,5 @@ QUERIES = {
             FROM (SELECT role, unnest({S.plain('text')}) AS token FROM conversations) GROUP BY token, role""",
     ),
     "tag_fit": Query(tag_fit, f"WITH {TAGS_SQL} SELECT token, tag FROM tags"),
-    "pos_join": Query(pos_join(2000), POS_SQL),
+    "pos_join": Query(pos_join, POS_SQL),
 }

@@ -10,7 +10,7 @@ from verbatide.operators import features as X
 from verbatide.operators import frequency
 from verbatide.plans.explore import content_words
 from workload import sql as S
-from workload.tables import Query, classed, conversations, documents, table
+from workload.tables import Query, classed, conversations, documents, labelled, table
 
 
 def _words():
@@ -181,10 +181,28 @@ def vectors_binarised(spark, d):
     return present.select("vec_id", total.alias("present"))
 
 
+def tfidf_apply(spark, d):
+    """Fitted on the labelled documents, applied to all."""
+    train = labelled(spark, d)
+    fitted = X.TfIdf.fit(X.term_frequencies(train, "doc_id", _words()), train.count())
+    weights = fitted.apply(_tf(spark, d), "doc_id")
+    return weights.select("doc_id", "term", "tf", F.round("tfidf", 6).alias("tfidf"))
+
+
+FITTED = f"""{S.LABELLED},
+words AS (SELECT doc_id, unnest({S.content('text')}) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM tf WHERE doc_id IN (SELECT doc_id FROM labelled) GROUP BY term),
+raw AS (
+  SELECT doc_id, term, tf, tf * (ln(((SELECT count(*) FROM labelled) + 1) / (df + 1)) + 1) AS w
+  FROM tf JOIN df USING (term)),
+weighted AS (SELECT doc_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS tfidf FROM raw)"""
+
+
 def idf_stage(spark, d):
-    """Hashed counts weighted by the ML stage."""
+    """Counts of all terms weighted by the ML stage."""
     rows = documents(spark, d).select("doc_id", _words().alias("words"))
-    vectors = X.hashing_tf(2000).transform(rows)
+    vectors = X.count_vectorizer(X.vocabulary(rows, F.col("words"))).transform(rows)
     weighted = X.idf().fit(vectors).transform(vectors)
     total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, b: a + b)
     return weighted.select("doc_id", F.round(total, 6).alias("total"))
@@ -202,7 +220,15 @@ QUERIES = {
         lambda spark, d: X.document_frequencies(_tf(spark, d)), f"WITH {TF} SELECT term, df FROM df"
     ),
     "idf": Query(idf, f"WITH {TF} SELECT term, df, round(ln(({N} + 1) / (df + 1)), 6) AS idf FROM df"),
-    "idf_stage": Query(idf_stage),
+    "idf_stage": Query(
+        idf_stage,
+        f"""WITH {TF}
+            SELECT doc_id, round(coalesce(sum(tf * ln(({N} + 1) / (df + 1))), 0), 6) AS total
+            FROM documents LEFT JOIN tf USING (doc_id) LEFT JOIN df USING (term) GROUP BY doc_id""",
+    ),
+    "tfidf_apply": Query(
+        tfidf_apply, f"WITH {FITTED} SELECT doc_id, term, tf, round(tfidf, 6) AS tfidf FROM weighted"
+    ),
     "tfidf_l2": Query(tfidf, f"WITH {TFIDF} SELECT doc_id, term, tf, round(tfidf, 6) AS tfidf FROM tfidf"),
     "binarise": Query(
         binarise,

@@ -5,18 +5,19 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Normalizer
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from verbatide.operators import features as X
 from verbatide.operators import models as M
 from verbatide.operators.rowsets import keyed_split
 from verbatide.plans import cluster
-from verbatide.plans.classify import add_words, fit_and_score, text_pipeline
+from verbatide.plans.classify import add_words, fit_and_score, index_labels, text_pipeline, with_labels
 from verbatide.plans.explore import content_words
 from verbatide.session import materialise
 from workload import sql as S
-from workload.tables import Query, classed, documents, labelled, table
+from workload.feature_queries import FITTED
+from workload.tables import Query, classed, documents, labelled, lexicon, table
 
 
 def _words():
@@ -75,26 +76,132 @@ theta AS (
 
 
 def bernoulli_predict(spark, d):
-    """Present means a tf-idf weight above 0.1; fitted and applied on the labelled documents."""
-    rows = labelled(spark, d)
-    tf = X.term_frequencies(rows, "doc_id", _words())
-    count = table(spark, d, "labels", "doc_id").agg(F.count("*")).scalar()
-    weights = X.tfidf(tf, "doc_id", count)
-    values = weights.select("doc_id", "term", F.when(F.round("tfidf", 9) > 0.1, 1.0).otherwise(0.0).alias("value"))
-    values = materialise(values)  # read by the fit and by the prediction
-    model = M.fit_bernoulli(rows, "doc_id", "Sentiments", values)
+    """Present means a tf-idf weight above 0.1; fitted on the labelled documents, applied to all."""
+    values = _weights(spark, d)
+    values = values.withColumn("value", F.when(F.round("value", 9) > 0.1, 1.0).otherwise(0.0))
+    model = M.fit_bernoulli(labelled(spark, d), "doc_id", "Sentiments", values)
+    return model.predict(documents(spark, d), "doc_id", values)
+
+
+def _weights(spark, d):
+    """TF-IDF of all documents, fitted on the labelled ones. Written: fits and predictions reread it."""
+    train = labelled(spark, d)
+    fitted = X.TfIdf.fit(X.term_frequencies(train, "doc_id", _words()), train.count())
+    weights = fitted.apply(X.term_frequencies(documents(spark, d), "doc_id", _words()), "doc_id")
+    return materialise(weights.select("doc_id", "term", F.col("tfidf").alias("value")))
+
+
+def nb_tfidf_predict(spark, d):
+    """Multinomial with smoothing one on TF-IDF weights."""
+    values, rows = _weights(spark, d), labelled(spark, d)
+    model = M.fit_multinomial_values(rows, "doc_id", "Sentiments", values, 1.0)
+    return model.predict(documents(spark, d), "doc_id", values)
+
+
+NB_TFIDF_SQL = f"""
+WITH {FITTED},
+sizes AS (SELECT Sentiments, ln(count(*) / sum(count(*)) OVER ()) AS log_prior FROM labelled GROUP BY Sentiments),
+sums AS (SELECT term, Sentiments, sum(tfidf) AS s FROM weighted JOIN labelled USING (doc_id) GROUP BY term, Sentiments),
+totals AS (SELECT Sentiments, sum(s) AS total FROM sums GROUP BY Sentiments),
+theta AS (
+  SELECT d.term, t.Sentiments, ln((coalesce(s, 0) + 1) / (total + (SELECT count(*) FROM df))) AS log_p
+  FROM df d CROSS JOIN totals t LEFT JOIN sums ON sums.term = d.term AND sums.Sentiments = t.Sentiments),
+scored AS (SELECT doc_id, Sentiments, sum(tfidf * log_p) AS s FROM weighted JOIN theta USING (term) GROUP BY doc_id, Sentiments),
+scores AS (
+  SELECT d.doc_id, p.Sentiments AS prediction, log_prior + coalesce(s, 0) AS score
+  FROM documents d CROSS JOIN sizes p LEFT JOIN scored s ON s.doc_id = d.doc_id AND s.Sentiments = p.Sentiments)
+SELECT doc_id, prediction FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, prediction) AS r FROM scores) WHERE r = 1"""
+
+
+def nb_cv_exact(spark, d):
+    """Cross-validation of the exact model in keyed folds."""
+    return M.term_model_cv(labelled(spark, d), "doc_id", "Sentiments", _words(), [0.1, 1.0], 2)
+
+
+NB_CV_SQL = f"""
+WITH {S.LABELLED},
+grid(smoothing) AS (VALUES (0.1::DOUBLE), (1.0::DOUBLE)), folds(fold) AS (VALUES (0), (1)),
+rows AS (SELECT *, (('0x' || substr(md5('5043:' || doc_id), 1, 8))::BIGINT % 2)::INT AS own FROM labelled),
+words AS (SELECT doc_id, own, Sentiments, unnest({S.content('text')}) AS term FROM rows),
+counts AS (SELECT fold, Sentiments, term, count(*) AS n FROM words JOIN folds ON own <> fold GROUP BY ALL),
+sizes AS (SELECT fold, Sentiments, sum(n) AS total FROM counts GROUP BY ALL),
+vocabulary AS (SELECT DISTINCT fold, term FROM counts),
+terms AS (SELECT fold, count(*) AS v FROM vocabulary GROUP BY fold),
+members AS (SELECT fold, Sentiments, count(*) AS n FROM rows JOIN folds ON own <> fold GROUP BY ALL),
+priors AS (
+  SELECT fold, Sentiments, smoothing, ln((n + smoothing) / (sum(n) OVER w + smoothing * count(*) OVER w)) AS log_prior
+  FROM members CROSS JOIN grid WINDOW w AS (PARTITION BY fold, smoothing)),
+theta AS (
+  SELECT v.fold, v.term, s.Sentiments, smoothing, ln((coalesce(c.n, 0) + smoothing) / (s.total + smoothing * t.v)) AS log_p
+  FROM vocabulary v JOIN sizes s USING (fold) JOIN terms t USING (fold) CROSS JOIN grid
+  LEFT JOIN counts c ON c.fold = v.fold AND c.term = v.term AND c.Sentiments = s.Sentiments),
+sums AS (
+  SELECT w.doc_id, t.fold, t.Sentiments, smoothing, sum(log_p) AS s
+  FROM words w JOIN theta t ON t.term = w.term AND t.fold = w.own GROUP BY ALL),
+scores AS (
+  SELECT r.doc_id, r.own AS fold, r.Sentiments AS truth, p.Sentiments AS prediction, p.smoothing, log_prior + coalesce(s, 0) AS score
+  FROM rows r JOIN priors p ON p.fold = r.own
+  LEFT JOIN sums x ON x.doc_id = r.doc_id AND x.Sentiments = p.Sentiments AND x.smoothing = p.smoothing),
+best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, smoothing ORDER BY score DESC, prediction) AS r FROM scores)
+SELECT smoothing, fold, count(*) FILTER (WHERE truth = prediction) AS hits, count(*) AS rows
+FROM best WHERE r = 1 GROUP BY smoothing, fold"""
+
+
+def _lemma_rows(spark, d):
+    rows = materialise(add_words(classed(spark, d), "text", lexicon(spark, d)).select("doc_id", "Sentiments", "words"))
+    return rows, rows.join(table(spark, d, "labels", "doc_id"), "doc_id", "left_semi")
+
+
+def nb_lemma_predict(spark, d):
+    """Lemmas without stop words, fitted on the labelled documents, applied to all."""
+    rows, train = _lemma_rows(spark, d)
+    model = M.fit_multinomial(train, "Sentiments", F.col("words"))
+    values = X.term_frequencies(rows, "doc_id", F.col("words")).withColumnRenamed("tf", "value")
     return model.predict(rows, "doc_id", values)
 
 
+def nb_lemma_report(spark, d):
+    """Counts of label against prediction: the model's own output evaluated."""
+    truth = classed(spark, d).select("doc_id", F.col("Sentiments").alias("label"))
+    pairs = nb_lemma_predict(spark, d).join(truth, "doc_id").groupBy("label", "prediction")
+    return pairs.agg(F.count("*").alias("n"))
+
+
+def _lemma_nb_sql(final: str) -> str:
+    return f"""
+WITH {S.CLASSED}, {S.LEXICON},
+lists AS (SELECT doc_id, {S.plain('text')} AS w FROM documents),
+raw AS (SELECT doc_id, unnest(w) AS token FROM lists),
+vocabulary0 AS (SELECT DISTINCT token FROM raw),
+{S.lemma_ctes('vocabulary0', 'v', False)},
+words AS (
+  SELECT doc_id, coalesce(lemma, token) AS term FROM raw LEFT JOIN lemmas USING (token)
+  WHERE lower(coalesce(lemma, token)) NOT IN {S.STOP}),
+labelled AS (SELECT * FROM classed WHERE doc_id IN (SELECT doc_id FROM labels)),
+counts AS (SELECT Sentiments, term, count(*) AS n FROM words JOIN labelled USING (doc_id) GROUP BY ALL),
+sizes AS (SELECT Sentiments, sum(n) AS total FROM counts GROUP BY Sentiments),
+vocabulary AS (SELECT DISTINCT term FROM counts),
+priors AS (
+  SELECT Sentiments, ln((count(*) + 0.1::DOUBLE) / (sum(count(*)) OVER () + 0.1::DOUBLE * count(*) OVER ())) AS log_prior
+  FROM labelled GROUP BY Sentiments),
+theta AS (
+  SELECT v.term, s.Sentiments,
+         ln((coalesce(c.n, 0) + 0.1::DOUBLE) / (s.total + 0.1::DOUBLE * (SELECT count(*) FROM vocabulary))) AS log_p
+  FROM vocabulary v CROSS JOIN sizes s LEFT JOIN counts c ON c.term = v.term AND c.Sentiments = s.Sentiments),
+sums AS (SELECT doc_id, Sentiments, sum(log_p) AS s FROM words JOIN theta USING (term) GROUP BY doc_id, Sentiments),
+scores AS (
+  SELECT d.doc_id, p.Sentiments AS prediction, p.log_prior + coalesce(s, 0) AS score
+  FROM documents d CROSS JOIN priors p LEFT JOIN sums ON sums.doc_id = d.doc_id AND sums.Sentiments = p.Sentiments),
+best AS (
+  SELECT doc_id, prediction FROM (
+    SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, prediction) AS r FROM scores) WHERE r = 1)
+{final}"""
+
+
 BERNOULLI_SQL = f"""
-WITH {S.LABELLED},
-words AS (SELECT doc_id, unnest({S.content('text')}) AS term FROM labelled),
-tf AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
-df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-raw AS (
-  SELECT doc_id, term, tf * (ln(((SELECT count(*) FROM labels) + 1) / (df + 1)) + 1) AS w FROM tf JOIN df USING (term)),
-present AS (
-  SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 9) > 0.1 AS there FROM raw),
+WITH {FITTED},
+present AS (SELECT doc_id, term, round(tfidf, 9) > 0.1 AS there FROM weighted),
 sizes AS (SELECT Sentiments, count(*) AS n, ln(count(*) / sum(count(*)) OVER ()) AS log_prior FROM labelled GROUP BY Sentiments),
 seen AS (
   SELECT term, Sentiments, count(*) FILTER (WHERE there) AS k FROM present JOIN labelled USING (doc_id)
@@ -110,7 +217,7 @@ hits AS (
   FROM present JOIN share USING (term) WHERE there GROUP BY doc_id, Sentiments),
 scores AS (
   SELECT l.doc_id, b.Sentiments AS prediction, b.base + coalesce(hit, 0) AS score
-  FROM labelled l CROSS JOIN base b LEFT JOIN hits h ON h.doc_id = l.doc_id AND h.Sentiments = b.Sentiments)
+  FROM documents l CROSS JOIN base b LEFT JOIN hits h ON h.doc_id = l.doc_id AND h.Sentiments = b.Sentiments)
 SELECT doc_id, prediction FROM (
   SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, prediction) AS r FROM scores) WHERE r = 1"""
 
@@ -118,14 +225,26 @@ SELECT doc_id, prediction FROM (
 # Spark ML: fitted iteratively or on hashed features --------------------------------------------------
 
 
-def _train(spark, d):
+def _words_and_classes(spark, d):
     return add_words(labelled(spark, d), "text").select("doc_id", "words", "Feelings")
 
 
+def _train(spark, d):
+    rows = _words_and_classes(spark, d)
+    return with_labels(rows, index_labels(rows))
+
+
 def _score_all(model, spark, d):
     """Apply a text pipeline to all documents."""
-    rows = add_words(documents(spark, d), "text").withColumn("Feelings", F.lit("0"))
-    return model.transform(rows).select("doc_id", "prediction")
+    return model.transform(add_words(documents(spark, d), "text")).select("doc_id", "prediction")
+
+
+def scored_rows(spark, d):
+    """A class that training never saw, and rows without a label: every document gets one of the two
+    trained classes."""
+    rows = _words_and_classes(spark, d).where(F.col("Feelings") != "1")
+    model = text_pipeline(M.naive_bayes(), 6000).fit(with_labels(rows, index_labels(rows)))
+    return _score_all(model, spark, d).select("doc_id", F.col("prediction").isin(0.0, 1.0).alias("known"))
 
 
 def _fit(spark, d, classifier, width, grams=1):
@@ -148,15 +267,57 @@ def rf_predict(spark, d):
 
 def tree_dump(spark, d):
     model = _fit(spark, d, M.decision_tree(bins=40, depth=20), 2000)
-    text = M.describe_tree(model.stages[-1])
-    return spark.createDataFrame([(i, line) for i, line in enumerate(text.splitlines())], "line long, text string")
+    return M.tree_nodes(model.stages[-1])
+
+
+def dt_stump(spark, d):
+    """A tree of depth one on two small counts: the split is the one of least impurity."""
+    rows = table(spark, d, "lineitem", "l_linenumber", "l_quantity")
+    label = F.when(F.col("l_quantity") + 3 * F.col("l_linenumber") > 40, 1.0).otherwise(0.0)
+    rows = rows.withColumns({M.LABEL: label, "quantity": F.col("l_quantity").cast("double")})
+    rows = X.assembler(["l_linenumber", "quantity"], M.FEATURES).transform(rows)
+    with X.cached(rows.select(M.LABEL, M.FEATURES)) as (train,):
+        model = M.decision_tree(depth=1).fit(train)
+    return M.tree_nodes(model).select("feature", "impurity", "rows")
+
+
+STUMP_SQL = """
+WITH rows AS (
+  SELECT l_linenumber::DOUBLE AS f0, l_quantity::DOUBLE AS f1, (l_quantity + 3 * l_linenumber > 40)::INT AS y FROM lineitem),
+long AS (SELECT 0 AS feature, f0 AS x, y FROM rows UNION ALL SELECT 1, f1, y FROM rows),
+steps AS (SELECT feature, x, count(*) AS n, sum(y) AS p FROM long GROUP BY ALL),
+cuts AS (
+  SELECT feature, sum(n) OVER w AS ln, sum(p) OVER w AS lp, sum(n) OVER (PARTITION BY feature) AS n,
+         sum(p) OVER (PARTITION BY feature) AS p
+  FROM steps WINDOW w AS (PARTITION BY feature ORDER BY x)),
+best AS (
+  SELECT feature, n, p, ln, lp, 2 * (p / n) * (1 - p / n) AS g,
+         2 * (lp / ln) * (1 - lp / ln) AS lg, 2 * ((p - lp) / (n - ln)) * (1 - (p - lp) / (n - ln)) AS rg
+  FROM cuts WHERE n > ln
+  ORDER BY ln / n * lg + (n - ln) / n * rg LIMIT 1)
+SELECT feature::INT AS feature, round(g, 6) AS impurity, n::BIGINT AS rows FROM best
+UNION ALL SELECT -1, round(lg, 6), ln::BIGINT FROM best UNION ALL SELECT -1, round(rg, 6), (n - ln)::BIGINT FROM best"""
+
+
+def kmeans_nearest(spark, d):
+    """Every vector is in the cluster whose centre is nearest; distances are taken apart from the model."""
+    vectors = _embeddings(spark, d)
+    with X.cached(vectors.select(M.FEATURES)) as (rows,):
+        model = M.kmeans(5, 50).fit(rows)
+    x = vector_to_array(F.col(M.FEATURES))
+    far = []
+    for centre in model.clusterCenters():
+        c = F.array(*[F.lit(float(v)) for v in centre])
+        far.append(F.aggregate(F.zip_with(x, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda a, v: a + v))
+    own = F.element_at(F.array(*far), F.col("cluster") + 1)
+    nearest = own <= F.array_min(F.array(*far)) + 1e-9
+    return model.transform(vectors).select("vec_id", nearest.alias("nearest"))
 
 
 def bernoulli_stage(spark, d):
     """The same model as ML stages: hashed counts, idf, length one, present above 0.1."""
     train = _train(spark, d)
     stages = [
-        X.label_indexer().setHandleInvalid("skip"),
         X.hashing_tf(6000),
         X.idf("rawFeatures", "weighted"),
         Normalizer(p=2.0, inputCol="weighted", outputCol="features"),
@@ -168,7 +329,7 @@ def bernoulli_stage(spark, d):
 
 def holdout_report(spark, d):
     """Two labelled tables, the nested hold-out, and the report on the final test part."""
-    rows = _train(spark, d)
+    rows = _words_and_classes(spark, d)
     train, test = keyed_split(rows, "doc_id", [0.7, 0.3], 1)
     return fit_and_score(M.naive_bayes(0.1), train, test, "doc_id", 6000).report()
 
@@ -177,7 +338,7 @@ def _cross_validated(spark, d, estimator_of, folds):
     train = _train(spark, d)
     with X.cached(train) as (rows,):
         estimator, grid = estimator_of()
-        return M.cv_table(M.cross_validate(estimator, grid, rows, folds))
+        return M.cv_table(M.cross_validate(estimator, grid, rows, folds, key="doc_id"))
 
 
 def nb_cv(spark, d):
@@ -199,7 +360,7 @@ def nb_cv_fine(spark, d):
 def nb_width_cv(spark, d):
     def setup():
         pipeline = text_pipeline(M.naive_bayes(), 2000)
-        hashing = pipeline.getStages()[1]
+        hashing = pipeline.getStages()[0]
         return pipeline, M.grid(width=(hashing.numFeatures, [1000, 5000, 10_000, 15_000]))
 
     return _cross_validated(spark, d, setup, 2)
@@ -236,26 +397,26 @@ def rf_small(spark, d):
 
 
 def rf_balanced_cv(spark, d):
-    """Balanced class weights; depths beyond Spark's limit become the limit."""
+    """Balanced class weights; the depths of the analysis lie beyond Spark's limit, so the grid ends there."""
     weighted = M.with_class_weights(_embeddings(spark, d), M.LABEL)
     with X.cached(weighted) as (rows,):
         forest = M.random_forest(trees=5, weight="weight", seed=42)
-        depths = sorted({min(depth, M.MAX_DEPTH) for depth in (160, 190, 200)})
-        model = M.cross_validate(forest, M.grid(depth=(forest.maxDepth, depths)), rows, 2)
+        model = M.cross_validate(forest, M.grid(depth=(forest.maxDepth, [20, 25, 30])), rows, 2, key="vec_id")
         return M.cv_table(model)
 
 
 def rf_cv(spark, d):
     with X.cached(_embeddings(spark, d)) as (rows,):
         forest = M.random_forest(seed=42)
-        grid = M.grid(trees=(forest.numTrees, [20, 50]), depth=(forest.maxDepth, [10, 20, 30]))
-        return M.cv_table(M.cross_validate(forest, grid, rows, 3))
+        grid = M.grid(trees=(forest.numTrees, [200, 500]), depth=(forest.maxDepth, [10, 20, 30]))
+        return M.cv_table(M.cross_validate(forest, grid, rows, 3, key="vec_id"))
 
 
 def rf_draws_cv(spark, d):
     with X.cached(_embeddings(spark, d)) as (rows,):
-        forest = M.random_forest(depth=10, seed=42)
-        return M.cv_table(M.cross_validate(forest, M.draw_grid(forest, M.random_forest_draws()), rows, 2))
+        forest = M.random_forest(seed=42)
+        draws = M.draw_grid(forest, M.random_forest_draws())
+        return M.cv_table(M.cross_validate(forest, draws, rows, 2, key="vec_id"))
 
 
 def svm_rff_predict(spark, d):
@@ -272,16 +433,15 @@ def eliminate_features(spark, d):
     vectors = _embeddings(spark, d)
     size = table(spark, d, "embeddings", "embedding").agg(F.max(F.size("embedding"))).first()[0]
     with X.cached(vectors) as (rows,):
-        return M.eliminate_features(rows, size, keep=8, folds=2).drop("columns")
+        return M.eliminate_features(rows, size, step=8, key="vec_id").drop("columns")
 
 
 def best_params(spark, d):
     train = _train(spark, d)
     with X.cached(train) as (rows,):
         nb = M.naive_bayes()
-        model = M.cross_validate(text_pipeline(nb, 2000), M.grid(smoothing=(nb.smoothing, [0.1, 1.0])), rows, 2)
-        text = M.best_params(model)
-    return spark.createDataFrame([(line,) for line in text.splitlines()], "line string")
+        model = M.cross_validate(text_pipeline(nb, 2000), M.grid(smoothing=(nb.smoothing, [0.8, 0.3, 1.0])), rows, 2, key="doc_id")
+        return M.best_params(model)
 
 
 def kmeans_assign(spark, d):
@@ -357,5 +517,18 @@ QUERIES = {
     "eliminate_features": Query(eliminate_features),
     "best_params": Query(best_params),
     "kmeans_assign": Query(kmeans_assign),
+    "kmeans_nearest": Query(kmeans_nearest, "SELECT vec_id, true AS nearest FROM embeddings"),
+    "dt_stump": Query(dt_stump, STUMP_SQL),
+    "scored_rows": Query(scored_rows, "SELECT doc_id, true AS known FROM documents"),
+    "nb_cv_exact": Query(nb_cv_exact, NB_CV_SQL),
+    "nb_tfidf_predict": Query(nb_tfidf_predict, NB_TFIDF_SQL),
+    "nb_lemma_predict": Query(nb_lemma_predict, _lemma_nb_sql("SELECT doc_id, prediction FROM best")),
+    "nb_lemma_report": Query(
+        nb_lemma_report,
+        _lemma_nb_sql(
+            """SELECT c.Sentiments AS label, prediction, count(*) AS n FROM best JOIN classed c USING (doc_id)
+               GROUP BY c.Sentiments, prediction"""
+        ),
+    ),
     "cluster_terms": Query(cluster_terms),
 }

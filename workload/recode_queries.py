@@ -106,6 +106,15 @@ def random_split(spark, d):
     return _parts(rowsets.random_split(orders, [0.8, 0.2], 5043))
 
 
+def random_split_covers(spark, d):
+    """Every row is in exactly one part of the random split."""
+    return random_split(spark, d).groupBy("o_orderkey").agg(F.count("*").alias("parts"))
+
+
+def _step(seed: int, key: str) -> str:
+    return f"(('0x' || substr(md5('{seed}:' || {key}), 1, 8))::BIGINT % 10000)"
+
+
 def keyed_split(spark, d):
     orders = table(spark, d, "orders", "o_orderkey")
     return _parts(rowsets.keyed_split(orders, "o_orderkey", [0.7, 0.3], 69))
@@ -241,13 +250,21 @@ QUERIES = {
         "SELECT c_custkey AS id, c_name AS name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier",
     ),
     "random_split": Query(random_split),
-    "keyed_split": Query(keyed_split),
+    "random_split_covers": Query(random_split_covers, "SELECT o_orderkey, 1::BIGINT AS parts FROM orders"),
+    "keyed_split": Query(
+        keyed_split, f"SELECT o_orderkey, ({_step(69, 'o_orderkey')} >= 7000)::BIGINT AS part FROM orders"
+    ),
     "split_by_step": Query(
         split_by_step,
         """SELECT o_orderkey, (CASE WHEN o_orderkey % 10000 >= 9000 THEN 2 WHEN o_orderkey % 10000 >= 7000 THEN 1
                                ELSE 0 END)::INTEGER AS part FROM orders""",
     ),
-    "nested_holdout": Query(nested_holdout),
+    "nested_holdout": Query(
+        nested_holdout,
+        f"""WITH everything AS (SELECT o_orderkey AS id, 9000 AS cut FROM orders UNION ALL SELECT -c_custkey - 1, 8000 FROM customer)
+            SELECT id, (CASE WHEN {_step(5043, 'id')} >= cut THEN 2 WHEN {_step(5044, 'id')} >= 8000 THEN 1 ELSE 0 END)::BIGINT
+              AS part FROM everything""",
+    ),
     "split_covers": Query(
         split_covers,
         """SELECT o_orderkey AS id, 1::BIGINT AS parts FROM orders

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from verbatide.functions import recode as R
 from verbatide.functions import text as T
 from verbatide.operators.frequency import explode_words
-from verbatide.operators.sizing import spread
 
 
 @dataclass(frozen=True)
@@ -25,16 +24,26 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows dealt to as many partitions as the caller names in ``spark.verbatide.inputPartitions``.
+
+    For text tables that are one small file that Spark cannot split. Unset, nothing is moved: large tables have
+    splits enough, and their size is ``spark.sql.files.maxPartitionBytes``.
+    """
+    wanted = df.sparkSession.conf.get("spark.verbatide.inputPartitions", None)
+    return df.repartition(int(wanted)) if wanted else df
+
+
 def documents(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents", "doc_id", "text", *more))
+    return dealt(table(spark, sf_dir, "documents", "doc_id", "text", *more))
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages", "page_id", "html"))
+    return dealt(table(spark, sf_dir, "pages", "page_id", "html"))
 
 
 def conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = spread(table(spark, sf_dir, "conversations", "conv_id", "turn", "text"))
+    df = dealt(table(spark, sf_dir, "conversations", "conv_id", "turn", "text"))
     return df.select(F.concat_ws("-", "conv_id", "turn").alias("turn_id"), "text")
 
 
