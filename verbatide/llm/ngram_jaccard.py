@@ -13,8 +13,9 @@ members differs in at most ``D = floor(a (1 - t) / t)`` members.
   bound of the symmetric difference and rejects most chance meetings before sets are compared.
 * Meetings are verified on the sets. First every set is compared with the one set it meets most
   often among the smallest of its buckets; buckets whose members are then in one component are done.
-  In the others, sets of different components are compared, in blocks. So copies and dense groups cost
-  in proportion to their size, and every link that could join two components is tested.
+  In the others, sets of different components are compared, in blocks: in a second round the nearest
+  pairs, a forest over each block's components, and in a third all that still are apart. So copies and dense
+  groups cost in proportion to their size, and every link that could join two components is tested.
 * A key that holds very many sets is found on a sample, which only decides how rows are dealt: its
   rows go to many tasks, whose smallest sets are brought together afterwards.
 
@@ -246,10 +247,29 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFra
     return _with_sets(pairs, sets).select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _cross_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
+def _forest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, root: dict[int, int]) -> list[int]:
+    """Places of the pairs, nearest first, that join two components; ``root`` maps sets to components."""
+
+    def find(x: int) -> int:
+        while above.setdefault(x, x) != x:
+            above[x] = x = above[above[x]]
+        return x
+
+    above: dict[int, int] = {}
+    chosen = []
+    for place in np.argsort(apart, kind="stable").tolist():
+        x, y = find(root[a[place]]), find(root[b[place]])
+        if x != y:
+            above[x] = y
+            chosen.append(place)
+    return chosen
+
+
+def _cross_pairs(rows: DataFrame, threshold: Fraction, forest: bool) -> DataFrame:
     """Pairs of one (key, i, j) block pair that are in different components and may link.
 
-    ``rows(key, i, j, side, id, component, size, sketch)`` are dealt and sorted by block pair.
+    ``rows(key, i, j, side, id, component, size, sketch)`` are dealt and sorted by block pair. With
+    ``forest`` only the nearest pairs that would join the block's components, fewer than its sets.
     """
     part, whole = threshold.numerator, threshold.denominator
 
@@ -258,7 +278,7 @@ def _cross_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
         one_block = group["i"][0] == group["j"][0]
         others = left if one_block else np.flatnonzero(group["side"] == 1)
         words = group["sketch"]
-        found_a, found_b = [], []
+        found_a, found_b, found_apart = [], [], []
         for number, at in enumerate(left):
             right = others[number + 1 :] if one_block else others
             apart = np.bitwise_count(words[right] ^ words[at]).sum(axis=1)
@@ -269,9 +289,15 @@ def _cross_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
             hit = right[good]
             found_a.append(np.full(len(hit), group["id"][at]))
             found_b.append(group["id"][hit])
+            found_apart.append(apart[good])
         if not found_a:
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        return np.concatenate(found_a), np.concatenate(found_b)
+        a, b = np.concatenate(found_a), np.concatenate(found_b)
+        if forest and len(a) > 1:
+            root = dict(zip(group["id"].tolist(), group["component"].tolist()))
+            chosen = _forest(a, b, np.concatenate(found_apart), root)
+            a, b = a[chosen], b[chosen]
+        return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ("key", "i", "j", "side", "id", "component", "size")
@@ -310,6 +336,24 @@ def _cross_pairs(rows: DataFrame, threshold: Fraction) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def _mixed_buckets(buckets: DataFrame, chosen: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members of buckets that hold several components, as block pairs, dealt and sorted."""
+    facts = chosen.select("id", "size", "sketch").join(joined, "id", "left")
+    facts = scratch.store(facts.withColumn("component", F.coalesce("component", "id")), "facts")
+    members = buckets.select("key", "id").join(facts.select("id", "component"), "id")
+    mixed = members.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
+    )
+    mixed = mixed.where(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    rows = members.select("key", "id").join(mixed, "key").withColumn("own", own)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    first, second = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    rows = rows.select("key", "id", first, second, (F.col("own") > F.col("other")).cast("int").alias("side"))
+    rows = rows.join(facts, "id").select("key", "i", "j", "side", "id", "component", "size", "sketch")
+    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def link_classes(
     docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -346,25 +390,14 @@ def link_classes(
     links = scratch.store(_verified(first.distinct(), sets, threshold), "links")
     joined = scratch.store(components(links, scratch), "components")
 
-    # Second round: buckets that still hold several components, all their pairs across components.
-    facts = chosen.select("id", "size", "sketch").join(joined, "id", "left")
-    facts = scratch.store(facts.withColumn("component", F.coalesce("component", "id")), "facts")
-    members = buckets.select("key", "id").join(facts.select("id", "component"), "id")
-    mixed = members.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-    )
-    mixed = mixed.where(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows2 = members.select("key", "id").join(mixed, "key").withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    rows2 = rows2.withColumn("other", other).select(
-        "key", "id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), (F.col("own") > F.col("other")).cast("int").alias("side")
-    )
-    rows2 = rows2.join(facts, "id").select("key", "i", "j", "side", "id", "component", "size", "sketch")
-    rows2 = rows2.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    second = scratch.store(_cross_pairs(rows2, threshold).distinct(), "pairs")
-    more = _verified(second, sets, threshold)
-    final = scratch.store(components(links.unionByName(more), scratch), "components")
+    # Second round: in each bucket the nearest pairs that would join its components. Third: all pairs
+    # of sets that are still in different components.
+    for forest in (True, False):
+        rows2 = _mixed_buckets(buckets, chosen, joined, scratch)
+        pairs = scratch.store(_cross_pairs(rows2, threshold, forest).distinct(), "pairs")
+        links = scratch.store(links.unionByName(_verified(pairs, sets, threshold)), "links")
+        joined = scratch.store(components(links, scratch), "components")
+    final = joined
 
     # Set to smallest document, component to smallest document, back to all documents.
     per_set = sketched.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
