@@ -77,6 +77,12 @@ class LineRuns:
         key = F.coalesce(F.col("a.key"), F.col("b.key")).alias("key")
         return joined.select(key, n.alias("n_docs"), F.greatest("a.last", "b.last").alias("last"))
 
+    def drop(self) -> None:
+        """Delete all runs."""
+        for run in filter(None, self.levels):
+            self._drop(run)
+        self.levels = []
+
     def fresh(self, batch: DataFrame) -> DataFrame:
         """The rows of ``batch`` whose ``key`` is in no run."""
         for run in filter(None, self.levels):
@@ -137,6 +143,9 @@ def dedup_lines(
     others = places.join(F.broadcast(hot.select("key")), "key", "left_anti")
     rare = others.join(cold.select("key", "last"), "key").where(elsewhere)
     dropped = common.unionByName(rare).groupBy("_id", "_text").agg(F.collect_set("_at").alias("_drop"))
+    dropped = scratch.store(dropped, "dropped")  # what the result reads besides the documents
+    scratch.drop(held, shared)
+    runs.drop()
     found = docs.withColumn("_same", identity).join(
         dropped, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_same") == F.col("_text")), "left"
     )
