@@ -225,15 +225,37 @@ def _buckets(sketched: DataFrame) -> DataFrame:
     return ranked.where(crowd | (F.col("rep") != F.col("top"))).select("key", "id", "rep", crowd.alias("crowd")).distinct()
 
 
-def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    one = sets.select(F.col("id").alias("a"), F.col("members").alias("left"))
-    two = sets.select(F.col("id").alias("b"), F.col("members").alias("right"))
-    return pairs.join(one, "a").join(two, "b")
+def _near(pairs: DataFrame, facts: DataFrame, threshold: Fraction) -> DataFrame:
+    """The pairs (a, b) whose sketches allow a link."""
+    part, whole = threshold.numerator, threshold.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
+                for c in ("left", "right")
+            )
+            apart = np.bitwise_count(one ^ two).sum(axis=1)
+            small = batch.column("small").to_numpy()
+            good = apart <= small * (whole - part) // part
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    one = facts.select(F.col("id").alias("a"), F.col("size").alias("n"), F.col("sketch").alias("left"))
+    two = facts.select(F.col("id").alias("b"), F.col("size").alias("m"), F.col("sketch").alias("right"))
+    both = pairs.join(one, "a").join(two, "b")
+    return both.select("a", "b", F.least("n", "m").alias("small"), "left", "right").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
-    """The pairs (a, b) whose sets link."""
+def _verified(
+    pairs: DataFrame, rows: DataFrame, chosen: DataFrame, n: int, threshold: Fraction, scratch: Scratch
+) -> DataFrame:
+    """The pairs (a, b) whose sets link. Only the texts of sets in ``pairs`` are cut again."""
     part, whole = threshold.numerator, threshold.denominator
+    ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    wanted = scratch.store(chosen.join(ids, "id", "left_semi").select("id", "doc_id"), "wanted")
+    few = wanted.count() <= BROADCAST_IDS
+    found = rows.join(F.broadcast(wanted) if few else wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]))
+    sets = scratch.store(_member_sets(found.select("id", "text"), n), "sets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +266,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFra
                 good.append(whole * both >= part * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return _with_sets(pairs, sets).select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
+    one = sets.select(F.col("id").alias("a"), F.col("members").alias("left"))
+    two = sets.select(F.col("id").alias("b"), F.col("members").alias("right"))
+    joined = pairs.join(one, "a").join(two, "b").select("a", "b", "left", "right")
+    links = scratch.store(joined.mapInArrow(run, "a long, b long"), "links")
+    scratch.drop(wanted, sets)
+    return links
 
 
 def _forest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, root: dict[int, int]) -> list[int]:
@@ -370,15 +397,11 @@ def link_classes(
     sketched = scratch.store(_sketch(rows, n, threshold), "sketches")
     buckets = scratch.store(_buckets(sketched), "buckets")
 
-    # Texts of the sets that meet another, one document each.
+    # The sets that meet another, with one document each to read their text from.
     met = buckets.select("id").distinct()
     chosen = sketched.where(F.col("keys").isNotNull()).join(met, "id", "left_semi")
     chosen = chosen.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.max("sketch").alias("sketch"))
     chosen = scratch.store(chosen, "chosen")
-    few = chosen.count() <= BROADCAST_IDS
-    wanted = chosen.select("id", "doc_id")
-    found = rows.join(F.broadcast(wanted) if few else wanted, rows["doc_id"].eqNullSafe(wanted["doc_id"]))
-    sets = scratch.store(_member_sets(found.select("id", "text"), n), "sets")
 
     # First round: each set with the set it meets most often; shares of a crowded key with each other.
     ties = buckets.where(F.col("id") != F.col("rep")).groupBy("id", "rep").agg(F.count("*").alias("n"))
@@ -387,7 +410,8 @@ def link_classes(
     tops = crowd.groupBy("key").agg(F.min("rep").alias("top"))
     across = crowd.join(tops, "key").where(F.col("rep") != F.col("top")).select(F.col("rep").alias("id"), F.col("top").alias("rep"))
     first = best.select("id", "rep").unionByName(across).select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b"))
-    links = scratch.store(_verified(first.distinct(), sets, threshold), "links")
+    near = scratch.store(_near(first.distinct(), chosen, threshold), "pairs")
+    links = _verified(near, rows, chosen, n, threshold, scratch)
     joined = scratch.store(components(links, scratch), "components")
 
     # Second round: in each bucket the nearest pairs that would join its components. Third: all pairs
@@ -395,7 +419,7 @@ def link_classes(
     for forest in (True, False):
         rows2 = _mixed_buckets(buckets, chosen, joined, scratch)
         pairs = scratch.store(_cross_pairs(rows2, threshold, forest).distinct(), "pairs")
-        links = scratch.store(links.unionByName(_verified(pairs, sets, threshold)), "links")
+        links = links.unionByName(_verified(pairs, rows, chosen, n, threshold, scratch))
         joined = scratch.store(components(links, scratch), "components")
     final = joined
 
