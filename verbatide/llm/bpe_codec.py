@@ -18,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -289,7 +290,7 @@ def decode_ids(df: DataFrame, vocabulary: str, ids: str = "ids", name: str = "de
     """Adds the text of the ids, null for null ids."""
 
     @F.pandas_udf("string")
-    def decode(batches):
+    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         codec = BpeCodec(vocabulary)
         for batch in batches:
             yield batch.map(codec.decode, na_action="ignore")

@@ -140,7 +140,7 @@ class Gru:
         The stream is cut into lanes that run side by side; the state is carried from window to
         window and set to zero where a text starts.
         """
-        lanes = max(1, min(LANES, len(stream) // (4 * WINDOW)))
+        lanes = max(1, min(LANES, len(stream) // (64 * WINDOW)))  # at least 64 windows
         length = -(-len(stream) // lanes)
         pad = lanes * length - len(stream)
         ids = np.append(stream, np.zeros(pad, stream.dtype)).reshape(lanes, length)

@@ -124,7 +124,7 @@ class LanguageModel:
                 states[:, s[1], s[0]] = number[(k, context)]
             elif k == 3:
                 states[s[2], s[1], s[0]] = number[(k, context)]
-        return cls(list(languages), symbol, size, states.reshape(-1), table.reshape(-1, count))
+        return cls(list(languages), symbol, size, states.reshape(-1), table.reshape(len(contexts) * size, count))
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text in each language."""
