@@ -11,8 +11,9 @@ import numpy as np
 
 HIDDEN = 16
 WIDTH = 32  # entries of a class with several
-LANES = 256  # texts or stretches that run side by side in training
+LANES = 512  # texts or stretches that run side by side in training
 WINDOW = 16  # steps of truncated backpropagation
+STRETCH = 32  # steps scored at a time
 RATE = 0.01
 CLIP = 1.0
 
@@ -21,9 +22,16 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * x))
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def softmax(x: np.ndarray) -> np.ndarray:
+    x = np.exp(x - x.max(axis=1, keepdims=True))
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
+def log_picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log of the softmax of each row at one place."""
+    top = x.max(axis=1)
+    return x[np.arange(len(x)), at] - top - np.log(np.exp(x - top[:, None]).sum(axis=1))
 
 
 class Gru:
@@ -90,14 +98,14 @@ class Gru:
     def log_prob(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log of each entry's probability after the states ``h``."""
         kind = self.class_of(ids)
-        out = log_softmax(h @ self.p["classes"] + self.p["class_bias"])[np.arange(len(ids)), kind]
+        out = log_picked(h @ self.p["classes"] + self.p["class_bias"], kind)
         order = np.argsort(kind, kind="stable")
         cuts = np.searchsorted(kind[order], np.arange(self.groups + 1))
         for group in range(self.groups):
             rows = order[cuts[group] : cuts[group + 1]]
             if len(rows):
-                inside = log_softmax(h[rows] @ self.p["words"][group] + self.p["word_bias"][group])
-                out[rows] += inside[np.arange(len(rows)), ids[rows] % WIDTH]
+                inside = h[rows] @ self.p["words"][group] + self.p["word_bias"][group]
+                out[rows] += log_picked(inside, ids[rows] % WIDTH)
         return out
 
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
@@ -109,9 +117,9 @@ class Gru:
             rows, sizes = order[low : low + 1024], lengths[low : low + 1024]
             h = np.zeros((len(rows), HIDDEN), np.float32)
             last = np.full(len(rows), self.begin)
-            for at in range(0, int(sizes.max(initial=0)), WINDOW):
+            for at in range(0, int(sizes.max(initial=0)), STRETCH):
                 states, wanted, owner = [], [], []
-                for step in range(at, min(at + WINDOW, int(sizes[0]))):
+                for step in range(at, min(at + STRETCH, int(sizes[0]))):
                     live = int(np.searchsorted(-sizes, -step, side="left"))  # sizes fall
                     h = self.step(last[:live], h[:live])[0]
                     last = self._column(texts, rows, step, live, at)
@@ -127,9 +135,9 @@ class Gru:
     def _column(self, texts: list[np.ndarray], rows: np.ndarray, step: int, live: int, at: int) -> np.ndarray:
         """The ids at ``step`` of the first ``live`` rows, from a window cut once."""
         if self._held is None or self._held[0] != (id(texts), int(rows[0]), at):
-            cut = np.zeros((live, WINDOW), np.int64)
+            cut = np.zeros((live, STRETCH), np.int64)
             for k in range(live):
-                part = texts[rows[k]][at : at + WINDOW]
+                part = texts[rows[k]][at : at + STRETCH]
                 cut[k, : len(part)] = part
             self._held = ((id(texts), int(rows[0]), at), cut)
         return self._held[1][:live, step - at]
@@ -166,9 +174,10 @@ class Gru:
         flat, wanted = np.concatenate(states), ids.T.reshape(-1)
         g = {name: np.zeros_like(v) for name, v in p.items()}
         kind = self.class_of(wanted)
-        d = np.exp(log_softmax(flat @ p["classes"] + p["class_bias"]))
+        d = softmax(flat @ p["classes"] + p["class_bias"])
         d[np.arange(len(d)), kind] -= 1.0
-        d *= weight[:, None] / n
+        share = (weight / n).astype(np.float32)
+        d *= share[:, None]
         g["classes"], g["class_bias"] = flat.T @ d, d.sum(axis=0)
         dh_out = d @ p["classes"].T
         order = np.argsort(kind, kind="stable")
@@ -176,29 +185,31 @@ class Gru:
         for group in range(self.groups):
             rows = order[cuts[group] : cuts[group + 1]]
             if len(rows):
-                d = np.exp(log_softmax(flat[rows] @ p["words"][group] + p["word_bias"][group]))
+                d = softmax(flat[rows] @ p["words"][group] + p["word_bias"][group])
                 d[np.arange(len(rows)), wanted[rows] % WIDTH] -= 1.0
-                d *= weight[rows, None] / n
+                d *= share[rows, None]
                 g["words"][group], g["word_bias"][group] = flat[rows].T @ d, d.sum(axis=0)
                 dh_out[rows] += d @ p["words"][group].T
         dh_out = dh_out.reshape(steps, lanes, HIDDEN)
         dh, dx = np.zeros((lanes, HIDDEN), np.float32), np.zeros((steps, lanes, 3 * HIDDEN), np.float32)
         for t in range(steps - 1, -1, -1):
-            _, prior, z, r, rh, c = kept[t]
-            dh = dh + dh_out[t]
-            dc = dh * z * (1 - c * c)
+            _, prior, z, r, _, c = kept[t]
+            dh += dh_out[t]
+            dz, dr, dc = dx[t, :, :HIDDEN], dx[t, :, HIDDEN : 2 * HIDDEN], dx[t, :, 2 * HIDDEN :]
+            rest = 1 - z
+            np.multiply(dh * z, 1 - c * c, out=dc)
             drh = dc @ p["candidate"].T
-            dz = dh * (c - prior) * z * (1 - z)
-            dr = drh * prior * r * (1 - r)
-            dzr = np.concatenate([dz, dr], axis=1)
-            g["candidate"] += rh.T @ dc
-            g["gates"] += prior.T @ dzr
-            dx[t, :, : 2 * HIDDEN], dx[t, :, 2 * HIDDEN :] = dzr, dc
-            dh = (dh * (1 - z) + drh * r + dzr @ p["gates"].T) * ~first[:, t, None]
+            np.multiply(dh * (c - prior), z * rest, out=dz)
+            np.multiply(drh * prior, r * (1 - r), out=dr)
+            dh = dh * rest + drh * r + dx[t, :, : 2 * HIDDEN] @ p["gates"].T
+            dh *= ~first[:, t, None]
+        dx = dx.reshape(-1, 3 * HIDDEN)
+        g["candidate"] = np.concatenate([k[4] for k in kept]).T @ dx[:, 2 * HIDDEN :]
+        g["gates"] = np.concatenate([k[1] for k in kept]).T @ dx[:, : 2 * HIDDEN]
         used = before.T.reshape(-1)
         order = np.argsort(used, kind="stable")
         marks = np.flatnonzero(np.append(True, np.diff(used[order]) != 0))
-        g["inputs"][used[order][marks]] = np.add.reduceat(dx.reshape(-1, 3 * HIDDEN)[order], marks, axis=0)
+        g["inputs"][used[order][marks]] = np.add.reduceat(dx[order], marks, axis=0)
         optimiser.update(p, g)
         return h
 
@@ -208,12 +219,12 @@ class Adam:
         self.rate, self.t, self.m, self.v = rate, 0, {}, {}
 
     def update(self, p: dict[str, np.ndarray], g: dict[str, np.ndarray]) -> None:
-        norm = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
+        norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
         scale = np.float32(min(1.0, CLIP / (norm + 1e-12)))
         self.t += 1
         rate = np.float32(self.rate * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t))
         for name, grad in g.items():
-            grad = grad * scale
+            grad *= scale
             if name not in self.m:
                 self.m[name], self.v[name] = np.zeros_like(grad), np.zeros_like(grad)
             m, v = self.m[name], self.v[name]

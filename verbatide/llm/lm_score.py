@@ -19,6 +19,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ ENTRIES = 1024  # the end of a text and the commonest training words
 OTHERS = 32
 LISTED = 1 << 17
 ROUNDS = 2
-_COUNTED = 200_000  # distinct words that a task holds before it passes their counts on
+_COUNTED = 500_000  # distinct words that a task holds before it passes their counts on
 _STREAM = 1 << 20  # training tokens taken at a time
 
 
@@ -86,8 +87,7 @@ class Vocabulary:
 
     def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """(entry ids with the end, places of listed words, the words that are not listed)."""
-        get = self.listed.get
-        place = np.array([get(w, -1) for w in words], np.int64)
+        place = np.fromiter(map(self.listed.get, words, repeat(-1)), np.int64, len(words))
         ids = np.zeros(len(words) + 1, np.int64)
         known = place >= 0
         if len(words):
