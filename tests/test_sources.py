@@ -24,7 +24,7 @@ def test_latin1_csv_with_quotes_and_line_breaks(spark):
     save_csv(df, df.columns, path, {"encoding": "ISO-8859-1", "nullValue": "\\N"})
     raw = b"".join(open(os.path.join(path, f), "rb").read() for f in os.listdir(path) if f.endswith(".csv"))
     assert b"caf\xe9" in raw
-    back = read_source(spark, "csv", path, schemas.TEXTS_FIVE_LEVEL, {"nullValue": "\\N"})
+    back = read_source(spark, "csv", path, schemas.TEXTS_FIVE_LEVEL, {"nullValue": "\\N", **LATIN_1})
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(TWEETS, key=repr)
 
 

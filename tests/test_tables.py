@@ -120,7 +120,7 @@ def test_salts_spread_the_hot_key(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        joined = lookup_join(facts, lookup, "k").withColumn("p", F.spark_partition_id())
+        joined = lookup_join(facts, lookup, "k", least=100).withColumn("p", F.spark_partition_id())
         sizes = [r["count"] for r in joined.groupBy("p").count().collect()]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
