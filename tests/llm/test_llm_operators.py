@@ -546,6 +546,9 @@ def test_masks_hold_for_any_two_changes():
 
     for bad in combinations(range(13), 2):
         assert any(all(i + o not in bad for o in m) for m in decontaminate.MASKS for i in range(13 - m[-1]))
+    for size in range(decontaminate.LEAST_WORDS, 13):
+        for bad in combinations(range(size), size // 5):
+            assert any(all(i + o not in bad for o in m) for m in decontaminate.SHORT_MASKS for i in range(size - m[-1]))
 
 
 # 9 -----------------------------------------------------------------------------------------------

@@ -5,7 +5,8 @@ words of every window of the benchmark are joined with those of every window of
 fixes an alignment of an item with a text, which is then compared word by word: the pair is reported
 when some stretch of ``window`` aligned words (the whole item, if shorter) has at least ``share`` of
 its words equal, so a passage is found although words in it were replaced. With the default masks
-every such stretch of 13 words holds a hit wherever its two other words are.
+every such stretch of 13 words holds a hit wherever its two other words are; items of fewer words have masks of
+their own, with the same property for 8 to 12 words.
 
 SQL functions only. Window hashes of the texts are made within one generated stage and probe the
 broadcast seeds there, so neither texts nor windows are shuffled; only aligned stretches of hits are.
@@ -21,7 +22,9 @@ from pyspark.sql import functions as F
 from verbatide.llm.common import LOWER, UPPER
 
 MASKS = ((0, 1, 4, 6, 7), (0, 1, 3, 7, 8))
+SHORT_MASKS = ((0, 1, 2, 3), (0, 1, 3, 4))  # for items shorter than the window
 WINDOW = 13
+LEAST_WORDS = 8  # shorter items are too common to be told from chance
 SHARE = (4, 5)
 BROADCAST_WORDS = 1_000_000  # benchmark words up to which its seeds are broadcast
 
@@ -32,12 +35,12 @@ def word_hashes(text: Column) -> Column:
     return F.transform(F.filter(cut, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(rows: DataFrame, words: str, place: str, keep: Sequence[str], masks: Sequence[Sequence[int]]) -> DataFrame:
-    """A row per window and mask: ``place`` and the hash ``seed``."""
+def _seeds(rows: DataFrame, words: str, place: str, keep: Sequence[str], masks: Sequence[tuple[int, Sequence[int]]]) -> DataFrame:
+    """A row per window and numbered mask: ``place`` and the hash ``seed``."""
     at = F.explode_outer(F.sequence(F.lit(0), F.size(words) - 1)).alias(place)
     placed = rows.where(F.size(words) > 0).select(*keep, words, at)
     hashes = []
-    for number, mask in enumerate(masks):
+    for number, mask in masks:
         picked = [F.get(F.col(words), F.col(place) + offset) for offset in mask]
         # A window that runs over the end has no word there.
         hashes.append(F.when(picked[-1].isNotNull(), F.xxhash64(F.lit(number), *picked)))
@@ -52,26 +55,30 @@ def find_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
     masks: Sequence[Sequence[int]] = MASKS,
+    short_masks: Sequence[Sequence[int]] = SHORT_MASKS,
     window: int = WINDOW,
     share: tuple[int, int] = SHARE,
 ) -> DataFrame:
     """(doc_id, item_id, n_equal, n_window, first_word): benchmark items found in documents.
 
     One row per document and item: the best stretch, the earliest in the text among equals, with
-    its number of equal words and its first word's place in the text. Texts that are null, or
-    shorter than the shortest mask, and items shorter than that, have no rows. Rows with one id are
+    its number of equal words and its first word's place in the text. Null and empty
+    texts and items of fewer than ``LEAST_WORDS`` words have no rows. Rows with one id are
     one document, null ids too; of repeated item ids each text counts. Other columns are not read.
     """
-    spans = sorted(mask[-1] + 1 for mask in masks)
     items = benchmark.select(F.col(item_id).alias("item_id"), word_hashes(F.col(item_text)).alias("item"))
-    items = items.where(F.size("item") >= spans[0]).distinct()
-    n_words = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0)).alias("n")).first()["n"]
-    seeds = _seeds(items, "item", "item_at", ["item_id"], masks)
+    items = items.where(F.size("item") >= LEAST_WORDS).distinct()
+    short = F.size("item") < window
+    facts = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0)).alias("n"), F.count_if(short).alias("short")).first()
+    small = facts["n"] <= BROADCAST_WORDS
+    used = list(enumerate([*masks, *short_masks]))
+    usual, extra = used[: len(masks)], used[len(masks) :] if facts["short"] else []
+    seeds = _seeds(items.where(~short), "item", "item_at", ["item_id"], usual)
+    if extra:
+        seeds = seeds.unionByName(_seeds(items.where(short), "item", "item_at", ["item_id"], extra))
     seeds = seeds.select("item_id", "item_at", "seed", F.xxhash64("item").alias("same"), F.size("item").alias("m")).distinct()
-    small = n_words <= BROADCAST_WORDS
-    windows = _seeds(
-        docs.select(F.col(doc_id).alias("doc_id"), word_hashes(F.col(text)).alias("words")), "words", "at", ["doc_id"], masks
-    )
+    cut = docs.select(F.col(doc_id).alias("doc_id"), word_hashes(F.col(text)).alias("words"))
+    windows = _seeds(cut, "words", "at", ["doc_id"], usual + extra)
     hits = windows.join(F.broadcast(seeds) if small else seeds, "seed")
     # Item word j lies at text word start + j; the words between are cut out here, where both are at hand.
     start = (F.col("at") - F.col("item_at")).alias("start")
