@@ -284,8 +284,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     # Anchors with several contexts, a single one among them: compare the contexts' bytes.
     several = contexts.groupBy("anchor").agg(F.count("*").alias("m"), F.max(F.col("single").cast("int")).alias("any"))
-    several = several.where((F.col("m") > 1) & (F.col("any") == 1)).select("anchor", "m")
-    chosen = contexts.join(several, "anchor").select("anchor", "context", "single", "m", "one.th", "one.at")
+    several = scratch.store(several.where((F.col("m") > 1) & (F.col("any") == 1)).select("anchor", "m"), "several")
+    crowds = several.select("anchor", F.col("m").alias("n"))
+    chosen = lookup_join(contexts, several, "anchor", crowds).select("anchor", "context", "single", "m", "one.th", "one.at")
     chosen = scratch.store(chosen, "chosen")
     places = chosen.groupBy("th").agg(F.collect_list(F.struct("anchor", "context", "single", "m", "at")).alias("places"))
     small = chosen.count() <= BROADCAST_ROWS
