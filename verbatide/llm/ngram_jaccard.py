@@ -9,8 +9,9 @@ members differs in at most ``D = floor(a (1 - t) / t)`` members.
   with members meet by their key; where only empty segments agree there are two of them, and each
   set also emits a key per pair of its empty segments. Bands with ``D = 1`` take the XOR of the whole set and
   the XORs that lack one member. Bands with ``D = 0`` need no key: equal sets are one set throughout.
-* A further 1024-bit parity sketch has one bit toggled per member: its Hamming distance is a lower
-  bound of the symmetric difference and rejects most chance meetings before sets are compared.
+* A further parity sketch has one bit toggled per member: its Hamming distance is a lower bound of the
+  symmetric difference and rejects most chance meetings before sets are compared. It has about as many bits as
+  the set has members, or a chance meeting of large sets would pass; the longer of two is folded to the shorter by XOR.
 * Meetings are verified on the sets. First every set is compared with the one set it meets most
   often among the smallest of its buckets; buckets whose members are then in one component are done.
   In the others, sets of different components are compared, in blocks: in a second round the nearest
@@ -39,7 +40,7 @@ from verbatide.llm.components import components
 from verbatide.operators.skew import lookup_join
 
 BAND = 1.25  # sizes of one band differ by at most this factor, or by 1 / threshold if that is more
-SKETCH_BITS = 1024
+SKETCH_BITS, MOST_BITS = 1024, 1 << 16  # smallest and largest parity sketch
 CACHED_WORDS = 400_000  # word hashes kept by a task
 SEEN_SETS = 1_000_000  # sets that a task remembers to have sketched
 BLOCK = 512  # sets of one bucket compared at a time
@@ -152,8 +153,21 @@ def segment_keys(members: np.ndarray, low: int, distance: int) -> np.ndarray:
 
 
 def parity_sketch(members: np.ndarray) -> bytes:
-    bits = np.bincount((members & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS) & 1
-    return np.packbits(bits.astype(np.uint8)).tobytes()
+    bits = SKETCH_BITS
+    while bits < len(members) and bits < MOST_BITS:
+        bits *= 2
+    odd = np.bincount((members & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of 64-bit words, all folded to the shortest."""
+    width = min(map(len, sketches)) // 8
+    rows = np.empty((len(sketches), width), np.uint64)
+    for at, sketch in enumerate(sketches):
+        words = np.frombuffer(sketch, np.uint64)
+        rows[at] = words if len(words) == width else np.bitwise_xor.reduce(words.reshape(-1, width), axis=0)
+    return rows
 
 
 def _name(members: bytes) -> int:
@@ -231,11 +245,11 @@ def _near(pairs: DataFrame, facts: DataFrame, threshold: Fraction) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            one, two = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, SKETCH_BITS // 64)
-                for c in ("left", "right")
-            )
-            apart = np.bitwise_count(one ^ two).sum(axis=1)
+            apart = []
+            for pair in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
+                one, two = folded(list(pair))
+                apart.append(int(np.bitwise_count(one ^ two).sum()))
+            apart = np.array(apart, np.int64)
             small = batch.column("small").to_numpy()
             good = apart <= small * (whole - part) // part
             yield batch.select(["a", "b"]).filter(pa.array(good))
@@ -304,7 +318,7 @@ def _cross_pairs(rows: DataFrame, threshold: Fraction, forest: bool) -> DataFram
         left = np.flatnonzero(group["side"] == 0)
         one_block = group["i"][0] == group["j"][0]
         others = left if one_block else np.flatnonzero(group["side"] == 1)
-        words = group["sketch"]
+        words = folded(group["sketch"].tolist())
         found_a, found_b, found_apart = [], [], []
         for number, at in enumerate(left):
             right = others[number + 1 :] if one_block else others
@@ -343,8 +357,8 @@ def _cross_pairs(rows: DataFrame, threshold: Fraction, forest: bool) -> DataFram
 
         for batch in batches:
             data = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in names}
-            raw = b"".join(batch.column("sketch").to_pylist())
-            data["sketch"] = np.frombuffer(raw, np.uint64).reshape(len(batch), SKETCH_BITS // 64)
+            data["sketch"] = np.empty(len(batch), object)
+            data["sketch"][:] = batch.column("sketch").to_pylist()
             if held is not None:
                 data = {k: np.concatenate([held[k], v]) for k, v in data.items()}
             new = np.zeros(len(data["key"]), bool)
