@@ -490,6 +490,63 @@ def test_base_scores_by_brute_force_and_model_beats_them(spark, monkeypatch):
     assert all(r["n_known"] == 0 and r["train_tokens"] == 0 and math.isfinite(r["score"]) for r in untaught)
 
 
+def test_gru_with_blocks_of_rare_classes(monkeypatch):
+    """Probabilities add up, gradients agree with slopes, and one step changes only rows that it touched."""
+    monkeypatch.setattr(gru, "LANES", 1)
+    monkeypatch.setattr(gru, "HEADS", 2)
+    monkeypatch.setattr(gru, "SPAN", 3)
+    net = gru.Gru(300, 3)
+    assert (net.heads, net.blocks) == (2, 3)
+    counts = np.arange(303, 0, -1)
+    net.start_at(counts)
+    state = np.random.default_rng(1).standard_normal((1, gru.HIDDEN)).astype(np.float32)
+    at_rest = np.exp(net.log_prob(np.zeros((303, gru.HIDDEN), np.float32), np.arange(303)))
+    assert at_rest == pytest.approx((counts + 0.5) / (counts + 0.5).sum(), rel=1e-3)
+    assert np.exp(net.log_prob(np.repeat(state, 303, 0), np.arange(303))).sum() == pytest.approx(1, abs=1e-5)
+    stream = np.append(np.random.default_rng(2).integers(0, 303, 13), [290, 290, 100])
+    starts = np.zeros(16, bool)
+    starts[[0, 9]] = True
+    kept = {}
+
+    class Keep:
+        def update(self, p, g):
+            kept.update({k: v.copy() for k, v in g.items()})
+
+    net.train(stream, starts, Keep())
+
+    def loss():
+        return -net.score([stream[:9], stream[9:]]).sum() / 16
+
+    for name in net.SHAPES:
+        for place in np.argsort(-np.abs(kept[name]).ravel())[:3]:
+            place = np.unravel_index(place, kept[name].shape)
+            old = net.p[name][place]
+            net.p[name][place] = old + 0.02
+            above = loss()
+            net.p[name][place] = old - 0.02
+            slope = (above - loss()) / 0.04
+            net.p[name][place] = old
+            assert slope == pytest.approx(kept[name][place], rel=0.05, abs=1e-4)
+    before = {k: v.copy() for k, v in net.p.items()}
+    net.train(stream, starts, gru.Adam())
+    met = set((stream[stream < 300] // gru.WIDTH).tolist())
+    changed = (net.p["words"] != before["words"]).any(axis=(1, 2))
+    assert set(np.flatnonzero(changed).tolist()) == met
+    again = gru.Gru(300, 3)
+    again.load(net.flat())
+    assert all((again.p[k] == v).all() for k, v in net.p.items())
+
+
+def test_entries_cover_the_stated_share_of_training_words(spark):
+    """Words that outnumber any fixed list of entries are entries as far as the coverage goes."""
+    texts = [" ".join(f"w{i % 3000}" for i in range(low, low + 100)) for low in range(0, 6000, 100)]
+    rows = docs_of(spark, texts).select("doc_id", "text", F.lit(True).alias("train"))
+    known = lm_score.build_vocabulary(lm_score.word_counts(rows, "text", "train"), len(texts))
+    assert known.entries == 1 + math.ceil(lm_score.COVERAGE * 3000) == 2401
+    assert known.entry_counts[1 : known.entries].sum() >= lm_score.COVERAGE * 6000
+    assert known.entry_counts.sum() == 6000 + len(texts)
+
+
 # 8 -----------------------------------------------------------------------------------------------
 
 

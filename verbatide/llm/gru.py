@@ -1,20 +1,28 @@
 """A gated recurrent word model in numpy: truncated backpropagation, class-factored softmax.
 
 An entry is a frequent word, the end of a text, or a class of all other words. The softmax is
-factored: first the class of the entry, then the entry among the ``WIDTH`` of its class. Classes of
-other words have one entry; the word within such a class is the caller's matter.
+factored: first the class of the entry, then the entry among the ``WIDTH`` of its class. Entries are
+numbered by falling frequency. Classes beyond the first ``HEADS`` are reached in one step more: ``SPAN`` of them
+form a block, and the first softmax is over classes and blocks, so it grows by one place for ``SPAN * WIDTH`` entries.
+Classes of other words have one entry; the word within such a class is the caller's matter.
+A window touches few of the rare entries, and only what it touched is updated.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 HIDDEN = 16
 WIDTH = 32  # entries of a class with several
+HEADS = 32  # classes that the first softmax holds themselves
+SPAN = 64  # classes of a block
 LANES = 512  # texts or stretches that run side by side in training
 WINDOW = 16  # steps of truncated backpropagation
 STRETCH = 32  # steps scored at a time
 RATE = 0.01
+_GATHERED = 4096  # classes whose weights are gathered at a time
 CLIP = 1.0
 
 
@@ -34,18 +42,29 @@ def log_picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
     return x[np.arange(len(x)), at] - top - np.log(np.exp(x - top[:, None]).sum(axis=1))
 
 
+class Gradients(dict):
+    """A gradient for each parameter; ``rows`` names the rows that can differ from zero, for the large ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.rows: dict[str, np.ndarray] = {}
+
+
 class Gru:
     """``entries`` entries lie in classes of ``WIDTH``; ``others`` further classes have one entry each.
 
-    Entry ids: 0 to entries - 1, then the classes of other words.
+    Entry ids: 0 to entries - 1, then the classes of other words. Places of the first softmax: the
+    first classes, the classes of other words, the blocks.
     """
 
-    SHAPES = ("inputs", "gates", "candidate", "classes", "class_bias", "words", "word_bias")
+    SPARSE = ("inputs", "words", "word_bias")
 
     def __init__(self, entries: int, others: int, seed: int = 7):
         self.entries, self.others = entries, others
         self.groups = -(-entries // WIDTH)
-        count, h = self.groups + others, HIDDEN
+        self.heads = min(self.groups, HEADS)
+        self.blocks = -(-(self.groups - self.heads) // SPAN)
+        count, h = self.heads + others + self.blocks, HIDDEN
         rng = np.random.default_rng(seed)
 
         def small(*shape: int) -> np.ndarray:
@@ -60,13 +79,22 @@ class Gru:
             "words": small(self.groups, h, WIDTH),
             "word_bias": np.zeros((self.groups, WIDTH), np.float32),
         }
+        if self.blocks:
+            self.p["blocks"] = small(self.blocks, h, SPAN)
+            self.p["block_bias"] = np.zeros((self.blocks, SPAN), np.float32)
+            self.p["block_bias"].reshape(-1)[self.groups - self.heads :] = -30.0
+        self.SHAPES = tuple(self.p)
         pad = self.groups * WIDTH - entries
         if pad:
             self.p["word_bias"][-1, WIDTH - pad :] = -30.0
         self.begin = entries + others
+        self._g = Gradients()
 
     def class_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids < self.entries, ids // WIDTH, ids - self.entries + self.groups)
+        """The place of an entry in the first softmax."""
+        group = ids // WIDTH
+        inside = np.where(group < self.heads, group, (group - self.heads) // SPAN + self.heads + self.others)
+        return np.where(ids < self.entries, inside, ids - self.entries + self.heads)
 
     def start_at(self, counts: np.ndarray) -> None:
         """Biases that give each entry its share of ``counts``: the model begins as a unigram model."""
@@ -75,7 +103,14 @@ class Gru:
         self.p["class_bias"][:] = np.log(sums / sums.sum())
         inside = np.full(self.groups * WIDTH, np.exp(-30.0))
         inside[: self.entries] = counts[: self.entries]
-        self.p["word_bias"][:] = np.log(inside.reshape(self.groups, WIDTH) / sums[: self.groups, None])
+        inside = inside.reshape(self.groups, WIDTH)
+        totals = inside.sum(axis=1)
+        self.p["word_bias"][:] = np.log(inside / totals[:, None])
+        if self.blocks:
+            shares = np.full(self.blocks * SPAN, np.exp(-30.0))
+            shares[: self.groups - self.heads] = totals[self.heads :]
+            shares = shares.reshape(self.blocks, SPAN)
+            self.p["block_bias"][:] = np.log(shares / shares.sum(axis=1)[:, None])
 
     def flat(self) -> np.ndarray:
         return np.concatenate([self.p[n].ravel() for n in self.SHAPES])
@@ -99,20 +134,54 @@ class Gru:
         """Natural log of each entry's probability after the states ``h``."""
         kind = self.class_of(ids)
         out = log_picked(h @ self.p["classes"] + self.p["class_bias"], kind)
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(self.groups + 1))
-        for group in range(self.groups):
-            rows = order[cuts[group] : cuts[group + 1]]
-            if len(rows):
-                inside = h[rows] @ self.p["words"][group] + self.p["word_bias"][group]
-                out[rows] += log_picked(inside, ids[rows] % WIDTH)
+        group, heads, blocks, tail = self._parts(ids)
+        for at, rows in heads:
+            inside = h[rows] @ self.p["words"][at] + self.p["word_bias"][at]
+            out[rows] += log_picked(inside, ids[rows] % WIDTH)
+        for at, rows in blocks:
+            inside = h[rows] @ self.p["blocks"][at] + self.p["block_bias"][at]
+            out[rows] += log_picked(inside, (group[rows] - self.heads) % SPAN)
+        for mine, rows, real in self._alike(group, tail):
+            inside = h[rows] @ self.p["words"][mine] + self.p["word_bias"][mine][:, None]
+            rows = rows[real]
+            out[rows] += log_picked(inside[real], ids[rows] % WIDTH)
         return out
 
+    def _parts(self, ids: np.ndarray) -> tuple[np.ndarray, list, list, np.ndarray]:
+        """(class of each entry, first classes met and their rows, blocks met and theirs, rows of all blocks
+        in the order of their classes)."""
+        group = np.where(ids < self.entries, ids // WIDTH, self.groups)
+        order = np.argsort(group, kind="stable")
+        ends = np.append(np.arange(self.heads), np.minimum(self.heads + SPAN * np.arange(self.blocks + 1), self.groups))
+        cuts = np.searchsorted(group[order], ends)
+        parts = [order[a:b] for a, b in zip(cuts, cuts[1:])]
+        heads = [(at, rows) for at, rows in enumerate(parts[: self.heads]) if len(rows)]
+        blocks = [(at, rows) for at, rows in enumerate(parts[self.heads :]) if len(rows)]
+        return group, heads, blocks, order[cuts[self.heads] : cuts[-1]]
+
+    def _alike(self, group: np.ndarray, tail: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(classes, their rows, which are real): classes of about as many rows, filled up to one number.
+
+        Numbers of rows go up by powers of two, so at most half of the places are filled up.
+        """
+        found = group[tail]
+        first = np.flatnonzero(np.append(len(tail) > 0, np.diff(found) != 0)[: len(tail)])
+        many = np.diff(np.append(first, len(tail)))
+        size = np.ceil(np.log2(many)).astype(int)
+        for power in np.unique(size):
+            alike = np.flatnonzero(size == power)
+            for low in range(0, len(alike), _GATHERED):
+                some = alike[low : low + _GATHERED]
+                place = np.arange(1 << power)
+                real = place < many[some][:, None]
+                yield found[first[some]], tail[first[some][:, None] + np.where(real, place, 0)], real
+
     def score(self, texts: list[np.ndarray]) -> np.ndarray:
         """Natural log-likelihood of whole texts of entry ids; the state runs from first to last."""
         order = np.argsort([-len(t) for t in texts], kind="stable")
         lengths = np.array([len(texts[i]) for i in order], np.int64)
         total = np.zeros(len(texts))
+        self._held = None  # another list can have the place of one that is gone
         for low in range(0, len(texts), 1024):
             rows, sizes = order[low : low + 1024], lengths[low : low + 1024]
             h = np.zeros((len(rows), HIDDEN), np.float32)
@@ -172,7 +241,12 @@ class Gru:
         weight = counted.T.reshape(-1)
         n = max(1, int(weight.sum()))
         flat, wanted = np.concatenate(states), ids.T.reshape(-1)
-        g = {name: np.zeros_like(v) for name, v in p.items()}
+        g = self._g
+        for name, v in p.items():
+            if name in g and name in self.SPARSE:
+                g[name][g.rows[name]] = 0.0
+            else:
+                g[name] = np.zeros_like(v)
         kind = self.class_of(wanted)
         d = softmax(flat @ p["classes"] + p["class_bias"])
         d[np.arange(len(d)), kind] -= 1.0
@@ -180,16 +254,30 @@ class Gru:
         d *= share[:, None]
         g["classes"], g["class_bias"] = flat.T @ d, d.sum(axis=0)
         dh_out = d @ p["classes"].T
-        order = np.argsort(kind, kind="stable")
-        cuts = np.searchsorted(kind[order], np.arange(self.groups + 1))
-        for group in range(self.groups):
-            rows = order[cuts[group] : cuts[group + 1]]
-            if len(rows):
-                d = softmax(flat[rows] @ p["words"][group] + p["word_bias"][group])
-                d[np.arange(len(rows)), wanted[rows] % WIDTH] -= 1.0
-                d *= share[rows, None]
-                g["words"][group], g["word_bias"][group] = flat[rows].T @ d, d.sum(axis=0)
-                dh_out[rows] += d @ p["words"][group].T
+        group, heads, blocks, tail = self._parts(wanted)
+
+        def inside(rows: np.ndarray, at: int, weights: str, bias: str, place: np.ndarray) -> None:
+            d = softmax(flat[rows] @ p[weights][at] + p[bias][at])
+            d[np.arange(len(rows)), place] -= 1.0
+            d *= share[rows, None]
+            g[weights][at], g[bias][at] = flat[rows].T @ d, d.sum(axis=0)
+            dh_out[rows] += d @ p[weights][at].T
+
+        for at, rows in heads:
+            inside(rows, at, "words", "word_bias", wanted[rows] % WIDTH)
+        for at, rows in blocks:
+            inside(rows, at, "blocks", "block_bias", (group[rows] - self.heads) % SPAN)
+        for mine, rows, real in self._alike(group, tail):
+            x, matrix = flat[rows], p["words"][mine]
+            d = softmax((x @ matrix + p["word_bias"][mine][:, None]).reshape(-1, WIDTH))
+            d[np.arange(len(d)), wanted[rows.reshape(-1)] % WIDTH] -= 1.0
+            d = d.reshape(*rows.shape, WIDTH)
+            d *= (share[rows] * real)[:, :, None]
+            g["words"][mine], g["word_bias"][mine] = x.transpose(0, 2, 1) @ d, d.sum(axis=1)
+            dh_out[rows[real]] += (d @ matrix.transpose(0, 2, 1))[real]
+        met = np.zeros(self.groups + 1, bool)
+        met[group] = True
+        g.rows["words"] = g.rows["word_bias"] = np.flatnonzero(met[:-1])
         dh_out = dh_out.reshape(steps, lanes, HIDDEN)
         dh, dx = np.zeros((lanes, HIDDEN), np.float32), np.zeros((steps, lanes, 3 * HIDDEN), np.float32)
         for t in range(steps - 1, -1, -1):
@@ -209,25 +297,42 @@ class Gru:
         used = before.T.reshape(-1)
         order = np.argsort(used, kind="stable")
         marks = np.flatnonzero(np.append(True, np.diff(used[order]) != 0))
-        g["inputs"][used[order][marks]] = np.add.reduceat(dx[order], marks, axis=0)
+        g.rows["inputs"] = used[order][marks]
+        g["inputs"][g.rows["inputs"]] = np.add.reduceat(dx[order], marks, axis=0)
         optimiser.update(p, g)
         return h
 
 
 class Adam:
+    """Parameters with named rows are updated in those rows only; a row's steps are counted by themselves."""
+
     def __init__(self, rate: float = RATE):
-        self.rate, self.t, self.m, self.v = rate, 0, {}, {}
+        self.rate, self.t, self.m, self.v = rate, {}, {}, {}
 
-    def update(self, p: dict[str, np.ndarray], g: dict[str, np.ndarray]) -> None:
-        norm = np.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
+    def update(self, p: dict[str, np.ndarray], g: Gradients) -> None:
+        grads = {name: grad[g.rows[name]] if name in g.rows else grad for name, grad in g.items()}
+        norm = np.sqrt(sum(float(np.vdot(x, x)) for x in grads.values()))
         scale = np.float32(min(1.0, CLIP / (norm + 1e-12)))
-        self.t += 1
-        rate = np.float32(self.rate * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t))
-        for name, grad in g.items():
+        for name, grad in grads.items():
             grad *= scale
             if name not in self.m:
-                self.m[name], self.v[name] = np.zeros_like(grad), np.zeros_like(grad)
-            m, v = self.m[name], self.v[name]
-            m += np.float32(0.1) * (grad - m)
-            v += np.float32(0.001) * (grad * grad - v)
-            p[name] -= rate * m / (np.sqrt(v) + np.float32(1e-8))
+                self.m[name], self.v[name] = np.zeros_like(p[name]), np.zeros_like(p[name])
+                self.t[name] = np.zeros((len(p[name]),) + (1,) * (p[name].ndim - 1), np.float32)
+            at = g.rows.get(name, slice(None))
+            self.t[name][at] += 1
+            t = self.t[name][at]
+            rate = np.float32(self.rate) * np.sqrt(1 - np.float32(0.999) ** t) / (1 - np.float32(0.9) ** t)
+            m, v = self.m[name][at], self.v[name][at]
+            m *= np.float32(0.9)
+            v *= np.float32(0.999)
+            m += np.float32(0.1) * grad
+            grad *= grad
+            grad *= np.float32(0.001)
+            v += grad
+            if name in g.rows:
+                self.m[name][at], self.v[name][at] = m, v
+            step = np.sqrt(v)
+            step += np.float32(1e-8)
+            np.divide(m, step, out=step)
+            step *= rate
+            p[name][at] -= step

@@ -3,7 +3,7 @@
 * Words of all texts are counted in Spark. The commonest ``LISTED`` words, with their training
   counts, are broadcast; the counts of all others stay a table and are joined to the texts' rare words.
   No word left to that join is common, so it has no hot key.
-* Frequent words are entries of the model. All other words fall into ``OTHERS`` classes by their
+* The commonest words that make up ``COVERAGE`` of the training words are entries of the model. All other words fall into ``OTHERS`` classes by their
   last two bytes; within a class a word has probability (c + 1) / (N + V + 1), c being its training count and N and V
   the class's tokens and distinct words, so that unseen words have a share too.
 * Fitting is data-parallel: in each round every task runs truncated backpropagation over its own training
@@ -29,12 +29,13 @@ from pyspark.sql import functions as F
 from verbatide.llm.common import Scratch, commonest, words_of
 from verbatide.llm.gru import Adam, Gru
 
-ENTRIES = 1024  # the end of a text and the commonest training words
+COVERAGE = 0.8  # share of the training words that are entries
 OTHERS = 32
 LISTED = 1 << 17
 ROUNDS = 2
 _COUNTED = 500_000  # distinct words that a task holds before it passes their counts on
 _STREAM = 1 << 20  # training tokens taken at a time
+_PART = 1 << 13  # parameters sent in one row
 
 
 def other_class(word: bytes) -> int:
@@ -78,7 +79,8 @@ class Vocabulary:
 
     listed: dict[bytes, int]  # word to place in the arrays below
     counts: np.ndarray  # training tokens of each listed word
-    entry: np.ndarray  # its entry id; ids from ENTRIES on are classes of other words
+    entries: int  # the end of a text and the words that are entries
+    entry: np.ndarray  # its entry id; ids from ``entries`` on are classes of other words
     entry_counts: np.ndarray  # training tokens of each entry id
     class_log: np.ndarray  # log10(N + V + 1) of each class of other words
     tokens: int  # N, ends of texts included
@@ -94,33 +96,54 @@ class Vocabulary:
             ids[:-1] = self.entry[place]
         rare = [words[i] for i in np.flatnonzero(~known)]
         if rare:
-            ids[:-1][~known] = [ENTRIES + other_class(w) for w in rare]
+            ids[:-1][~known] = [self.entries + other_class(w) for w in rare]
         return ids, place[known], rare
 
 
+def covering(counts: DataFrame) -> DataFrame | None:
+    """The commonest training words that make up ``COVERAGE`` of all, and words about as common as the last of them."""
+    step = F.floor(F.log2(F.col("n_train").cast("double")) * 16)
+    taught = counts.where("n_train > 0")
+    sizes = taught.groupBy(step.alias("step")).agg(F.sum("n_train").alias("n")).collect()
+    left = COVERAGE * sum(r["n"] for r in sizes)
+    for row in sorted(sizes, key=lambda r: -r["step"]):
+        left -= row["n"]
+        if left <= 0:
+            return taught.where(step >= row["step"])
+    return None
+
+
 def build_vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
-    listed = sorted(commonest(counts, LISTED).collect(), key=lambda r: bytes(r["word"]))
+    wanted = covering(counts)
+    listed = commonest(counts, LISTED).select("word", "kind", "n_train")
+    if wanted is not None:
+        listed = listed.union(wanted.select("word", "kind", "n_train")).distinct()
+    listed = sorted(listed.collect(), key=lambda r: bytes(r["word"]))
     rank = sorted(range(len(listed)), key=lambda i: (-listed[i]["n_train"], listed[i]["word"]))
-    chosen = [i for i in rank[: ENTRIES - 1] if listed[i]["n_train"] > 0]
-    entry = np.array([ENTRIES + r["kind"] for r in listed] or [ENTRIES], np.int64)
-    entry[chosen] = np.arange(1, len(chosen) + 1)
+    trained = counts.agg(F.sum("n_train")).first()[0] or 0
+    before = np.cumsum([0] + [listed[i]["n_train"] for i in rank])
+    chosen = rank[: int(np.searchsorted(before, COVERAGE * trained))] if trained else []
+    entries = len(chosen) + 1
+    entry = np.array([entries + r["kind"] for r in listed] or [entries], np.int64)
+    entry[chosen] = np.arange(1, entries)
     seen = F.col("n_train") > 0
     per_class = counts.groupBy("kind").agg(F.sum("n_train").alias("n"), F.sum(seen.cast("long")).alias("v"))
     totals, distinct = np.zeros(OTHERS, np.int64), np.zeros(OTHERS, np.int64)
     for row in per_class.collect():
         totals[row["kind"]], distinct[row["kind"]] = row["n"], row["v"]
     tokens, words = int(totals.sum()), int(distinct.sum())
-    entry_counts = np.zeros(ENTRIES + OTHERS, np.int64)
+    entry_counts = np.zeros(entries + OTHERS, np.int64)
     entry_counts[0] = ends
     for i in chosen:
         row = listed[i]
         entry_counts[entry[i]] = row["n_train"]
         totals[row["kind"]] -= row["n_train"]
         distinct[row["kind"]] -= 1
-    entry_counts[ENTRIES:] = totals
+    entry_counts[entries:] = totals
     return Vocabulary(
         {bytes(r["word"]): i for i, r in enumerate(listed)},
         np.array([r["n_train"] for r in listed] or [0], np.int64),
+        entries,
         entry,
         entry_counts,
         np.log10(totals + distinct + 1.0),
@@ -130,10 +153,20 @@ def build_vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     )
 
 
+def _mean(rows: pa.Table) -> pa.Table:
+    """Mean of one part of the parameters, by tokens."""
+    total, n = 0.0, 0
+    for values, tokens in zip(rows.column("values"), rows.column("n").to_pylist()):
+        total = total + np.frombuffer(values.as_py(), np.float32).astype(np.float64) * tokens
+        n += tokens
+    mean = (total / n).astype(np.float32).tobytes()
+    return pa.table({"part": rows.column("part")[:1], "values": pa.array([mean], pa.binary())})
+
+
 def fit_model(docs: DataFrame, text: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
     """Parameters after ``rounds`` of local training and averaging over the texts of ``docs``."""
     spark = docs.sparkSession
-    model = Gru(ENTRIES, OTHERS)
+    model = Gru(vocabulary.entries, OTHERS)
     model.start_at(vocabulary.entry_counts)
     share = F.pmod(F.xxhash64(F.col(text)), F.lit(rounds))
     words = spark.sparkContext.broadcast(vocabulary)
@@ -141,7 +174,7 @@ def fit_model(docs: DataFrame, text: str, vocabulary: Vocabulary, rounds: int =
         begin = spark.sparkContext.broadcast(model.flat())
 
         def run(batches: Iterator[pa.RecordBatch], begin=begin) -> Iterator[pa.RecordBatch]:
-            net, optimiser, total = Gru(ENTRIES, OTHERS), Adam(), 0
+            net, optimiser, total = Gru(words.value.entries, OTHERS), Adam(), 0
             net.load(begin.value)
             pending: list[np.ndarray] = []
 
@@ -163,20 +196,19 @@ def fit_model(docs: DataFrame, text: str, vocabulary: Vocabulary, rounds: int =
             if pending:
                 total += learn()
             if total:
-                flat = net.flat().astype(np.float64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(flat))), pa.array(flat * total), pa.array(np.full(len(flat), total))],
-                    ["place", "weighted", "n"],
-                )
-
-        made = docs.where(share == number).select(text).mapInArrow(run, "place long, weighted double, n long")
-        mean = made.groupBy("place").agg((F.sum("weighted") / F.sum("n")).alias("value"))
-        rows = mean.collect()  # one number per parameter
+                flat = net.flat()
+                parts = [flat[at : at + _PART].tobytes() for at in range(0, len(flat), _PART)]
+                for part, values in enumerate(parts):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part], pa.int32()), pa.array([values], pa.binary()), pa.array([total], pa.int64())],
+                        ["part", "values", "n"],
+                    )
+
+        made = docs.where(share == number).select(text).mapInArrow(run, "part int, values binary, n long")
+        rows = made.groupBy("part").applyInArrow(_mean, "part int, values binary").collect()
         if rows:
-            flat = np.zeros(len(rows))
-            for row in rows:
-                flat[row["place"]] = row["value"]
-            model.load(flat)
+            rows.sort(key=lambda r: r["part"])
+            model.load(np.concatenate([np.frombuffer(r["values"], np.float32) for r in rows]))
     return model.flat()
 
 
@@ -201,7 +233,8 @@ def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text:
     words, weights = spark.sparkContext.broadcast(vocabulary), spark.sparkContext.broadcast(flat)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, net = words.value, Gru(ENTRIES, OTHERS)
+        known = words.value
+        net = Gru(known.entries, OTHERS)
         net.load(weights.value)
         log_counts = np.log10(known.counts + 1.0)
         for batch in batches:
@@ -209,9 +242,9 @@ def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text:
             for value in batch.column(1):
                 ids, place, unlisted = known.ids(words_of(value.as_py()))
                 texts.append(ids)
-                other = place[known.entry[place] >= ENTRIES]
+                other = place[known.entry[place] >= known.entries]
                 base.append(float(log_counts[place].sum()) + math.log10(known.ends + 1.0))
-                kinds = ids[ids >= ENTRIES] - ENTRIES
+                kinds = ids[ids >= known.entries] - known.entries
                 model.append(float(log_counts[other].sum() - known.class_log[kinds].sum()))
                 sure.append(int((known.counts[place] > 0).sum()) + (known.ends > 0))
                 grouped = Counter(unlisted)
