@@ -222,6 +222,40 @@ def test_feature_elimination_keeps_the_useful_columns(spark):
     assert [r["features"] for r in rounds] == [4, 3, 2, 1] and rounds[-1]["columns"] == [0]
 
 
+def test_area_against_the_rest(spark):
+    rng = np.random.default_rng(4)
+    for classes in (2, 3):
+        rows = [(float(rng.integers(0, classes)), (rng.integers(0, 6, classes) / 10).tolist()) for _ in range(80)]
+        df = spark.createDataFrame(rows, f"{M.LABEL} double, p array<double>")
+        areas = []
+        for k in range(classes) if classes > 2 else [1]:
+            pos, neg = ([p[k] for y, p in rows if (y == k) == side] for side in (True, False))
+            areas.append(np.mean([(a > b) + (a == b) / 2 for a in pos for b in neg]))
+        got = M.RestAreaEvaluator().evaluate(df.select(M.LABEL, array_to_vector("p").alias("probability")))
+        assert got == pytest.approx(np.mean(areas))
+
+
+def test_feature_elimination_weighs_classes_and_grows_full_trees(spark, monkeypatch):
+    """On skewed classes without a signal the area is about one half, where accuracy is 0.9."""
+    made, weights = [], []
+    forest, validate = M.random_forest, M.cross_validate
+    monkeypatch.setattr(M, "random_forest", lambda *a, **k: made.append(forest(*a, **k)) or made[-1])
+
+    def see(pipeline, grid, train, *a, **k):
+        weights.append({r[0]: r[1] for r in train.select(M.LABEL, "_weight").distinct().collect()})
+        return validate(pipeline, grid, train, *a, **k)
+
+    monkeypatch.setattr(M, "cross_validate", see)
+    rows = spark.range(300).select(
+        (F.col("id") % 10 == 0).cast("double").alias(M.LABEL),
+        array_to_vector(F.array(F.rand(5), F.rand(6))).alias(M.FEATURES),
+    )
+    got = M.eliminate_features(rows, 2, folds=2, trees=5).collect()
+    assert all(0.25 < r["roc_auc"] < 0.75 for r in got)
+    assert {(f.getMaxDepth(), f.getWeightCol()) for f in made} == {(30, "_weight")}
+    assert all(w == pytest.approx({1.0: 5.0, 0.0: 5 / 9}) for w in weights)
+
+
 def test_forest_draws_are_repeatable_and_valid():
     drawn = M.random_forest_draws(50, seed=1)
     assert drawn == M.random_forest_draws(50, seed=1)

@@ -18,7 +18,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -74,6 +74,32 @@ def accuracy_evaluator(label: str = LABEL) -> MulticlassClassificationEvaluator:
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName="accuracy")
 
 
+class RestAreaEvaluator(Evaluator):
+    """Area under the ROC curve; of several classes the mean of each against the rest.
+
+    Classes without rows are left out; rows of one class alone have no area (nan).
+    """
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        scored = dataset.where(F.col(LABEL).isNotNull()).select(LABEL, vector_to_array("probability").alias("p"))
+        scored = scored.persist()
+        try:
+            met = sorted(int(r[0]) for r in scored.select(LABEL).distinct().collect())
+            if len(met) < 2:
+                return float("nan")
+            # Two classes have one curve: the second class against the first.
+            ones = met if scored.agg(F.max(F.size("p"))).first()[0] > 2 or max(met) > 1 else [1]
+            area = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="hit", numBins=0)  # exact
+            score = [F.coalesce(F.get("p", F.lit(k)), F.lit(0.0)).alias("score") for k in ones]  # 0: not in training
+            hit = [(F.col(LABEL) == k).cast("double").alias("hit") for k in ones]
+            return float(np.mean([area.evaluate(scored.select(s, h)) for s, h in zip(score, hit)]))
+        finally:
+            scored.unpersist()
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
 # Class weights -------------------------------------------------------------------------------------
 
 
@@ -351,13 +377,16 @@ def eliminate_features(
     train: DataFrame, size: int, keep: int = 1, step: float = 1, folds: int = 5, trees: int = 30, seed: int = 42,
     key: str | None = None,
 ) -> DataFrame:
-    """Recursive elimination: cross-validate a forest, drop the ``step`` least important columns (a
-    share of them, below one), repeat down to ``keep``. One row per round with its columns and accuracy."""
+    """Recursive elimination: cross-validate a forest with balanced class weights, drop the ``step`` least
+    important columns (a share of them, below one), repeat down to ``keep``. One row per round with its
+    columns and the mean over the folds of the area under the ROC curve."""
     columns, rows = list(range(size)), []
+    weighted = with_class_weights(train, LABEL, "_weight")
     while True:
         slicer = VectorSlicer(inputCol=FEATURES, outputCol="_kept", indices=columns)
-        forest = random_forest(trees, 10, seed=seed).setFeaturesCol("_kept")
-        fitted = cross_validate(Pipeline(stages=[slicer, forest]), [{}], train, folds, seed=seed, key=key)
+        forest = random_forest(trees, weight="_weight", seed=seed).setFeaturesCol("_kept")
+        pipeline = Pipeline(stages=[slicer, forest])
+        fitted = cross_validate(pipeline, [{}], weighted, folds, RestAreaEvaluator(), seed=seed, key=key)
         rows.append((len(rows), len(columns), float(fitted.avgMetrics[0]), columns))
         if len(columns) <= keep:
             break
@@ -366,7 +395,7 @@ def eliminate_features(
         left = max(keep, len(columns) - int(drop))
         order = sorted(range(len(columns)), key=lambda i: (-importance[i], columns[i]))
         columns = sorted(columns[i] for i in order[:left])
-    schema = "round long, features long, accuracy double, columns array<int>"
+    schema = "round long, features long, roc_auc double, columns array<int>"
     return train.sparkSession.createDataFrame(rows, schema)
 
 
