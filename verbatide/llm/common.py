@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,18 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
     out.close()
 
 
+def free_names(taken: Iterable[str], wanted: str) -> list[str]:
+    """For each word of ``wanted`` a column name made from it that is not ``taken``; case does not tell names apart."""
+    used, found = {name.lower() for name in taken}, []
+    for word in wanted.split():
+        name = f"_{word}"
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        found.append(name)
+    return found
+
+
 def commonest(counts: DataFrame, most: int, n: str = "n") -> DataFrame:
     """Rows of ``counts`` with the largest ``n``, at most ``most``; rows of about equal ``n`` stay together.
 

@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from verbatide.llm import language_id
 from verbatide.llm.bpe_codec import encode_texts
+from verbatide.llm.centroids import cluster_report, cluster_vectors
 from verbatide.llm.common import crc_mod
 from verbatide.llm.decontaminate import find_leaks
 from verbatide.llm.fingerprint import fingerprints_with_edits
+from verbatide.llm.lexical_search import search
 from verbatide.llm.line_dedup import dedup_lines
 from verbatide.llm.lm_score import score_texts
 from verbatide.llm.ngram_jaccard import link_classes
+from verbatide.llm.sharding import shard_texts
 from verbatide.llm.suffix_dedup import remove_repeats
 from verbatide.llm.token_counts import count_tokens
 from verbatide.llm.url_filter import filter_urls
@@ -171,6 +174,80 @@ def op10_bpe_codec(spark, d):
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op11_lexical_search(spark, d):
+    return search(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "benchmark", "item_id", "text"), 20)
+
+
+TERMS_SQL = """regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"""
+
+OP11_SQL = f"""
+WITH dt AS (SELECT doc_id, unnest({TERMS_SQL}) AS term FROM documents),
+n AS (SELECT doc_id, count(*) AS n FROM dt GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM n),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM dt GROUP BY doc_id, term),
+weight AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, total GROUP BY term, docs),
+asked AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({TERMS_SQL}) AS term FROM benchmark)
+  GROUP BY item_id, term),
+scored AS (
+  SELECT item_id, doc_id,
+         sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN n USING (doc_id), total
+  GROUP BY item_id, doc_id),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS r FROM scored WHERE score > 0)
+SELECT item_id, r::INT AS rank, doc_id, score FROM ranked WHERE r <= 20"""
+
+
+def op12_centroid_clustering(spark, d):
+    vectors = table(spark, d, "embeddings", "vec_id", "embedding")
+    return cluster_report(*cluster_vectors(vectors, clusters=16, rounds=3, scale=64, components=64, seed=1))
+
+
+def _cluster_sql(rounds: int) -> str:
+    """The rounds written out; components are rows, so that each step is a grouped sum."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+near{r} AS (
+  SELECT vec_id, cluster, distance FROM (
+    SELECT vec_id, cluster, sum((x - c) * (x - c))::BIGINT AS distance,
+           row_number() OVER (PARTITION BY vec_id ORDER BY sum((x - c) * (x - c)), cluster) AS r
+    FROM parts JOIN c{r} USING (i) GROUP BY vec_id, cluster)
+  WHERE r = 1)""")
+        if r < rounds:
+            steps.append(f"""
+c{r + 1} AS (
+  SELECT cluster, i, coalesce((s - ((s % n) + n) % n) // n, c) AS c
+  FROM c{r} LEFT JOIN (
+    SELECT cluster, i, sum(x)::BIGINT AS s, count(*) AS n FROM near{r} JOIN parts USING (vec_id) GROUP BY cluster, i) USING (cluster, i))""")
+    return ",".join(steps)
+
+
+OP12_SQL = f"""
+WITH kept AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+parts AS (SELECT vec_id, unnest(range(64)) AS i, unnest(v) AS x FROM kept),
+begin AS (SELECT vec_id, row_number() OVER (ORDER BY sha256('1:' || vec_id)) - 1 AS cluster FROM kept),
+c0 AS (SELECT cluster, i, x AS c FROM begin JOIN parts USING (vec_id) WHERE cluster < 16),{_cluster_sql(3)},
+facts AS (SELECT cluster, sum(distance)::BIGINT AS cluster_inertia FROM near3 GROUP BY cluster),
+digests AS (SELECT cluster, sha256(string_agg(c::VARCHAR, ',' ORDER BY i)) AS centroid_sha256 FROM c3 GROUP BY cluster)
+SELECT vec_id, cluster::INT AS cluster, distance, cluster_inertia,
+       (SELECT sum(distance)::BIGINT FROM near3) AS inertia, centroid_sha256
+FROM near3 JOIN facts USING (cluster) JOIN digests USING (cluster)"""
+
+
+def op13_sharding(spark, d):
+    placed = shard_texts(table(spark, d, "documents"), 40, "rows")
+    crc = F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32")
+    return placed.select("doc_id", "size", crc, F.lit("rows").alias("law"), "shard", "slot", "grown_shard")
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": Query(op1_ngram_jaccard, OP1_SQL),
     "op2_suffix_dedup": Query(op2_suffix_dedup),
@@ -182,4 +259,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontaminate": Query(op8_decontaminate, OP8_SQL),
     "op9_line_dedup": Query(op9_line_dedup, OP9_SQL),
     "op10_bpe_codec": Query(op10_bpe_codec),
+    "op11_lexical_search": Query(op11_lexical_search, OP11_SQL),
+    "op12_centroid_clustering": Query(op12_centroid_clustering, OP12_SQL),
+    "op13_sharding": Query(op13_sharding),
 }
