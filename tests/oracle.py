@@ -66,7 +66,7 @@ def differences(spark_df, connection, sql: str) -> list[str]:
 
 def main():
     from verbatide import build_session
-    from workload import ALL
+    from __spark_entry__ import REGISTERED
 
     args = sys.argv[1:]
     sf_dir = args.pop(0) if args and os.path.isdir(args[0]) else "/root/testdata/sf0.01"
@@ -82,8 +82,8 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     connection = database(sf_dir)
     bad = []
-    for name in args or ALL:
-        query, start = ALL[name], time.time()
+    for name in args or REGISTERED:
+        query, start = REGISTERED[name], time.time()
         try:
             df = query.run(spark, sf_dir)
             if query.sql is None:
