@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -52,6 +53,15 @@ class Scratch:
         for table in tables:
             delete(self.spark, table._scratch_path)
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished queries.
+
+        It does so when the driver's garbage collector finds that nothing refers to them; a driver
+        with little to do may not collect for hours, while executors' disks fill.
+        """
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def delete(spark: SparkSession, path: str) -> None:
     """Delete a folder of the shared file system."""

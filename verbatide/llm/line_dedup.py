@@ -1,11 +1,11 @@
 """Line de-duplication over levelled sorted runs of line hashes.
 
-A run is a table of (key, n_docs, last), bucketed and sorted by key: how many documents of its
-batches hold a line, and the largest document id among them. A new batch adds a run at level 0; two
-runs of one level are merged, by a sort-merge join that moves no rows, into one of the next level, so
-each key is rewritten a number of times that grows with the logarithm of the number of batches.
-``fresh`` is the merge-anti-join of a batch with the runs. Everything is SQL functions; keys are
-128-bit hashes. A line that a third of all documents share is one row per task once it is counted,
+A run is a table of (key, n_docs, last), bucketed and sorted by key: how many documents hold a line, and
+the largest document id among them. A new batch is merge-anti-joined with all runs: its unseen keys become
+a run of level 0, its seen keys a run of updates. Runs of lines therefore never share a key. Two runs of one level are
+merged into one of the next, so each key is rewritten a number of times that grows with the logarithm of the number
+of batches; updates are merged likewise, by adding, and are applied to the lines at the end. All these joins are
+sort-merge joins of equally bucketed tables, which move no rows. Everything is SQL functions; keys are 128-bit hashes. A line that a third of all documents share is one row per task once it is counted,
 and meets its occurrences by a broadcast of at most ``HOT_SHARE`` keys.
 """
 
@@ -16,9 +16,9 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verbatide.llm.common import LOWER, SPACE, UPPER, Scratch, delete
+from verbatide.llm.common import LOWER, SPACE, UPPER, Scratch, delete, free_names
 
-HOT_SHARE = 2000  # keys holding over 1/2000 of all occurrences; by counting, fewer than 2000
+HOT_SHARE = 20_000  # keys holding over 1/20000 of all occurrences; by counting, fewer than 20000
 BATCHES = 4
 
 
@@ -38,13 +38,14 @@ def line_keys(text: str, min_chars: int) -> Column:
 
 
 class LineRuns:
-    """The runs of one corpus; ``levels[i]`` is a table name or None."""
+    """The runs of one corpus; in ``lines`` and ``updates`` level i is a (table name, path) or None."""
 
     def __init__(self, spark: SparkSession, buckets: int | None = None):
         self.spark = spark
         self.scratch = Scratch(spark, "runs")
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.levels: list[tuple[str, str] | None] = []
+        self.lines: list[tuple[str, str] | None] = []
+        self.updates: list[tuple[str, str] | None] = []
 
     def _write(self, rows: DataFrame) -> tuple[str, str]:
         name, path = f"run_{uuid.uuid4().hex}", self.scratch.path("run")
@@ -52,23 +53,40 @@ class LineRuns:
         writer.saveAsTable(name)
         return name, path
 
-    def _drop(self, run: tuple[str, str]) -> None:
-        self.spark.sql(f"DROP TABLE {run[0]}")
-        delete(self.spark, run[1])
+    def _drop(self, *runs: tuple[str, str]) -> None:
+        for name, path in runs:
+            self.spark.sql(f"DROP TABLE {name}")
+            delete(self.spark, path)
+
+    def fresh(self, batch: DataFrame) -> DataFrame:
+        """The rows of ``batch`` whose ``key`` is in no run."""
+        for run in filter(None, self.lines):
+            batch = batch.join(self.spark.table(run[0]).hint("merge"), "key", "left_anti")
+        return batch
 
     def add(self, counts: DataFrame) -> None:
-        """Add a batch's distinct (key, n_docs, last), merging runs of equal level."""
-        run = self._write(counts.repartition(self.buckets, "key"))
+        """Add a batch's distinct (key, n_docs, last)."""
+        batch = self._write(counts.repartition(self.buckets, "key"))
+        if not any(self.lines):
+            self._push(self.lines, batch)
+            return
+        unseen = self._write(self.fresh(self.spark.table(batch[0])))
+        seen = self.spark.table(batch[0]).join(self.spark.table(unseen[0]).hint("merge"), "key", "left_anti")
+        self._push(self.updates, self._write(seen))
+        self._push(self.lines, unseen)
+        self._drop(batch)
+
+    def _push(self, levels: list[tuple[str, str] | None], run: tuple[str, str]) -> None:
+        """Add a run at level 0, merging runs of equal level."""
         level = 0
-        while level < len(self.levels) and self.levels[level]:
-            older = self.levels[level]
+        while level < len(levels) and levels[level]:
+            older = levels[level]
             merged = self._write(self._merge(older[0], run[0]))
-            self._drop(older)
-            self._drop(run)
-            self.levels[level], run, level = None, merged, level + 1
-        if level == len(self.levels):
-            self.levels.append(None)
-        self.levels[level] = run
+            self._drop(older, run)
+            levels[level], run, level = None, merged, level + 1
+        if level == len(levels):
+            levels.append(None)
+        levels[level] = run
 
     def _merge(self, one: str, two: str) -> DataFrame:
         a, b = self.spark.table(one).alias("a"), self.spark.table(two).alias("b")
@@ -79,25 +97,17 @@ class LineRuns:
 
     def drop(self) -> None:
         """Delete all runs."""
-        for run in filter(None, self.levels):
-            self._drop(run)
-        self.levels = []
-
-    def fresh(self, batch: DataFrame) -> DataFrame:
-        """The rows of ``batch`` whose ``key`` is in no run."""
-        for run in filter(None, self.levels):
-            batch = batch.join(self.spark.table(run[0]).hint("merge"), "key", "left_anti")
-        return batch
+        self._drop(*filter(None, [*self.lines, *self.updates]))
+        self.lines, self.updates = [], []
 
     def compact(self) -> DataFrame:
-        """All runs merged into one."""
-        runs = [run for run in self.levels if run]
+        """All runs merged into one, with the updates applied."""
+        runs = [run for run in [*self.lines, *self.updates] if run]
         while len(runs) > 1:
             one, two = runs.pop(0), runs.pop(0)
             runs.insert(0, self._write(self._merge(one[0], two[0])))
-            self._drop(one)
-            self._drop(two)
-        self.levels = runs[:]
+            self._drop(one, two)
+        self.lines, self.updates = runs[:], []
         return self.spark.table(runs[0][0])
 
 
@@ -115,7 +125,7 @@ def dedup_lines(
     documents stays only in the documents with the largest id that holds it, there at every place. Every row
     counts as a document, repeated rows too, and all rows with that largest id keep the line; a null
     id is smaller than any other, and rows with null ids keep a line that no other row holds. Null
-    and empty texts are one empty line. Columns of ``docs`` with the new names are replaced.
+    and empty texts are one empty line. An empty table gives an empty result. Columns of ``docs`` with the new names are replaced.
     """
     spark = docs.sparkSession
     docs = docs.drop("kept", "n_lines", "n_dropped")
@@ -142,20 +152,22 @@ def dedup_lines(
     common = places.join(F.broadcast(hot.select("key", "last")), "key").where(elsewhere)
     others = places.join(F.broadcast(hot.select("key")), "key", "left_anti")
     rare = others.join(cold.select("key", "last"), "key").where(elsewhere)
+    id_, text_, drop, same, lines_ = free_names(docs.columns, "id text drop same lines")
     dropped = common.unionByName(rare).groupBy("_id", "_text").agg(F.collect_set("_at").alias("_drop"))
+    dropped = dropped.select(F.col("_id").alias(id_), F.col("_text").alias(text_), F.col("_drop").alias(drop))
     dropped = scratch.store(dropped, "dropped")  # what the result reads besides the documents
     scratch.drop(held, shared)
     runs.drop()
-    found = docs.withColumn("_same", identity).join(
-        dropped, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_same") == F.col("_text")), "left"
+    found = docs.withColumn(same, identity).join(
+        dropped, F.col(doc_id).eqNullSafe(F.col(id_)) & (F.col(same) == F.col(text_)), "left"
     )
-    lines = F.col("_lines")
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_drop")), lambda i: F.get(lines, i))
+    lines = F.col(lines_)
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(drop)), lambda i: F.get(lines, i))
     plain = F.coalesce(F.col(text), F.lit(""))
     return (
-        found.withColumn("_lines", lines_of(text))
-        .withColumn("kept", F.when(F.col("_drop").isNull(), plain).otherwise(F.concat_ws("\n", left)))
+        found.withColumn(lines_, lines_of(text))
+        .withColumn("kept", F.when(F.col(drop).isNull(), plain).otherwise(F.concat_ws("\n", left)))
         .withColumn("n_lines", F.size(lines).cast("long"))
-        .withColumn("n_dropped", F.coalesce(F.size("_drop"), F.lit(0)).cast("long"))
-        .drop("_id", "_text", "_same", "_drop", "_lines")
+        .withColumn("n_dropped", F.coalesce(F.size(drop), F.lit(0)).cast("long"))
+        .drop(id_, text_, same, drop, lines_)
     )
