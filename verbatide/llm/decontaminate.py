@@ -6,25 +6,28 @@ fixes an alignment of an item with a text, which is then compared word by word:
 when some stretch of ``window`` aligned words (the whole item, if shorter) has at least ``share`` of
 its words equal, so a passage is found although words in it were replaced. With the default masks
 every such stretch of 13 words holds a hit wherever its two other words are; items of fewer words have masks of
-their own, with the same property for 8 to 12 words.
+their own, with the same property for 8 to 12 words. Items of fewer than ``SPACED_WORDS`` words have one mask, all their
+words, and are found only word for word.
 
 SQL functions only. Window hashes of the texts are made within one generated stage and probe the
-broadcast seeds there, so neither texts nor windows are shuffled; only aligned stretches of hits are.
+broadcast seeds there, so neither texts nor windows are shuffled; only aligned stretches of hits are. The seeds of a
+large benchmark are joined by a shuffle of (row, place, seed), and the words come back by the row of a hit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbatide.llm.common import LOWER, UPPER
+from verbatide.llm.common import LOWER, UPPER, free_names
 
 MASKS = ((0, 1, 4, 6, 7), (0, 1, 3, 7, 8))
 SHORT_MASKS = ((0, 1, 2, 3), (0, 1, 3, 4))  # for items shorter than the window
 WINDOW = 13
-LEAST_WORDS = 8  # shorter items are too common to be told from chance
+SPACED_WORDS = 8  # shorter items are found word for word only
 SHARE = (4, 5)
 BROADCAST_WORDS = 1_000_000  # benchmark words up to which its seeds are broadcast
 
@@ -63,23 +66,33 @@ def find_leaks(
 
     One row per document and item: the best stretch, the earliest in the text among equals, with
     its number of equal words and its first word's place in the text. Null and empty
-    texts and items of fewer than ``LEAST_WORDS`` words have no rows. Rows with one id are
-    one document, null ids too; of repeated item ids each text counts. Other columns are not read.
+    texts have no rows, nor have items without words; an item of fewer than ``SPACED_WORDS`` words is found where all of them stand
+    together. Rows with one id are one document, null ids too; of repeated item ids each text counts. Empty tables give an empty
+    result. Other columns are not read.
     """
     items = benchmark.select(F.col(item_id).alias("item_id"), word_hashes(F.col(item_text)).alias("item"))
-    items = items.where(F.size("item") >= LEAST_WORDS).distinct()
-    short = F.size("item") < window
-    facts = items.agg(F.coalesce(F.sum(F.size("item")), F.lit(0)).alias("n"), F.count_if(short).alias("short")).first()
+    items = items.where(F.size("item") > 0).distinct()
+    size = F.size("item")
+    whole = F.collect_set(F.when(size < SPACED_WORDS, size)).alias("whole")
+    short = size.between(SPACED_WORDS, window - 1)
+    facts = items.agg(F.coalesce(F.sum(size), F.lit(0)).alias("n"), F.count_if(short).alias("short"), whole).first()
     small = facts["n"] <= BROADCAST_WORDS
-    used = list(enumerate([*masks, *short_masks]))
-    usual, extra = used[: len(masks)], used[len(masks) :] if facts["short"] else []
-    seeds = _seeds(items.where(~short), "item", "item_at", ["item_id"], usual)
-    if extra:
-        seeds = seeds.unionByName(_seeds(items.where(short), "item", "item_at", ["item_id"], extra))
+    usual = list(enumerate(masks))
+    groups = [(size >= window, usual)]
+    if facts["short"]:
+        groups.append((short, list(enumerate(short_masks, len(masks)))))
+    groups += [(size == m, [(len(masks) + len(short_masks) + m, range(m))]) for m in sorted(facts["whole"])]
+    parts = [_seeds(items.where(chosen), "item", "item_at", ["item_id"], used) for chosen, used in groups]
+    seeds = reduce(DataFrame.unionByName, parts)
     seeds = seeds.select("item_id", "item_at", "seed", F.xxhash64("item").alias("same"), F.size("item").alias("m")).distinct()
     cut = docs.select(F.col(doc_id).alias("doc_id"), word_hashes(F.col(text)).alias("words"))
-    windows = _seeds(cut, "words", "at", ["doc_id"], usual + extra)
-    hits = windows.join(F.broadcast(seeds) if small else seeds, "seed")
+    all_masks = [mask for _, used in groups for mask in used]
+    if small:
+        hits = _seeds(cut, "words", "at", ["doc_id"], all_masks).join(F.broadcast(seeds), "seed")
+    else:
+        cut = cut.withColumn("row", F.xxhash64("doc_id", "words"))
+        narrow = _seeds(cut, "words", "at", ["row"], all_masks).select("row", "at", "seed")
+        hits = narrow.join(seeds, "seed").join(cut, "row")
     # Item word j lies at text word start + j; the words between are cut out here, where both are at hand.
     start = (F.col("at") - F.col("item_at")).alias("start")
     first = F.greatest(F.lit(0), F.col("item_at") - F.col("at"))
@@ -111,6 +124,10 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item is found."""
-    leaks = find_leaks(docs, benchmark, doc_id, text).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, docs[doc_id].eqNullSafe(leaks["_leak"]), "left_anti")
+    """The rows and columns of ``docs`` whose id is that of no document in which a benchmark item is found.
+
+    Rows with one id stay or go together, null ids too. Null and empty texts hold no item and stay; empty tables change nothing.
+    """
+    (leak,) = free_names(docs.columns, "leak")
+    leaks = find_leaks(docs, benchmark, doc_id, text).select(F.col("doc_id").alias(leak)).distinct()
+    return docs.join(leaks, docs[doc_id].eqNullSafe(leaks[leak]), "left_anti")

@@ -127,7 +127,7 @@ OP8_SQL = f"""
 WITH docs AS (SELECT doc_id, {WORDS_SQL} AS w FROM documents),
 items AS (SELECT item_id, {WORDS_SQL} AS w FROM benchmark),
 dw AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM docs),
-iw AS (SELECT item_id, len(w) AS m, unnest(w) AS word, unnest(range(len(w))) AS j FROM items WHERE len(w) >= 8),
+iw AS (SELECT item_id, len(w) AS m, unnest(w) AS word, unnest(range(len(w))) AS j FROM items),
 equal AS (SELECT doc_id, item_id, m, p - j AS start, j FROM dw JOIN iw USING (word)),
 many AS (
   SELECT doc_id, item_id, m, start, list(j) AS js FROM equal GROUP BY ALL HAVING count(*) * 5 >= least(13, m) * 4),
@@ -140,7 +140,7 @@ counted AS (
   FROM begins),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_equal DESC, n_window DESC, first_word) AS r
-  FROM counted WHERE n_equal * 5 >= n_window * 4)
+  FROM counted WHERE n_equal * 5 >= n_window * 4 AND (m >= 8 OR n_equal = m))
 SELECT doc_id, item_id, n_equal, n_window, first_word FROM ranked WHERE r = 1"""
 
 
