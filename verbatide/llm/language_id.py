@@ -7,8 +7,8 @@ is looked up one byte shorter, down to a uniform code over all bytes. Statistics
 training, so the code length depends on the last ``ORDER`` bytes only and is compiled into a table of
 (context, byte, language). A text's language is the one that codes all of it shortest.
 
-Counting reads every training text, as grouped sums of byte 4-grams. Contexts below ``SHARE`` of a
-language's bytes are cut from the trees, which bounds what the driver compiles and sends out.
+Counting reads every training text, as grouped sums of byte 4-grams. All contexts met are kept, so code lengths are exact;
+a table of more than ``MOST_BYTES`` is refused before anything of it is collected.
 """
 
 from __future__ import annotations
@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from verbatide.llm.common import Scratch
 
 ORDER = 3
-SHARE = 4096  # contexts rarer than 1/4096 of a language's bytes are cut; at most 4096 stay per order
+MOST_BYTES = 512 << 20  # of the compiled table, which every task holds
 MAX_LANGUAGES = 200
+_GRAMS = 1_000_000  # distinct 4-grams that a task holds before it passes their counts on
 UNDEFINED = "und"
 _CHUNK = 1 << 20  # bytes scored at a time
 _LETTER = regex.compile(r"\p{L}")
@@ -57,6 +58,12 @@ def gram_counts(docs: DataFrame, lang: str, text: str) -> DataFrame:
                     both, where = np.unique(np.concatenate([old, grams]), return_inverse=True)
                     grams, n = both, np.bincount(where, np.concatenate([m, n])).astype(np.int64)
                 held[name] = grams, n
+            if sum(len(grams) for grams, _ in held.values()) > _GRAMS:
+                yield from passed_on(held)
+                held = {}
+        yield from passed_on(held)
+
+    def passed_on(held: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for name, (grams, n) in held.items():
             for at in range(0, len(grams), 100_000):
                 part = slice(at, at + 100_000)
@@ -148,22 +155,26 @@ class LanguageModel:
 
 
 def fit(docs: DataFrame, lang: str = "lang", text: str = "text") -> LanguageModel:
-    """A model of the languages of ``docs``; rows with null text or language teach nothing."""
+    """A model of the languages of ``docs``; rows with null text or language teach nothing.
+
+    More than ``MAX_LANGUAGES`` languages, or contexts whose table would exceed ``MOST_BYTES``, raise ``ValueError``.
+    """
     scratch = Scratch(docs.sparkSession, "language")
     grams = scratch.store(gram_counts(docs, lang, text), "grams")
     totals = {r["lang"]: r["n"] for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(totals) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     followers = {name: [{} for _ in range(ORDER + 1)] for name in totals}
-    sizes = grams.sparkSession.createDataFrame(list(totals.items()) or [("", 0)], "lang string, total long")
+    context = lambda order: (F.shiftright(F.col("gram"), 8) % (1 << 8 * order)).cast("long") if order else F.lit(0).cast("long")
+    contexts = [F.count_distinct(context(order)).alias(f"c{order}") for order in range(ORDER + 1)]
+    facts = grams.agg(F.count_distinct(F.col("gram") % 256).alias("symbols"), *contexts).first()
+    size = sum(facts[f"c{order}"] for order in range(ORDER + 1)) * (facts["symbols"] + 1) * max(1, len(totals)) * 4
+    if size > MOST_BYTES:
+        raise ValueError(f"the languages' contexts need a table of {size} bytes, more than {MOST_BYTES}")
     for order in range(ORDER + 1):
-        context = F.shiftright(F.col("gram"), 8) % (1 << 8 * order) if order else F.lit(0)
-        counts = grams.groupBy("lang", context.cast("long").alias("context"), (F.col("gram") % 256).alias("byte"))
-        counts = counts.agg(F.sum("n").alias("n"))
-        kept = counts.groupBy("lang", "context").agg(F.sum("n").alias("all")).join(F.broadcast(sizes), "lang")
-        kept = kept.where(F.col("all") * SHARE >= F.col("total")).select("lang", "context")
-        # At most SHARE contexts per language, of at most 256 bytes each.
-        for row in counts.join(kept, ["lang", "context"], "left_semi").toLocalIterator():
+        counts = grams.groupBy("lang", context(order).alias("context"), (F.col("gram") % 256).alias("byte"))
+        # No more rows than the table has cells.
+        for row in counts.agg(F.sum("n").alias("n")).toLocalIterator():
             followers[row["lang"]][order].setdefault(row["context"], {})[row["byte"]] = row["n"]
     scratch.drop(grams)
     return LanguageModel.compile(sorted(totals), followers)
@@ -204,7 +215,11 @@ def identify(docs: DataFrame, model: LanguageModel, doc_id: str = "doc_id", text
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, text: str = "text", least: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` whose language is found with a score of at least ``least``; ``und`` goes."""
+    """The rows and columns of ``docs`` whose language is found with a score of at least ``least``.
+
+    Null texts and texts without a letter (``und``) go, as does everything under a model that has learned nothing. Repeated
+    rows and null ids are judged like others; an empty table stays empty.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text)
 
