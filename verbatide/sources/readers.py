@@ -65,3 +65,13 @@ def read_source(
             raise ValueError(f"{kind} needs a schema, or infer=True")
         options["inferSchema"] = "true"
     return reader.options(**options).load(location)
+
+
+def source_exists(spark: SparkSession, kind: str, location: str) -> bool:
+    """Whether there is something to read. A collection that is not there reads as empty, so it counts as there."""
+    if kind == "table":
+        return spark.catalog.tableExists(location)
+    if kind == "mongodb":
+        return True
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(path)

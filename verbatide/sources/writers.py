@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Model, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verbatide.operators.features import TfIdf
+from verbatide.operators.models import TermModel
 from verbatide.operators.rowsets import with_row_index
-from verbatide.sources.readers import CSV_OPTIONS, FILE_FORMATS, collection_options
+from verbatide.sources.readers import CSV_OPTIONS, FILE_FORMATS, collection_options, read_source, source_exists
 
 
 def append_rows(
@@ -39,6 +43,20 @@ def append_rows(
     df.write.format(kind).options(**options).mode("append").save(location)
 
 
+def append_once(
+    df: DataFrame, kind: str, location: str, batch: str, key: str | Sequence[str], options: Mapping[str, str] | None = None
+) -> None:
+    """Append the rows of one batch, with its name in the column ``batch``. A retry under the same name adds nothing, and after
+    a run that was ended only the rows that are missing: rows whose ``key`` the batch has there already are left out."""
+    keys = [key] if isinstance(key, str) else list(key)
+    spark, fresh = df.sparkSession, df.withColumn("batch", F.lit(batch))
+    if source_exists(spark, kind, location):
+        there = read_source(spark, kind, location, fresh.schema, options).where(F.col("batch") == batch).select(*keys)
+        same = reduce(lambda a, b: a & b, [fresh[k].eqNullSafe(there[k]) for k in keys])
+        fresh = fresh.join(there, same, "left_anti")
+    append_rows(fresh, kind, location, options=options)
+
+
 def save_csv(df: DataFrame, columns: Sequence[str], path: str, options: Mapping[str, str] | None = None) -> None:
     """Write chosen columns as CSV with header, in UTF-8 or the encoding named in ``options``.
     Characters that the encoding does not have raise."""
@@ -75,3 +93,19 @@ def save_model(model: Model, path: str) -> None:
 
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
+
+
+def save_term_model(model: TermModel | TfIdf, path: str) -> None:
+    """Save an exact model: its terms as Parquet, the rest as one row of JSON."""
+    head = {"kind": type(model).__name__}
+    if isinstance(model, TermModel):
+        head |= {"classes": model.classes, "base": model.base}
+    spark = model.terms.sparkSession
+    model.terms.write.mode("overwrite").parquet(f"{path}/terms")
+    spark.createDataFrame([(json.dumps(head),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/head")
+
+
+def load_term_model(spark: SparkSession, path: str) -> TermModel | TfIdf:
+    """What ``save_term_model`` saved; the terms stay a table."""
+    head, terms = json.loads(spark.read.text(f"{path}/head").first()["value"]), spark.read.parquet(f"{path}/terms")
+    return TfIdf(terms) if head["kind"] == "TfIdf" else TermModel(head["classes"], head["base"], terms)

@@ -8,7 +8,7 @@ from verbatide.operators import features, models
 from verbatide.operators.rowsets import with_row_index
 from verbatide.plans.classify import add_words, index_labels, text_pipeline, with_labels
 from verbatide.session import scratch_path
-from verbatide.sources import append_rows, drop_table, load_model, read_source, save_csv, save_model
+from verbatide.sources import append_once, append_rows, drop_table, load_model, read_source, save_csv, save_model
 from workload.tables import Query, documents, labelled, table
 
 
@@ -38,6 +38,17 @@ def append_twice(spark, sf_dir):
     return read_source(spark, "parquet", path).select("n_nationkey", "n_name", "index")
 
 
+def append_retried(spark, sf_dir):
+    """Two batches; the first was ended after half of its rows, then retried twice under its name."""
+    path = scratch_path(spark, "append")
+    orders = table(spark, sf_dir, "orders", "o_orderkey", "o_totalprice")
+    early, late = orders.where("o_orderkey % 3 = 0"), orders.where("o_orderkey % 3 > 0")
+    append_rows(early.where("o_orderkey % 2 = 0").withColumn("batch", F.lit("early")), "parquet", path)
+    for rows, batch in ((early, "early"), (late, "late"), (early, "early")):
+        append_once(rows, "parquet", path, batch, "o_orderkey")
+    return read_source(spark, "parquet", path)
+
+
 def json_round_trip(spark, sf_dir):
     rows = table(spark, sf_dir, "orders", "o_orderkey", "o_orderpriority", "o_totalprice")
     path = scratch_path(spark, "json")
@@ -85,6 +96,10 @@ QUERIES = {
            UNION ALL
            SELECT s_suppkey::INTEGER, s_name, row_number() OVER (ORDER BY s_suppkey) - 1 FROM supplier""",
     ),
+    "append_retried": Query(
+        append_retried,
+        """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN 'early' ELSE 'late' END AS batch FROM orders""",
+    ),
     "json_round_trip": Query(json_round_trip, "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders"),
     "row_index": Query(
         row_index,
