@@ -120,6 +120,11 @@ def keyed_split(spark, d):
     return _parts(rowsets.keyed_split(orders, "o_orderkey", [0.7, 0.3], 69))
 
 
+def exact_split(spark, d):
+    orders = table(spark, d, "orders", "o_orderkey", "o_orderpriority")
+    return _parts(rowsets.exact_split(orders, "o_orderkey", [7, 2, 1], 69, by="o_orderpriority"))
+
+
 def split_by_step(spark, d):
     """The cut rule of the keyed split, on a step the SQL can also take."""
     step = F.pmod(F.col("o_orderkey"), F.lit(rowsets.SPLIT_STEPS))
@@ -254,6 +259,15 @@ QUERIES = {
     "keyed_split": Query(
         keyed_split, f"SELECT o_orderkey, ({_step(69, 'o_orderkey')} >= 7000)::BIGINT AS part FROM orders"
     ),
+    "exact_split": Query(
+        exact_split,
+        """WITH ranked AS (
+             SELECT o_orderkey, o_orderpriority, count(*) OVER (PARTITION BY o_orderpriority) AS n,
+                    row_number() OVER (PARTITION BY o_orderpriority
+                                       ORDER BY ('0x' || substr(md5('69:' || o_orderkey), 1, 15))::BIGINT, o_orderkey) - 1 AS r
+             FROM orders)
+           SELECT o_orderkey, o_orderpriority, ((r >= round(n * 0.7))::INT + (r >= round(n * 0.9))::INT)::BIGINT AS part FROM ranked""",
+    ),
     "split_by_step": Query(
         split_by_step,
         """SELECT o_orderkey, (CASE WHEN o_orderkey % 10000 >= 9000 THEN 2 WHEN o_orderkey % 10000 >= 7000 THEN 1
