@@ -18,10 +18,10 @@ HTTP_RUN = rf"http[^{SPACE}]+"
 TAG = r"<[^>]+>"
 TAG_ON_ONE_LINE = r"<[^\n]*?>"
 EMOJI = (
-    r"[\x{1F600}-\x{1F64F}"  # emoticons
-    r"\x{1F300}-\x{1F5FF}"  # symbols and pictographs
-    r"\x{1F680}-\x{1F6FF}"  # transport and map symbols
-    r"\x{1F1E0}-\x{1F1FF}"  # flags
+    r"[\x{1F600}-\x{1F64F}"
+    r"\x{1F300}-\x{1F5FF}"
+    r"\x{1F680}-\x{1F6FF}"
+    r"\x{1F1E0}-\x{1F1FF}"
     r"\x{2702}-\x{27B0}"
     r"\x{24C2}-\x{1F251}]+"
 )

@@ -113,8 +113,9 @@ def keep_longer_than(words: Column, n: int) -> Column:
 def replace_words(words: Column, mapping: Mapping[str, str], default: str | None = None) -> Column:
     """Replace whole words once; replacements are not looked up again. For small mappings.
 
-    Words outside the mapping stay, or become ``default``.
+    Words outside the mapping stay, or become ``default``, and so do words whose replacement is missing.
     """
+    mapping = {word: new for word, new in mapping.items() if word is not None and new is not None}
     if not mapping:
         return words if default is None else F.transform(words, lambda _: F.lit(default))
     keys = list(mapping)

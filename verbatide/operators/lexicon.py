@@ -24,11 +24,18 @@ def _held(df: DataFrame, words: str) -> DataFrame:
     return materialise(df.withColumns({words: present, "_row": F.monotonically_increasing_id()}))
 
 
-def _replace(held: DataFrame, words: str, mapping: DataFrame, default: str | None) -> DataFrame:
+def _vocabulary(held: DataFrame, words: str) -> DataFrame:
+    """(word, n): each distinct word and its occurrences."""
+    return held.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+
+
+def _replace(held: DataFrame, words: str, counts: DataFrame, mapping: DataFrame, default: str | None) -> DataFrame:
+    """Dictionary words are looked up once per distinct word of ``counts``; only those that have an entry meet the rows."""
     entries = mapping.where(F.col("word").isNotNull() & F.col("replacement").isNotNull())
     entries = entries.groupBy("word").agg(F.min("replacement").alias("replacement"))
+    known = materialise(counts.join(entries, "word").select("word", "n", "replacement"))
     placed = held.select("_row", F.posexplode(words).alias("_at", "word"))
-    found = lookup_join(placed, entries, "word").groupBy("_row")
+    found = lookup_join(placed, known.select("word", "replacement"), "word", known.select("word", "n")).groupBy("_row")
     new = F.struct("_at", F.lit(0).alias("_old"), F.col("replacement").alias("word"))
     joined = held.join(found.agg(F.collect_list(new).alias("_new")), "_row", "left")
 
@@ -38,12 +45,11 @@ def _replace(held: DataFrame, words: str, mapping: DataFrame, default: str | Non
 
     # Each place once or twice in order, the new word before the old one: the first of a place stays.
     before = F.transform(words, old)
-    joined = joined.withColumn("_both", F.sort_array(F.concat(F.coalesce("_new", F.array().cast(_PLACES)), before)))
+    joined = joined.withColumn("_both", F.sort_array(F.concat(F.col("_new"), before)))
     first = F.filter("_both", lambda x, i: (i == 0) | (F.get("_both", i - 1)["_at"] != x["_at"]))
-    return joined.withColumn(words, F.transform(first, lambda x: x["word"])).drop("_row", "_new", "_both")
-
-
-_PLACES = "array<struct<_at:int,_old:int,word:string>>"
+    untouched = F.col(words) if default is None else F.transform(words, lambda _: F.lit(default))
+    replaced = F.when(F.col("_new").isNull(), untouched).otherwise(F.transform(first, lambda x: x["word"]))
+    return joined.withColumn(words, replaced).drop("_row", "_new", "_both")
 
 
 def map_words(df: DataFrame, words: str, mapping: DataFrame, default: str | None = None) -> DataFrame:
@@ -53,7 +59,8 @@ def map_words(df: DataFrame, words: str, mapping: DataFrame, default: str | None
     missing; entries without a word are ignored; of several replacements of a word the smallest counts. All rows
     stay, repeated ones too; a missing list becomes an empty one.
     """
-    return _replace(_held(df, words), words, mapping, default).select(*df.columns)
+    held = _held(df, words)
+    return _replace(held, words, _vocabulary(held, words), mapping, default).select(*df.columns)
 
 
 def expand_abbreviations(df: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
@@ -107,10 +114,10 @@ def lemmatise(
 ) -> DataFrame:
     """Replace the words of a list column by their lemmas, found once per distinct word."""
     held = _held(df, words)
-    vocabulary = held.select(F.explode(words).alias("token")).distinct()
-    lemmas = materialise(lemma_map(vocabulary, lexicon, pos, exceptions))
+    counts = materialise(_vocabulary(held, words))
+    lemmas = lemma_map(counts.withColumnRenamed("word", "token"), lexicon, pos, exceptions)
     pairs = lemmas.select(F.col("token").alias("word"), F.col("lemma").alias("replacement"))
-    return _replace(held, words, pairs, None).select(*df.columns)
+    return _replace(held, words, counts, pairs, None).select(*df.columns)
 
 
 def lemma_counts(

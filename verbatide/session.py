@@ -17,7 +17,6 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",  # malformed casts raise instead of giving null
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # when nothing refers to them
 }
 
 
@@ -54,8 +53,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder once, so later stages (and lost executors) reread it."""
-    shared_folder(df.sparkSession)
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write ``df`` as Parquet to the shared folder once, so later stages (and lost executors) reread it,
+    the columns and rows that they need."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
