@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LinearSVC,
     NaiveBayes,
     OneVsRest,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, MulticlassClassificationEvaluator
+from pyspark.ml.evaluation import Evaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -81,25 +86,41 @@ class RestAreaEvaluator(Evaluator):
     """
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        scored = dataset.where(F.col(LABEL).isNotNull()).select(LABEL, vector_to_array("probability").alias("p"))
-        scored = scored.persist()
-        try:
-            met = sorted(int(r[0]) for r in scored.select(LABEL).distinct().collect())
-            if len(met) < 2:
-                return float("nan")
-            # Two classes have one curve: the second class against the first.
-            ones = met if scored.agg(F.max(F.size("p"))).first()[0] > 2 or max(met) > 1 else [1]
-            area = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="hit", numBins=0)  # exact
-            score = [F.coalesce(F.get("p", F.lit(k)), F.lit(0.0)).alias("score") for k in ones]  # 0: not in training
-            hit = [(F.col(LABEL) == k).cast("double").alias("hit") for k in ones]
-            return float(np.mean([area.evaluate(scored.select(s, h)) for s, h in zip(score, hit)]))
-        finally:
-            scored.unpersist()
+        areas = rest_areas(dataset, LABEL, vector_to_array("probability")).collect()
+        # Two classes have one curve: the second class against the first.
+        if len(areas) == 2 and max(r["class"] for r in areas) <= 1:
+            areas = [r for r in areas if r["class"] == 1]
+        found = [r["area"] for r in areas if r["area"] is not None]
+        return float(np.mean(found)) if found else float("nan")
 
     def isLargerBetter(self) -> bool:
         return True
 
 
+def rest_areas(scored: DataFrame, label: str, scores: Column) -> DataFrame:
+    """(class, area) for every class met: the exact area under its ROC curve against all other rows.
+
+    ``scores`` is an array with a score per class number; a class beyond it has score 0. Equal scores are
+    counted together first, and one window over them gives all classes; without other classes the area is null.
+    """
+    rows = scored.where(F.col(label).isNotNull()).select(F.col(label).cast("int").alias("_y"), scores.alias("_p"))
+    met = rows.groupBy("_y").agg(F.count("*").alias("n")).select(F.col("_y").alias("class"))
+    classes = F.array_sort(F.collect_set("class")).alias("classes")
+    known = [int(c) for c in (met.agg(classes).first()["classes"] or [])]
+    each = [
+        F.struct(F.lit(c).alias("class"), F.coalesce(F.get("_p", F.lit(c)), F.lit(0.0)).alias("score"), (F.col("_y") == c).cast("long").alias("hit"))
+        for c in known
+    ]
+    kinds = "array<struct<class:int,score:double,hit:bigint>>"
+    cells = rows.select(F.inline(F.array(*each).cast(kinds)))
+    steps = cells.groupBy("class", "score").agg(F.sum("hit").alias("hits"), (F.count("*") - F.sum("hit")).alias("misses"))
+    below = Window.partitionBy("class").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    steps = steps.withColumn("below", F.coalesce(F.sum("misses").over(below), F.lit(0)))
+    won = F.sum(F.col("hits") * (F.col("below") + F.col("misses") / 2))
+    pairs = F.sum("hits").cast("double") * F.sum("misses")
+    return steps.groupBy("class").agg(F.when(pairs > 0, won / pairs).alias("area"))
+
+
 # Class weights -------------------------------------------------------------------------------------
 
 
@@ -373,52 +394,228 @@ def rbf_svm(
 # Feature elimination -------------------------------------------------------------------------------------------
 
 
+LEDGER = "round int, fold int, roc_auc double, columns array<int>, importance array<double>"
+
+
 def eliminate_features(
     train: DataFrame, size: int, keep: int = 1, step: float = 1, folds: int = 5, trees: int = 30, seed: int = 42,
-    key: str | None = None,
+    key: str | None = None, ledger: str | None = None, parallelism: int = 6,
 ) -> DataFrame:
     """Recursive elimination: cross-validate a forest with balanced class weights, drop the ``step`` least
     important columns (a share of them, below one), repeat down to ``keep``. One row per round with its
-    columns and the mean over the folds of the area under the ROC curve."""
-    columns, rows = list(range(size)), []
+    columns and the mean over the folds of the area under the ROC curve.
+
+    Each finished fit is a row of the table in the folder ``ledger``: (round, fold, area), or with fold -1 the
+    importances of a round's columns in a forest over all rows. A run with the ledger of one that was ended goes on after
+    its last finished fit. The fits of a round run side by side.
+    """
+    spark = train.sparkSession
+    ledger = ledger or scratch_path(spark, "elimination")
     weighted = with_class_weights(train, LABEL, "_weight")
-    while True:
+    fold = fold_of(key, folds, seed) if key else F.pmod(F.xxhash64(F.lit(seed), FEATURES), F.lit(folds)).cast("int")
+    weighted = weighted.withColumn("_fold", fold)
+    evaluator = RestAreaEvaluator()
+
+    def fit(number: int, fold: int, columns: list[int]) -> tuple:
         slicer = VectorSlicer(inputCol=FEATURES, outputCol="_kept", indices=columns)
         forest = random_forest(trees, weight="_weight", seed=seed).setFeaturesCol("_kept")
         pipeline = Pipeline(stages=[slicer, forest])
-        fitted = cross_validate(pipeline, [{}], weighted, folds, RestAreaEvaluator(), seed=seed, key=key)
-        rows.append((len(rows), len(columns), float(fitted.avgMetrics[0]), columns))
-        if len(columns) <= keep:
-            break
-        importance = fitted.bestModel.stages[-1].featureImportances.toArray()
-        drop = step if step >= 1 else max(1, math.ceil(len(columns) * step))
-        left = max(keep, len(columns) - int(drop))
-        order = sorted(range(len(columns)), key=lambda i: (-importance[i], columns[i]))
-        columns = sorted(columns[i] for i in order[:left])
-    schema = "round long, features long, roc_auc double, columns array<int>"
-    return train.sparkSession.createDataFrame(rows, schema)
+        fitted = pipeline.fit(weighted.where(F.col("_fold") != fold))
+        if fold < 0:
+            return number, fold, None, columns, [float(x) for x in fitted.stages[-1].featureImportances.toArray()]
+        area = evaluator.evaluate(fitted.transform(weighted.where(F.col("_fold") == fold)))
+        return number, fold, area, columns, None
+
+    def done(number: int) -> dict[int, Row]:
+        return {r["fold"]: r for r in _ledger_rows(spark, ledger).where(F.col("round") == number).collect()}
+
+    columns, number, rows = list(range(size)), 0, []
+    with ThreadPool(parallelism) as pool:
+        while True:
+            last = len(columns) <= keep
+            missing = [f for f in [*range(folds), *([] if last else [-1])] if f not in done(number)]
+            for made in pool.imap_unordered(inheritable_thread_target(spark)(lambda f: fit(number, f, columns)), missing):
+                spark.createDataFrame([made], LEDGER).write.mode("append").parquet(ledger)
+            found = done(number)
+            areas = [found[f]["roc_auc"] for f in range(folds)]
+            rows.append((number, len(columns), float(np.mean(areas)), columns))
+            if last:
+                break
+            importance = found[-1]["importance"]
+            drop = step if step >= 1 else max(1, math.ceil(len(columns) * step))
+            left = max(keep, len(columns) - int(drop))
+            order = sorted(range(len(columns)), key=lambda i: (-importance[i], columns[i]))
+            columns, number = sorted(columns[i] for i in order[:left]), number + 1
+    return spark.createDataFrame(rows, "round long, features long, roc_auc double, columns array<int>")
+
+
+def _ledger_rows(spark: SparkSession, ledger: str) -> DataFrame:
+    try:
+        return spark.read.schema(LEDGER).parquet(ledger)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LEDGER)
 
 
 # Fitted models -----------------------------------------------------------------------------------------------
 
 
+def save_trees(model: Model) -> str:
+    """Save a fitted tree or forest in the shared folder; executors write and read its nodes."""
+    path = scratch_path(SparkSession.active(), "trees")
+    model.write().save(path)
+    return path
+
+
+def _saved_nodes(path: str) -> DataFrame:
+    """(tree, node struct) of a saved tree or forest."""
+    saved = SparkSession.active().read.parquet(f"{path}/data")
+    if "nodeData" in saved.columns:
+        return saved.select(F.col("treeID").alias("tree"), F.col("nodeData").alias("node"))
+    return saved.select(F.lit(0).alias("tree"), F.struct(*saved.columns).alias("node"))
+
+
+def nodes_of(path: str) -> DataFrame:
+    """(tree, node, prediction, impurity, rows, gain, left, right, feature, threshold, stats) of a saved
+    tree or forest. Leaves have feature and children -1; ``stats`` are the weighted rows of each class."""
+    cut = F.col("node.split.leftCategoriesOrThreshold")
+    return _saved_nodes(path).select(
+        "tree", F.col("node.id").alias("node"), "node.prediction", F.round("node.impurity", 6).alias("impurity"),
+        F.col("node.rawCount").cast("long").alias("rows"), "node.gain", F.col("node.leftChild").alias("left"),
+        F.col("node.rightChild").alias("right"), F.col("node.split.featureIndex").alias("feature"),
+        F.when(F.size(cut) > 0, F.get(cut, F.lit(0))).alias("threshold"), F.col("node.impurityStats").alias("stats"),
+    )
+
+
 def tree_nodes(model: Model) -> DataFrame:
-    """(node, prediction, impurity, rows, gain, left, right, feature, threshold) of a fitted tree.
+    """(node, prediction, impurity, rows, gain, left, right, feature, threshold) of a fitted tree."""
+    return nodes_of(save_trees(model)).drop("tree", "stats")
 
-    Read from the saved model, whose nodes the executors write and read; leaves have feature and
-    children -1.
+
+def tree_paths(nodes: DataFrame) -> DataFrame:
+    """(tree, node, depth, path) for every node: its depth and the tests on the way to it, outermost first.
+
+    ``path`` lists (feature, threshold, below), ``below`` being true where the value is at most the threshold. One
+    recursive query over the node table, a step per level.
+    """
+    spark = nodes.sparkSession
+    inner = nodes.where(F.col("left") >= 0)
+    sides = [
+        inner.select("tree", F.col("node").alias("parent"), F.col(child).alias("node"), "feature", "threshold", F.lit(below).alias("below"))
+        for child, below in (("left", True), ("right", False))
+    ]
+    steps = materialise(sides[0].unionByName(sides[1]))
+    roots = materialise(nodes.where(F.col("node") == 0).select("tree"))
+    most = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # a forest has as many rows as nodes
+    try:
+        found = spark.sql(
+            """
+            WITH RECURSIVE walked(tree, node, depth, path) AS (
+              SELECT tree, 0, 0, CAST(array() AS array<struct<feature:int,threshold:double,below:boolean>>) FROM {roots}
+              UNION ALL
+              SELECT s.tree, s.node, w.depth + 1, array_append(w.path, named_struct('feature', s.feature, 'threshold', s.threshold, 'below', s.below))
+              FROM walked w JOIN {steps} s ON s.tree = w.tree AND s.parent = w.node)
+            SELECT * FROM walked""",
+            roots=roots, steps=steps,
+        )
+        return materialise(found)
+    finally:
+        spark.conf.set("spark.sql.cteRecursionRowLimit", most)
+
+
+def tree_rules(nodes: DataFrame) -> DataFrame:
+    """(tree, leaf, depth, rule, prediction, rows): each leaf as a sentence, such as ``f3 <= 0.5 and f1 > 2.0``."""
+    test = lambda t: F.concat(F.lit("f"), t["feature"], F.when(t["below"], " <= ").otherwise(" > "), t["threshold"])
+    rule = F.when(F.size("path") == 0, F.lit("always")).otherwise(F.array_join(F.transform("path", test), " and "))
+    leaves = nodes.where(F.col("left") < 0).join(tree_paths(nodes), ["tree", "node"])
+    return leaves.select("tree", F.col("node").alias("leaf"), "depth", rule.alias("rule"), "prediction", "rows")
+
+
+def walk_tree(x: Column, nodes: list[Row], depth: int = MAX_DEPTH) -> Column:
+    """The node that the array ``x`` comes to in at most ``depth`` steps through one tree, a leaf by default; ``nodes``
+    are its collected nodes (a model that fits the driver)."""
+    ordered = sorted(nodes, key=lambda r: r["node"])
+    column = lambda name, kind: F.lit([r[name] for r in ordered]).cast(f"array<{kind}>")
+    left, right, feature = (column(name, "int") for name in ("left", "right", "feature"))
+    cuts = F.lit([r["threshold"] if r["threshold"] is not None else 0.0 for r in ordered]).cast("array<double>")
+
+    def step(node: Column, _: Column) -> Column:
+        below = F.get(x, F.get(feature, node)) <= F.get(cuts, node)
+        return F.when(F.get(left, node) < 0, node).when(below, F.get(left, node)).otherwise(F.get(right, node))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step)
+
+
+def cut_forest(path: str, trees: int, depth: int = MAX_DEPTH, paths: DataFrame | None = None) -> RandomForestClassificationModel:
+    """The forest saved in ``path``, with only its first ``trees`` trees and no node deeper than ``depth``.
+
+    Trees are drawn one after the other and grown from the root, so a forest holds the smaller ones of the same draws.
+    ``paths`` are its ``tree_paths``, where they are at hand.
     """
     spark = SparkSession.active()
-    path = scratch_path(spark, "tree")
-    model.write().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    cut = F.col("split.leftCategoriesOrThreshold")
-    return nodes.select(
-        F.col("id").alias("node"), "prediction", F.round("impurity", 6).alias("impurity"),
-        F.col("rawCount").cast("long").alias("rows"), F.col("gain"), F.col("leftChild").alias("left"),
-        F.col("rightChild").alias("right"), F.col("split.featureIndex").alias("feature"),
-        F.when(F.size(cut) > 0, F.get(cut, F.lit(0))).alias("threshold"),
+    paths = tree_paths(nodes_of(path)) if paths is None else paths
+    kept = paths.where((F.col("tree") < trees) & (F.col("depth") <= depth)).select("tree", F.col("node").alias("id"), "depth")
+    # Nodes are numbered without gaps within a tree.
+    numbered = kept.withColumn("new", F.row_number().over(Window.partitionBy("tree").orderBy("id")) - 1)
+    nodes = _saved_nodes(path).withColumn("id", F.col("node.id")).join(numbered, ["tree", "id"])
+    for child in ("leftChild", "rightChild"):
+        renamed = numbered.select("tree", F.col("id").alias(f"_{child}"), F.col("new").alias(child))
+        nodes = nodes.withColumn(f"_{child}", F.col(f"node.{child}")).join(renamed, ["tree", f"_{child}"], "left")
+    leaf = F.coalesce("leftChild", F.lit(-1)) < 0
+    split = F.col("node.split")
+    none = F.struct(
+        F.lit(-1).alias("featureIndex"), F.array().cast("array<double>").alias("leftCategoriesOrThreshold"), F.lit(-1).alias("numCategories")
     )
+    changed = {
+        "id": F.col("new"),
+        "leftChild": F.coalesce("leftChild", F.lit(-1)),
+        "rightChild": F.coalesce("rightChild", F.lit(-1)),
+        "gain": F.when(leaf, -1.0).otherwise(F.col("node.gain")),
+        "split": F.when(leaf, none).otherwise(split),
+    }
+    fields = [f.name for f in nodes.schema["node"].dataType]
+    data = F.struct(*[changed.get(f, F.col(f"node.{f}")).alias(f) for f in fields])
+    target = scratch_path(spark, "trees")
+    nodes.select(F.col("tree").alias("treeID"), data.alias("nodeData")).write.parquet(f"{target}/data")
+    each = spark.read.parquet(f"{path}/treesMetadata")  # (number of the tree, its metadata, its weight)
+    each.where(F.col(each.columns[0]) < trees).write.parquet(f"{target}/treesMetadata")
+    facts = json.loads(spark.read.text(f"{path}/metadata").first()[0])
+    facts["numTrees"] = trees
+    facts.get("paramMap", {}).update({k: v for k, v in (("numTrees", trees), ("maxDepth", depth)) if k in facts.get("paramMap", {})})
+    spark.createDataFrame([(json.dumps(facts),)], "value string").coalesce(1).write.text(f"{target}/metadata")
+    return RandomForestClassificationModel.load(target)
+
+
+def forest_cv(
+    train: DataFrame, trees: list[int], depths: list[int], folds: int = 3, key: str = "vec_id", seed: int = 42, parallelism: int = 3
+) -> DataFrame:
+    """(trees, depth, avg_metric, is_best): cross-validated accuracy of forests of all sizes and depths.
+
+    The largest and deepest forest is fitted once per fold; every other point is a part of it: its first trees, cut at a depth.
+    """
+    spark = train.sparkSession
+    dealt = train.withColumn("_fold", fold_of(key, folds, seed))
+    points = [(t, d) for t in trees for d in depths]
+
+    def scores(fold: int) -> list[float]:
+        fitted = random_forest(max(trees), max(depths), seed=seed).fit(dealt.where(F.col("_fold") != fold))
+        path = save_trees(fitted)
+        paths = tree_paths(nodes_of(path))
+        held = dealt.where(F.col("_fold") == fold)
+        right = []
+        for t, d in points:
+            scored = cut_forest(path, t, d, paths).transform(held)
+            right.append(scored.agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double"))).first()[0])
+        return right
+
+    with ThreadPool(parallelism) as pool:
+        found = np.array(pool.map(inheritable_thread_target(spark)(scores), range(folds)), float)
+    means = [float(x) for x in np.nanmean(found, axis=0)]
+    best = means.index(max(means))
+    rows = [(t, d, m, i == best) for i, ((t, d), m) in enumerate(zip(points, means))]
+    return spark.createDataFrame(rows, "trees int, depth int, avg_metric double, is_best boolean")
 
 
 def best_params(model: CrossValidatorModel) -> DataFrame:

@@ -3,6 +3,8 @@ are given for all rows."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import Normalizer
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -407,9 +409,60 @@ def rf_balanced_cv(spark, d):
 
 def rf_cv(spark, d):
     with X.cached(_embeddings(spark, d)) as (rows,):
-        forest = M.random_forest(seed=42)
-        grid = M.grid(trees=(forest.numTrees, [200, 500]), depth=(forest.maxDepth, [10, 20, 30]))
-        return M.cv_table(M.cross_validate(forest, grid, rows, 3, key="vec_id"))
+        return M.forest_cv(rows, [200, 500], [10, 20, 30], folds=3, key="vec_id", seed=42)
+
+
+def _by_tree(nodes):
+    """The nodes of a fitted model by tree, in order; the driver holds the model anyway."""
+    by_tree = {}
+    for node in sorted(nodes.collect(), key=lambda n: (n["tree"], n["node"])):
+        by_tree.setdefault(node["tree"], []).append(node)
+    return list(by_tree.values())
+
+
+def forest_prefix(spark, d):
+    """The first trees of a forest, cut at a depth: the cut model predicts the mean vote of walks through
+    the node table of the whole forest that stop at that depth."""
+    with X.cached(_embeddings(spark, d)) as (rows,):
+        path = M.save_trees(M.random_forest(trees=12, depth=10, seed=42).fit(rows))
+    walked, votes = _embeddings(spark, d).withColumn("_x", vector_to_array(M.FEATURES)), []
+    for nodes in _by_tree(M.nodes_of(path))[:5]:
+        shares = F.lit([[float(x) / sum(n["stats"]) for x in n["stats"]] for n in nodes]).cast("array<array<double>>")
+        votes.append(F.get(shares, M.walk_tree(F.col("_x"), nodes, depth=4)))
+    total = reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), votes)
+    walked = walked.withColumn("_want", (F.array_position(total, F.array_max(total)) - 1).cast("double"))
+    scored = M.cut_forest(path, 5, 4).transform(walked)
+    return scored.select("vec_id", (F.col("prediction") == F.col("_want")).alias("same"))
+
+
+def _leaf(rows, nodes):
+    """``rows`` with the leaf that each comes to in the one tree of ``nodes``."""
+    (tree,) = _by_tree(nodes)
+    return rows.withColumn("_x", vector_to_array(M.FEATURES)).withColumn("leaf", M.walk_tree(F.col("_x"), tree)).drop("_x")
+
+
+def tree_rules(spark, d):
+    """A fitted tree as rules: every document fits exactly one, and it predicts what the tree predicts."""
+    model = _fit(spark, d, M.decision_tree(bins=40, depth=20), 2000)
+    nodes = M.nodes_of(M.save_trees(model.stages[-1]))
+    scored = model.transform(add_words(documents(spark, d), "text"))
+    leaves = _leaf(scored, nodes).select("doc_id", "leaf", F.col("prediction").alias("_model"))
+    joined = leaves.join(M.tree_rules(nodes), "leaf", "left")
+    return joined.groupBy("doc_id").agg(F.count("rule").alias("rules"), F.bool_and(F.col("prediction") == F.col("_model")).alias("same"))
+
+
+def rule_counts(spark, d):
+    """The rows of each rule: a tree of depth two on two small counts, its leaves as filters over the table."""
+    rows = table(spark, d, "lineitem", "l_linenumber", "l_quantity")
+    label = F.when(F.col("l_quantity") + 3 * F.col("l_linenumber") > 40, 1.0).otherwise(0.0)
+    rows = rows.withColumns({M.LABEL: label, "quantity": F.col("l_quantity").cast("double")})
+    rows = X.assembler(["l_linenumber", "quantity"], M.FEATURES).transform(rows)
+    with X.cached(rows.select(M.LABEL, M.FEATURES)) as (train,):
+        nodes = M.nodes_of(M.save_trees(M.decision_tree(depth=3).fit(train)))
+        met = _leaf(train, nodes).groupBy("leaf").agg(F.count("*").alias("met"))
+        sized = M.tree_rules(nodes).join(met, "leaf")
+        facts = sized.agg(F.sum("met").alias("rows"), F.bool_and(F.col("met") == F.col("rows")).alias("same")).collect()
+    return spark.createDataFrame(facts, "rows long, same boolean")
 
 
 def rf_draws_cv(spark, d):
@@ -512,6 +565,9 @@ QUERIES = {
     "rf_small": Query(rf_small),
     "rf_balanced_cv": Query(rf_balanced_cv),
     "rf_cv": Query(rf_cv),
+    "forest_prefix": Query(forest_prefix, "SELECT vec_id, TRUE AS same FROM embeddings"),
+    "tree_rules": Query(tree_rules, "SELECT doc_id, 1::BIGINT AS rules, TRUE AS same FROM documents"),
+    "rule_counts": Query(rule_counts, "SELECT count(*)::BIGINT AS rows, TRUE AS same FROM lineitem"),
     "rf_draws_cv": Query(rf_draws_cv),
     "svm_rff_predict": Query(svm_rff_predict),
     "eliminate_features": Query(eliminate_features),
