@@ -9,6 +9,9 @@ every other key keeps salt zero. One pass over the facts, every row kept.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,29 +22,31 @@ MIN_ROWS = 1000
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     counts: DataFrame | None = None,
     how: str = "inner",
     share: int = HOT_SHARE,
     least: int = MIN_ROWS,
 ) -> DataFrame:
-    """Join ``facts`` to ``lookup`` (unique on ``key``), ``how`` being inner or left.
+    """Join ``facts`` to ``lookup`` (unique on ``key``, a column or several), ``how`` being inner or left.
 
     ``counts(key, n)`` gives each key's number of rows in ``facts``, keys without a lookup row
     included; without it the rows are counted in one partially aggregated pass.
     """
     if how not in ("inner", "left"):
         raise ValueError("how must be inner or left")
+    keys = [key] if isinstance(key, str) else list(key)
     if counts is None:
-        counts = facts.groupBy(key).agg(F.count("*").alias("n"))
+        counts = facts.groupBy(*keys).agg(F.count("*").alias("n"))
     total = counts.agg(F.sum("n")).scalar()
     rows = F.greatest(F.lit(least), total / share)  # a task's share of a hot key
-    hot = counts.where(F.col("n") > rows).select(key, F.ceil(F.col("n") / rows).cast("int").alias("_salts"))
+    hot = counts.where(F.col("n") > rows).select(*keys, F.ceil(F.col("n") / rows).cast("int").alias("_salts"))
     # The salt is a hash of the row, so a rerun task deals its rows the same way. Rows without a key
     # match nothing, but an outer join would bring them all together, so they are dealt too.
-    salts = F.when(F.col(key).isNull(), F.lit(share)).otherwise(F.coalesce("_salts", F.lit(1)))
-    salted = facts.join(F.broadcast(hot), key, "left")
+    missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    salts = F.when(missing, F.lit(share)).otherwise(F.coalesce("_salts", F.lit(1)))
+    salted = facts.join(F.broadcast(hot), keys, "left")
     salted = salted.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), salts).cast("int")).drop("_salts")
     every = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
-    repeated = lookup.join(F.broadcast(hot), key, "left").withColumn("_salt", F.explode(every)).drop("_salts")
-    return salted.join(repeated, [key, "_salt"], how).drop("_salt")
+    repeated = lookup.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(every)).drop("_salts")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
