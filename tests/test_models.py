@@ -238,14 +238,15 @@ def test_area_against_the_rest(spark):
 def test_feature_elimination_weighs_classes_and_grows_full_trees(spark, monkeypatch):
     """On skewed classes without a signal the area is about one half, where accuracy is 0.9."""
     made, weights = [], []
-    forest, validate = M.random_forest, M.cross_validate
+    forest, weigh = M.random_forest, M.with_class_weights
     monkeypatch.setattr(M, "random_forest", lambda *a, **k: made.append(forest(*a, **k)) or made[-1])
 
-    def see(pipeline, grid, train, *a, **k):
-        weights.append({r[0]: r[1] for r in train.select(M.LABEL, "_weight").distinct().collect()})
-        return validate(pipeline, grid, train, *a, **k)
+    def see(df, label, name):
+        weighted = weigh(df, label, name)
+        weights.append({r[0]: r[1] for r in weighted.select(label, name).distinct().collect()})
+        return weighted
 
-    monkeypatch.setattr(M, "cross_validate", see)
+    monkeypatch.setattr(M, "with_class_weights", see)
     rows = spark.range(300).select(
         (F.col("id") % 10 == 0).cast("double").alias(M.LABEL),
         array_to_vector(F.array(F.rand(5), F.rand(6))).alias(M.FEATURES),
@@ -253,7 +254,54 @@ def test_feature_elimination_weighs_classes_and_grows_full_trees(spark, monkeypa
     got = M.eliminate_features(rows, 2, folds=2, trees=5).collect()
     assert all(0.25 < r["roc_auc"] < 0.75 for r in got)
     assert {(f.getMaxDepth(), f.getWeightCol()) for f in made} == {(30, "_weight")}
-    assert all(w == pytest.approx({1.0: 5.0, 0.0: 5 / 9}) for w in weights)
+    assert weights == [pytest.approx({1.0: 5.0, 0.0: 5 / 9})]
+
+
+def test_feature_elimination_goes_on_where_it_was_ended(spark, monkeypatch, tmp_path):
+    rows = spark.range(120).select(
+        (F.col("id") % 2).cast("double").alias(M.LABEL),
+        array_to_vector(F.array((F.col("id") % 2).cast("double"), F.rand(1), F.rand(2))).alias(M.FEATURES),
+    ).persist()
+    made, forest, ledger = [], M.random_forest, str(tmp_path / "ledger")
+
+    def ends_after(most):
+        def fit(*a, **k):
+            if len(made) == most:
+                raise RuntimeError("ended")
+            made.append(1)
+            return forest(*a, **k)
+
+        monkeypatch.setattr(M, "random_forest", fit)
+
+    ends_after(4)  # in the second round
+    with pytest.raises(RuntimeError, match="ended"):
+        M.eliminate_features(rows, 3, folds=2, trees=3, ledger=ledger, parallelism=1)
+    finished = spark.read.parquet(ledger).count()
+    assert 3 <= finished <= 4
+    made.clear()
+    ends_after(99)
+    got = M.eliminate_features(rows, 3, folds=2, trees=3, ledger=ledger, parallelism=1).collect()
+    assert [r["features"] for r in got] == [3, 2, 1] and len(made) == 8 - finished  # three fits a round, two in the last
+    made.clear()
+    assert M.eliminate_features(rows, 3, folds=2, trees=3, ledger=ledger).collect() == got and not made
+
+
+def test_forest_grid_is_cut_from_one_fit(spark):
+    rng = np.random.default_rng(2)
+    points = [(i, [float(x) for x in p], float((p[0] > 0) != (p[1] > 0))) for i, p in enumerate(rng.normal(0, 1, (150, 2)))]
+    df = spark.createDataFrame(points, f"vec_id long, x array<double>, {M.LABEL} double").withColumn(M.FEATURES, array_to_vector("x")).persist()
+    table = M.forest_cv(df, [2, 6], [1, 5], folds=2).collect()
+    assert [(r["trees"], r["depth"]) for r in table] == [(2, 1), (2, 5), (6, 1), (6, 5)] and sum(r["is_best"] for r in table) == 1
+    assert table[3]["avg_metric"] > 0.75 > table[0]["avg_metric"]
+    path = M.save_trees(M.random_forest(6, 5, seed=42).fit(df))
+    whole, cut = M.nodes_of(path), M.cut_forest(path, 2, 3)
+    assert cut.getNumTrees == 2 and max(t.depth for t in cut.trees) <= 3 and cut.numFeatures == 2
+    paths = {(r["tree"], r["node"]): r for r in M.tree_paths(whole).collect()}
+    assert len(paths) == whole.count() and all(len(r["path"]) == r["depth"] for r in paths.values())
+    rules = [r for r in M.tree_rules(whole).collect() if r["tree"] == 0]
+    for _, x, _ in points[:40]:
+        met = [r for r in rules if r["rule"] == "always" or eval(r["rule"], {"f0": x[0], "f1": x[1]})]
+        assert len(met) == 1
 
 
 def test_forest_draws_are_repeatable_and_valid():

@@ -7,7 +7,16 @@ from pyspark.sql.types import StructType
 from verbatide import schemas
 from verbatide.plans import prepare
 from verbatide.session import scratch_path, shared_folder
-from verbatide.sources import append_rows, drop_table, read_source, save_csv
+from verbatide.operators import features, models
+from verbatide.sources import (
+    append_once,
+    append_rows,
+    drop_table,
+    load_term_model,
+    read_source,
+    save_csv,
+    save_term_model,
+)
 from verbatide.sources.readers import LATIN_1, URI_VARIABLE, collection_options
 from verbatide.streaming import append_stream, clean_stream
 
@@ -125,3 +134,26 @@ def test_stream_gives_the_batch_rows(spark):
         append_stream(clean_stream(stream), sink, marks, until_done=True).awaitTermination(120)
     want = prepare.clean_table(prepare.from_five_levels(df))
     assert sorted(map(tuple, spark.read.parquet(sink).collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def test_a_retried_append_adds_what_is_missing(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (2, "b")], "id long, v string")
+    for kind, place in (("parquet", str(tmp_path / "p")), ("csv", str(tmp_path / "c")), ("table", "append_once_rows")):
+        append_once(rows.where("id = 1"), kind, place, "x", "id")
+        for batch in ("x", "y", "x", "y"):
+            append_once(rows, kind, place, batch, "id")
+        schema = StructType.fromDDL("id long, v string, batch string")
+        got = sorted(map(tuple, read_source(spark, kind, place, schema).collect()), key=repr)
+        assert got == sorted([(r["id"], r["v"], b) for b in "xy" for r in rows.collect()], key=repr)
+    drop_table(spark, "append_once_rows")
+
+
+def test_exact_models_are_saved_and_loaded(spark, tmp_path):
+    terms = spark.createDataFrame([("a", [0.1, -2.0]), ("b", [0.3, 0.4])], "term string, weights array<double>")
+    save_term_model(models.TermModel(["x", "y"], [-0.5, -1.5], terms), str(tmp_path / "m"))
+    save_term_model(models.TermModel(["x", "y"], [-0.5, -1.25], terms), str(tmp_path / "m"))
+    model = load_term_model(spark, str(tmp_path / "m"))
+    assert (model.classes, model.base) == (["x", "y"], [-0.5, -1.25])
+    assert sorted(map(tuple, model.terms.collect())) == sorted(map(tuple, terms.collect()))
+    save_term_model(features.TfIdf(spark.createDataFrame([("a", 1.5)], "term string, idf double")), str(tmp_path / "t"))
+    assert load_term_model(spark, str(tmp_path / "t")).terms.collect()[0]["idf"] == 1.5

@@ -184,3 +184,18 @@ def test_popular_tags_rank_joined_tags(spark):
     tags = T.hashtag_list(F.col("t"))
     assert [tuple(r) for r in frequency.popular_tags(df, tags).collect()] == [("a b", 2), ("a", 1)]
     assert [tuple(r) for r in frequency.popular_tags(df, tags, 1, 1, per_tag=True).collect()] == [("a", 3)]
+
+
+def test_exact_split_sizes_and_strata(spark):
+    rows = [(i, "abc"[i % 3] if i % 7 else None) for i in range(500)] + [(3, "a")] * 40
+    df = spark.createDataFrame(rows, "id long, kind string").withColumn("_rank", F.lit(1))
+    parts = rowsets.exact_split(df, "id", [7, 2, 1], 5, by="kind")
+    counts = [{r["kind"]: r["n"] for r in p.groupBy("kind").agg(F.count("*").alias("n")).collect()} for p in parts]
+    for kind in ("a", "b", "c", None):
+        n = sum(k == kind for _, k in rows)
+        ends = [int(n * share + 0.5) for share in (0.7, 0.9, 1.0)]
+        assert [c[kind] for c in counts] == [ends[0], ends[1] - ends[0], ends[2] - ends[1]]
+    assert sorted(map(tuple, parts[0].union(parts[1]).union(parts[2]).collect()), key=repr) == sorted(map(tuple, df.collect()), key=repr)
+    assert [p.count() for p in rowsets.exact_split(df, "id", [1, 1], 5)] == [270, 270]
+    assert [p.count() for p in rowsets.exact_split(df, "id", [1, 0], 5)] == [540, 0]
+    assert rowsets.exact_split(df.limit(0), "id", [1, 1], 5)[0].count() == 0

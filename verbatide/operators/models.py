@@ -6,7 +6,6 @@ import json
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -32,7 +31,6 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbatide.operators.frequency import class_distribution, term_counts
-from verbatide.operators.features import term_frequencies
 from verbatide.operators.rowsets import key_number
 from verbatide.operators.sizing import small_rows
 from verbatide.operators.skew import lookup_join
@@ -306,18 +304,59 @@ def fold_of(key: str, folds: int, seed: int = 5043) -> Column:
 def term_model_cv(
     df: DataFrame, key: str, label: str, words: Column, smoothings: list[float], folds: int = 3, seed: int = 5043
 ) -> DataFrame:
-    """(smoothing, fold, hits, rows) of the exact multinomial model, each fold scored by the others' fit."""
-    parts = []
+    """(smoothing, fold, hits, rows) of the exact multinomial model, each fold scored by the others' fit.
+
+    Texts are cut once. A term's counts by class and fold give every fold's model by subtraction, and one join
+    scores each text with its fold's model at all grid points.
+    """
     held = df.where(F.col(label).isNotNull()).withColumn("_fold", fold_of(key, folds, seed))
-    for fold in range(folds):
-        train, test = held.where(F.col("_fold") != fold), held.where(F.col("_fold") == fold)
-        values = term_frequencies(test, key, words).withColumnRenamed("tf", "value")
-        for smoothing in smoothings:
-            predicted = fit_multinomial(train, label, words, smoothing).predict(test, key, values)
-            hits = predicted.join(test.select(key, label), key)
-            hits = hits.agg(F.count_if(F.col("prediction") == F.col(label)).alias("hits"), F.count("*").alias("rows"))
-            parts.append(hits.select(F.lit(smoothing).alias("smoothing"), F.lit(fold).alias("fold"), "hits", "rows"))
-    return reduce(DataFrame.unionByName, parts)
+    sizes = held.groupBy(label, "_fold").agg(F.count("*").alias("n")).collect()  # classes times folds
+    classes = sorted({r[label] for r in sizes})
+    if len(classes) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    places = [(c, f) for f in range(folds) for c in classes]
+    members = {place: 0 for place in places} | {(r[label], r["_fold"]): r["n"] for r in sizes}
+
+    tf = materialise(
+        held.select(key, label, "_fold", F.explode(words).alias("term")).groupBy(key, label, "_fold", "term").agg(F.count("*").alias("tf"))
+    )
+    cells = [F.sum(F.when((F.col(label) == c) & (F.col("_fold") == f), F.col("tf")).otherwise(0)).alias(f"_{i}") for i, (c, f) in enumerate(places)]
+    counts = materialise(tf.groupBy("term").agg(F.count("*").alias("n"), *cells))
+    k = len(classes)
+    rest = lambda f, j: sum((F.col(f"_{g * k + j}") for g in range(folds) if g != f), F.lit(0))  # noqa: E731  the other folds'
+    facts = [F.sum(rest(f, j)) for f in range(folds) for j in range(k)]
+    facts += [F.count_if(sum((rest(f, j) for j in range(k)), F.lit(0)) > 0) for f in range(folds)]
+    found = [x or 0 for x in counts.agg(*facts).first()] if places else []
+    totals, terms = found[: folds * k], found[folds * k :]
+
+    # A term's counts in the other folds, by fold; null where none of them has the term.
+    others = [F.array(*[rest(f, j) for j in range(k)]) for f in range(folds)]
+    others = [F.when(F.aggregate(o, F.lit(0).cast("long"), lambda a, x: a + x) > 0, o) for o in others]
+    lookup = counts.select("term", F.array(*others).alias("_others"))
+    joined = lookup_join(tf, lookup, "term", counts.select("term", "n")).withColumn("_n", F.get("_others", F.col("_fold")))
+    table = lambda values, kind: F.get(F.lit(values).cast(kind), F.col("_fold"))
+    sums = []
+    for i, s in enumerate(smoothings):
+        for j in range(k):
+            below = table([float(totals[f * k + j] + s * terms[f]) for f in range(folds)], "array<double>")
+            sums.append(F.sum(F.col("tf") * F.log((F.col("_n")[j] + s) / below)).alias(f"_{i}_{j}"))
+    scores = joined.where(F.col("_n").isNotNull()).groupBy(key).agg(*sums)
+    scored = held.select(key, label, "_fold").join(scores, key, "left")
+    hits = []
+    for i, s in enumerate(smoothings):
+        options = []
+        for j, c in enumerate(classes):
+            # A class that only this fold has is unknown to its model.
+            taught = [[sum(members[x, g] for g in range(folds) if g != f) for x in classes] for f in range(folds)]
+            prior = [
+                math.log((t[j] + s) / (sum(t) + s * sum(n > 0 for n in t))) if t[j] else None for t in taught
+            ]
+            score = F.coalesce(f"_{i}_{j}", F.lit(0.0)) + table(prior, "array<double>")
+            options.append(F.when(score.isNotNull(), F.struct(score.alias("score"), F.lit(-j), F.lit(c).alias("class"))))
+        best = F.array_max(F.array(*options))["class"]
+        hits.append(F.struct(F.lit(float(s)).alias("smoothing"), (best == F.col(label)).alias("hit")))
+    each = scored.select("_fold", F.inline(F.array(*hits)))
+    return each.groupBy("smoothing", F.col("_fold").alias("fold")).agg(F.count_if("hit").alias("hits"), F.count("*").alias("rows"))
 
 
 def cv_table(model: CrossValidatorModel) -> DataFrame:
@@ -413,7 +452,7 @@ def eliminate_features(
     ledger = ledger or scratch_path(spark, "elimination")
     weighted = with_class_weights(train, LABEL, "_weight")
     fold = fold_of(key, folds, seed) if key else F.pmod(F.xxhash64(F.lit(seed), FEATURES), F.lit(folds)).cast("int")
-    weighted = weighted.withColumn("_fold", fold)
+    weighted = weighted.withColumn("_fold", fold).persist()
     evaluator = RestAreaEvaluator()
 
     def fit(number: int, fold: int, columns: list[int]) -> tuple:
@@ -446,6 +485,7 @@ def eliminate_features(
             left = max(keep, len(columns) - int(drop))
             order = sorted(range(len(columns)), key=lambda i: (-importance[i], columns[i]))
             columns, number = sorted(columns[i] for i in order[:left]), number + 1
+    weighted.unpersist()
     return spark.createDataFrame(rows, "round long, features long, roc_auc double, columns array<int>")
 
 

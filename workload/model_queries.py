@@ -118,13 +118,13 @@ SELECT doc_id, prediction FROM (
 
 def nb_cv_exact(spark, d):
     """Cross-validation of the exact model in keyed folds."""
-    return M.term_model_cv(labelled(spark, d), "doc_id", "Sentiments", _words(), [0.1, 1.0], 2)
+    return M.term_model_cv(labelled(spark, d), "doc_id", "Sentiments", _words(), [0.01, 0.1, 0.3, 0.8, 1.0, 2.0], 3)
 
 
 NB_CV_SQL = f"""
 WITH {S.LABELLED},
-grid(smoothing) AS (VALUES (0.1::DOUBLE), (1.0::DOUBLE)), folds(fold) AS (VALUES (0), (1)),
-rows AS (SELECT *, (('0x' || substr(md5('5043:' || doc_id), 1, 8))::BIGINT % 2)::INT AS own FROM labelled),
+grid(smoothing) AS (VALUES (0.01::DOUBLE), (0.1), (0.3), (0.8), (1.0), (2.0)), folds(fold) AS (VALUES (0), (1), (2)),
+rows AS (SELECT *, (('0x' || substr(md5('5043:' || doc_id), 1, 8))::BIGINT % 3)::INT AS own FROM labelled),
 words AS (SELECT doc_id, own, Sentiments, unnest({S.content('text')}) AS term FROM rows),
 counts AS (SELECT fold, Sentiments, term, count(*) AS n FROM words JOIN folds ON own <> fold GROUP BY ALL),
 sizes AS (SELECT fold, Sentiments, sum(n) AS total FROM counts GROUP BY ALL),

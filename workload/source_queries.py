@@ -8,7 +8,8 @@ from verbatide.operators import features, models
 from verbatide.operators.rowsets import with_row_index
 from verbatide.plans.classify import add_words, index_labels, text_pipeline, with_labels
 from verbatide.session import scratch_path
-from verbatide.sources import append_once, append_rows, drop_table, load_model, read_source, save_csv, save_model
+from verbatide.plans.explore import content_words
+from verbatide.sources import append_once, append_rows, drop_table, load_model, load_term_model, read_source, save_csv, save_model, save_term_model
 from workload.tables import Query, documents, labelled, table
 
 
@@ -87,6 +88,19 @@ def model_round_trip(spark, sf_dir):
     return loaded.join(saved, "doc_id").select("doc_id", same)
 
 
+def term_model_round_trip(spark, sf_dir):
+    """A saved and reloaded exact model predicts for all documents what the one that was saved predicts."""
+    words = content_words(F.col("text"))
+    model = models.fit_multinomial(labelled(spark, sf_dir), "Sentiments", words)
+    path = scratch_path(spark, "model")
+    save_term_model(model, path)
+    docs = documents(spark, sf_dir)
+    values = features.term_frequencies(docs, "doc_id", words).withColumnRenamed("tf", "value")
+    saved, loaded = (m.predict(docs, "doc_id", values) for m in (model, load_term_model(spark, path)))
+    both = saved.join(loaded.withColumnRenamed("prediction", "again"), "doc_id")
+    return both.select("doc_id", (F.col("prediction") == F.col("again")).alias("same"))
+
+
 QUERIES = {
     "csv_round_trip": Query(csv_round_trip, "SELECT doc_id, source, text FROM documents"),
     "catalog_table": Query(catalog_table, "SELECT c_custkey, c_name, c_acctbal FROM customer"),
@@ -109,5 +123,6 @@ QUERIES = {
     "drop_then_recreate": Query(
         drop_then_recreate, "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment"
     ),
+    "term_model_round_trip": Query(term_model_round_trip, "SELECT doc_id, true AS same FROM documents"),
     "model_round_trip": Query(model_round_trip, "SELECT doc_id, true AS same FROM documents"),
 }
