@@ -174,7 +174,7 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text") -> LanguageMode
     for order in range(ORDER + 1):
         counts = grams.groupBy("lang", context(order).alias("context"), (F.col("gram") % 256).alias("byte"))
         # No more rows than the table has cells.
-        for row in counts.agg(F.sum("n").alias("n")).toLocalIterator():
+        for row in counts.agg(F.sum("n").alias("n")).collect():
             followers[row["lang"]][order].setdefault(row["context"], {})[row["byte"]] = row["n"]
     scratch.drop(grams)
     return LanguageModel.compile(sorted(totals), followers)
