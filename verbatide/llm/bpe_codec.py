@@ -255,7 +255,8 @@ def encode_texts(
 
     With ``digests`` the SHA-256 of both as hex, ``ids_sha256`` and ``decoded_sha256``, instead of
     the values. Null and empty texts have no ids and decode to empty text. Columns of ``docs`` with
-    the new names are replaced. Special strings in a text become their special id, as the library does by default.
+    the new names are replaced, so a text column called like one of them raises ``ValueError``. Repeated rows and null ids stay,
+    and an empty table gives an empty result. Special strings in a text become their special id, as the library does by default.
     """
     lexicon = publish_lexicon(docs, vocabulary, text, most)
     names = ("n_tokens", "ids_sha256", "decoded_sha256") if digests else ("n_tokens", "ids", "decoded")

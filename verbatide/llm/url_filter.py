@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verbatide.llm.common import ASCII_LOWER
+from verbatide.llm.common import ASCII_LOWER, free_names
 
 MAX_RULES = 500_000
 _URL = re.compile(r"(?s).*?://([^/?#]*)([^?#]*)")
@@ -100,7 +100,8 @@ def filter_urls(
 
     Rows that no rule fits get a null rule and the ``default`` verdict; so do null URLs and URLs
     without ``://``, whose host and path are empty. Columns of ``pages`` with the names of the new
-    ones are replaced; rows are neither dropped nor merged.
+    ones are replaced; rows are neither dropped nor merged, and an empty table stays empty. More than ``MAX_RULES``
+    rules, which every task holds, raise ``ValueError``.
     """
     trie = pages.sparkSession.sparkContext.broadcast(UrlTrie(rules))
 
@@ -114,6 +115,7 @@ def filter_urls(
                 rows.append((host, path, *(find(host, path) or (None, default))))
             yield pd.DataFrame(rows, columns=["host", "path", "rule", "verdict"], dtype=object)
 
-    judged = pages.withColumn("_judged", judge(F.col(url)))
+    (found,) = free_names(pages.columns, "judged")
+    judged = pages.withColumn(found, judge(F.col(url)))
     names = ("host", "path", "rule", "verdict")
-    return judged.withColumns({name: F.col(f"_judged.{name}") for name in names}).drop("_judged")
+    return judged.withColumns({name: F.col(found)[name] for name in names}).drop(found)
