@@ -73,7 +73,8 @@ def exact_split(
     keys = [key] if isinstance(key, str) else list(key)
     joined = F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
     number = F.conv(F.substring(F.md5(joined), 1, 15), 16, 10).cast("long")  # 60 bits
-    rows = df.withColumns({"_class": F.xxhash64(by) if by else F.lit(0).cast("long"), "_number": number})
+    kind = F.xxhash64(by) if by else F.lit(0).cast("long")
+    rows = df.select(F.struct(*df.columns).alias("_row"), kind.alias("_class"), number.alias("_number"))
     shares = [sum(weights[: i + 1]) / sum(weights) for i in range(len(weights) - 1)]
     sizes = rows.groupBy("_class").agg(F.count("*").alias("n"))
     ends = [F.struct(F.lit(i).alias("cut"), F.round(F.col("n") * share).cast("long").alias("left")) for i, share in enumerate(shares)]
@@ -90,12 +91,12 @@ def exact_split(
     lists = cuts.groupBy("_class").agg(F.collect_list(F.struct("prefix", "left")).alias("_cuts"))
     placed = rows.join(lists, "_class", "left").withColumn("_cuts", F.coalesce("_cuts", F.array().cast("array<struct<prefix:bigint,left:bigint>>")))
     at_cut = F.exists("_cuts", lambda c: c["prefix"] == F.col("_number"))
-    rank = F.row_number().over(Window.partitionBy("_class", "_number").orderBy(*keys)) - 1
+    rank = F.row_number().over(Window.partitionBy("_class", "_number").orderBy(*[F.col("_row")[k] for k in keys])) - 1
     ranked = placed.where(at_cut).withColumn("_rank", rank)
     ranked = ranked.unionByName(placed.where(~at_cut).withColumn("_rank", F.lit(0)))
     beyond = lambda c: (F.col("_number") > c["prefix"]) | ((F.col("_number") == c["prefix"]) & (F.col("_rank") >= c["left"]))
     part = F.size(F.filter("_cuts", beyond))
-    return [ranked.where(part == i).select(*df.columns) for i in range(len(weights))]
+    return [ranked.where(part == i).select("_row.*") for i in range(len(weights))]
 
 
 def nested_holdout(
