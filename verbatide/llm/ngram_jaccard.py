@@ -13,10 +13,14 @@ members differs in at most ``D = floor(a (1 - t) / t)`` members.
   symmetric difference and rejects most chance meetings before sets are compared. It has about as many bits as
   the set has members, or a chance meeting of large sets would pass; the longer of two is folded to the shorter by XOR.
 * Meetings are verified on the sets. First every set is compared with the one set it meets most
-  often among the smallest of its buckets; buckets whose members are then in one component are done.
-  In the others, sets of different components are compared, in blocks: in a second round the nearest
-  pairs, a forest over each block's components, and in a third all that still are apart. So copies and dense
-  groups cost in proportion to their size, and every link that could join two components is tested.
+  often among the smallest of its buckets. Then come the pairs that meet in small buckets and are still apart. Since a linked pair
+  has two equal segments, a pair goes on only if it meets twice, or has an empty segment in common, or may meet in
+  large buckets too; its sketches are read once. Large buckets with one smallest set have nearly the same members, so they are
+  taken together as a *bundle*: a member and its sketch are in it once, not once for every key. Bundles whose members are then in
+  one component are done. In the others the *minor* members, those outside the bundle's largest component, are compared
+  with all members of other components, in blocks: first the nearest pairs, a forest over each
+  block's components, then, of bundles that still are mixed, all that still are apart. So copies and dense groups
+  cost in proportion to their size, and every link that could join two components is tested.
 * A key that holds very many sets is found on a sample, which only decides how rows are dealt: its
   rows go to many tasks, whose smallest sets are brought together afterwards.
 
@@ -28,22 +32,24 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verbatide.llm.common import Scratch
+from verbatide.llm.common import Scratch, free_names
 from verbatide.llm.components import components
 from verbatide.operators.skew import lookup_join
 
 BAND = 1.25  # sizes of one band differ by at most this factor, or by 1 / threshold if that is more
 SKETCH_BITS, MOST_BITS = 1024, 1 << 16  # smallest and largest parity sketch
+SMALL = 8  # members of a bucket whose pairs are listed
 CACHED_WORDS = 400_000  # word hashes kept by a task
 SEEN_SETS = 1_000_000  # sets that a task remembers to have sketched
-BLOCK = 512  # sets of one bucket compared at a time
+BLOCK, WIDE = 512, 8192  # minor members of a bundle, and members of any kind, that are compared at a time
 BROADCAST_IDS = 2_000_000  # ids of 8 bytes; a longer list is joined by a shuffle
 SAMPLE = 32  # one in so many sets is looked at to find crowded keys
 CROWDED = 500  # a key is crowded when it holds more than 1/500 of the sampled sets
@@ -130,13 +136,13 @@ class Bands:
         return found
 
 
-def segment_keys(members: np.ndarray, low: int, distance: int) -> np.ndarray:
-    """The keys of one set in the band that starts at ``low``."""
+def segments(members: np.ndarray, low: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, empty segments) of one set in the band that starts at ``low``."""
     with np.errstate(over="ignore"):
         tag = _mix(np.uint64([low]) * _STEP)
         if distance == 1:
             whole = np.bitwise_xor.reduce(members)
-            return _mix(np.append(members ^ whole, whole) + tag)
+            return _mix(np.append(members ^ whole, whole) + tag), np.zeros(0, np.int64)
         count = distance + 2
         segment = ((members >> np.uint64(20)) % np.uint64(count)).astype(np.int64)
         order = np.argsort(segment, kind="stable")
@@ -149,7 +155,7 @@ def segment_keys(members: np.ndarray, low: int, distance: int) -> np.ndarray:
             i, j = np.triu_indices(len(empty), 1)
             pairs = _mix(_mix(empty[i] * np.uint64(count) + empty[j]) + ~tag)
             keys = np.concatenate([keys, pairs])
-        return keys
+        return keys, (low << 32) + empty.astype(np.int64)
 
 
 def parity_sketch(members: np.ndarray) -> bytes:
@@ -180,13 +186,14 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _sketch(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
-    """Per document its id, set size, set id, parity sketch and keys (null where the task has given them)."""
+    """Per row of ``docs(doc_id, th, text)`` its set size, set id, parity sketch, keys and
+    empty segments (null where the task has given them)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, bands, seen, schemes = Shingler(n), Bands(threshold), set(), {}
         for batch in batches:
-            sizes, ids, sketches, keys = [], [], [], []
-            for value in batch.column(1):
+            sizes, ids, sketches, keys, empty = [], [], [], [], []
+            for value in batch.column(2):
                 members = shingle(value.as_py())
                 size = len(members)
                 name = _name(members.tobytes()) if size else None
@@ -195,28 +202,32 @@ def _sketch(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
                 if name is None or name in seen:
                     sketches.append(None)
                     keys.append(None)
+                    empty.append(None)
                     continue
                 if len(seen) >= SEEN_SETS:
                     seen.clear()
                 seen.add(name)
                 if size not in schemes:
                     schemes[size] = bands.schemes(size)
-                found = [segment_keys(members, low, d) for low, d in schemes[size]]
+                found = [segments(members, low, d) for low, d in schemes[size]]
                 sketches.append(parity_sketch(members) if found else None)
-                keys.append(_signed(np.unique(np.concatenate(found))) if found else None)
+                keys.append(_signed(np.unique(np.concatenate([k for k, _ in found]))) if found else None)
+                empty.append(np.concatenate([e for _, e in found]) if found else None)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(1),
                     pa.array(sizes, pa.int64()),
                     pa.array(ids, pa.int64()),
                     pa.array(sketches, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
+                    pa.array(empty, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "size", "id", "sketch", "keys"],
+                ["doc_id", "th", "size", "id", "sketch", "keys", "empty"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, size long, id long, sketch binary, keys array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, th long, size long, id long, sketch binary, keys array<long>, empty array<long>")
 
 
 def _buckets(sketched: DataFrame) -> DataFrame:
@@ -230,12 +241,12 @@ def _buckets(sketched: DataFrame) -> DataFrame:
     least = max(16, seen.count() // CROWDED)
     # At most CROWDED keys for each key that a set has on average.
     crowded = seen.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n"))
-    crowded = crowded.where(F.col("n") > least).select("key", F.lit(True).alias("crowd"))
+    crowded = crowded.where(F.col("n") > least).select("key", F.ceil(F.col("n") * 2 / least).cast("int").alias("salts"))
     dealt = rows.join(F.broadcast(crowded), "key", "left")
-    dealt = dealt.withColumn("salt", F.when(F.col("crowd"), F.pmod(F.xxhash64("id"), F.lit(128))).otherwise(F.lit(0)))
+    dealt = dealt.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id"), F.col("salts")), F.lit(0)))
     key = Window.partitionBy("key", "salt")
     ranked = dealt.withColumns({"rep": F.min("id").over(key), "top": F.max("id").over(key)})
-    crowd = F.coalesce("crowd", F.lit(False))
+    crowd = F.col("salts").isNotNull()
     return ranked.where(crowd | (F.col("rep") != F.col("top"))).select("key", "id", "rep", crowd.alias("crowd")).distinct()
 
 
@@ -307,32 +318,28 @@ def _forest(a: np.ndarray, b: np.ndarray, apart: np.ndarray, root: dict[int, int
 
 
 def _cross_pairs(rows: DataFrame, threshold: Fraction, forest: bool) -> DataFrame:
-    """Pairs of one (key, i, j) block pair that are in different components and may link.
+    """Pairs of one (rep, i, j) block pair that are in different components and may link.
 
-    ``rows(key, i, j, side, id, component, size, sketch)`` are dealt and sorted by block pair. With
-    ``forest`` only the nearest pairs that would join the block's components, fewer than its sets.
+    ``rows(rep, i, j, minor, left, id, component, size, sketch)`` are dealt and sorted by block pair: minor members on the left,
+    members of any kind on the right. With ``forest`` only the nearest pairs that would join the block's components, fewer than its sets.
     """
     part, whole = threshold.numerator, threshold.denominator
+    names = ("rep", "i", "j", "minor", "left", "id", "component", "size")
 
     def pairs(group: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        left = np.flatnonzero(group["side"] == 0)
-        one_block = group["i"][0] == group["j"][0]
-        others = left if one_block else np.flatnonzero(group["side"] == 1)
+        right = np.flatnonzero(~group["left"])
         words = folded(group["sketch"].tolist())
+        # Two minor members meet on both sides; the pair is taken where the smaller one is on the left.
+        others, limit = words[right], np.where(group["minor"][right], group["id"][right], np.iinfo(np.int64).max)
+        ids, component, size = (group[name][right] for name in ("id", "component", "size"))
         found_a, found_b, found_apart = [], [], []
-        for number, at in enumerate(left):
-            right = others[number + 1 :] if one_block else others
-            apart = np.bitwise_count(words[right] ^ words[at]).sum(axis=1)
-            small = np.minimum(group["size"][right], group["size"][at])
-            most = small * (whole - part) // part
-            good = (apart <= most) & (group["component"][right] != group["component"][at])
-            good &= group["id"][right] != group["id"][at]
-            hit = right[good]
-            found_a.append(np.full(len(hit), group["id"][at]))
-            found_b.append(group["id"][hit])
+        for at in np.flatnonzero(group["left"]):
+            apart = np.bitwise_count(others ^ words[at]).sum(axis=1)
+            most = np.minimum(size, group["size"][at]) * (whole - part) // part
+            good = (apart <= most) & (component != group["component"][at]) & (group["id"][at] < limit)
+            found_a.append(np.full(int(good.sum()), group["id"][at]))
+            found_b.append(ids[good])
             found_apart.append(apart[good])
-        if not found_a:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         a, b = np.concatenate(found_a), np.concatenate(found_b)
         if forest and len(a) > 1:
             root = dict(zip(group["id"].tolist(), group["component"].tolist()))
@@ -341,15 +348,14 @@ def _cross_pairs(rows: DataFrame, threshold: Fraction, forest: bool) -> DataFram
         return a, b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "i", "j", "side", "id", "component", "size")
         held: dict[str, np.ndarray] | None = None
 
         def finish(data: dict[str, np.ndarray], starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-            ends = np.append(starts[1:], len(data["key"]))
             a, b = [], []
-            for start, end in zip(starts, ends):
-                if end - start > 1:
-                    x, y = pairs({k: v[start:end] for k, v in data.items()})
+            for start, end in zip(starts, np.append(starts[1:], len(data["rep"]))):
+                group = {k: v[start:end] for k, v in data.items()}
+                if group["left"].any() and not group["left"].all():
+                    x, y = pairs(group)
                     a.append(np.maximum(x, y))
                     b.append(np.minimum(x, y))
             if a:
@@ -361,9 +367,9 @@ def _cross_pairs(rows: DataFrame, threshold: Fraction, forest: bool) -> DataFram
             data["sketch"][:] = batch.column("sketch").to_pylist()
             if held is not None:
                 data = {k: np.concatenate([held[k], v]) for k, v in data.items()}
-            new = np.zeros(len(data["key"]), bool)
+            new = np.zeros(len(data["rep"]), bool)
             new[:1] = True
-            for name in ("key", "i", "j"):
+            for name in ("rep", "i", "j"):
                 new[1:] |= data[name][1:] != data[name][:-1]
             starts = np.flatnonzero(new)
             if not len(starts):
@@ -377,78 +383,154 @@ def _cross_pairs(rows: DataFrame, threshold: Fraction, forest: bool) -> DataFram
     return rows.mapInArrow(run, "a long, b long")
 
 
-def _mixed_buckets(buckets: DataFrame, chosen: DataFrame, joined: DataFrame, scratch: Scratch) -> DataFrame:
-    """Members of buckets that hold several components, as block pairs, dealt and sorted."""
-    facts = chosen.select("id", "size", "sketch").join(joined, "id", "left")
-    facts = scratch.store(facts.withColumn("component", F.coalesce("component", "id")), "facts")
-    members = buckets.select("key", "id").join(facts.select("id", "component"), "id")
-    mixed = members.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-    )
-    mixed = mixed.where(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    rows = members.select("key", "id").join(mixed, "key").withColumn("own", own)
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    first, second = F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
-    rows = rows.select("key", "id", first, second, (F.col("own") > F.col("other")).cast("int").alias("side"))
-    rows = rows.join(facts, "id").select("key", "i", "j", "side", "id", "component", "size", "sketch")
-    return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+def _small_pairs(small: DataFrame, joined: DataFrame, facts: DataFrame, threshold: Fraction) -> DataFrame:
+    """(a, b) of different components that meet in buckets of at most ``SMALL`` sets and may have two equal segments.
 
+    ``facts(id, size, empty, large)`` tell a set's empty segments and whether it is in large buckets too.
+    """
+    member = F.struct("id", F.coalesce("component", "id").alias("component"))
+    lists = small.join(joined, "id", "left").groupBy("key").agg(F.collect_set(member).alias("m"))
 
-def link_classes(
-    docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), doc_id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+    def below(x: Column) -> Column:
+        others = F.filter("m", lambda y: (y["id"] < x["id"]) & (y["component"] != x["component"]))
+        return F.transform(others, lambda y: F.struct(x["id"].alias("a"), y["id"].alias("b")))
 
-    Words are runs of anything but ASCII white space, lower-cased in A-Z. A text with fewer than
-    ``n`` words is one n-gram; null texts and texts without words have no n-gram, link with nothing
-    and are their own component. Equal sets are linked, repeated rows too. ``component_id`` is the
-    smallest id reachable by links; null ids count only where a component has no other. Other columns are not read.
+    met = lists.select(F.inline(F.flatten(F.transform("m", below)))).groupBy("a", "b").agg(F.count("*").alias("n"))
+    once = met.where(F.col("n") == 1)
+    for side in ("a", "b"):
+        once = once.join(facts.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("size", "empty", "large")]), side)
+    # Sets that may differ in one member have one key in common.
+    one = F.least("size_a", "size_b") < math.ceil(2 * threshold / (1 - threshold))
+    both = F.col("large_a") & F.col("large_b")
+    twice = F.arrays_overlap("empty_a", "empty_b")
+    return met.where(F.col("n") > 1).select("a", "b").unionByName(once.where(one | both | twice).select("a", "b"))
+
+
+def _bundles(buckets: DataFrame, tops: DataFrame) -> DataFrame:
+    """(rep, id): the distinct members of the buckets with one smallest set; a crowded key's shares are one bucket."""
+    plain = buckets.where(~F.col("crowd")).select("rep", "id")
+    crowded = buckets.where("crowd").join(F.broadcast(tops), "key").select(F.col("top").alias("rep"), "id")
+    return plain.unionByName(crowded).distinct()
+
+
+def _mixed(bundles: DataFrame, joined: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members of bundles that hold several components, and these as block pairs, dealt and sorted.
+
+    A minor member is on the left of as many block pairs as the bundle has blocks of ``WIDE`` members, and every member on
+    the right of as many as it has blocks of ``BLOCK`` minor members: once, where few are minor.
     """
+    component = F.coalesce("component", "id").alias("component")
+    members = bundles.join(joined, "id", "left").select("rep", "id", component)
+    parts = members.groupBy("rep", "component").agg(F.count("*").alias("n"))
+    parts = parts.groupBy("rep").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("major"))
+    parts = parts.where(F.col("n") > F.col("major.n"))
+    blocks = lambda n, size: F.ceil(n / size).cast("int")
+    parts = parts.select(
+        "rep",
+        F.col("major.component").alias("major"),
+        blocks(F.col("n") - F.col("major.n"), BLOCK).alias("narrow"),
+        blocks(F.col("n"), WIDE).alias("wide"),
+    )
+    rows = members.join(parts, "rep").withColumn("minor", F.col("component") != F.col("major"))
+    own = lambda count: F.pmod(F.xxhash64("id"), F.col(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+    left = rows.where("minor").withColumns({"i": own("narrow"), "j": every("wide"), "left": F.lit(True)})
+    right = rows.withColumns({"i": every("narrow"), "j": own("wide"), "left": F.lit(False)})
+    placed = left.unionByName(right).select("rep", "i", "j", "minor", "left", "id", "component")
+    placed = placed.join(facts.select("id", "size", "sketch"), "id")
+    return rows.select("rep", "id"), placed.repartition("rep", "i", "j").sortWithinPartitions("rep", "i", "j")
+
+
+def _row_classes(docs: DataFrame, n: int, threshold: Fraction, doc_id: str, text: str) -> DataFrame:
+    """(doc_id, th, n_shingles, component, component_id) of every row; ``th`` is a hash of the text, ``component`` is
+    one number per component, null where the text has no n-gram."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "ngrams")
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("text"))
     sketched = scratch.store(_sketch(rows, n, threshold), "sketches")
     buckets = scratch.store(_buckets(sketched), "buckets")
+    plain = scratch.store(sketched.select("doc_id", "th", F.col("size").alias("n_shingles"), "id"), "rows")
 
     # The sets that meet another, with one document each to read their text from.
     met = buckets.select("id").distinct()
     chosen = sketched.where(F.col("keys").isNotNull()).join(met, "id", "left_semi")
-    chosen = chosen.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.max("sketch").alias("sketch"))
+    chosen = chosen.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.max("sketch").alias("sketch"), F.max("empty").alias("empty"))
     chosen = scratch.store(chosen, "chosen")
+    scratch.drop(sketched)
+    scratch.release()
 
     # First round: each set with the set it meets most often; shares of a crowded key with each other.
     ties = buckets.where(F.col("id") != F.col("rep")).groupBy("id", "rep").agg(F.count("*").alias("n"))
     best = ties.groupBy("id").agg(F.max_by("rep", F.struct("n", "rep")).alias("rep"))
     crowd = buckets.where("crowd").groupBy("key", "rep").agg(F.lit(1).alias("one"))
-    tops = crowd.groupBy("key").agg(F.min("rep").alias("top"))
+    tops = scratch.store(crowd.groupBy("key").agg(F.min("rep").alias("top")), "tops")  # fewer than CROWDED keys a set's key
     across = crowd.join(tops, "key").where(F.col("rep") != F.col("top")).select(F.col("rep").alias("id"), F.col("top").alias("rep"))
     first = best.select("id", "rep").unionByName(across).select(F.greatest("id", "rep").alias("a"), F.least("id", "rep").alias("b"))
     near = scratch.store(_near(first.distinct(), chosen, threshold), "pairs")
-    links = _verified(near, rows, chosen, n, threshold, scratch)
-    joined = scratch.store(components(links, scratch), "components")
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("n"), F.bool_or("crowd").alias("crowd"))
+    large = scratch.store(sizes.where((F.col("n") > SMALL) | F.col("crowd")).select("key"), "large")
+    bundles = scratch.store(_bundles(buckets.join(large, "key", "left_semi"), tops), "bundles")
+    links: list[DataFrame] = []
+
+    def join_up(pairs: DataFrame) -> DataFrame:
+        """Components over all links found so far, with those among ``pairs``."""
+        links.append(_verified(pairs, rows, chosen, n, threshold, scratch))
+        found = scratch.store(components(reduce(DataFrame.unionByName, links), scratch), "components")
+        scratch.drop(pairs)
+        scratch.release()
+        return found
 
-    # Second round: in each bucket the nearest pairs that would join its components. Third: all pairs
+    joined = join_up(near)
+
+    # Second round: the pairs of small buckets.
+    in_large = bundles.select("id").distinct().withColumn("large", F.lit(True))
+    facts = chosen.select("id", "size", "empty").join(in_large, "id", "left").withColumn("large", F.coalesce("large", F.lit(False)))
+    small = buckets.join(large, "key", "left_anti").select("key", "id")
+    met = _small_pairs(small, joined, facts, threshold) if threshold < 1 else near.limit(0)
+    pairs, before = scratch.store(_near(met, chosen, threshold), "pairs"), joined
+    scratch.drop(buckets, tops, large)
+    joined = join_up(pairs)
+    scratch.drop(before)
+
+    # Third round: in each mixed bundle the nearest pairs that would join its components. Fourth: all pairs
     # of sets that are still in different components.
     for forest in (True, False):
-        rows2 = _mixed_buckets(buckets, chosen, joined, scratch)
-        pairs = scratch.store(_cross_pairs(rows2, threshold, forest).distinct(), "pairs")
-        links = links.unionByName(_verified(pairs, rows, chosen, n, threshold, scratch))
-        joined = scratch.store(components(links, scratch), "components")
-    final = joined
+        mixed, placed = _mixed(bundles, joined, chosen)
+        pairs, before = scratch.store(_cross_pairs(placed, threshold, forest).distinct(), "pairs"), joined
+        if forest:
+            still = scratch.store(mixed, "bundles")
+            scratch.drop(bundles)
+            bundles = still
+        joined = join_up(pairs)
+        scratch.drop(before)
+    scratch.drop(bundles, chosen, *links)
 
     # Set to smallest document, component to smallest document, back to all documents.
-    per_set = sketched.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    per_set = scratch.store(per_set.join(final, "id", "left").withColumn("component", F.coalesce("component", "id")), "classes")
+    per_set = plain.where(F.col("id").isNotNull()).groupBy("id").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
+    per_set = scratch.store(per_set.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id")), "classes")
+    scratch.drop(joined)
     least = per_set.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = per_set.join(least, "component").select("id", "component_id")
-    plain = sketched.select("doc_id", F.col("size").alias("n_shingles"), "id")
+    named = per_set.join(least, "component").select("id", "component", "component_id")
     with_set = lookup_join(plain.where(F.col("id").isNotNull()), named, "id", counts=per_set.select("id", "n"))
-    alone = plain.where(F.col("id").isNull()).withColumn("component_id", F.col("doc_id"))
-    columns = ("doc_id", "n_shingles", "component_id")
+    alone = plain.where(F.col("id").isNull()).withColumns({"component": F.lit(None).cast("long"), "component_id": F.col("doc_id")})
+    columns = ("doc_id", "th", "n_shingles", "component", "component_id")
     return with_set.select(*columns).unionByName(alone.select(*columns))
 
 
+def link_classes(
+    docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``.
+
+    Words are runs of anything but ASCII white space, lower-cased in A-Z. A text with fewer than
+    ``n`` words is one n-gram; null texts and texts without words have no n-gram, link with nothing
+    and are their own component. Equal sets are linked, repeated rows too. ``component_id`` is the
+    smallest id reachable by links; null ids count only where a component has no other. An empty table gives
+    an empty result. Other columns are not read.
+    """
+    return _row_classes(docs, n, threshold, doc_id, text).select("doc_id", "n_shingles", "component_id")
+
+
 def _member_sets(docs: DataFrame, n: int) -> DataFrame:
     """(id, members): the sorted n-gram hashes as bytes."""
 
@@ -465,7 +547,29 @@ def _member_sets(docs: DataFrame, n: int) -> DataFrame:
 
 
 def keep_one_per_class(docs: DataFrame, n: int = 5, threshold: Fraction = Fraction(4, 5), doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose id is their component's: one document of each group stays."""
-    classes = link_classes(docs, n, threshold, doc_id, text)
-    kept = classes.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_kept"]), "left_semi")
+    """One row of ``docs`` for each component of ``link_classes``, with all its columns.
+
+    It is the row with the smallest id (null ids last), of several texts under that id the one with the smallest hash, and of
+    rows equal in id and text any one. Rows whose text is null or has no word link with nothing and all stay, repeated
+    ones too. An empty table stays empty.
+    """
+    scratch = Scratch(docs.sparkSession, "kept")
+    classes = _row_classes(docs, n, threshold, doc_id, text)
+    counts = scratch.store(classes.groupBy("component", "doc_id", "th").agg(F.count("*").alias("n")), "counts")
+    best = F.min_by(F.struct("doc_id", "th", "n"), F.struct(F.col("doc_id").isNull(), "doc_id", "th")).alias("best")
+    chosen = counts.where(F.col("component").isNotNull()).groupBy("component").agg(best).select("best.*")
+    bare = counts.where(F.col("component").isNull()).select("doc_id", "th", F.lit(1).cast("long").alias("n"))
+    kept_id, kept_text, copies = free_names(docs.columns, "id text copies")
+    chosen = chosen.unionByName(bare)
+    chosen = scratch.store(chosen.select(F.col("doc_id").alias(kept_id), F.col("th").alias(kept_text), F.col("n").alias(copies)), "chosen")
+    scratch.drop(counts)
+
+    def among(wanted: DataFrame) -> DataFrame:
+        same = docs[doc_id].eqNullSafe(wanted[kept_id]) & (F.xxhash64(docs[text]) == wanted[kept_text])
+        return docs.join(wanted, same, "left_semi")
+
+    repeated, single = chosen.where(F.col(copies) > 1), chosen.where(F.col(copies) == 1)
+    if repeated.isEmpty():
+        return among(single)
+    # Rows equal in id and text are met in the tasks first, so a row that is a third of the table is no hot key.
+    return among(single).unionByName(among(repeated).dropDuplicates([doc_id, text]))
