@@ -4,10 +4,12 @@ A text is the set of its word n-grams. Two sets link when their intersection is
 ``threshold`` (a fraction, taken exactly) of their union; a linked pair whose smaller set has ``a``
 members differs in at most ``D = floor(a (1 - t) / t)`` members.
 
-* Sets of one size band share a scheme: members are dealt to ``D + 2`` segments by their hash, and a segment's
-  sketch is the XOR of its members. A linked pair has at least two equal segments. Equal segments
-  with members meet by their key; where only empty segments agree there are two of them, and each
-  set also emits a key per pair of its empty segments. Bands with ``D = 1`` take the XOR of the whole set and
+* Sets of one size band share a scheme: members are dealt to ``D + 2 + s`` segments by their hash, and a segment's
+  sketch is the XOR of its members. A linked pair has at least ``2 + s`` equal segments. So every set may give up its ``s``
+  most frequent keys (those of a phrase that very many texts hold): in any one order of all keys, the two rarest segments that a
+  pair shares have ``s`` others above them and are given up by neither. Equal segments
+  with members meet by their key; for those without, each
+  set also emits a key per pair of its empty segments, which is never given up. Bands with ``D = 1`` take the XOR of the whole set and
   the XORs that lack one member. Bands with ``D = 0`` need no key: equal sets are one set throughout.
 * A further parity sketch has one bit toggled per member: its Hamming distance is a lower bound of the
   symmetric difference and rejects most chance meetings before sets are compared. It has about as many bits as
@@ -44,6 +46,7 @@ from verbatide.llm.common import Scratch, free_names
 from verbatide.llm.components import components
 from verbatide.operators.skew import lookup_join
 
+SPARE = 16  # one in so many segments is spare
 BAND = 1.25  # sizes of one band differ by at most this factor, or by 1 / threshold if that is more
 SKETCH_BITS, MOST_BITS = 1024, 1 << 16  # smallest and largest parity sketch
 SMALL = 8  # members of a bucket whose pairs are listed
@@ -106,6 +109,11 @@ class Bands:
     def distance(self, size: int) -> int:
         return math.floor(size * (1 - self.t) / self.t)
 
+    @staticmethod
+    def spare(distance: int) -> int:
+        """Keys that a set may give up in a scheme."""
+        return distance // SPARE + 1 if distance > 1 else 0
+
     def band(self, size: int) -> tuple[int, int]:
         """(smallest, largest) size of the band that holds ``size``; bands with one D stay whole."""
         low = self.first
@@ -136,24 +144,29 @@ class Bands:
         return found
 
 
+def _tagged(keys: np.ndarray, tag: int) -> np.ndarray:
+    """Keys with the tag of their scheme as the last byte; 0 for those that are never given up."""
+    return (keys & ~np.uint64(255)) | np.uint64(tag)
+
+
 def segments(members: np.ndarray, low: int, distance: int) -> tuple[np.ndarray, np.ndarray]:
     """(keys, empty segments) of one set in the band that starts at ``low``."""
     with np.errstate(over="ignore"):
         tag = _mix(np.uint64([low]) * _STEP)
         if distance == 1:
             whole = np.bitwise_xor.reduce(members)
-            return _mix(np.append(members ^ whole, whole) + tag), np.zeros(0, np.int64)
-        count = distance + 2
+            return _tagged(_mix(np.append(members ^ whole, whole) + tag), 0), np.zeros(0, np.int64)
+        count = distance + 2 + Bands.spare(distance)
         segment = ((members >> np.uint64(20)) % np.uint64(count)).astype(np.int64)
         order = np.argsort(segment, kind="stable")
         segment, xs = segment[order], members[order]
         starts = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
         places = segment[starts].astype(np.uint64)
-        keys = _mix(_mix(np.bitwise_xor.reduceat(xs, starts) + places * _STEP) + tag)
+        keys = _tagged(_mix(_mix(np.bitwise_xor.reduceat(xs, starts) + places * _STEP) + tag), 1 + low % 251)
         empty = np.setdiff1d(np.arange(count, dtype=np.uint64), places, assume_unique=True)
         if len(empty) > 1:
             i, j = np.triu_indices(len(empty), 1)
-            pairs = _mix(_mix(empty[i] * np.uint64(count) + empty[j]) + ~tag)
+            pairs = _tagged(_mix(_mix(empty[i] * np.uint64(count) + empty[j]) + ~tag), 0)
             keys = np.concatenate([keys, pairs])
         return keys, (low << 32) + empty.astype(np.int64)
 
@@ -192,7 +205,7 @@ def _sketch(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle, bands, seen, schemes = Shingler(n), Bands(threshold), set(), {}
         for batch in batches:
-            sizes, ids, sketches, keys, empty = [], [], [], [], []
+            sizes, ids, sketches, keys, empty, spare = [], [], [], [], [], []
             for value in batch.column(2):
                 members = shingle(value.as_py())
                 size = len(members)
@@ -203,6 +216,7 @@ def _sketch(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
                     sketches.append(None)
                     keys.append(None)
                     empty.append(None)
+                    spare.append(None)
                     continue
                 if len(seen) >= SEEN_SETS:
                     seen.clear()
@@ -213,6 +227,7 @@ def _sketch(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
                 sketches.append(parity_sketch(members) if found else None)
                 keys.append(_signed(np.unique(np.concatenate([k for k, _ in found]))) if found else None)
                 empty.append(np.concatenate([e for _, e in found]) if found else None)
+                spare.append(min((bands.spare(d) for _, d in schemes[size]), default=0))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -222,18 +237,19 @@ def _sketch(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
                     pa.array(sketches, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                     pa.array(empty, pa.list_(pa.int64())),
+                    pa.array(spare, pa.int32()),
                 ],
-                ["doc_id", "th", "size", "id", "sketch", "keys", "empty"],
+                ["doc_id", "th", "size", "id", "sketch", "keys", "empty", "spare"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, th long, size long, id long, sketch binary, keys array<long>, empty array<long>")
+    return docs.mapInArrow(run, f"doc_id {kind}, th long, size long, id long, sketch binary, keys array<long>, empty array<long>, spare int")
 
 
 def _buckets(sketched: DataFrame) -> DataFrame:
-    """(key, id, rep, crowd): members of keys that more than one set has; ``rep`` is the smallest.
+    """(key, id, rep, crowd, n): members of keys that more than one set has; ``rep`` is the smallest, ``n`` the key's rows.
 
-    In a crowded key ``rep`` is the smallest member of a share of it, and ``crowd`` is true.
+    In a crowded key ``rep`` is the smallest member of a share of it, ``crowd`` is true and ``n`` the largest number.
     """
     rows = sketched.where(F.col("keys").isNotNull()).select("id", F.explode("keys").alias("key"))
     seen = sketched.where(F.col("keys").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0))
@@ -245,9 +261,19 @@ def _buckets(sketched: DataFrame) -> DataFrame:
     dealt = rows.join(F.broadcast(crowded), "key", "left")
     dealt = dealt.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("id"), F.col("salts")), F.lit(0)))
     key = Window.partitionBy("key", "salt")
-    ranked = dealt.withColumns({"rep": F.min("id").over(key), "top": F.max("id").over(key)})
     crowd = F.col("salts").isNotNull()
-    return ranked.where(crowd | (F.col("rep") != F.col("top"))).select("key", "id", "rep", crowd.alias("crowd")).distinct()
+    n = F.when(crowd, F.lit((1 << 63) - 1)).otherwise(F.count("*").over(key))
+    ranked = dealt.withColumns({"rep": F.min("id").over(key), "top": F.max("id").over(key), "n": n})
+    return ranked.where(crowd | (F.col("rep") != F.col("top"))).select("key", "id", "rep", crowd.alias("crowd"), "n").distinct()
+
+
+def _given_up(buckets: DataFrame, spares: DataFrame) -> DataFrame:
+    """``buckets`` without each set's ``spare`` most frequent keys of each scheme. Keys are ordered by (n, key), alike for
+    all sets; a set has no more rows than keys, so its window is small."""
+    scheme = F.col("key").bitwiseAND(F.lit(255))
+    order = Window.partitionBy("id", "scheme").orderBy(F.desc("n"), F.desc("key"))
+    ranked = buckets.join(spares, "id").withColumn("scheme", scheme).withColumn("rank", F.row_number().over(order))
+    return ranked.where((F.col("scheme") == 0) | (F.col("rank") > F.col("spare"))).select("key", "id", "rep", "crowd")
 
 
 def _near(pairs: DataFrame, facts: DataFrame, threshold: Fraction) -> DataFrame:
@@ -448,16 +474,18 @@ def _row_classes(docs: DataFrame, n: int, threshold: Fraction, doc_id: str, text
     scratch = Scratch(spark, "ngrams")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("text"))
     sketched = scratch.store(_sketch(rows, n, threshold), "sketches")
-    buckets = scratch.store(_buckets(sketched), "buckets")
+    meetings = scratch.store(_buckets(sketched), "meetings")
     plain = scratch.store(sketched.select("doc_id", "th", F.col("size").alias("n_shingles"), "id"), "rows")
 
     # The sets that meet another, with one document each to read their text from.
-    met = buckets.select("id").distinct()
+    met = meetings.select("id").distinct()
     chosen = sketched.where(F.col("keys").isNotNull()).join(met, "id", "left_semi")
-    chosen = chosen.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.max("sketch").alias("sketch"), F.max("empty").alias("empty"))
+    chosen = chosen.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.max("sketch").alias("sketch"), F.max("empty").alias("empty"), F.max("spare").alias("spare"))
     chosen = scratch.store(chosen, "chosen")
     scratch.drop(sketched)
     scratch.release()
+    buckets = scratch.store(_given_up(meetings, chosen.select("id", "spare")), "buckets")
+    scratch.drop(meetings)
 
     # First round: each set with the set it meets most often; shares of a crowded key with each other.
     ties = buckets.where(F.col("id") != F.col("rep")).groupBy("id", "rep").agg(F.count("*").alias("n"))
