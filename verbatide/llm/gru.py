@@ -18,10 +18,11 @@ HIDDEN = 16
 WIDTH = 32  # entries of a class with several
 HEADS = 32  # classes that the first softmax holds themselves
 SPAN = 64  # classes of a block
-LANES = 512  # texts or stretches that run side by side in training
+LANES = 1024  # texts or stretches that run side by side in training
+CHUNK = 4096  # rows of a softmax at a time, so that they stay in a core's cache
 WINDOW = 16  # steps of truncated backpropagation
 STRETCH = 32  # steps scored at a time
-RATE = 0.01
+RATE, SPARSE_RATE = 0.02, 0.1  # of the dense parameters, of the rows of the others
 _GATHERED = 4096  # classes whose weights are gathered at a time
 CLIP = 1.0
 
@@ -30,16 +31,36 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * x))
 
 
+def _exp(x: np.ndarray) -> np.ndarray:
+    """exp of ``x``, in place; each row may have a factor of its own, which keeps it within single precision."""
+    if x.size and x.max() > 60.0:
+        x -= x.max(axis=-1, keepdims=True)
+    return np.exp(x, out=x)
+
+
 def softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
+    x = _exp(x - x.max(axis=1, keepdims=True))
     x /= x.sum(axis=1, keepdims=True)
     return x
 
 
+def errors(x: np.ndarray, at: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """What the logits ``x`` (overwritten) of each row miss: its softmax less one at the place ``at``, times ``share``."""
+    _exp(x)
+    total = x.sum(axis=1)
+    if not total.all():  # every exp of a row has become 0
+        raise FloatingPointError("the model's logits have left single precision")
+    x *= (share / total)[:, None]
+    x[np.arange(len(x)), at] -= share
+    return x
+
+
 def log_picked(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Log of the softmax of each row at one place."""
-    top = x.max(axis=1)
-    return x[np.arange(len(x)), at] - top - np.log(np.exp(x - top[:, None]).sum(axis=1))
+    """Log of the softmax of each row of ``x`` (overwritten) at one place."""
+    if x.size and (x.max() > 60.0 or x.max(axis=1).min() < -60.0):
+        x -= x.max(axis=1, keepdims=True)
+    picked = x[np.arange(len(x)), at]
+    return picked - np.log(np.exp(x, out=x).sum(axis=1))
 
 
 class Gradients(dict):
@@ -133,7 +154,12 @@ class Gru:
     def log_prob(self, h: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log of each entry's probability after the states ``h``."""
         kind = self.class_of(ids)
-        out = log_picked(h @ self.p["classes"] + self.p["class_bias"], kind)
+        out = np.empty(len(h), h.dtype)
+        for low in range(0, len(h), CHUNK):
+            part = slice(low, low + CHUNK)
+            x = h[part] @ self.p["classes"]
+            x += self.p["class_bias"]
+            out[part] = log_picked(x, kind[part])
         group, heads, blocks, tail = self._parts(ids)
         for at, rows in heads:
             inside = h[rows] @ self.p["words"][at] + self.p["word_bias"][at]
@@ -248,19 +274,24 @@ class Gru:
             else:
                 g[name] = np.zeros_like(v)
         kind = self.class_of(wanted)
-        d = softmax(flat @ p["classes"] + p["class_bias"])
-        d[np.arange(len(d)), kind] -= 1.0
         share = (weight / n).astype(np.float32)
-        d *= share[:, None]
-        g["classes"], g["class_bias"] = flat.T @ d, d.sum(axis=0)
-        dh_out = d @ p["classes"].T
+        dh_out = np.empty_like(flat)
+        for low in range(0, len(flat), CHUNK):
+            part = slice(low, low + CHUNK)
+            d = flat[part] @ p["classes"]
+            d += p["class_bias"]
+            errors(d, kind[part], share[part])
+            g["classes"] += flat[part].T @ d
+            g["class_bias"] += d.sum(axis=0)
+            np.matmul(d, p["classes"].T, out=dh_out[part])
         group, heads, blocks, tail = self._parts(wanted)
 
         def inside(rows: np.ndarray, at: int, weights: str, bias: str, place: np.ndarray) -> None:
-            d = softmax(flat[rows] @ p[weights][at] + p[bias][at])
-            d[np.arange(len(rows)), place] -= 1.0
-            d *= share[rows, None]
-            g[weights][at], g[bias][at] = flat[rows].T @ d, d.sum(axis=0)
+            x = flat[rows]
+            d = x @ p[weights][at]
+            d += p[bias][at]
+            errors(d, place, share[rows])
+            g[weights][at], g[bias][at] = x.T @ d, d.sum(axis=0)
             dh_out[rows] += d @ p[weights][at].T
 
         for at, rows in heads:
@@ -269,10 +300,9 @@ class Gru:
             inside(rows, at, "blocks", "block_bias", (group[rows] - self.heads) % SPAN)
         for mine, rows, real in self._alike(group, tail):
             x, matrix = flat[rows], p["words"][mine]
-            d = softmax((x @ matrix + p["word_bias"][mine][:, None]).reshape(-1, WIDTH))
-            d[np.arange(len(d)), wanted[rows.reshape(-1)] % WIDTH] -= 1.0
-            d = d.reshape(*rows.shape, WIDTH)
-            d *= (share[rows] * real)[:, :, None]
+            d = x @ matrix
+            d += p["word_bias"][mine][:, None]
+            errors(d.reshape(-1, WIDTH), wanted[rows.reshape(-1)] % WIDTH, (share[rows] * real).reshape(-1))
             g["words"][mine], g["word_bias"][mine] = x.transpose(0, 2, 1) @ d, d.sum(axis=1)
             dh_out[rows[real]] += (d @ matrix.transpose(0, 2, 1))[real]
         met = np.zeros(self.groups + 1, bool)
@@ -304,35 +334,31 @@ class Gru:
 
 
 class Adam:
-    """Parameters with named rows are updated in those rows only; a row's steps are counted by themselves."""
+    """Adam for the dense parameters. A parameter with named rows is changed in those rows only, each by its
+    gradient over the root of its summed mean squares (Adagrad by rows)."""
 
-    def __init__(self, rate: float = RATE):
-        self.rate, self.t, self.m, self.v = rate, {}, {}, {}
+    def __init__(self, rate: float = RATE, sparse_rate: float = SPARSE_RATE):
+        self.rate, self.sparse_rate, self.t, self.m, self.v = rate, sparse_rate, 0, {}, {}
 
     def update(self, p: dict[str, np.ndarray], g: Gradients) -> None:
+        self.t += 1
         grads = {name: grad[g.rows[name]] if name in g.rows else grad for name, grad in g.items()}
         norm = np.sqrt(sum(float(np.vdot(x, x)) for x in grads.values()))
         scale = np.float32(min(1.0, CLIP / (norm + 1e-12)))
+        rate = np.float32(self.rate * np.sqrt(1 - 0.999**self.t) / (1 - 0.9**self.t))
         for name, grad in grads.items():
             grad *= scale
+            if name in g.rows:
+                at, flat = g.rows[name], grad.reshape(len(grad), -1)
+                v = self.v.setdefault(name, np.zeros(len(p[name]), np.float32))
+                v[at] += np.einsum("ij,ij->i", flat, flat) / flat.shape[1]
+                flat *= (np.float32(self.sparse_rate) / (np.sqrt(v[at]) + np.float32(1e-8)))[:, None]
+                p[name][at] -= grad
+                continue
             if name not in self.m:
-                self.m[name], self.v[name] = np.zeros_like(p[name]), np.zeros_like(p[name])
-                self.t[name] = np.zeros((len(p[name]),) + (1,) * (p[name].ndim - 1), np.float32)
-            at = g.rows.get(name, slice(None))
-            self.t[name][at] += 1
-            t = self.t[name][at]
-            rate = np.float32(self.rate) * np.sqrt(1 - np.float32(0.999) ** t) / (1 - np.float32(0.9) ** t)
-            m, v = self.m[name][at], self.v[name][at]
-            m *= np.float32(0.9)
-            v *= np.float32(0.999)
-            m += np.float32(0.1) * grad
+                self.m[name], self.v[name] = np.zeros_like(grad), np.zeros_like(grad)
+            m, v = self.m[name], self.v[name]
+            m += np.float32(0.1) * (grad - m)
             grad *= grad
-            grad *= np.float32(0.001)
-            v += grad
-            if name in g.rows:
-                self.m[name][at], self.v[name][at] = m, v
-            step = np.sqrt(v)
-            step += np.float32(1e-8)
-            np.divide(m, step, out=step)
-            step *= rate
-            p[name][at] -= step
+            v += np.float32(0.001) * (grad - v)
+            p[name] -= rate * m / (np.sqrt(v) + np.float32(1e-8))

@@ -3,7 +3,7 @@
 * Words of all texts are counted in Spark. The commonest ``LISTED`` words, with their training
   counts, are broadcast; the counts of all others stay a table and are joined to the texts' rare words.
   No word left to that join is common, so it has no hot key.
-* The commonest words that make up ``COVERAGE`` of the training words are entries of the model. All other words fall into ``OTHERS`` classes by their
+* The commonest words that make up ``COVERAGE`` of the training words (``MOST_ENTRIES`` at most) are entries of the model. All other words fall into ``OTHERS`` classes by their
   last two bytes; within a class a word has probability (c + 1) / (N + V + 1), c being its training count and N and V
   the class's tokens and distinct words, so that unseen words have a share too.
 * Fitting is data-parallel: in each round every task runs truncated backpropagation over its own training
@@ -16,57 +16,99 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from verbatide.llm.common import Scratch, commonest, words_of
+from verbatide.llm.common import Scratch, commonest
 from verbatide.llm.gru import Adam, Gru
 
 COVERAGE = 0.8  # share of the training words that are entries
+MOST_ENTRIES = 1 << 18  # entries at most: bounds what every task holds; further words are in the classes of others
 OTHERS = 32
 LISTED = 1 << 17
 ROUNDS = 2
 _COUNTED = 500_000  # distinct words that a task holds before it passes their counts on
 _STREAM = 1 << 20  # training tokens taken at a time
 _PART = 1 << 13  # parameters sent in one row
+_SHARES = 8  # shares of the tasks that are averaged first
+_PIECE = 8 << 20  # bytes of text cut into words at a time; a longer text is a piece by itself
 
 
 def other_class(word: bytes) -> int:
     return zlib.crc32(word[-2:]) % OTHERS
 
 
+@dataclass
+class Words:
+    """Some texts cut into words: ``words`` are distinct, ``at`` numbers the word at each place, text after text."""
+
+    rows: slice
+    words: list[bytes]
+    at: np.ndarray
+    sizes: np.ndarray
+
+
+def cut_words(texts: pa.Array) -> Iterator[Words]:
+    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, in pieces of texts. Arrow's splitter knows exactly these spaces."""
+    held: list[bytes] = []
+    first, size = 0, 0
+    for number, value in enumerate(texts):
+        raw = value.as_py()
+        held.append(raw.encode("utf-8", "surrogatepass").lower().strip() if raw else b"")
+        size += len(held[-1])
+        if size >= _PIECE or number == len(texts) - 1:
+            cut = pc.ascii_split_whitespace(pa.array(held, pa.binary()).cast(pa.string()))
+            coded = cut.flatten().dictionary_encode()
+            at = coded.indices.to_numpy().astype(np.int64)
+            sizes = pc.list_value_length(cut).to_numpy().astype(np.int64)
+            empty = np.array([not t for t in held], bool)
+            if empty.any():  # one empty word each
+                at, sizes = at[~np.repeat(empty, sizes)], np.where(empty, 0, sizes)
+            yield Words(slice(first, number + 1), coded.dictionary.cast(pa.binary()).to_pylist(), at, sizes)
+            held, first, size = [], number + 1, 0
+
+
 def word_counts(docs: DataFrame, text: str, training: str) -> DataFrame:
     """(word, kind, n, n_train) over all texts; ``kind`` is the class the word has when it is no entry."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[Counter, Counter] = (Counter(), Counter())
+        held: dict[bytes, list[int]] = {}
 
         def rows() -> pa.RecordBatch:
-            words = list(held[0].keys() | held[1].keys())
-            other, train = ([c[w] for w in words] for c in held)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(words, pa.binary()),
-                    pa.array([other_class(w) for w in words], pa.int32()),
-                    pa.array([a + b for a, b in zip(other, train)], pa.int64()),
-                    pa.array(train, pa.int64()),
+                    pa.array(held, pa.binary()),
+                    pa.array([other_class(w) for w in held], pa.int32()),
+                    pa.array([n for n, _ in held.values()], pa.int64()),
+                    pa.array([n for _, n in held.values()], pa.int64()),
                 ],
                 ["word", "kind", "n", "n_train"],
             )
 
         for batch in batches:
-            for value, train in zip(batch.column(0), batch.column(1).to_pylist()):
-                held[bool(train)].update(words_of(value.as_py()))
-            if len(held[0]) + len(held[1]) > _COUNTED:
-                yield rows()
-                held = (Counter(), Counter())
+            train = np.array(batch.column(1).to_pylist(), bool)
+            for piece in cut_words(batch.column(0)):
+                taught = np.repeat(train[piece.rows], piece.sizes)
+                n = np.bincount(piece.at, minlength=len(piece.words)).tolist()
+                n_train = np.bincount(piece.at[taught], minlength=len(piece.words)).tolist()
+                for word, x, y in zip(piece.words, n, n_train):
+                    if x:
+                        pair = held.get(word)
+                        if pair is None:
+                            held[word] = [x, y]
+                        else:
+                            pair[0] += x
+                            pair[1] += y
+                if len(held) > _COUNTED:
+                    yield rows()
+                    held = {}
         yield rows()
 
     counts = docs.select(text, training).mapInArrow(run, "word binary, kind int, n long, n_train long")
@@ -87,17 +129,22 @@ class Vocabulary:
     distinct: int  # V, the end included
     ends: int
 
-    def ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """(entry ids with the end, places of listed words, the words that are not listed)."""
-        place = np.fromiter(map(self.listed.get, words, repeat(-1)), np.int64, len(words))
-        ids = np.zeros(len(words) + 1, np.int64)
-        known = place >= 0
-        if len(words):
-            ids[:-1] = self.entry[place]
-        rare = [words[i] for i in np.flatnonzero(~known)]
-        if rare:
-            ids[:-1][~known] = [self.entries + other_class(w) for w in rare]
-        return ids, place[known], rare
+    def code(self, piece: Words) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the arrays or -1, entry id) of the distinct words of a piece."""
+        place = np.fromiter(map(self.listed.get, piece.words, repeat(-1)), np.int64, len(piece.words))
+        entry = self.entry[place]
+        for i in np.flatnonzero(place < 0):
+            entry[i] = self.entries + other_class(piece.words[i])
+        return place, entry
+
+    def ids(self, piece: Words, entry: np.ndarray) -> np.ndarray:
+        """Entry ids of a piece, each text followed by its end."""
+        ends = np.cumsum(piece.sizes + 1) - 1
+        ids = np.zeros(len(piece.at) + len(ends), np.int64)
+        inside = np.ones(len(ids), bool)
+        inside[ends] = False
+        ids[inside] = entry[piece.at]
+        return ids
 
 
 def covering(counts: DataFrame) -> DataFrame | None:
@@ -115,6 +162,7 @@ def covering(counts: DataFrame) -> DataFrame | None:
 
 def build_vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     wanted = covering(counts)
+    wanted = commonest(wanted, MOST_ENTRIES, "n_train") if wanted is not None else None
     listed = commonest(counts, LISTED).select("word", "kind", "n_train")
     if wanted is not None:
         listed = listed.union(wanted.select("word", "kind", "n_train")).distinct()
@@ -122,7 +170,7 @@ def build_vocabulary(counts: DataFrame, ends: int) -> Vocabulary:
     rank = sorted(range(len(listed)), key=lambda i: (-listed[i]["n_train"], listed[i]["word"]))
     trained = counts.agg(F.sum("n_train")).first()[0] or 0
     before = np.cumsum([0] + [listed[i]["n_train"] for i in rank])
-    chosen = rank[: int(np.searchsorted(before, COVERAGE * trained))] if trained else []
+    chosen = rank[: min(MOST_ENTRIES - 1, int(np.searchsorted(before, COVERAGE * trained)))] if trained else []
     entries = len(chosen) + 1
     entry = np.array([entries + r["kind"] for r in listed] or [entries], np.int64)
     entry[chosen] = np.arange(1, entries)
@@ -160,7 +208,7 @@ def _mean(rows: pa.Table) -> pa.Table:
         total = total + np.frombuffer(values.as_py(), np.float32).astype(np.float64) * tokens
         n += tokens
     mean = (total / n).astype(np.float32).tobytes()
-    return pa.table({"part": rows.column("part")[:1], "values": pa.array([mean], pa.binary())})
+    return pa.table({"part": rows.column("part")[:1], "values": pa.array([mean], pa.binary()), "n": pa.array([n], pa.int64())})
 
 
 def fit_model(docs: DataFrame, text: str, vocabulary: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
@@ -176,21 +224,23 @@ def fit_model(docs: DataFrame, text: str, vocabulary: Vocabulary, rounds: int =
         def run(batches: Iterator[pa.RecordBatch], begin=begin) -> Iterator[pa.RecordBatch]:
             net, optimiser, total = Gru(words.value.entries, OTHERS), Adam(), 0
             net.load(begin.value)
-            pending: list[np.ndarray] = []
+            pending: list[tuple[np.ndarray, np.ndarray]] = []
 
             def learn() -> int:
-                stream = np.concatenate(pending)
+                stream = np.concatenate([ids for ids, _ in pending])
+                sizes = np.concatenate([sizes for _, sizes in pending])
                 starts = np.zeros(len(stream), bool)
-                starts[np.cumsum([0] + [len(p) for p in pending[:-1]])] = True
+                starts[np.cumsum(sizes) - sizes] = True
                 net.train(stream, starts, optimiser)
                 pending.clear()
                 return len(stream)
 
             held = 0
             for batch in batches:
-                for value in batch.column(0):
-                    pending.append(words.value.ids(words_of(value.as_py()))[0])
-                    held += len(pending[-1])
+                for piece in cut_words(batch.column(0)):
+                    known = words.value
+                    pending.append((known.ids(piece, known.code(piece)[1]), piece.sizes + 1))
+                    held += len(pending[-1][0])
                     if held >= _STREAM:
                         total, held = total + learn(), 0
             if pending:
@@ -204,8 +254,12 @@ def fit_model(docs: DataFrame, text: str, vocabulary: Vocabulary, rounds: int =
                         ["part", "values", "n"],
                     )
 
-        made = docs.where(share == number).select(text).mapInArrow(run, "part int, values binary, n long")
-        rows = made.groupBy("part").applyInArrow(_mean, "part int, values binary").collect()
+        kinds = "part int, values binary, n long"
+        # Every task sends all parameters, so there are two tasks a core and not one for every split.
+        learning = docs.where(share == number).select(text).coalesce(2 * spark.sparkContext.defaultParallelism)
+        made = learning.mapInArrow(run, kinds)
+        made = made.withColumn("share", F.spark_partition_id() % _SHARES).groupBy("part", "share").applyInArrow(_mean, kinds)
+        rows = made.groupBy("part").applyInArrow(_mean, kinds).collect()
         if rows:
             rows.sort(key=lambda r: r["part"])
             model.load(np.concatenate([np.frombuffer(r["values"], np.float32) for r in rows]))
@@ -239,19 +293,27 @@ def score_texts(docs: DataFrame, training: Column, doc_id: str = "doc_id", text:
         log_counts = np.log10(known.counts + 1.0)
         for batch in batches:
             texts, base, model, sure, offsets, rare, times = [], [], [], [], [0], [], []
-            for value in batch.column(1):
-                ids, place, unlisted = known.ids(words_of(value.as_py()))
-                texts.append(ids)
-                other = place[known.entry[place] >= known.entries]
-                base.append(float(log_counts[place].sum()) + math.log10(known.ends + 1.0))
-                kinds = ids[ids >= known.entries] - known.entries
-                model.append(float(log_counts[other].sum() - known.class_log[kinds].sum()))
-                sure.append(int((known.counts[place] > 0).sum()) + (known.ends > 0))
-                grouped = Counter(unlisted)
-                rare.extend(grouped)
-                times.extend(grouped.values())
-                offsets.append(len(rare))
-            score = net.score(texts) / math.log(10) + np.array(model)
+            for piece in cut_words(batch.column(1)):
+                place, entry = known.code(piece)
+                ids, count = known.ids(piece, entry), len(piece.sizes)
+                texts += np.split(ids, np.cumsum(piece.sizes + 1)[:-1])
+                owner = np.repeat(np.arange(count), piece.sizes)
+                each = lambda values, owner=owner, at=piece.at, count=count: np.bincount(owner, values[at], count)
+                listed, other = place >= 0, entry >= known.entries
+                logs = np.where(listed, log_counts[place], 0.0)
+                base.append(each(logs) + math.log10(known.ends + 1.0))
+                model.append(each(np.where(other, logs - known.class_log[np.where(other, entry - known.entries, 0)], 0.0)))
+                sure.append(each((listed & (known.counts[place] > 0)).astype(float)).astype(np.int64) + (known.ends > 0))
+                unlisted = ~listed[piece.at]
+                pairs, n = np.unique(owner[unlisted] * len(piece.words) + piece.at[unlisted], return_counts=True)
+                who, which = np.divmod(pairs, max(1, len(piece.words)))
+                rare += [piece.words[w] for w in which]
+                times.append(n)
+                offsets += (np.cumsum(np.bincount(who, minlength=count)) + offsets[-1]).tolist()
+            if not texts:
+                continue
+            base, model, sure, times = (np.concatenate(x) for x in (base, model, sure, times))
+            score = net.score(texts) / math.log(10) + model
             pairs = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64())], ["word", "times"])
             yield pa.RecordBatch.from_arrays(
                 [
