@@ -251,13 +251,15 @@ def _crowd_spans(rows: DataFrame, length: int, scratch: Scratch) -> DataFrame:
     """As ``_group_spans``, for anchors with very many contexts."""
     repeated = (F.min("context") != F.max("context")).alias("repeated")  # one occurrence per context
     rungs = scratch.store(_rung_rows(rows, length), "rungs")
-    shared = rungs.groupBy("anchor", "rung", "key").agg(repeated).where("repeated").drop("repeated")
-    kept = rungs.join(shared, ["anchor", "rung", "key"], "left_semi").groupBy("anchor", "context")
+    run = ["anchor", "rung", "key"]
+    shared = rungs.groupBy(*run).agg(repeated, F.count("*").alias("n")).where("repeated")
+    # One passage that very many texts hold is one key of this join and the next: such keys are dealt over tasks.
+    kept = lookup_join(rungs, shared.select(*run), run, shared.select(*run, "n")).groupBy("anchor", "context")
     kept = rows.join(kept.agg(F.collect_set("rung").alias("rungs")), ["anchor", "context"])
     # A string that holds two anchors comes from both: it repeats when it starts in two places.
     strings = scratch.store(_string_rows(kept, length).distinct(), "strings")
-    same = strings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
-    found = strings.join(same, "key", "left_semi")
+    same = strings.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    found = lookup_join(strings, same.select("key"), "key", same)
     return found.select("th", "start", (F.col("start") + length).alias("end"))
 
 
@@ -274,19 +276,19 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     table = scratch.store(_anchor_table(long.select("th", "raw"), length), "anchors")
     place = F.struct("th", "at")
-    contexts = table.groupBy("anchor", "context").agg(F.min(place).alias("one"), F.max(place).alias("two"))
-    contexts = contexts.withColumn("single", F.col("one") == F.col("two")).select("anchor", "context", "one", "single")
+    contexts = table.groupBy("anchor", "context").agg(F.min(place).alias("one"), F.max(place).alias("two"), F.count("*").alias("n"))
+    contexts = contexts.withColumn("single", F.col("one") == F.col("two")).select("anchor", "context", "one", "single", "n")
     contexts = scratch.store(contexts, "contexts")
 
     # Contexts that occur again: every string of them is repeated, at each occurrence.
-    again = table.join(contexts.where(~F.col("single")).select("anchor", "context"), ["anchor", "context"], "left_semi")
-    again = again.select("th", "at")
+    twice = contexts.where(~F.col("single")).select("anchor", "context", "n")
+    again = lookup_join(table, twice.drop("n"), ["anchor", "context"], twice).select("th", "at")
 
     # Anchors with several contexts, a single one among them: compare the contexts' bytes.
     several = contexts.groupBy("anchor").agg(F.count("*").alias("m"), F.max(F.col("single").cast("int")).alias("any"))
     several = scratch.store(several.where((F.col("m") > 1) & (F.col("any") == 1)).select("anchor", "m"), "several")
     crowds = several.select("anchor", F.col("m").alias("n"))
-    chosen = lookup_join(contexts, several, "anchor", crowds).select("anchor", "context", "single", "m", "one.th", "one.at")
+    chosen = lookup_join(contexts.drop("n"), several, "anchor", crowds).select("anchor", "context", "single", "m", "one.th", "one.at")
     chosen = scratch.store(chosen, "chosen")
     places = chosen.groupBy("th").agg(F.collect_list(F.struct("anchor", "context", "single", "m", "at")).alias("places"))
     small = chosen.count() <= BROADCAST_ROWS
