@@ -644,11 +644,15 @@ def forest_cv(
         path = save_trees(fitted)
         paths = tree_paths(nodes_of(path))
         held = dealt.where(F.col("_fold") == fold)
-        right = []
+        deepest = paths.agg(F.max("depth")).first()[0]
+        right: dict[tuple[int, int], float] = {}
         for t, d in points:
-            scored = cut_forest(path, t, d, paths).transform(held)
-            right.append(scored.agg(F.avg((F.col("prediction") == F.col(LABEL)).cast("double"))).first()[0])
-        return right
+            point = t, min(d, deepest)  # depths beyond the deepest tree are one point
+            if point not in right:
+                model = fitted if point == (max(trees), deepest) else cut_forest(path, *point, paths)
+                hit = (F.col("prediction") == F.col(LABEL)).cast("double")
+                right[point] = model.transform(held).agg(F.avg(hit)).first()[0]
+        return [right[t, min(d, deepest)] for t, d in points]
 
     with ThreadPool(parallelism) as pool:
         found = np.array(pool.map(inheritable_thread_target(spark)(scores), range(folds)), float)
