@@ -1,9 +1,11 @@
 import math
+import time
 
 import numpy as np
 import pytest
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import SparseVector, Vectors
 from pyspark.sql import functions as F
 
 from verbatide.operators import features as X
@@ -327,3 +329,23 @@ def test_fit_and_score_reports_the_test_part(spark):
     report = {r["class"]: r for r in result.report().collect()}
     assert report["accuracy"]["f1"] == 1.0
     assert report["accuracy"]["support"] == result.test.count() != result.validation.count()
+
+
+def test_vector_total_of_wide_vectors(spark):
+    """Whole arrays of these vectors would be 8 GB a row."""
+    wide = SparseVector(1_000_000_000, {3: 1.5, 999_999_999: 2.0})
+    rows = spark.createDataFrame([(1, wide), (2, Vectors.dense([1.0, -3.0])), (3, Vectors.sparse(9, {}))], ["i", "v"])
+    assert dict(rows.select("i", X.vector_total("v")).collect()) == {1: 3.5, 2: -2.0, 3: 0.0}
+
+
+def test_count_vectorizer_takes_a_large_vocabulary(spark):
+    """Handed over singly, these terms take over half a minute."""
+    terms = [f"w{i}" for i in range(400_000)]
+    start = time.time()
+    model = X.count_vectorizer(terms)
+    assert time.time() - start < 20
+    assert model.vocabulary[-1] == "w399999" and model.getVocabSize() == 400_000
+    rows = spark.createDataFrame([(["w399999", "w1", "w1", "other"],), ([],)], "words array<string>")
+    assert [r[0] for r in model.transform(rows).select("rawFeatures").collect()] == [
+        SparseVector(400_000, {1: 2.0, 399_999: 1.0}), SparseVector(400_000, {})
+    ]

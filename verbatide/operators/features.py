@@ -6,6 +6,7 @@ from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.feature import (
     IDF,
@@ -22,15 +23,14 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorIndexer,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verbatide.functions import fixed_values as V
 from verbatide.operators.frequency import explode_words
 from verbatide.operators.ordering import dense_index
-from verbatide.operators.sizing import small_rows
 from verbatide.operators.skew import lookup_join
-from verbatide.session import materialise
+from verbatide.session import materialise, scratch_path
 
 
 def stop_list() -> list[str]:
@@ -131,6 +131,11 @@ def pad(sequence: Column, length: int) -> Column:
     return F.concat(cut, zeros)
 
 
+def vector_total(vector: Column | str) -> Column:
+    """The sum of a vector's components, from those it stores: no array of the vector's whole width is made."""
+    return F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda a, b: a + b)
+
+
 # Spark ML stages -------------------------------------------------------------------------------
 
 
@@ -165,16 +170,26 @@ def vocabulary(df: DataFrame, words: Column) -> list[str]:
     """All terms by falling count, ties by term. More than fit on the driver raise: the term tables
     above have no such limit."""
     counts = explode_words(df, words, "term").groupBy("term").agg(F.count("*").alias("n"))
-    rows = small_rows(counts.orderBy(F.desc("n"), "term"), MAX_VOCABULARY)
-    if rows is None:
+    terms = counts.orderBy(F.desc("n"), "term").select("term").limit(MAX_VOCABULARY + 1).toArrow()["term"].to_pylist()
+    if len(terms) > MAX_VOCABULARY:
         raise ValueError(f"more than {MAX_VOCABULARY} terms: use the term tables")
-    return [row["term"] for row in rows]
+    return terms
 
 
 def count_vectorizer(terms: Sequence[str], source: str = "words", to: str = "rawFeatures") -> CountVectorizerModel:
-    """Counts of the given terms; none is dropped by a size."""
-    model = CountVectorizerModel.from_vocabulary(list(terms), inputCol=source, outputCol=to)
-    return model
+    """Counts of the given terms; none is dropped by a size.
+
+    The terms reach the model as a saved one: handed over singly, a million would take minutes.
+    """
+    model = CountVectorizerModel.from_vocabulary(list(terms[:1]), inputCol=source, outputCol=to)
+    if len(terms) <= 1:
+        return model
+    spark = SparkSession.active()
+    path = scratch_path(spark, "vocabulary")
+    model.copy({model.vocabSize: len(terms)}).write().save(path)
+    whole = pa.table({"vocabulary": pa.array([list(terms)], pa.list_(pa.string()))})
+    spark.createDataFrame(whole).write.mode("overwrite").parquet(f"{path}/data")
+    return CountVectorizerModel.load(path)
 
 
 def label_indexer(source: str = "Feelings", to: str = "indexedLabel") -> StringIndexer:

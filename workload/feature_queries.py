@@ -149,8 +149,7 @@ def hashing_tf(spark, d):
     """Which bucket a word falls into is Spark's affair; a row's total is its number of words."""
     rows = documents(spark, d).select("doc_id", _words().alias("words"))
     vectors = X.hashing_tf(2000).transform(rows)
-    total = F.aggregate(vector_to_array("rawFeatures"), F.lit(0.0), lambda a, b: a + b)
-    return vectors.select("doc_id", total.alias("total"))
+    return vectors.select("doc_id", X.vector_total("rawFeatures").alias("total"))
 
 
 def label_index(spark, d):
@@ -204,8 +203,7 @@ def idf_stage(spark, d):
     rows = documents(spark, d).select("doc_id", _words().alias("words"))
     vectors = X.count_vectorizer(X.vocabulary(rows, F.col("words"))).transform(rows)
     weighted = X.idf().fit(vectors).transform(vectors)
-    total = F.aggregate(vector_to_array("features"), F.lit(0.0), lambda a, b: a + b)
-    return weighted.select("doc_id", F.round(total, 6).alias("total"))
+    return weighted.select("doc_id", F.round(X.vector_total("features"), 6).alias("total"))
 
 
 QUERIES = {
