@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from fractions import Fraction
@@ -736,3 +737,22 @@ def test_crc_matches_zlib(spark):
     for row in rows.collect():
         text = "" if row["doc_id"] is None else str(row["doc_id"])
         assert row["m"] == zlib.crc32(text.encode()) % 5
+
+
+def test_language_fit_holds_little_beside_its_table(spark):
+    """The driver holds the counts as arrays: a row and a dictionary entry for each came to several times the table."""
+    rng = np.random.default_rng(7)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789.,;:", np.uint8)
+    rows = [(lang, rng.choice(letters, 100_000).tobytes().decode()) for lang in ("a", "a\0", "b", "c")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    language_id.fit(docs.limit(1))  # imports and session objects are not counted
+    tracemalloc.start()
+    try:
+        model = language_id.fit(docs)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model.languages == ["a", "a\0", "b", "c"]
+    bits = model.code_lengths([text.encode() for _, text in rows])
+    assert bits.argmin(axis=1).tolist() == [0, 1, 2, 3]
+    assert peak < 3.5 * model.table.nbytes

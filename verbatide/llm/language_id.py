@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,50 +89,47 @@ class LanguageModel:
     table: np.ndarray
 
     @classmethod
-    def compile(cls, languages: list[str], followers: dict[str, list[dict[int, dict[int, int]]]]) -> LanguageModel:
-        """``followers[lang][order][context]`` counts the bytes after a kept context."""
-        seen = {0}
-        for trees in followers.values():
-            for tree in trees:
-                for context, after in tree.items():
-                    seen.update(after)
-        used = sorted(seen)
+    def compile(cls, languages: list[str], counts: list[pa.Table]) -> LanguageModel:
+        """``counts[order]`` holds (lang, context, byte, n): the bytes after each context of that many bytes.
+
+        Works on whole arrays, so the driver holds little beside the table itself.
+        """
+        orders = [[t[name].to_numpy() for name in ("context", "byte", "n")] for t in counts]
+        names = pa.array(languages, pa.string())
+        owners = [pc.index_in(t["lang"].cast(pa.string()), names).to_numpy() for t in counts]
+        used = np.unique(np.concatenate([np.zeros(1, np.int64), *[byte for _, byte, _ in orders]]))
         symbol = np.zeros(256, np.int64)
         symbol[used] = np.arange(1, len(used) + 1)  # symbol 0: bytes never seen
-        size, count = len(used) + 1, len(languages)
-        contexts = sorted({(k, c) for t in followers.values() for k, tree in enumerate(t) for c in tree} | {(0, 0)})
-        number = {c: i for i, c in enumerate(contexts)}
-        table = np.zeros((len(contexts), size, count), np.float32)
-        for j, lang in enumerate(languages):
-            trees = followers[lang]
-            made = np.zeros((len(contexts), size))
-            for i, (k, context) in enumerate(contexts):  # shorter contexts come first
-                if k:
-                    shorter = (k - 1, context % (1 << 8 * (k - 1)))
-                    while shorter not in number:
-                        shorter = (shorter[0] - 1, shorter[1] % (1 << 8 * (shorter[0] - 1)))
-                    base = made[number[shorter]]
-                else:
-                    base = np.full(size, 8.0)
-                after = trees[k].get(context)
-                if not after:
-                    made[i] = base
-                    continue
-                total, distinct = sum(after.values()), len(after)
-                made[i] = base - np.log2(distinct / (total + distinct))
-                places = symbol[list(after)]
-                made[i, places] = -np.log2(np.array(list(after.values())) / (total + distinct))
-            table[:, :, j] = made
-        states = np.full((size, size, size), number[(0, 0)], np.int32)
-        for k, context in contexts:  # longer contexts overwrite shorter ones
-            s = [symbol[(context >> 8 * i) & 255] for i in range(k)]  # s[0]: the byte just before
+        size = len(used) + 1
+        contexts = [np.unique(context) if k else np.zeros(1, np.int64) for k, (context, _, _) in enumerate(orders)]
+        first = np.cumsum([0, *map(len, contexts)])  # shorter contexts come first
+        table = np.zeros((int(first[-1]), size, len(languages)), np.float32)
+        for j in range(len(languages)):
+            above = np.full((1, size), 8.0)  # the rows of the next shorter contexts
+            for k, (context, byte, n) in enumerate(orders):
+                mine = owners[k] == j
+                at = np.searchsorted(contexts[k], context[mine])
+                number = len(contexts[k])
+                total = np.bincount(at, n[mine], number)
+                distinct = np.bincount(at, minlength=number)
+                # A context that is met has met its ending too, one byte shorter.
+                made = above[np.searchsorted(contexts[k - 1], contexts[k] % (1 << 8 * (k - 1)))] if k else above.copy()
+                met = distinct > 0
+                made[met] -= np.log2(distinct[met] / (total + distinct)[met])[:, None]
+                made[at, symbol[byte[mine]]] = -np.log2(n[mine] / (total + distinct)[at])
+                table[first[k] : first[k + 1], :, j] = made
+                above = made
+        states = np.zeros((size, size, size), np.int32)
+        for k in range(1, len(orders)):  # longer contexts overwrite shorter ones
+            number = np.arange(first[k], first[k + 1], dtype=np.int32)
+            s = [symbol[(contexts[k] >> 8 * i) & 255] for i in range(k)]  # s[0]: the byte just before
             if k == 1:
-                states[:, :, s[0]] = number[(k, context)]
+                states[:, :, s[0]] = number
             elif k == 2:
-                states[:, s[1], s[0]] = number[(k, context)]
+                states[:, s[1], s[0]] = number
             elif k == 3:
-                states[s[2], s[1], s[0]] = number[(k, context)]
-        return cls(list(languages), symbol, size, states.reshape(-1), table.reshape(len(contexts) * size, count))
+                states[s[2], s[1], s[0]] = number
+        return cls(list(languages), symbol, size, states.reshape(-1), table.reshape(len(table) * size, len(languages)))
 
     def code_lengths(self, texts: list[bytes]) -> np.ndarray:
         """Bits of each text in each language."""
@@ -164,20 +162,18 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text") -> LanguageMode
     totals = {r["lang"]: r["n"] for r in grams.groupBy("lang").agg(F.sum("n").alias("n")).limit(MAX_LANGUAGES + 1).collect()}
     if len(totals) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    followers = {name: [{} for _ in range(ORDER + 1)] for name in totals}
     context = lambda order: (F.shiftright(F.col("gram"), 8) % (1 << 8 * order)).cast("long") if order else F.lit(0).cast("long")
     contexts = [F.count_distinct(context(order)).alias(f"c{order}") for order in range(ORDER + 1)]
     facts = grams.agg(F.count_distinct(F.col("gram") % 256).alias("symbols"), *contexts).first()
     size = sum(facts[f"c{order}"] for order in range(ORDER + 1)) * (facts["symbols"] + 1) * max(1, len(totals)) * 4
     if size > MOST_BYTES:
         raise ValueError(f"the languages' contexts need a table of {size} bytes, more than {MOST_BYTES}")
+    counts = []
     for order in range(ORDER + 1):
-        counts = grams.groupBy("lang", context(order).alias("context"), (F.col("gram") % 256).alias("byte"))
-        # No more rows than the table has cells.
-        for row in counts.agg(F.sum("n").alias("n")).collect():
-            followers[row["lang"]][order].setdefault(row["context"], {})[row["byte"]] = row["n"]
+        after = grams.groupBy("lang", context(order).alias("context"), (F.col("gram") % 256).alias("byte"))
+        counts.append(after.agg(F.sum("n").alias("n")).toArrow())  # no more rows than the table has cells
     scratch.drop(grams)
-    return LanguageModel.compile(sorted(totals), followers)
+    return LanguageModel.compile(sorted(totals), counts)
 
 
 def _judge(model: LanguageModel, texts: list[str]) -> tuple[list[str], list[float]]:
