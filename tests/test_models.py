@@ -1,4 +1,5 @@
 import math
+import threading
 import time
 
 import numpy as np
@@ -12,6 +13,7 @@ from verbatide.operators import features as X
 from verbatide.operators import lexicon as L
 from verbatide.operators import models as M
 from verbatide.plans import classify, cluster
+from workload import ALL
 
 TEXTS = [
     (0, "good nice good", "pos"), (1, "nice day good", "pos"), (2, "bad awful", "neg"),
@@ -349,3 +351,23 @@ def test_count_vectorizer_takes_a_large_vocabulary(spark):
     assert [r[0] for r in model.transform(rows).select("rawFeatures").collect()] == [
         SparseVector(400_000, {1: 2.0, 399_999: 1.0}), SparseVector(400_000, {})
     ]
+
+
+def test_drawn_forests_are_fitted_one_at_a_time(spark, sf_dir, monkeypatch):
+    """The driver holds every forest that is being fitted; five side by side were too much for it."""
+    fit, lock, state = M.RandomForestClassifier._fit, threading.Lock(), {"now": 0, "most": 0, "fits": 0}
+
+    def counted(self, rows):
+        with lock:
+            state["now"] += 1
+            state["fits"] += 1
+            state["most"] = max(state["most"], state["now"])
+        try:
+            return fit(self.copy({self.numTrees: 1, self.maxDepth: 1}), rows)
+        finally:
+            with lock:
+                state["now"] -= 1
+
+    monkeypatch.setattr(M.RandomForestClassifier, "_fit", counted)
+    assert ALL["rf_draws_cv"].run(spark, sf_dir).count() == 5
+    assert state["fits"] == 11 and state["most"] == 1  # five draws in two folds, and the winner
