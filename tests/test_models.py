@@ -52,6 +52,34 @@ def test_unseen_words_fall_back_on_the_prior(spark, texts):
     assert {tuple(r) for r in model.predict(new, "id", values).collect()} == {(9, "pos"), (8, "pos")}
 
 
+@pytest.mark.parametrize("common", [1, 3, 1000])
+def test_common_terms_are_scored_where_their_text_lies(spark, monkeypatch, common):
+    """However many terms are common, seen or not: scores are the same, and only the other terms' rows and a row for
+    each text meet the lookup."""
+    rows = [(1, ["a", "b", "b", "z"]), (2, ["a", "c"]), (3, []), (4, ["z", "z"]), (2, ["a", "d"]), (None, ["a"])]
+    texts = spark.createDataFrame(rows, "id int, words array<string>")
+    terms = [("a", [-1.0, -2.0]), ("b", [-3.0, -1.0]), ("c", [-1.0, -4.0]), ("d", [-1.0, -6.5])]
+    model = M.TermModel(["x", "y"], [-2.5, -2.0], spark.createDataFrame(terms, "term string, weights array<double>"))
+    met, join = [], M.lookup_join
+
+    def watched(facts, *more):
+        met.append(facts.count())
+        return join(facts, *more)
+
+    monkeypatch.setattr(M, "COMMON", common)
+    monkeypatch.setattr(M, "lookup_join", watched)
+    values = X.term_frequencies(texts, "id", F.col("words")).withColumnRenamed("tf", "value")
+    got = sorted(tuple(r) for r in model.predict(texts.where("id IS NOT NULL").distinct(), "id", values).collect())
+    assert got == [(1, "y"), (2, "x"), (2, "x"), (3, "y"), (4, "y")]
+    assert met == [{1: 7, 3: 5, 1000: 3}[common]]  # a, z and b come first; three texts have words
+
+
+def test_word_lists_are_dealt_by_key(spark, texts):
+    plan = X.term_frequencies(texts, "id", F.col("words"))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(id" in plan and "term" not in plan.partition("hashpartitioning(")[2].partition(")")[0]
+    assert plan.count("Exchange") == 1
+
+
 def test_bernoulli_by_brute_force(spark, texts):
     values = X.term_frequencies(texts, "id", F.col("words")).select("id", "term", (F.col("tf") / 10.0).alias("value"))
     model = M.fit_bernoulli(texts, "id", "Feelings", values, threshold=0.1)
