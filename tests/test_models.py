@@ -113,6 +113,20 @@ def test_tfidf_rows_have_length_one(spark, texts):
     assert [r["s"] for r in rows] == pytest.approx([1.0] * len(TEXTS))
 
 
+def test_weights_are_made_after_the_shuffle(spark):
+    """What travels to a text's other words is the term's count, not a weight; texts without a key are one text."""
+    rows = [(1, "a", 2), (1, "b", 1), (2, "a", 1), (None, "a", 1), (None, "c", 3)]
+    tf = spark.createDataFrame(rows, "id int, term string, tf bigint")
+    weights = X.tfidf(tf, "id", F.lit(3))
+    df = {t: sum(r[1] == t for r in rows) for t in "abc"}
+    raw = {(i, t): n * (math.log(4 / (df[t] + 1)) + 1) for i, t, n in rows}
+    norm = {i: math.sqrt(sum(w * w for (j, _), w in raw.items() if i == j)) for i, _ in raw}
+    got = {(r["id"], r["term"]): r["tfidf"] for r in weights.collect()}
+    assert got == pytest.approx({(i, t): w / norm[i] for (i, t), w in raw.items()})
+    before = weights._jdf.queryExecution().optimizedPlan().toString().partition("RepartitionByExpression")[2]
+    assert before and "ln(" not in before.lower() and "log(" not in before.lower()
+
+
 def test_labels_are_indexed_once(spark):
     """Train and test share one code per class, although their commonest classes differ."""
     train = spark.createDataFrame([(["a"], "x")] * 5 + [(["b"], "y")] * 3 + [(["c"], "z")] * 2, "words array<string>, Feelings string")
