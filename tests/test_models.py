@@ -199,6 +199,26 @@ def test_mapping_is_one_way_for_all_sizes(spark, more):
     assert got == [(4, ["you", "WRONG", "NN"])]
 
 
+def test_small_dictionary_moves_no_rows(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "a"])], "id int, w array<string>")
+    mapping = spark.createDataFrame([("a", "x")], "word string, replacement string")
+    mapped = L.map_words(df, "w", mapping)
+    assert "Exchange" not in mapped._jdf.queryExecution().executedPlan().toString()
+    assert mapped.first()["w"] == ["x", "b", "x"]
+
+
+@pytest.mark.parametrize("default", [None, "NN"])
+def test_words_beyond_the_common_ones_find_their_places(spark, monkeypatch, default):
+    monkeypatch.setattr(L, "COMMON", 2)
+    words = [["a", "b", "c", None, "q", "a"], [], None, ["c"], ["a", "a"], ["d", "q", "e", "d"], ["e", "c", "b", "a"]]
+    df = spark.createDataFrame([(i // 2, w) for i, w in enumerate(words * 3)], "id int, w array<string>")
+    known = {"a": "A a", "c": "", "d": "a", "e": "d"}
+    mapping = spark.createDataFrame([*known.items(), ("never", "met")], "word string, replacement string")
+    got = sorted(map(tuple, L.map_words(df, "w", mapping, default).collect()), key=repr)
+    want = [(i // 2, [known.get(x, x if default is None else default) for x in w or []]) for i, w in enumerate(words * 3)]
+    assert got == sorted(want, key=repr)
+
+
 def test_abbreviation_table(spark):
     dictionary = spark.createDataFrame([("amp", ""), ("€", " euro ")], "abbrev string, expansion string")
     df = spark.createDataFrame([(1, "Prices up &amp; 5 €")], "id int, text string")

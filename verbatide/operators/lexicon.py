@@ -1,27 +1,33 @@
 """Dictionary work: abbreviations, lemmas and tags by joins with word tables.
 
-Dictionaries are input tables of any size and there is one way for all of them: the word lists are written
-once, their words are joined to the dictionary, and the words that have an entry are put back in place, in time
-that grows with a text's length and not with its square.
+Dictionaries are input tables of any size. Entries go to the word lists, not words to the entries: all entries if they
+are few, else those of the commonest words; only the rest of the words is joined to the dictionary by shuffle and put
+back in place, in time that grows with a text's length and not with its square.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from verbatide.functions import fixed_values as V
 from verbatide.functions import text as T
-from verbatide.operators.skew import lookup_join
+from verbatide.operators.skew import COMMON, common_entries, lookup_join
 from verbatide.session import materialise
 
 
+def _present(words: str) -> Column:
+    return F.coalesce(F.col(words), F.array().cast("array<string>"))
+
+
 def _held(df: DataFrame, words: str) -> DataFrame:
     """``df`` written once, with a row number; a missing word list becomes an empty one."""
-    present = F.coalesce(F.col(words), F.array().cast("array<string>"))
-    return materialise(df.withColumns({words: present, "_row": F.monotonically_increasing_id()}))
+    return materialise(df.withColumns({words: _present(words), "_row": F.monotonically_increasing_id()}))
 
 
 def _vocabulary(held: DataFrame, words: str) -> DataFrame:
@@ -29,27 +35,87 @@ def _vocabulary(held: DataFrame, words: str) -> DataFrame:
     return held.select(F.explode(words).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def _replace(held: DataFrame, words: str, counts: DataFrame, mapping: DataFrame, default: str | None) -> DataFrame:
-    """Dictionary words are looked up once per distinct word of ``counts``; only those that have an entry meet the rows."""
+def _entries(mapping: DataFrame) -> DataFrame:
+    """(word, replacement), one row for every word of ``mapping`` that has a replacement. Written: it is read for its
+    size and for its rows."""
     entries = mapping.where(F.col("word").isNotNull() & F.col("replacement").isNotNull())
-    entries = entries.groupBy("word").agg(F.min("replacement").alias("replacement"))
-    known = materialise(counts.join(entries, "word").select("word", "n", "replacement"))
-    placed = held.select("_row", F.posexplode(words).alias("_at", "word"))
-    found = lookup_join(placed, known.select("word", "replacement"), "word", known.select("word", "n")).groupBy("_row")
-    new = F.struct("_at", F.lit(0).alias("_old"), F.col("replacement").alias("word"))
-    joined = held.join(found.agg(F.collect_list(new).alias("_new")), "_row", "left")
-
-    def old(word: Column, at: Column) -> Column:
-        kept = word if default is None else F.lit(default)
-        return F.struct(at.alias("_at"), F.lit(1).alias("_old"), kept.alias("word"))
-
-    # Each place once or twice in order, the new word before the old one: the first of a place stays.
-    before = F.transform(words, old)
-    joined = joined.withColumn("_both", F.sort_array(F.concat(F.col("_new"), before)))
-    first = F.filter("_both", lambda x, i: (i == 0) | (F.get("_both", i - 1)["_at"] != x["_at"]))
-    untouched = F.col(words) if default is None else F.transform(words, lambda _: F.lit(default))
-    replaced = F.when(F.col("_new").isNull(), untouched).otherwise(F.transform(first, lambda x: x["word"]))
-    return joined.withColumn(words, replaced).drop("_row", "_new", "_both")
+    return materialise(entries.groupBy("word").agg(F.min("replacement").alias("replacement")))
+
+
+def _near(entries: DataFrame) -> pa.Table | None:
+    """All ``entries``, if they are few enough to go to every task."""
+    near = entries.select("word", "replacement").limit(COMMON + 1).toArrow()
+    return near if near.num_rows <= COMMON else None
+
+
+def _replaced(near: pa.Table, default: str | None) -> Callable[..., Column]:
+    """A function of a list column: its words replaced by those of ``near(word, replacement)``, other words kept or
+    ``default``. It also takes a column with a list of (_at, word) per row: the words of these places."""
+    keys, values, bounds = near["word"].combine_chunks(), near["replacement"].combine_chunks(), _bounds_of()
+
+    def mapped(words: pa.Array) -> pa.Array:
+        found = pc.take(values, pc.index_in(words, keys.cast(words.type))).cast(words.type)
+        return pc.coalesce(found, words if default is None else pa.scalar(default, words.type))
+
+    @F.arrow_udf("array<string>")
+    def whole(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for some in lists:
+            yield pa.ListArray.from_arrays(bounds(some), mapped(some.flatten()))
+
+    @F.arrow_udf("array<string>")
+    def placed(lists: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for some, new in lists:
+            words, rows, starts = some.flatten(), new.flatten(), bounds(some)
+            row = np.repeat(np.arange(len(new)), np.diff(bounds(new)))
+            source = np.arange(len(words))
+            source[starts.to_numpy()[row] + pc.struct_field(rows, "_at").to_numpy()] = len(words) + np.arange(len(rows))
+            both = pa.concat_arrays([mapped(words), pc.struct_field(rows, "word").cast(words.type)])
+            yield pa.ListArray.from_arrays(starts, both.take(pa.array(source)))
+
+    return lambda words, new=None: whole(words) if new is None else placed(words, new)
+
+
+def _bounds_of() -> Callable[[pa.Array], pa.Array]:
+    """A function that tells where each list begins in the flattened array, and the end of the last; a missing list is
+    empty. It goes to the tasks by value, like the functions that use it."""
+
+    def bounds(lists: pa.Array) -> pa.Array:
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        return pa.array(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), pa.int32())
+
+    return bounds
+
+
+def _others(known: pa.Table) -> Callable[[Column], Column]:
+    """A function of a list column: (_at, word) of its words that are not in ``known``."""
+    keys, bounds = known["word"].combine_chunks(), _bounds_of()
+
+    @F.arrow_udf("array<struct<_at:int,word:string>>")
+    def others(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for some in lists:
+            words, starts = some.flatten(), bounds(some).to_numpy()
+            far = pc.and_(pc.invert(pc.is_in(words, keys.cast(words.type))), words.is_valid()).to_numpy(zero_copy_only=False)
+            at = (np.arange(len(words)) - np.repeat(starts[:-1], np.diff(starts)))[far]
+            rows = pa.StructArray.from_arrays([pa.array(at, pa.int32()), words.filter(pa.array(far))], ["_at", "word"])
+            sums = np.concatenate([[0], np.cumsum(far)])
+            yield pa.ListArray.from_arrays(pa.array(sums[starts], pa.int32()), rows)
+
+    return others
+
+
+def _replace(held: DataFrame, words: str, counts: DataFrame, entries: DataFrame, default: str | None) -> DataFrame:
+    """Words are looked up where their list lies: in all entries if they are few, else in those of the commonest words of
+    ``counts``. Only other words are looked up by shuffle, a row for each, and come back to their places."""
+    near = _near(entries)
+    if near is not None:
+        return held.withColumn(words, _replaced(near, default)(F.col(words))).drop("_row")
+    counts = materialise(counts)
+    common = common_entries(entries, "word", counts, COMMON).select("word", "replacement").toArrow()
+    rare = counts.join(F.broadcast(held.sparkSession.createDataFrame(common.select(["word"]))), "word", "left_anti")
+    far = held.select("_row", F.inline(_others(common)(F.col(words))))
+    found = lookup_join(far, entries, "word", rare).groupBy("_row")
+    joined = held.join(found.agg(F.collect_list(F.struct("_at", F.col("replacement").alias("word"))).alias("_new")), "_row", "left")
+    return joined.withColumn(words, _replaced(common, default)(F.col(words), F.col("_new"))).drop("_row", "_new")
 
 
 def map_words(df: DataFrame, words: str, mapping: DataFrame, default: str | None = None) -> DataFrame:
@@ -59,8 +125,12 @@ def map_words(df: DataFrame, words: str, mapping: DataFrame, default: str | None
     missing; entries without a word are ignored; of several replacements of a word the smallest counts. All rows
     stay, repeated ones too; a missing list becomes an empty one.
     """
+    entries = _entries(mapping)
+    near = _near(entries)
+    if near is not None:
+        return df.withColumn(words, _replaced(near, default)(_present(words)))
     held = _held(df, words)
-    return _replace(held, words, _vocabulary(held, words), mapping, default).select(*df.columns)
+    return _replace(held, words, _vocabulary(held, words), entries, default).select(*df.columns)
 
 
 def expand_abbreviations(df: DataFrame, text: str, dictionary: DataFrame) -> DataFrame:
@@ -117,7 +187,7 @@ def lemmatise(
     counts = materialise(_vocabulary(held, words))
     lemmas = lemma_map(counts.withColumnRenamed("word", "token"), lexicon, pos, exceptions)
     pairs = lemmas.select(F.col("token").alias("word"), F.col("lemma").alias("replacement"))
-    return _replace(held, words, counts, pairs, None).select(*df.columns)
+    return _replace(held, words, counts, _entries(pairs), None).select(*df.columns)
 
 
 def lemma_counts(
