@@ -145,6 +145,18 @@ def test_crowded_keys_and_blocks_change_nothing(spark, monkeypatch):
     assert got == brute_components(rows, 3, Fraction(9, 10))
 
 
+def test_shares_of_keys_are_all_keys_and_are_shuffled_once(spark):
+    rows = [(i // 2, [256 * (i // 6), 257 * (i // 4), 7 << 9, -256 * i]) for i in range(60)]
+    sketched = spark.createDataFrame(rows, "id long, keys array<long>")
+    whole = ngram_jaccard._buckets(sketched)
+    parts = [ngram_jaccard._buckets(sketched, share, 2) for share in range(2)]
+    assert all(part.count() for part in parts)
+    assert sorted(map(tuple, parts[0].unionByName(parts[1]).collect())) == sorted(map(tuple, whole.collect()))
+    assert whole.count() == whole.select("key", "id").distinct().count()
+    top = whole._jdf.queryExecution().executedPlan().toString().partition("Window")[0]
+    assert "Exchange" not in top  # repeated rows go without another shuffle
+
+
 def test_empty_table_has_no_classes(spark):
     assert ngram_jaccard.link_classes(docs_of(spark, [])).count() == 0
 

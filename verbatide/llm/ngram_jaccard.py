@@ -54,6 +54,7 @@ CACHED_WORDS = 400_000  # word hashes kept by a task
 SEEN_SETS = 1_000_000  # sets that a task remembers to have sketched
 BLOCK, WIDE = 512, 8192  # minor members of a bundle, and members of any kind, that are compared at a time
 BROADCAST_IDS = 2_000_000  # ids of 8 bytes; a longer list is joined by a shuffle
+SHARES = 2  # rounds in which the keys are met
 SAMPLE = 32  # one in so many sets is looked at to find crowded keys
 CROWDED = 500  # a key is crowded when it holds more than 1/500 of the sampled sets
 
@@ -246,12 +247,14 @@ def _sketch(docs: DataFrame, n: int, threshold: Fraction) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, th long, size long, id long, sketch binary, keys array<long>, empty array<long>, spare int")
 
 
-def _buckets(sketched: DataFrame) -> DataFrame:
+def _buckets(sketched: DataFrame, share: int = 0, shares: int = 1) -> DataFrame:
     """(key, id, rep, crowd, n): members of keys that more than one set has; ``rep`` is the smallest, ``n`` the key's rows.
+    Of ``shares`` shares of all keys only one.
 
     In a crowded key ``rep`` is the smallest member of a share of it, ``crowd`` is true and ``n`` the largest number.
     """
     rows = sketched.where(F.col("keys").isNotNull()).select("id", F.explode("keys").alias("key"))
+    rows = rows.where(F.pmod(F.xxhash64("key"), F.lit(shares)) == share) if shares > 1 else rows
     seen = sketched.where(F.col("keys").isNotNull() & (F.pmod(F.xxhash64("id"), F.lit(SAMPLE)) == 0))
     seen = seen.select("id", "keys").dropDuplicates(["id"])
     least = max(16, seen.count() // CROWDED)
@@ -264,7 +267,9 @@ def _buckets(sketched: DataFrame) -> DataFrame:
     crowd = F.col("salts").isNotNull()
     n = F.when(crowd, F.lit((1 << 63) - 1)).otherwise(F.count("*").over(key))
     ranked = dealt.withColumns({"rep": F.min("id").over(key), "top": F.max("id").over(key), "n": n})
-    return ranked.where(crowd | (F.col("rep") != F.col("top"))).select("key", "id", "rep", crowd.alias("crowd"), "n").distinct()
+    shared = ranked.where(crowd | (F.col("rep") != F.col("top"))).select("key", "salt", "id", "rep", crowd.alias("crowd"), "n")
+    # Repeated rows lie side by side: the window has dealt them by key and salt, and a set has one salt in a key.
+    return shared.groupBy("key", "salt", "id", "rep", "crowd", "n").agg(F.lit(1)).select("key", "id", "rep", "crowd", "n")
 
 
 def _given_up(buckets: DataFrame, spares: DataFrame) -> DataFrame:
@@ -474,7 +479,12 @@ def _row_classes(docs: DataFrame, n: int, threshold: Fraction, doc_id: str, text
     scratch = Scratch(spark, "ngrams")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("th"), F.col(text).cast("binary").alias("text"))
     sketched = scratch.store(_sketch(rows, n, threshold), "sketches")
-    meetings = scratch.store(_buckets(sketched), "meetings")
+    # The largest shuffle: a share of the keys at a time, so that never all of them lie on the disks.
+    parts = []
+    for share in range(SHARES):
+        parts.append(scratch.store(_buckets(sketched, share, SHARES), "meetings"))
+        scratch.release()
+    meetings = reduce(DataFrame.unionByName, parts)
     plain = scratch.store(sketched.select("doc_id", "th", F.col("size").alias("n_shingles"), "id"), "rows")
 
     # The sets that meet another, with one document each to read their text from.
@@ -485,7 +495,7 @@ def _row_classes(docs: DataFrame, n: int, threshold: Fraction, doc_id: str, text
     scratch.drop(sketched)
     scratch.release()
     buckets = scratch.store(_given_up(meetings, chosen.select("id", "spare")), "buckets")
-    scratch.drop(meetings)
+    scratch.drop(*parts)
 
     # First round: each set with the set it meets most often; shares of a crowded key with each other.
     ties = buckets.where(F.col("id") != F.col("rep")).groupBy("id", "rep").agg(F.count("*").alias("n"))
