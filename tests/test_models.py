@@ -150,6 +150,24 @@ def test_every_row_is_scored(spark):
     assert hits == 1
 
 
+def test_rows_of_tree_fits_are_dealt_by_their_binned_size(spark, monkeypatch):
+    rows = spark.range(100).withColumn("words", F.array(F.col("id").cast("string"))).coalesce(1)
+    assert M.dealt_for_trees(rows, 1000) is rows
+    monkeypatch.setattr(M, "BINNED", 40_000)  # ten rows of a thousand features
+    dealt = M.dealt_for_trees(rows, 1000)
+    sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 100 and max(sizes) <= 20
+    assert sorted(r["id"] for r in dealt.collect()) == list(range(100))
+    assert M.dealt_for_trees(rows.where("id < 0"), 1000).count() == 0
+
+
+def test_tree_queries_deal_their_rows(spark, sf_dir, monkeypatch):
+    seen = []
+    monkeypatch.setattr(M, "dealt_for_trees", lambda rows, width: seen.append(width) or rows)
+    ALL["tree_dump"].run(spark, sf_dir)
+    assert seen == [2000]
+
+
 def test_deep_forests_raise():
     with pytest.raises(ValueError, match="30"):
         M.random_forest(depth=160)
