@@ -12,6 +12,7 @@ from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -416,6 +417,23 @@ def test_codec_is_the_library_s_and_round_trips(spark, library):
     assert bpe_codec.encode_texts(docs_of(spark, []), VOCABULARY, digests=True).count() == 0
 
 
+def test_codec_turns_few_texts_into_strings_at_a_time(library, monkeypatch):
+    monkeypatch.setattr(bpe_codec, "_SLICE", 20)
+    texts = ["a b", None, "", "c" * 50, "long text of more than twenty bytes", "\u00e9t\u00e9 d", None, "e"]
+    slices = [s.to_pylist() for s in bpe_codec._slices(pa.array([*texts, "cut off"], pa.string()).slice(0, len(texts)))]
+    assert [t for s in slices for t in s] == texts and len(slices) > 2
+    assert all(sum(len((t or "").encode()) for t in s[:-1]) < 20 for s in slices)
+    assert [s.to_pylist() for s in bpe_codec._slices(pa.array([], pa.string()))] == [[]]
+    # Of a known word only the ids are kept, and a full cache starts anew.
+    monkeypatch.setattr(bpe_codec, "CACHED_WORDS", 3)
+    codec = bpe_codec.BpeCodec(VOCABULARY)
+    for part in [*slices, *slices]:
+        for text, (ids, decoded) in zip(part, codec.encode(part)):
+            want = library.encode(text or "", add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == want and decoded == library.decode(want, skip_special_tokens=False)
+    assert all(isinstance(ids, bytes) for ids in codec.known.values())
+
+
 def test_transducer_maps_listed_words_only(tmp_path):
     listed = sorted({f"{a}{b}ing" for a in "abcdef" for b in ("", "x", "yz")} | {"a", "ab", "abc", "\u00e9t\u00e9"}, key=str.encode)
     made = bpe_codec.compile_lexicon(listed, VOCABULARY)

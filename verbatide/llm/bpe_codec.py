@@ -20,15 +20,18 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from verbatide.llm.common import Scratch, commonest, write_bytes
-from verbatide.llm.token_counts import BLOCK, CACHED_WORDS, WordBpe
+from verbatide.llm.token_counts import BLOCK, WordBpe
 
 LEXICON_WORDS = 65_536  # most words compiled; bounds the driver's work and the mapped file
+CACHED_WORDS = 1 << 17  # per task; a full cache starts anew, which changes no result
 _COUNTED = 200_000  # distinct words that a task holds before it passes their counts on
+_SLICE = 2 << 20  # bytes of text that a task turns into strings at a time; a longer text is a slice by itself
 ENCODED = "n_tokens long, ids binary, decoded string"
 
 
@@ -155,6 +158,14 @@ def _counts(held: Counter) -> pa.RecordBatch:
     )
 
 
+def _slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Neighbouring texts, each slice beginning in another ``_SLICE`` bytes of the batch than the one before."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    begins = (np.cumsum(sizes) - sizes) // _SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(begins)) + 1).tolist(), len(texts)]
+    return (texts.slice(a, b - a) for a, b in zip(cuts, cuts[1:]))
+
+
 def compile_lexicon(words: Sequence[str], vocabulary: str) -> Transducer:
     """The transducer of ``words`` with the ids that the vocabulary gives them."""
     bpe = WordBpe(vocabulary)
@@ -170,14 +181,14 @@ class BpeCodec:
         self.bpe = WordBpe(vocabulary)
         self.lexicon = lexicon
         self.names = self.bpe.names
-        self.known: dict[str, tuple[bytes, str]] = {}
+        self.known: dict[str, bytes] = {}
 
     def learn(self, words: set[str]) -> None:
-        """Find ids and decoded form of words not met before."""
+        """Find ids of words not met before."""
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
         for name, i in self.bpe.special.items():
-            self.known[name] = (np.uint32(i).tobytes(), name)
+            self.known[name] = np.uint32(i).tobytes()
         new = list(words.difference(self.known))
         rest = new
         if self.lexicon is not None and new:
@@ -188,29 +199,23 @@ class BpeCodec:
                 if at < 0:
                     rest.append(word)
                 else:
-                    self._keep(word, ids[starts[at] : starts[at + 1]])
+                    self.known[word] = ids[starts[at] : starts[at + 1]].astype("<u4").tobytes()
         ids, counts = self.bpe.merge(rest)
-        at = 0
-        for word, count in zip(rest, counts.tolist()):
-            self._keep(word, ids[at : at + count])
-            at += count
-
-    def _keep(self, word: str, ids: np.ndarray) -> None:
-        names = self.names
-        self.known[word] = (ids.astype("<u4").tobytes(), " ".join([names[i] for i in ids.tolist()]))
+        merged, at = ids.astype("<u4").tobytes(), 0
+        for word, size in zip(rest, (4 * counts).tolist()):
+            self.known[word] = merged[at : at + size]
+            at += size
 
     def encode(self, texts: Sequence[str | None]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian 32-bit numbers, decoded text) of each text, in order."""
         pending: list[tuple[int, list[str]]] = []
-        ready: dict[int, list[tuple[bytes, str]]] = {}
+        ready: dict[int, list[bytes]] = {}
 
         def flush() -> None:
             self.learn(set().union(*(words for _, words in pending)))
             get = self.known.__getitem__
             for row, words in pending:
-                found = list(map(get, words))
-                if found:
-                    ready.setdefault(row, []).append((b"".join([i for i, _ in found]), " ".join([t for _, t in found])))
+                ready.setdefault(row, []).append(b"".join(map(get, words)))
             pending.clear()
 
         held = after = 0
@@ -229,13 +234,13 @@ class BpeCodec:
         for done in range(after, len(texts)):
             yield self._joined(ready.pop(done, []))
 
-    @staticmethod
-    def _joined(parts: list[tuple[bytes, str]]) -> tuple[bytes, str]:
-        return b"".join([i for i, _ in parts]), " ".join([t for _, t in parts])
+    def _joined(self, parts: list[bytes]) -> tuple[bytes, str]:
+        ids = b"".join(parts)
+        return ids, self.decode(ids)
 
     def decode(self, ids: bytes) -> str:
         """The library's form without a decoder: token strings joined by one space."""
-        return " ".join([self.names[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        return " ".join(map(self.names.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
 
 def publish_lexicon(docs: DataFrame, vocabulary: str, text: str = "text", most: int = LEXICON_WORDS) -> str:
@@ -271,12 +276,13 @@ def encode_texts(
         codec = BpeCodec(vocabulary, Transducer.mapped(SparkFiles.get(lexicon)))
         for batch in batches:
             rows = []
-            for ids, decoded in codec.encode(batch.column(at).to_pylist()):
-                count = len(ids) // 4
-                if digests:
-                    rows.append((count, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
-                else:
-                    rows.append((count, ids, decoded))
+            for texts in _slices(batch.column(at)):
+                for ids, decoded in codec.encode(texts.to_pylist()):
+                    count = len(ids) // 4
+                    if digests:
+                        rows.append((count, hashlib.sha256(ids).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()))
+                    else:
+                        rows.append((count, ids, decoded))
             made = [pa.array([r[k] for r in rows], types[k]) for k in range(3)]
             old = [batch.column(i) for i in places]
             yield pa.RecordBatch.from_arrays([*old, *made], [*carried, *names])
