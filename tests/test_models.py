@@ -168,6 +168,16 @@ def test_tree_queries_deal_their_rows(spark, sf_dir, monkeypatch):
     assert seen == [2000]
 
 
+@pytest.mark.parametrize("make", [lambda: M.decision_tree(bins=8, depth=12), lambda: M.random_forest(trees=4, depth=12)])
+def test_trees_keep_node_ids_and_are_those_of_spark_s_defaults(spark, make):
+    rng = np.random.default_rng(5)
+    rows = [(float(rng.integers(3)), Vectors.dense(rng.normal(size=4).tolist())) for _ in range(200)]
+    df = spark.createDataFrame(rows, [M.LABEL, M.FEATURES]).coalesce(2)
+    assert make().getCacheNodeIds() and make().getMaxMemoryInMB() == M.NODE_MEMORY > 256
+    plain = make().setCacheNodeIds(False).setMaxMemoryInMB(256)
+    assert make().fit(df).toDebugString.split("\n")[1:] == plain.fit(df).toDebugString.split("\n")[1:]
+
+
 def test_deep_forests_raise():
     with pytest.raises(ValueError, match="30"):
         M.random_forest(depth=160)
