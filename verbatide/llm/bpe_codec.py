@@ -180,6 +180,7 @@ class BpeCodec:
     def __init__(self, vocabulary: str, lexicon: Transducer | None = None):
         self.bpe = WordBpe(vocabulary)
         self.lexicon = lexicon
+        self.listed = lexicon.ids.astype("<u4").tobytes() if lexicon is not None else b""
         self.names = self.bpe.names
         self.known: dict[str, bytes] = {}
 
@@ -193,13 +194,11 @@ class BpeCodec:
         rest = new
         if self.lexicon is not None and new:
             place = self.lexicon.places([w.encode() for w in new])
-            starts, ids = self.lexicon.start, self.lexicon.ids
-            rest = []
-            for word, at in zip(new, place.tolist()):
-                if at < 0:
-                    rest.append(word)
-                else:
-                    self.known[word] = ids[starts[at] : starts[at + 1]].astype("<u4").tobytes()
+            found = np.flatnonzero(place >= 0)
+            begins, ends = (4 * self.lexicon.start[place[found] + k] for k in (0, 1))
+            for i, begin, end in zip(found.tolist(), begins.tolist(), ends.tolist()):
+                self.known[new[i]] = self.listed[begin:end]
+            rest = [new[i] for i in np.flatnonzero(place < 0).tolist()]
         ids, counts = self.bpe.merge(rest)
         merged, at = ids.astype("<u4").tobytes(), 0
         for word, size in zip(rest, (4 * counts).tolist()):
