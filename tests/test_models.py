@@ -461,3 +461,23 @@ def test_drawn_forests_are_fitted_one_at_a_time(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(M.RandomForestClassifier, "_fit", counted)
     assert ALL["rf_draws_cv"].run(spark, sf_dir).count() == 5
     assert state["fits"] == 11 and state["most"] == 1  # five draws in two folds, and the winner
+
+
+def test_wide_vocabularies_stay_tables(spark, sf_dir, monkeypatch):
+    """More terms than the driver may hold raised; as tables they give the vectors and weights of the ML stages."""
+    rows = [(1, ["b", "a", "b"]), (2, ["c", "a"]), (3, ["a"]), (2, ["c", "a"]), (None, ["d", "d", "a"])]
+    df = spark.createDataFrame(rows, "id int, words array<string>")
+
+    def stages():
+        counts = X.count_vectorizer(X.vocabulary(df, F.col("words")))
+        model = Pipeline(stages=[counts, X.idf()]).fit(df)
+        new = spark.createDataFrame([(9, ["a", "x"]), (8, ["x"])], df.schema)
+        weighed = [model.transform(df), model.transform(new)]
+        return [sorted(map(str, w.select("id", "words", "rawFeatures", "features").collect())) for w in weighed]
+
+    total = lambda: sorted(map(tuple, ALL["idf_stage"].run(spark, sf_dir).collect()))
+    want, totals = stages(), total()
+    monkeypatch.setattr(X, "MAX_VOCABULARY", 3)
+    assert isinstance(X.count_vectorizer(X.vocabulary(df, F.col("words"))), X.TermVectorizer)
+    assert stages() == want
+    assert total() == totals and len(totals) == 200

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import StorageLevel
+from pyspark.ml import Model, Transformer
 from pyspark.ml.feature import (
     IDF,
     Binarizer,
@@ -23,8 +25,10 @@ from pyspark.ml.feature import (
     VectorAssembler,
     VectorIndexer,
 )
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from verbatide.functions import fixed_values as V
 from verbatide.operators.frequency import explode_words
@@ -167,28 +171,28 @@ def hashing_tf(features: int, source: str = "words", to: str = "rawFeatures") ->
     return HashingTF(numFeatures=features, inputCol=source, outputCol=to)
 
 
-def idf(source: str = "rawFeatures", to: str = "features") -> IDF:
-    return IDF(inputCol=source, outputCol=to)
-
-
-MAX_VOCABULARY = 2_000_000  # terms that the ML stage may hold on the driver
+MAX_VOCABULARY = 2_000_000  # terms that the ML stages may hold on the driver and in every task
 
 
-def vocabulary(df: DataFrame, words: Column) -> list[str]:
-    """All terms by falling count, ties by term. More than fit on the driver raise: the term tables
-    above have no such limit."""
-    counts = explode_words(df, words, "term").groupBy("term").agg(F.count("*").alias("n"))
-    terms = counts.orderBy(F.desc("n"), "term").select("term").limit(MAX_VOCABULARY + 1).toArrow()["term"].to_pylist()
-    if len(terms) > MAX_VOCABULARY:
-        raise ValueError(f"more than {MAX_VOCABULARY} terms: use the term tables")
-    return terms
+def vocabulary(df: DataFrame, words: Column) -> list[str] | DataFrame:
+    """All terms by falling count, ties by term. More than ``MAX_VOCABULARY`` stay a table (term, n, id), with the
+    places in that order as ids."""
+    counts = materialise(explode_words(df, words, "term").groupBy("term").agg(F.count("*").alias("n")))
+    if counts.count() > MAX_VOCABULARY:
+        return materialise(dense_index(counts, [F.desc("n"), F.asc("term")], "id"))
+    return counts.orderBy(F.desc("n"), "term").select("term").toArrow()["term"].to_pylist()
 
 
-def count_vectorizer(terms: Sequence[str], source: str = "words", to: str = "rawFeatures") -> CountVectorizerModel:
+def count_vectorizer(
+    terms: Sequence[str] | DataFrame, source: str = "words", to: str = "rawFeatures"
+) -> CountVectorizerModel | TermVectorizer:
     """Counts of the given terms; none is dropped by a size.
 
-    The terms reach the model as a saved one: handed over singly, a million would take minutes.
+    A list of terms reaches Spark's model as a saved one: handed over singly, a million would take minutes.
+    A table of terms stays a table.
     """
+    if isinstance(terms, DataFrame):
+        return TermVectorizer(terms, source, to)
     model = CountVectorizerModel.from_vocabulary(list(terms[:1]), inputCol=source, outputCol=to)
     if len(terms) <= 1:
         return model
@@ -200,6 +204,85 @@ def count_vectorizer(terms: Sequence[str], source: str = "words", to: str = "raw
     return CountVectorizerModel.load(path)
 
 
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df``, written, with a number ``_row`` for each of its rows."""
+    return materialise(df.withColumn("_row", F.monotonically_increasing_id()))
+
+
+def _with_vectors(rows: DataFrame, cells: DataFrame, size: int | Column, to: str) -> DataFrame:
+    """``rows`` with a sparse vector ``to`` of the ``cells(_row, id, value)`` of each; rows without cells have one of zeros.
+
+    Vectors are written as what they consist of and read as vectors, so no row passes through Python.
+    """
+    pairs = F.sort_array(F.collect_list(F.struct("id", "value")))
+    lists = cells.repartition("_row").groupBy("_row").agg(pairs.alias("_cells"))  # lists are made once, where they are read
+    joined = rows.drop(to).join(lists, "_row", "left")
+    stored = joined.withColumns({
+        "_ids": F.coalesce(F.transform("_cells", lambda c: c["id"].cast("int")), F.array().cast("array<int>")),
+        "_values": F.coalesce(F.transform("_cells", lambda c: c["value"].cast("double")), F.array().cast("array<double>")),
+    })
+    size = F.lit(size) if isinstance(size, int) else size
+    parts = [F.lit(0).cast("tinyint").alias("type"), size.cast("int").alias("size"), F.col("_ids").alias("indices"), F.col("_values").alias("values")]
+    kept = [c for c in rows.columns if c not in (to, "_row")]
+    path = scratch_path(rows.sparkSession, "vectors")
+    stored.select(*kept, F.struct(*parts).alias(to)).write.parquet(path)
+    schema = StructType([*(rows.schema[c] for c in kept), StructField(to, VectorUDT())])
+    return rows.sparkSession.read.schema(schema).parquet(path).select(*[c for c in rows.columns if c in kept and c != to], to)
+
+
+class TermVectorizer(Transformer):
+    """The counts of CountVectorizerModel for ``terms(term, n, id)`` that stay a table, however many they are."""
+
+    def __init__(self, terms: DataFrame, source: str = "words", to: str = "rawFeatures"):
+        super().__init__()
+        self.terms, self.source, self.to = terms, source, to
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        rows, size = _numbered(dataset), self.terms.count()
+        tf = term_frequencies(rows, "_row", F.col(self.source))
+        found = lookup_join(tf, self.terms.select("term", "id"), "term", self.terms.select("term", "n"))
+        return _with_vectors(rows, found.select("_row", "id", F.col("tf").alias("value")), size, self.to)
+
+
+class TermIDF(IDF):
+    """Spark's IDF; of vectors wider than ``MAX_VOCABULARY`` the weights stay a table."""
+
+    def _fit(self, dataset: DataFrame) -> Model:
+        source = self.getInputCol()
+        one = dataset.where(F.col(source).isNotNull()).select(F.unwrap_udt(source)["size"]).first()
+        if one is None or (one[0] or 0) <= MAX_VOCABULARY:
+            return super()._fit(dataset)
+        vector = F.unwrap_udt(source)
+        cells = dataset.select(F.explode(F.arrays_zip(vector["indices"].alias("id"), vector["values"].alias("value"))).alias("c"))
+        n = dataset.count()
+        met = cells.where(F.col("c.value") > 0).groupBy(F.col("c.id").alias("id")).agg(F.count("*").alias("n"))
+        weight = F.when(F.col("n") >= self.getMinDocFreq(), F.log((F.lit(n) + 1.0) / (F.col("n") + 1.0))).otherwise(0.0)
+        unseen = math.log(n + 1) if self.getMinDocFreq() <= 0 else 0.0
+        return TermIDFModel(materialise(met.withColumn("idf", weight)), unseen, source, self.getOutputCol())
+
+
+class TermIDFModel(Model):
+    """Sparse vectors times ``weights(id, n, idf)``; ``unseen`` is the weight of a term that no fitted row had."""
+
+    def __init__(self, weights: DataFrame, unseen: float, source: str, to: str):
+        super().__init__()
+        self.weights, self.unseen, self.source, self.to = weights, unseen, source, to
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        rows = _numbered(dataset)
+        vector = F.unwrap_udt(self.source)
+        cells = rows.select("_row", F.explode(F.arrays_zip(vector["indices"].alias("id"), vector["values"].alias("value"))).alias("c"))
+        cells = cells.select("_row", F.col("c.id").alias("id"), F.col("c.value").alias("value"))
+        joined = lookup_join(cells, self.weights.select("id", "idf"), "id", self.weights.select("id", "n"), "left")
+        value = F.col("value") * F.coalesce("idf", F.lit(self.unseen))
+        sized = rows.withColumn("_size", vector["size"])
+        return _with_vectors(sized, joined.select("_row", "id", value.alias("value")), F.col("_size"), self.to).drop("_size")
+
+
+def idf(source: str = "rawFeatures", to: str = "features") -> IDF:
+    return TermIDF(inputCol=source, outputCol=to)
+
+
 def label_indexer(source: str = "Feelings", to: str = "indexedLabel") -> StringIndexer:
     """Commonest label 0, ties alphabetical. Fit once, on training rows only."""
     return StringIndexer(inputCol=source, outputCol=to, stringOrderType="frequencyDesc")

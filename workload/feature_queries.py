@@ -201,7 +201,7 @@ weighted AS (SELECT doc_id, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc
 def idf_stage(spark, d):
     """Counts of all terms weighted by the ML stage."""
     rows = documents(spark, d).select("doc_id", _words().alias("words"))
-    vectors = X.count_vectorizer(X.vocabulary(rows, F.col("words"))).transform(rows)
+    vectors = X.count_vectorizer(X.vocabulary(rows, F.col("words"))).transform(rows).select("doc_id", "rawFeatures")
     weighted = X.idf().fit(vectors).transform(vectors)
     return weighted.select("doc_id", F.round(X.vector_total("features"), 6).alias("total"))
 
