@@ -475,7 +475,7 @@ def rf_draws_cv(spark, d):
     with X.cached(_embeddings(spark, d)) as (rows,):
         forest = M.random_forest(seed=42)
         draws = M.draw_grid(forest, M.random_forest_draws())
-        # A forest is as large as its rows and trees, and the driver holds each that is being fitted: one at a time.
+        # One at a time: where Spark fits a forest, the driver holds it.
         return M.cv_table(M.cross_validate(forest, draws, rows, 2, key="vec_id", parallelism=1))
 
 
