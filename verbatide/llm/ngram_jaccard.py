@@ -54,7 +54,7 @@ CACHED_WORDS = 400_000  # word hashes kept by a task
 SEEN_SETS = 1_000_000  # sets that a task remembers to have sketched
 BLOCK, WIDE = 512, 8192  # minor members of a bundle, and members of any kind, that are compared at a time
 BROADCAST_IDS = 2_000_000  # ids of 8 bytes; a longer list is joined by a shuffle
-SHARES = 2  # rounds in which the keys are met
+SHARES = 6  # rounds in which the keys are met: only one share of them lies on the disks at a time
 SAMPLE = 32  # one in so many sets is looked at to find crowded keys
 CROWDED = 500  # a key is crowded when it holds more than 1/500 of the sampled sets
 
