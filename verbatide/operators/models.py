@@ -29,7 +29,7 @@ from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuil
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
-from verbatide.operators.forests import ForestModel, RandomForestClassifier, predicted
+from verbatide.operators.forests import ForestModel, RandomForestClassifier, SparkForest, predicted
 from verbatide.operators.frequency import class_distribution, term_counts
 from verbatide.operators.rowsets import key_number
 from verbatide.operators.sizing import small_rows
@@ -42,7 +42,7 @@ MAX_WEIGHTS = 2_000_000  # numbers of a model's common terms that are broadcast
 BINNED = 512 << 20  # bytes of binned rows that a task of a tree's fit reads
 NODE_MEMORY = 512  # MB of statistics that a task of a tree's fit holds: how many nodes one pass over the rows splits
 LABEL, FEATURES = "indexedLabel", "rawFeatures"
-TREES = (DecisionTreeClassifier, RandomForestClassifier)
+TREES = (DecisionTreeClassifier, SparkForest)
 
 
 # Estimators with the defaults of the analyses they serve -----------------------------------------
@@ -62,11 +62,13 @@ def decision_tree(
 
 
 def random_forest(
-    trees: int = 150, depth: int = 30, subset: str = "auto", weight: str | None = None, seed: int = 5043
-) -> RandomForestClassifier:
+    trees: int = 150, depth: int = 30, subset: str = "auto", weight: str | None = None, seed: int = 5043, grown: bool = False
+) -> SparkForest:
+    """Spark's forest; with ``grown`` whole trees are grown in tasks and stay a table, by other draws of the same kind."""
     if depth > MAX_DEPTH:
         raise ValueError(f"Spark's trees have a depth of at most {MAX_DEPTH}")
-    forest = RandomForestClassifier(
+    kind = RandomForestClassifier if grown else SparkForest
+    forest = kind(
         labelCol=LABEL, featuresCol=FEATURES, numTrees=trees, maxDepth=depth,
         impurity="gini", featureSubsetStrategy=subset, seed=seed, maxMemoryInMB=NODE_MEMORY, cacheNodeIds=True,
     )
@@ -485,7 +487,7 @@ def eliminate_features(
 
     def fit(number: int, fold: int, columns: list[int]) -> tuple:
         slicer = VectorSlicer(inputCol=FEATURES, outputCol="_kept", indices=columns)
-        forest = random_forest(trees, weight="_weight", seed=seed).setFeaturesCol("_kept")
+        forest = random_forest(trees, weight="_weight", seed=seed, grown=True).setFeaturesCol("_kept")
         pipeline = Pipeline(stages=[slicer, forest])
         fitted = pipeline.fit(weighted.where(F.col("_fold") != fold))
         if fold < 0:
@@ -671,7 +673,7 @@ def forest_cv(
     points = [(t, d) for t in trees for d in depths]
 
     def scores(fold: int) -> list[float]:
-        fitted = random_forest(max(trees), max(depths), seed=seed).fit(dealt.where(F.col("_fold") != fold))
+        fitted = random_forest(max(trees), max(depths), seed=seed, grown=True).fit(dealt.where(F.col("_fold") != fold))
         held = dealt.where(F.col("_fold") == fold)
         if isinstance(fitted, ForestModel):
             return _point_scores(fitted, held, points)

@@ -473,7 +473,7 @@ def rule_counts(spark, d):
 
 def rf_draws_cv(spark, d):
     with X.cached(_embeddings(spark, d)) as (rows,):
-        forest = M.random_forest(seed=42)
+        forest = M.random_forest(seed=42, grown=True)
         draws = M.draw_grid(forest, M.random_forest_draws())
         # One at a time: where Spark fits a forest, the driver holds it.
         return M.cv_table(M.cross_validate(forest, draws, rows, 2, key="vec_id", parallelism=1))
